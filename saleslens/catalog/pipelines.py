@@ -22,3 +22,167 @@ def sales_fact(t: SalesTables):
 @register("fact_sales_margin", with_ctes(f"SELECT {FACT_SELECT} FROM fact", "fact"))
 def q_fact_sales_margin(spark, sf_dir):
     return sales_fact(SalesTables(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Commercial-action monitoring: report export -> CSV -> import -> snapshot -> monitoring
+# ---------------------------------------------------------------------------
+import datetime as dt  # noqa: E402
+
+from saleslens.catalog import oracle_ctes as oc  # noqa: E402
+from saleslens.plans import monitoring as mon  # noqa: E402
+from saleslens.session import fresh_dir  # noqa: E402
+from saleslens.sources import files  # noqa: E402
+from saleslens.sources.fixtures import ACTION_IMPORT_COLUMNS, AS_OF, HISTORY_END  # noqa: E402
+
+SNAPSHOT_DATE = HISTORY_END   # the action was opened on the last history day
+
+
+def _d(x: dt.date) -> str:
+    return f"DATE '{x.isoformat()}'"
+
+
+def _rev_pairs_sql(as_of: dt.date) -> str:
+    a = _d(as_of)
+    return ("SELECT t.Name AS Country, p.Subcategory, "
+            f"CAST(SUM(CASE WHEN f.OrderDate >= make_date(year({a}), 1, 1) AND f.OrderDate < {a} + 1 "
+            "THEN f.LineTotal ELSE 0 END) AS DECIMAL(38,4)) AS CurrentRevenue, "
+            f"CAST(SUM(CASE WHEN f.OrderDate >= make_date(year({a}) - 1, 1, 1) AND f.OrderDate < "
+            f"make_date(year({a}), 1, 1) THEN f.LineTotal ELSE 0 END) AS DECIMAL(38,4)) AS PreviousYearRevenue "
+            "FROM fact f JOIN dim_product p ON f.ProductID = p.ProductID "
+            "JOIN territory t ON f.TerritoryID = t.TerritoryID GROUP BY t.Name, p.Subcategory")
+
+
+def _goal_sql(prev: str, as_of: dt.date) -> str:
+    a = _d(as_of)
+    return (f"CAST({prev} AS DOUBLE) / NULLIF(datediff('day', make_date(year({a}) - 1, 1, 1), "
+            f"make_date(year({a}), 1, 1)), 0) * (datediff('day', make_date(year({a}), 1, 1), {a}) + 1) * 1.3012")
+
+
+def _money_text(x: str) -> str:
+    v = f"CAST({x} AS DECIMAL(18,2))"
+    return f"(CASE WHEN {v} < 0 THEN '-' ELSE '' END || '€ ' || format('{{:,.2f}}', abs({v})))"
+
+
+def _pct_text(x: str) -> str:
+    v = f"CAST({x} * 100 AS DECIMAL(18,2))"
+    return f"(CASE WHEN {v} < 0 THEN '-' ELSE '' END || format('{{:,.2f}}', abs({v})) || '%')"
+
+
+oc.add("rev_pairs_asof", _rev_pairs_sql(AS_OF))
+oc.add("rev_pairs_snap", _rev_pairs_sql(SNAPSHOT_DATE))
+oc.add("vs_goal_snap",
+       "SELECT Country, Subcategory, CurrentRevenue, PreviousYearRevenue, CurrentGoal, "
+       "CAST(CurrentRevenue AS DOUBLE) / NULLIF(CurrentGoal, 0.0) - 1.0 AS PercCurrentGoal, "
+       "CAST(CurrentRevenue AS DOUBLE) - CurrentGoal AS DeltaCurrentGoal FROM (SELECT *, "
+       f"{_goal_sql('PreviousYearRevenue', SNAPSHOT_DATE)} AS CurrentGoal FROM rev_pairs_snap) g")
+oc.add("prioritised_snap",
+       "SELECT *, ['High','Medium','Low'][ntile(3) OVER (ORDER BY DeltaCurrentGoal, Country, Subcategory)] "
+       "AS PriorityType FROM vs_goal_snap WHERE DeltaCurrentGoal < 0")
+oc.add("report_export",
+       f"SELECT Subcategory, Country, {_money_text('CurrentRevenue')} AS CurrentRevenues, "
+       f"{_money_text('CurrentGoal')} AS CurrentGoalRevenues, {_pct_text('PercCurrentGoal')} AS PercCurrentGoal, "
+       f"{_money_text('DeltaCurrentGoal')} AS DeltaCurrentGoal, PriorityType FROM prioritised_snap")
+oc.add("action_import",
+       "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in ACTION_IMPORT_COLUMNS) +
+       " FROM (SELECT * FROM report_export UNION ALL SELECT * FROM action_import_fixed) u")
+
+
+def _clean_num(col: str, strip: list[str], dtype: str) -> str:
+    x = col
+    for ch in strip:
+        x = f"replace({x}, '{ch}', '')"
+    return (f"CASE WHEN regexp_full_match({x}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') "
+            f"THEN TRY_CAST({x} AS {dtype}) END")
+
+
+def _currency_sql(col: str) -> str:
+    return _clean_num(col, ["€", ",", '"', " "], "DECIMAL(18,2)")
+
+
+def _percent_sql(col: str) -> str:
+    return _clean_num(col, ["%", '"', " "], "DECIMAL(18,4)")
+
+
+oc.add("snapshot",
+       f"SELECT {_d(SNAPSHOT_DATE)} AS SnapshotDate, Subcategory, Country, PriorityType, "
+       f"{_currency_sql('CurrentRevenues')} AS SnapshotRevenue, {_percent_sql('PercCurrentGoal')} AS "
+       f"PercCurrentSnapshotGoal, {_currency_sql('DeltaCurrentGoal')} AS DeltaCurrentSnapshotGoal, "
+       f"{_currency_sql('CurrentGoalRevenues')} AS CurrentSnapshotGoal FROM action_import")
+oc.add("monitoring",
+       "SELECT s.SnapshotDate, s.Country, s.Subcategory, s.PriorityType, s.SnapshotRevenue, s.CurrentSnapshotGoal, "
+       "s.PercCurrentSnapshotGoal, s.DeltaCurrentSnapshotGoal, c.CurrentRevenue, "
+       f"{_goal_sql('c.PreviousYearRevenue', AS_OF)} AS CurrentGoalToDate FROM snapshot s LEFT JOIN "
+       "rev_pairs_asof c ON c.Country = s.Country AND c.Subcategory = s.Subcategory")
+
+
+def current_pairs(t: SalesTables, as_of):
+    dim_p = model.dim_product(t.product, t.product_subcategory, t.product_category)
+    return mon.revenue_by_pair(sales_fact(t), dim_p, t.territory, as_of)
+
+
+def export_at_snapshot(t: SalesTables):
+    vs = mon.current_vs_goal(current_pairs(t, SNAPSHOT_DATE), SNAPSHOT_DATE)
+    return mon.report_export(mon.prioritise(vs))
+
+
+def import_via_csv(spark, t: SalesTables):
+    """Report export (plus the dirty rows) written as CSV, then read back by position."""
+    path = fresh_dir(spark, "action-import")
+    files.write_csv(export_at_snapshot(t).unionByName(t.action_import), path)
+    return files.read_csv_positional(spark, path, ACTION_IMPORT_COLUMNS)
+
+
+def snapshot_table(spark, t: SalesTables):
+    """W16 + S5: the cleaned snapshot replaces the previous one; later steps read the written table."""
+    path = fresh_dir(spark, "action-snapshot")
+    files.overwrite(mon.snapshot_from_import(import_via_csv(spark, t), SNAPSHOT_DATE), path)
+    return spark.read.parquet(path)
+
+
+@register("doc_current_vs_goal", with_ctes("SELECT * FROM vs_goal_snap", "vs_goal_snap"))
+def q_doc_current_vs_goal(spark, sf_dir):
+    """D3: goal formula for every (Country, Subcategory) at the snapshot date."""
+    return mon.current_vs_goal(current_pairs(SalesTables(spark, sf_dir), SNAPSHOT_DATE), SNAPSHOT_DATE)
+
+
+@register("doc_prioritisation", with_ctes(
+    "SELECT Country, Subcategory, CurrentRevenue, CurrentGoal, PercCurrentGoal, DeltaCurrentGoal, PriorityType "
+    "FROM prioritised_snap", "prioritised_snap"))
+def q_doc_prioritisation(spark, sf_dir):
+    t = SalesTables(spark, sf_dir)
+    vs = mon.current_vs_goal(current_pairs(t, SNAPSHOT_DATE), SNAPSHOT_DATE)
+    return mon.prioritise(vs).select("Country", "Subcategory", "CurrentRevenue", "CurrentGoal",
+                                     "PercCurrentGoal", "DeltaCurrentGoal", "PriorityType")
+
+
+@register("src_csv_positional", with_ctes("SELECT * FROM action_import", "action_import"))
+def q_src_csv_positional(spark, sf_dir):
+    """S1 (+S6): the commercial-action CSV read back by position, all text."""
+    return import_via_csv(spark, SalesTables(spark, sf_dir))
+
+
+@register("snapshot_create", with_ctes("SELECT * FROM snapshot", "snapshot"))
+def q_snapshot_create(spark, sf_dir):
+    """Import, clean, stamp, replace the snapshot, return it."""
+    return snapshot_table(spark, SalesTables(spark, sf_dir))
+
+
+@register("action_monitoring", with_ctes("SELECT * FROM monitoring", "monitoring"))
+def q_action_monitoring(spark, sf_dir):
+    """Frozen snapshot vs current-year revenue and goal to date (flagship)."""
+    t = SalesTables(spark, sf_dir)
+    return mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF), AS_OF)
+
+
+@register("doc_recovery_kpis", with_ctes(
+    "SELECT Country, Subcategory, PriorityType, CAST(DeltaCurrentSnapshotGoal AS DOUBLE) AS InitialGap, "
+    "0.5 * abs(CAST(DeltaCurrentSnapshotGoal AS DOUBLE)) AS ExpectedRecovery, "
+    "(CAST(CurrentRevenue AS DOUBLE) - CurrentGoalToDate) - CAST(DeltaCurrentSnapshotGoal AS DOUBLE) AS ActualRecovery, "
+    "((CAST(CurrentRevenue AS DOUBLE) - CurrentGoalToDate) - CAST(DeltaCurrentSnapshotGoal AS DOUBLE)) / "
+    "NULLIF(0.5 * abs(CAST(DeltaCurrentSnapshotGoal AS DOUBLE)), 0.0) AS Achievement FROM monitoring", "monitoring"))
+def q_doc_recovery_kpis(spark, sf_dir):
+    """Recovery KPIs on top of the monitoring view."""
+    t = SalesTables(spark, sf_dir)
+    m = mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF), AS_OF)
+    return mon.recovery_kpis(m, 0.5)
