@@ -186,3 +186,316 @@ def q_doc_recovery_kpis(spark, sf_dir):
     t = SalesTables(spark, sf_dir)
     m = mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF), AS_OF)
     return mon.recovery_kpis(m, 0.5)
+
+
+# ---------------------------------------------------------------------------
+# Database build: timeline shift, open latest, dimensions
+# ---------------------------------------------------------------------------
+SHIFT_TO = dt.date(2026, 11, 30)   # the "today" the history is moved to
+
+
+def _shift_sql(col: str, src: str = "header_all") -> str:
+    return (f"CAST({_d(SHIFT_TO)} + CAST(datediff('day', (SELECT max(OrderDate) FROM {src}), {col}) AS INTEGER) "
+            "AS DATE)")
+
+
+@register("timeline_shift_orders", with_ctes(
+    f"SELECT SalesOrderID, {_shift_sql('OrderDate')} AS OrderDate, {_shift_sql('DueDate')} AS DueDate, "
+    f"{_shift_sql('ShipDate')} AS ShipDate, OnlineOrderFlag, CustomerID, SalesPersonID, TerritoryID, SubTotal, "
+    f"{_d(SHIFT_TO)} AS modified_date FROM header_all", "header_all"))
+def q_timeline_shift_orders(spark, sf_dir):
+    """Orders moved so the latest lands on SHIFT_TO."""
+    return model.shift_orders(SalesTables(spark, sf_dir).header_all, SHIFT_TO)
+
+
+@register("timeline_shift_costs", with_ctes(
+    f"SELECT ProductID, {_shift_sql('StartDate')} AS StartDate, {_shift_sql('EndDate')} AS EndDate, StandardCost, "
+    f"{_d(SHIFT_TO)} AS modified_date FROM cost_history_raw", "cost_history_raw", "header_all"))
+def q_timeline_shift_costs(spark, sf_dir):
+    """Cost intervals moved with the orders' anchor."""
+    t = SalesTables(spark, sf_dir)
+    return model.shift_history(t.cost_history_raw, t.header_all, SHIFT_TO)
+
+
+@register("timeline_shift_prices", with_ctes(
+    f"SELECT ProductID, {_shift_sql('StartDate')} AS StartDate, {_shift_sql('EndDate')} AS EndDate, ListPrice, "
+    f"{_d(SHIFT_TO)} AS modified_date FROM price_history_raw", "price_history_raw", "header_all"))
+def q_timeline_shift_prices(spark, sf_dir):
+    """List-price intervals moved with the orders' anchor."""
+    t = SalesTables(spark, sf_dir)
+    return model.shift_history(t.price_history_raw, t.header_all, SHIFT_TO)
+
+
+@register("open_latest_cost", with_ctes("SELECT * FROM cost_history", "cost_history"))
+def q_open_latest_cost(spark, sf_dir):
+    """The latest cost interval per product is open-ended."""
+    return model.open_latest(SalesTables(spark, sf_dir).cost_history_raw)
+
+
+@register("open_latest_price", with_ctes("SELECT * FROM price_history", "price_history"))
+def q_open_latest_price(spark, sf_dir):
+    """The latest list-price interval per product is open-ended."""
+    return model.open_latest(SalesTables(spark, sf_dir).price_history_raw)
+
+
+@register("dim_customer", with_ctes("SELECT * FROM dim_customer", "dim_customer"))
+def q_dim_customer(spark, sf_dir):
+    """Customer dimension (store + individual)."""
+    t = SalesTables(spark, sf_dir)
+    return model.dim_customer(t.customer_src, t.store, t.person)
+
+
+@register("dim_product", with_ctes("SELECT * FROM dim_product", "dim_product"))
+def q_dim_product(spark, sf_dir):
+    """Product hierarchy dimension."""
+    t = SalesTables(spark, sf_dir)
+    return model.dim_product(t.product, t.product_subcategory, t.product_category)
+
+
+oc.add("calendar_orders",
+       "SELECT CAST(d AS DATE) AS Date FROM (SELECT unnest(generate_series(make_date(year(min(OrderDate)), 1, 1), "
+       "make_date(year(max(OrderDate)), 12, 31), INTERVAL 1 DAY)) AS d FROM header_all) s")
+
+
+@register("dim_calendar", with_ctes(
+    "SELECT Date, year(Date) AS Year, month(Date) AS Month, quarter(Date) AS Quarter, "
+    "CAST(date_trunc('quarter', Date) AS DATE) AS QuarterStart, CAST(date_trunc('month', Date) AS DATE) AS "
+    "MonthStart FROM calendar_orders", "calendar_orders"))
+def q_dim_calendar(spark, sf_dir):
+    """Date dimension over the whole years of the order history."""
+    return model.calendar_for_orders(SalesTables(spark, sf_dir).header_all)
+
+
+@register("dim_territory", with_ctes("SELECT TerritoryID, Name, GroupName FROM territory", "territory"))
+def q_dim_territory(spark, sf_dir):
+    """Territory dimension."""
+    return model.dim_territory(SalesTables(spark, sf_dir).territory)
+
+
+# ---------------------------------------------------------------------------
+# Daily batch
+# ---------------------------------------------------------------------------
+from saleslens.plans import daily  # noqa: E402
+
+oc.add("built_headers",
+       "SELECT p.SalesOrderID, p.OrderDate, p.DueDate, p.ShipDate, p.OnlineOrderFlag, p.CustomerID, "
+       "p.SalesPersonID, p.TerritoryID, s.SubTotal FROM (SELECT SalesOrderID, CAST(SUM(CAST(CAST(UnitPrice * "
+       "OrderQty AS DECIMAL(19,4)) * CAST(1 - UnitPriceDiscount AS DECIMAL(10,4)) AS DECIMAL(19,4))) AS "
+       "DECIMAL(19,4)) AS SubTotal FROM daily_details_temp GROUP BY SalesOrderID) s JOIN orders_temp p ON "
+       "s.SalesOrderID = p.SalesOrderID WHERE NOT p.processed")
+oc.add("loaded_details",
+       "SELECT d.SalesOrderID, d.SalesOrderDetailID, d.OrderQty, d.ProductID, d.UnitPrice, d.UnitPriceDiscount, "
+       "CAST(CAST(d.UnitPrice * d.OrderQty AS DECIMAL(19,4)) * CAST(1 - d.UnitPriceDiscount AS DECIMAL(10,4)) AS "
+       "DECIMAL(19,4)) AS LineTotal, d.SpecialOfferID FROM daily_details_temp d WHERE d.SalesOrderID IN "
+       "(SELECT SalesOrderID FROM built_headers)")
+DETAIL_SQL_COLS = ", ".join(daily.DETAIL_COLS)
+HEADER_SQL_COLS = ", ".join(daily.HEADER_COLS)
+oc.add("detail_after_load",
+       f"SELECT {DETAIL_SQL_COLS} FROM detail_hist UNION ALL SELECT {DETAIL_SQL_COLS} FROM loaded_details")
+oc.add("header_after_load",
+       f"SELECT {HEADER_SQL_COLS} FROM header_hist UNION ALL SELECT SalesOrderID, OrderDate, DueDate, ShipDate, "
+       "OnlineOrderFlag, CustomerID, SalesPersonID, TerritoryID, SubTotal, CAST(NULL AS DATE) AS modified_date "
+       "FROM built_headers")
+
+
+def staged_store(spark, t: SalesTables) -> daily.TableStore:
+    """S3: copy history and staging into a fresh table store (the project schema)."""
+    store = daily.TableStore(spark, fresh_dir(spark, "store"))
+    store.create("header", t.header_hist.select(*daily.HEADER_COLS))
+    store.create("detail", t.detail_hist.select(*daily.DETAIL_COLS))
+    store.create("orders_temp", t.orders_temp)
+    store.create("daily_details_temp", t.daily_details_temp)
+    return store
+
+
+def _load(spark, sf_dir):
+    t = SalesTables(spark, sf_dir)
+    store = staged_store(spark, t)
+    res = daily.daily_load(store, fresh_dir(spark, "daily-load"))
+    return store, res
+
+
+@register("daily_build_headers", with_ctes("SELECT * FROM built_headers", "built_headers"))
+def q_daily_build_headers(spark, sf_dir):
+    """Pending staged orders rebuilt with their subtotal."""
+    t = SalesTables(spark, sf_dir)
+    return daily.build_headers(t.orders_temp, t.daily_details_temp)
+
+
+@register("agg_order_subtotal", with_ctes(
+    "SELECT SalesOrderID, CAST(SUM(CAST(CAST(UnitPrice * OrderQty AS DECIMAL(19,4)) * CAST(1 - UnitPriceDiscount "
+    "AS DECIMAL(10,4)) AS DECIMAL(19,4))) AS DECIMAL(19,4)) AS SubTotal FROM daily_details_temp GROUP BY "
+    "SalesOrderID", "daily_details_temp"))
+def q_agg_order_subtotal(spark, sf_dir):
+    """G1: discounted value summed per staged order."""
+    return daily.subtotals(SalesTables(spark, sf_dir).daily_details_temp)
+
+
+@register("daily_load", with_ctes("SELECT * FROM detail_after_load", "detail_after_load"))
+def q_daily_load(spark, sf_dir):
+    """The detail history after the guarded daily load."""
+    store, _ = _load(spark, sf_dir)
+    return store.read("detail")
+
+
+@register("sink_append", with_ctes("SELECT * FROM header_after_load", "header_after_load"))
+def q_sink_append(spark, sf_dir):
+    """The header history after appending the day's rebuilt headers."""
+    store, _ = _load(spark, sf_dir)
+    return store.read("header")
+
+
+@register("agg_row_counts", with_ctes(
+    "SELECT 'header' AS TableName, 'before' AS Stage, count(*) AS Rows FROM header_hist UNION ALL "
+    "SELECT 'detail', 'before', count(*) FROM detail_hist UNION ALL "
+    "SELECT 'header', 'after', count(*) FROM header_after_load UNION ALL "
+    "SELECT 'detail', 'after', count(*) FROM detail_after_load", "header_after_load", "detail_after_load"))
+def q_agg_row_counts(spark, sf_dir):
+    """Row counts before and after the load (audit rows instead of printed messages)."""
+    _, res = _load(spark, sf_dir)
+    return res.audit
+
+
+@register("sink_overwrite", with_ctes(
+    "SELECT SalesOrderID, OrderDate, DueDate, ShipDate, OnlineOrderFlag, CustomerID, SalesPersonID, TerritoryID, "
+    "processed OR SalesOrderID IN (SELECT SalesOrderID FROM built_headers) AS processed, modified_date "
+    "FROM orders_temp", "orders_temp", "built_headers"))
+def q_sink_overwrite(spark, sf_dir):
+    """The staging table rewritten with loaded orders flagged processed."""
+    store, _ = _load(spark, sf_dir)
+    return store.read("orders_temp")
+
+
+@register("daily_gate", with_ctes(
+    f"SELECT {_d(AS_OF)} AS AsOf, count(*) AS PendingRows, CASE WHEN count(*) > 0 THEN 'loaded' ELSE "
+    f"'no data for today' END AS Action FROM orders_temp WHERE NOT processed AND CAST(modified_date AS DATE) = "
+    f"{_d(AS_OF)}", "orders_temp"))
+def q_daily_gate(spark, sf_dir):
+    """Load only when there are pending staged orders for today."""
+    t = SalesTables(spark, sf_dir)
+    store = staged_store(spark, t)
+    return daily.daily_gate(store, AS_OF, fresh_dir(spark, "daily-gate"))
+
+
+@register("daily_reset", with_ctes(f"SELECT {DETAIL_SQL_COLS} FROM detail_hist", "detail_hist"))
+def q_daily_reset(spark, sf_dir):
+    """After load + reset, the detail history is back to what it was."""
+    store, res = _load(spark, sf_dir)
+    daily.daily_reset(store, res.helper)
+    return store.read("detail")
+
+
+@register("daily_roundtrip", with_ctes(
+    "SELECT 'header' AS TableName, count(*) AS OriginalRows, count(*) AS FinalRows, CAST(0 AS BIGINT) AS "
+    "Differences FROM header_hist UNION ALL SELECT 'detail', count(*), count(*), 0 FROM detail_hist UNION ALL "
+    "SELECT 'orders_temp', count(*), count(*), 0 FROM orders_temp", "header_hist", "detail_hist", "orders_temp"))
+def q_daily_roundtrip(spark, sf_dir):
+    """Load then reset leaves every table as it was (differences counted with exceptAll)."""
+    t = SalesTables(spark, sf_dir)
+    store = staged_store(spark, t)
+    original = {"header": t.header_hist.select(*daily.HEADER_COLS),
+                "detail": t.detail_hist.select(*daily.DETAIL_COLS), "orders_temp": t.orders_temp}
+    res = daily.daily_load(store, fresh_dir(spark, "daily-load"))
+    daily.daily_reset(store, res.helper)
+    out = None
+    for n, a in original.items():
+        b = store.read(n)
+        row = daily.table_differences(a, b).agg(F.count(F.lit(1)).alias("Differences")).select(
+            F.lit(n).alias("TableName"), a.select(F.count(F.lit(1))).scalar().alias("OriginalRows"),
+            b.select(F.count(F.lit(1))).scalar().alias("FinalRows"), "Differences")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("copy_with_casts", with_ctes(
+    "SELECT CAST(SalesOrderID AS BIGINT) AS SalesOrderID, CAST(OrderDate AS DATE) AS OrderDate, DueDate, ShipDate, "
+    "OnlineOrderFlag, CustomerID, SalesPersonID, TerritoryID, CAST(SubTotal AS DECIMAL(19,4)) AS SubTotal, "
+    f"modified_date, {_d(AS_OF)} AS LoadDate FROM header_all", "header_all"))
+def q_copy_with_casts(spark, sf_dir):
+    """S3: full copy with casts and a load-date stamp, written and read back."""
+    t = SalesTables(spark, sf_dir)
+    out = files.copy_with_casts(t.header_all, {"SalesOrderID": "bigint", "OrderDate": "date",
+                                               "SubTotal": "decimal(19,4)"}, AS_OF)
+    path = files.write_table(out, fresh_dir(spark, "copy"))
+    return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# Demand profile and offers
+# ---------------------------------------------------------------------------
+from saleslens.plans import profile  # noqa: E402
+
+
+def profile_lines(t: SalesTables):
+    return profile.profile_lines(t.header_hist, t.detail_hist, t.cost_history)
+
+
+def special_offers(t: SalesTables):
+    """The offers kept by the load (ids below 7)."""
+    return t.special_offer_src.where(F.col("SpecialOfferID") < 7)
+
+
+oc.add("offer_ranked",
+       "SELECT *, row_number() OVER (ORDER BY MinQty DESC, MaxQty ASC NULLS LAST, UnitPriceDiscount DESC, "
+       "SpecialOfferID) AS rk FROM special_offer")
+oc.add("offer_fallback",
+       "SELECT coalesce(arg_min(SpecialOfferID, CASE WHEN UnitPriceDiscount = 0 THEN rk END), "
+       "arg_max(SpecialOfferID, rk)) AS fb FROM offer_ranked")
+
+
+def offer_lookup_sql(src: str) -> str:
+    return ("SELECT q.OrderQty, coalesce(arg_min(r.SpecialOfferID, r.rk), (SELECT fb FROM offer_fallback)) AS "
+            f"SpecialOfferID FROM (SELECT DISTINCT OrderQty FROM {src}) q LEFT JOIN offer_ranked r ON "
+            "r.MinQty <= q.OrderQty AND (r.MaxQty IS NULL OR r.MaxQty >= q.OrderQty) GROUP BY q.OrderQty")
+
+
+oc.add("offer_lookup_batch", offer_lookup_sql("daily_details_temp"))
+
+
+@register("assign_offers", with_ctes(
+    "SELECT d.SalesOrderID, d.SalesOrderDetailID, d.OrderQty, d.ProductID, k.SpecialOfferID, o.UnitPriceDiscount "
+    "FROM daily_details_temp d LEFT JOIN offer_lookup_batch k ON d.OrderQty = k.OrderQty LEFT JOIN special_offer o "
+    "ON o.SpecialOfferID = k.SpecialOfferID", "daily_details_temp", "offer_lookup_batch", "special_offer"))
+def q_assign_offers(spark, sf_dir):
+    """Every staged line gets the offer of its quantity tier."""
+    t = SalesTables(spark, sf_dir)
+    lines = t.daily_details_temp.select("SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID")
+    return profile.assign_offers(lines, special_offers(t))
+
+
+oc.add("dly", "SELECT OrderDate, sum(OrderQty) AS DailyQty, count(DISTINCT SalesOrderID) AS DailyOrders "
+              "FROM profile_lines GROUP BY OrderDate")
+oc.add("per_order", "SELECT SalesOrderID, count(*) AS n_lines, sum(OrderQty) AS qty FROM profile_lines "
+                    "GROUP BY SalesOrderID")
+oc.add("per_product", "SELECT ProductID, avg(OrderQty) AS m, stddev_samp(OrderQty) AS s FROM profile_lines "
+                      "GROUP BY ProductID")
+oc.add("cur_price", "SELECT ListPrice FROM price_history WHERE EndDate IS NULL AND ListPrice > 0")
+
+
+@register("history_profile", with_ctes(
+    "SELECT Metric, Value FROM (SELECT 'mean_daily_qty' AS Metric, round(avg(DailyQty), 6) AS Value FROM dly "
+    "UNION ALL SELECT 'std_daily_qty', round(stddev_pop(DailyQty), 6) FROM dly "
+    "UNION ALL SELECT 'mean_daily_orders', round(avg(DailyOrders), 6) FROM dly "
+    "UNION ALL SELECT 'std_daily_orders', round(stddev_pop(DailyOrders), 6) FROM dly "
+    "UNION ALL SELECT 'mean_line_qty', round(avg(OrderQty), 6) FROM profile_lines "
+    "UNION ALL SELECT 'std_line_qty', round(stddev_pop(OrderQty), 6) FROM profile_lines "
+    "UNION ALL SELECT 'MeanQty', greatest(1.0, round(avg(OrderQty), 6)) FROM profile_lines "
+    "UNION ALL SELECT 'P10', greatest(1, floor(quantile_cont(OrderQty, 0.1))) FROM profile_lines "
+    "UNION ALL SELECT 'P90', greatest(1, ceil(quantile_cont(OrderQty, 0.9))) FROM profile_lines "
+    "UNION ALL SELECT 'lines_mean', round(avg(n_lines), 6) FROM per_order "
+    "UNION ALL SELECT 'lines_p10', greatest(1, floor(quantile_cont(n_lines, 0.1))) FROM per_order "
+    "UNION ALL SELECT 'lines_p90', greatest(greatest(1, floor(quantile_cont(n_lines, 0.1))), "
+    "ceil(quantile_cont(n_lines, 0.9))) FROM per_order "
+    "UNION ALL SELECT 'qty_mean', round(avg(qty), 6) FROM per_order "
+    "UNION ALL SELECT 'qty_p10', greatest(1, floor(quantile_cont(qty, 0.1))) FROM per_order "
+    "UNION ALL SELECT 'qty_p90', greatest(greatest(1, floor(quantile_cont(qty, 0.1))), "
+    "ceil(quantile_cont(qty, 0.9))) FROM per_order "
+    "UNION ALL SELECT 'product_mean_avg', round(avg(greatest(1.0, m)), 6) FROM per_product "
+    "UNION ALL SELECT 'product_std_avg', round(avg(greatest(1.0, coalesce(s, 1.0))), 6) FROM per_product "
+    "UNION ALL SELECT 'price_mean', coalesce(round(avg(CAST(ListPrice AS DOUBLE)), 6), 100.0) FROM cur_price "
+    "UNION ALL SELECT 'price_std', coalesce(round(stddev_pop(CAST(ListPrice AS DOUBLE)), 6), 50.0) FROM cur_price"
+    ") u", "dly", "per_order", "per_product", "cur_price"))
+def q_history_profile(spark, sf_dir):
+    """The full demand profile as (Metric, Value)."""
+    t = SalesTables(spark, sf_dir)
+    return profile.history_profile(profile_lines(t), t.price_history)
