@@ -463,10 +463,30 @@ def q_assign_offers(spark, sf_dir):
     return profile.assign_offers(lines, special_offers(t))
 
 
+def xpct_sql(lst: str, n: str, p: str) -> str:
+    """Exact linear percentile over a sorted list, in decimal arithmetic."""
+    scale = len(p.split(".")[1])
+    pos = f"(CAST({n} - 1 AS DECIMAL(20,0)) * CAST('{p}' AS DECIMAL(10,{scale})))"
+    lo = f"{lst}[CAST(floor({pos}) AS INTEGER) + 1]"
+    hi = f"{lst}[CAST(ceil({pos}) AS INTEGER) + 1]"
+    return f"({lo} + ({pos} - floor({pos})) * ({hi} - {lo}))"
+
+
+def floor1_sql(x: str) -> str:
+    return f"greatest(1, CAST(floor({x}) AS BIGINT))"
+
+
+def ceil1_sql(x: str) -> str:
+    return f"greatest(1, CAST(ceil({x}) AS BIGINT))"
+
+
 oc.add("dly", "SELECT OrderDate, sum(OrderQty) AS DailyQty, count(DISTINCT SalesOrderID) AS DailyOrders "
               "FROM profile_lines GROUP BY OrderDate")
 oc.add("per_order", "SELECT SalesOrderID, count(*) AS n_lines, sum(OrderQty) AS qty FROM profile_lines "
                     "GROUP BY SalesOrderID")
+oc.add("gq", "SELECT avg(OrderQty) AS m, list_sort(list(OrderQty)) AS v, count(*) AS n FROM profile_lines")
+oc.add("oq_lines", "SELECT avg(n_lines) AS m, list_sort(list(n_lines)) AS v, count(*) AS n FROM per_order")
+oc.add("oq_qty", "SELECT avg(qty) AS m, list_sort(list(qty)) AS v, count(*) AS n FROM per_order")
 oc.add("per_product", "SELECT ProductID, avg(OrderQty) AS m, stddev_samp(OrderQty) AS s FROM profile_lines "
                       "GROUP BY ProductID")
 oc.add("cur_price", "SELECT ListPrice FROM price_history WHERE EndDate IS NULL AND ListPrice > 0")
@@ -479,22 +499,22 @@ oc.add("cur_price", "SELECT ListPrice FROM price_history WHERE EndDate IS NULL A
     "UNION ALL SELECT 'std_daily_orders', round(stddev_pop(DailyOrders), 6) FROM dly "
     "UNION ALL SELECT 'mean_line_qty', round(avg(OrderQty), 6) FROM profile_lines "
     "UNION ALL SELECT 'std_line_qty', round(stddev_pop(OrderQty), 6) FROM profile_lines "
-    "UNION ALL SELECT 'MeanQty', greatest(1.0, round(avg(OrderQty), 6)) FROM profile_lines "
-    "UNION ALL SELECT 'P10', greatest(1, floor(quantile_cont(OrderQty, 0.1))) FROM profile_lines "
-    "UNION ALL SELECT 'P90', greatest(1, ceil(quantile_cont(OrderQty, 0.9))) FROM profile_lines "
-    "UNION ALL SELECT 'lines_mean', round(avg(n_lines), 6) FROM per_order "
-    "UNION ALL SELECT 'lines_p10', greatest(1, floor(quantile_cont(n_lines, 0.1))) FROM per_order "
-    "UNION ALL SELECT 'lines_p90', greatest(greatest(1, floor(quantile_cont(n_lines, 0.1))), "
-    "ceil(quantile_cont(n_lines, 0.9))) FROM per_order "
-    "UNION ALL SELECT 'qty_mean', round(avg(qty), 6) FROM per_order "
-    "UNION ALL SELECT 'qty_p10', greatest(1, floor(quantile_cont(qty, 0.1))) FROM per_order "
-    "UNION ALL SELECT 'qty_p90', greatest(greatest(1, floor(quantile_cont(qty, 0.1))), "
-    "ceil(quantile_cont(qty, 0.9))) FROM per_order "
+    "UNION ALL SELECT 'MeanQty', greatest(1.0, round(m, 6)) FROM gq "
+    f"UNION ALL SELECT 'P10', {floor1_sql(xpct_sql('v', 'n', '0.1'))} FROM gq "
+    f"UNION ALL SELECT 'P90', {ceil1_sql(xpct_sql('v', 'n', '0.9'))} FROM gq "
+    "UNION ALL SELECT 'lines_mean', round(m, 6) FROM oq_lines "
+    f"UNION ALL SELECT 'lines_p10', {floor1_sql(xpct_sql('v', 'n', '0.1'))} FROM oq_lines "
+    f"UNION ALL SELECT 'lines_p90', greatest({floor1_sql(xpct_sql('v', 'n', '0.1'))}, "
+    f"CAST(ceil({xpct_sql('v', 'n', '0.9')}) AS BIGINT)) FROM oq_lines "
+    "UNION ALL SELECT 'qty_mean', round(m, 6) FROM oq_qty "
+    f"UNION ALL SELECT 'qty_p10', {floor1_sql(xpct_sql('v', 'n', '0.1'))} FROM oq_qty "
+    f"UNION ALL SELECT 'qty_p90', greatest({floor1_sql(xpct_sql('v', 'n', '0.1'))}, "
+    f"CAST(ceil({xpct_sql('v', 'n', '0.9')}) AS BIGINT)) FROM oq_qty "
     "UNION ALL SELECT 'product_mean_avg', round(avg(greatest(1.0, m)), 6) FROM per_product "
     "UNION ALL SELECT 'product_std_avg', round(avg(greatest(1.0, coalesce(s, 1.0))), 6) FROM per_product "
     "UNION ALL SELECT 'price_mean', coalesce(round(avg(CAST(ListPrice AS DOUBLE)), 6), 100.0) FROM cur_price "
     "UNION ALL SELECT 'price_std', coalesce(round(stddev_pop(CAST(ListPrice AS DOUBLE)), 6), 50.0) FROM cur_price"
-    ") u", "dly", "per_order", "per_product", "cur_price"))
+    ") u", "dly", "gq", "oq_lines", "oq_qty", "per_product", "cur_price"))
 def q_history_profile(spark, sf_dir):
     """The full demand profile as (Metric, Value)."""
     t = SalesTables(spark, sf_dir)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from saleslens.functions.dates import as_date
+from saleslens.operators.aggregates import exact_percentiles
 
 # Fixed value: history considered by the profile starts here on the fixtures.
 PROFILE_START = dt.date(2000, 1, 1)
@@ -64,22 +65,22 @@ def relative_frequency(df: DataFrame, col: str, dimension: str) -> DataFrame:
                       (F.col("n").cast("double") / total.cast("double")).alias("Share")))
 
 
+def _floor1(c):
+    return F.greatest(F.lit(1), F.floor(c).cast("bigint"))
+
+
 def product_quantiles(lines: DataFrame) -> DataFrame:
     """Per product mean, floor(P10) and ceil(P90) of line quantity, each at least 1."""
-    q = F.col("OrderQty")
-    return lines.groupBy("ProductID").agg(
-        F.avg(q).alias("MeanQty"),
-        F.greatest(F.lit(1), F.floor(F.percentile(q, 0.1))).cast("bigint").alias("P10"),
-        F.greatest(F.lit(1), F.ceil(F.percentile(q, 0.9))).cast("bigint").alias("P90"))
+    s = exact_percentiles(lines, ["ProductID"], "OrderQty", {"p10": "0.1", "p90": "0.9"}, mean="MeanQty")
+    return s.select("ProductID", "MeanQty", _floor1(F.col("p10")).alias("P10"),
+                    F.greatest(F.lit(1), F.ceil("p90").cast("bigint")).alias("P90"))
 
 
 def global_quantiles(lines: DataFrame) -> DataFrame:
     """The same over all lines (mean floored at 1)."""
-    q = F.col("OrderQty")
-    return lines.agg(
-        F.greatest(F.lit(1.0), _r(F.avg(q))).alias("MeanQty"),
-        F.greatest(F.lit(1), F.floor(F.percentile(q, 0.1))).cast("bigint").alias("P10"),
-        F.greatest(F.lit(1), F.ceil(F.percentile(q, 0.9))).cast("bigint").alias("P90"))
+    s = exact_percentiles(lines, [], "OrderQty", {"p10": "0.1", "p90": "0.9"}, mean="m")
+    return s.select(F.greatest(F.lit(1.0), _r(F.col("m"))).alias("MeanQty"), _floor1(F.col("p10")).alias("P10"),
+                    F.greatest(F.lit(1), F.ceil("p90").cast("bigint")).alias("P90"))
 
 
 def order_size_profile(lines: DataFrame) -> DataFrame:
@@ -87,13 +88,14 @@ def order_size_profile(lines: DataFrame) -> DataFrame:
     per = lines.groupBy("SalesOrderID").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("OrderQty").alias("qty"))
 
     def trio(c, name):
-        p10 = F.greatest(F.lit(1), F.floor(F.percentile(c, 0.1))).cast("bigint")
-        p90 = F.ceil(F.percentile(c, 0.9)).cast("bigint")
-        return [_r(F.avg(c)).alias(f"{name}_mean"), p10.alias(f"{name}_p10"), p90.alias(f"{name}_p90raw")]
-
-    a = per.agg(*trio(F.col("n_lines"), "lines"), *trio(F.col("qty"), "qty"))
-    return a.select("lines_mean", "lines_p10", F.greatest("lines_p10", "lines_p90raw").alias("lines_p90"),
-                    "qty_mean", "qty_p10", F.greatest("qty_p10", "qty_p90raw").alias("qty_p90"))
+        s = exact_percentiles(per, [], c, {"p10": "0.1", "p90": "0.9"}, mean="m")
+        p10 = _floor1(F.col("p10"))
+        return s.select(_r(F.col("m")).alias(f"{name}_mean"), p10.alias(f"{name}_p10"),
+                        F.greatest(p10, F.ceil("p90").cast("bigint")).alias(f"{name}_p90"))
+
+    q = trio("qty", "qty")
+    qrow = q.select(F.struct(*q.columns).alias("q")).scalar()
+    return trio("n_lines", "lines").select("*", *[qrow[c].alias(c) for c in q.columns])
 
 
 def product_spread(lines: DataFrame) -> DataFrame:
