@@ -352,8 +352,8 @@ def q_delete_by_join(spark, sf_dir):
 # §2.4 aggregations
 # ---------------------------------------------------------------------------
 @register("agg_max_anchor", with_ctes(
-    "SELECT SalesOrderID, OrderDate, (SELECT max(OrderDate) FROM header_all) AS AnchorDate, datediff('day', "
-    "OrderDate, (SELECT max(OrderDate) FROM header_all)) AS DaysBeforeAnchor FROM header_all", "header_all"))
+    "SELECT SalesOrderID, OrderDate, (SELECT max(OrderDate) FROM header_all) AS AnchorDate, CAST(datediff('day', "
+    "OrderDate, (SELECT max(OrderDate) FROM header_all)) AS INTEGER) AS DaysBeforeAnchor FROM header_all", "header_all"))
 def q_agg_max_anchor(spark, sf_dir):
     """The scalar MAX(OrderDate) fed back into every row (scalar subquery, no join)."""
     h = T(spark, sf_dir).header_all
@@ -413,7 +413,8 @@ def q_agg_distinct(spark, sf_dir):
 
 
 @register("agg_daily_totals", with_ctes(
-    "SELECT OrderDate, sum(OrderQty) AS DailyQty, count(DISTINCT SalesOrderID) AS DailyOrders FROM profile_lines "
+    "SELECT OrderDate, CAST(sum(OrderQty) AS BIGINT) AS DailyQty, count(DISTINCT SalesOrderID) AS DailyOrders "
+    "FROM profile_lines "
     "GROUP BY OrderDate", "profile_lines"))
 def q_agg_daily_totals(spark, sf_dir):
     """Units and distinct orders per day."""
@@ -695,7 +696,8 @@ def q_fn_cast_date(spark, sf_dir):
 
 
 @register("fn_date_parts", with_ctes(
-    "SELECT SalesOrderID, year(OrderDate) AS Year, month(OrderDate) AS Month, quarter(OrderDate) AS Quarter "
+    "SELECT SalesOrderID, CAST(year(OrderDate) AS INTEGER) AS Year, CAST(month(OrderDate) AS INTEGER) AS Month, "
+    "CAST(quarter(OrderDate) AS INTEGER) AS Quarter "
     "FROM header_all", "header_all"))
 def q_fn_date_parts(spark, sf_dir):
     """year, month, quarter."""
@@ -715,8 +717,9 @@ def q_fn_period_starts(spark, sf_dir):
 
 @register("fn_year_bounds", with_ctes(
     "SELECT d AS AsOf, make_date(year(d), 1, 1) AS YearStart, make_date(year(d) - 1, 1, 1) AS PriorYearStart, "
-    "CAST(d + 1 AS DATE) AS NextDay, datediff('day', make_date(year(d) - 1, 1, 1), make_date(year(d), 1, 1)) AS "
-    "DaysInPriorYear, datediff('day', make_date(year(d), 1, 1), d) + 1 AS ElapsedDays FROM (SELECT DISTINCT "
+    "CAST(d + 1 AS DATE) AS NextDay, CAST(datediff('day', make_date(year(d) - 1, 1, 1), make_date(year(d), 1, 1)) "
+    "AS INTEGER) AS DaysInPriorYear, CAST(datediff('day', make_date(year(d), 1, 1), d) + 1 AS INTEGER) AS "
+    "ElapsedDays FROM (SELECT DISTINCT "
     "OrderDate AS d FROM header_all) s", "header_all"))
 def q_fn_year_bounds(spark, sf_dir):
     """year bounds, day after, days in prior year and elapsed days for every order date."""

@@ -258,7 +258,8 @@ oc.add("calendar_orders",
 
 
 @register("dim_calendar", with_ctes(
-    "SELECT Date, year(Date) AS Year, month(Date) AS Month, quarter(Date) AS Quarter, "
+    "SELECT Date, CAST(year(Date) AS INTEGER) AS Year, CAST(month(Date) AS INTEGER) AS Month, "
+    "CAST(quarter(Date) AS INTEGER) AS Quarter, "
     "CAST(date_trunc('quarter', Date) AS DATE) AS QuarterStart, CAST(date_trunc('month', Date) AS DATE) AS "
     "MonthStart FROM calendar_orders", "calendar_orders"))
 def q_dim_calendar(spark, sf_dir):
@@ -480,7 +481,7 @@ def ceil1_sql(x: str) -> str:
     return f"greatest(1, CAST(ceil({x}) AS BIGINT))"
 
 
-oc.add("dly", "SELECT OrderDate, sum(OrderQty) AS DailyQty, count(DISTINCT SalesOrderID) AS DailyOrders "
+oc.add("dly", "SELECT OrderDate, CAST(sum(OrderQty) AS BIGINT) AS DailyQty, count(DISTINCT SalesOrderID) AS DailyOrders "
               "FROM profile_lines GROUP BY OrderDate")
 oc.add("per_order", "SELECT SalesOrderID, count(*) AS n_lines, sum(OrderQty) AS qty FROM profile_lines "
                     "GROUP BY SalesOrderID")

@@ -1 +1,32 @@
-"""Registered queries."""
+"""Registered streaming operators X1, X2."""
+
+from __future__ import annotations
+
+from saleslens.catalog import register
+from saleslens.catalog.oracle_ctes import with_ctes
+from saleslens.catalog.pipelines import staged_store
+from saleslens.session import fresh_dir
+from saleslens.sources.fixtures import SalesTables
+from saleslens.streaming import daily as sd
+
+
+@register("stream_daily_load", with_ctes("SELECT * FROM detail_after_load", "detail_after_load"))
+def q_stream_daily_load(spark, sf_dir):
+    """Staging files streamed into the history; a replay with a fresh checkpoint adds nothing."""
+    t = SalesTables(spark, sf_dir)
+    store = staged_store(spark, t)
+    staging = fresh_dir(spark, "staging")
+    sd.stage_batch(t.orders_temp, t.daily_details_temp, staging)
+    for run in ("first", "replay"):
+        sd.stream_daily_load(spark, store, staging, fresh_dir(spark, f"ckpt-{run}"), fresh_dir(spark, f"x1-{run}"))
+    return store.read("detail")
+
+
+@register("stream_daily_revenue",
+          "SELECT time_bucket(INTERVAL 1 DAY, ts) AS WindowStart, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY "
+          "AS WindowEnd, round(sum(value), 6) AS Revenue, count(*) AS Purchases FROM events WHERE event_type = "
+          "'purchase' GROUP BY 1, 2")
+def q_stream_daily_revenue(spark, sf_dir):
+    """Daily purchase revenue from the events stream (watermark + tumbling window)."""
+    return sd.run_daily_revenue(spark, sf_dir, "events.parquet", fresh_dir(spark, "x2-sink"),
+                                fresh_dir(spark, "x2-ckpt"))
