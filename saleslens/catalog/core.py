@@ -99,7 +99,7 @@ def q_project_rename(spark, sf_dir):
 def q_project_star_plus(spark, sf_dir):
     """All line columns plus picked header columns plus a computed one."""
     t = T(spark, sf_dir)
-    j = fact_plan.lines_with_header(t.detail_hist, t.header_hist, ["OrderDate", "CustomerID"])
+    j = fact_plan.lines_with_header(t.detail_all, t.header_hist, ["OrderDate", "CustomerID"])
     return j.select(*t.detail_hist.columns, "OrderDate", "CustomerID",
                     fm.gross_line_value().alias("GrossValue"))
 
@@ -178,7 +178,7 @@ def q_filter_positive(spark, sf_dir):
 def q_join_detail_header(spark, sf_dir):
     """Inner equi-join of lines and headers."""
     t = T(spark, sf_dir)
-    return fact_plan.lines_with_header(t.detail_hist.select("SalesOrderID", "SalesOrderDetailID", "ProductID",
+    return fact_plan.lines_with_header(t.detail_all.select("SalesOrderID", "SalesOrderDetailID", "ProductID",
                                                             "LineTotal"),
                                        t.header_hist, ["OrderDate", "CustomerID", "TerritoryID"])
 
@@ -191,7 +191,7 @@ def q_join_detail_header(spark, sf_dir):
 def q_join_scd2_cost(spark, sf_dir):
     """The cost valid on each line's order date (closed interval, NULL end = open)."""
     t = T(spark, sf_dir)
-    lines = fact_plan.lines_with_header(t.detail_hist.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
+    lines = fact_plan.lines_with_header(t.detail_all.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
                                         t.header_hist, ["OrderDate"])
     c = t.cost_history.withColumn("CostStart", F.col("StartDate"))
     return oj.interval_join(lines, c, "ProductID", "OrderDate", right_cols=["CostStart", "StandardCost"])
@@ -205,7 +205,7 @@ def q_join_scd2_cost(spark, sf_dir):
 def q_join_scd2_list_price(spark, sf_dir):
     """The list price valid on each line's order date."""
     t = T(spark, sf_dir)
-    lines = fact_plan.lines_with_header(t.detail_hist.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
+    lines = fact_plan.lines_with_header(t.detail_all.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
                                         t.header_hist, ["OrderDate"])
     return oj.interval_join(lines, t.price_history, "ProductID", "OrderDate", right_cols=["ListPrice"])
 
@@ -277,7 +277,7 @@ oc.add("recent_lines", "SELECT d.ProductID, h.CustomerID FROM detail_hist d JOIN
 
 def _recent_lines(t: SalesTables):
     h = t.header_hist.where(F.col("OrderDate") >= F.lit(SINCE)).select("SalesOrderID", "CustomerID")
-    return t.detail_hist.select("SalesOrderID", "ProductID").join(h, "SalesOrderID")
+    return t.detail_all.select("SalesOrderID", "ProductID").join(h, "SalesOrderID")
 
 
 @register("anti_unsold_products", with_ctes(

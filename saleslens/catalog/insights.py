@@ -64,7 +64,7 @@ oc.add("rfm_base",
 def q_doc_customer_segments(spark, sf_dir):
     """Recency / frequency / value quintiles with customer type."""
     t = T(spark, sf_dir)
-    return ins.customer_rfm(t.header_hist, t.detail_hist, t.customer_src, AS_OF)
+    return ins.customer_rfm(t.header_hist, t.detail_all, t.customer_src, AS_OF)
 
 
 oc.add("per_product_rev", "SELECT ProductID, CAST(sum(LineTotal) AS DECIMAL(38,4)) AS Revenue FROM fact "

@@ -16,7 +16,7 @@ FACT_SELECT = ("SalesOrderID, SalesOrderDetailID, OrderQty, ProductID, UnitPrice
 
 
 def sales_fact(t: SalesTables):
-    return fact_plan.fact_sales_margin(t.detail_hist, t.header_hist, t.cost_history)
+    return fact_plan.fact_sales_margin(t.detail_all, t.header_hist, t.cost_history)   # the join keeps history lines
 
 
 @register("fact_sales_margin", with_ctes(f"SELECT {FACT_SELECT} FROM fact", "fact"))
@@ -428,7 +428,7 @@ from saleslens.plans import profile  # noqa: E402
 
 
 def profile_lines(t: SalesTables):
-    return profile.profile_lines(t.header_hist, t.detail_hist, t.cost_history)
+    return profile.profile_lines(t.header_hist, t.detail_all, t.cost_history)
 
 
 def special_offers(t: SalesTables):

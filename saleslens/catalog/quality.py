@@ -119,7 +119,7 @@ def q_dq_price_positive(spark, sf_dir):
 def q_dq_cost_coverage(spark, sf_dir):
     """Q9: history lines the margin fact drops for lack of a valid cost."""
     t = T(spark, sf_dir)
-    lines = fact_plan.lines_with_header(t.detail_hist.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
+    lines = fact_plan.lines_with_header(t.detail_all.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
                                         t.header_hist, ["OrderDate"])
     return q.uncovered_by_intervals(lines, t.cost_history, "ProductID", "OrderDate")
 
