@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 class QualityError(RuntimeError):
@@ -81,12 +80,19 @@ def overlapping_intervals(history: DataFrame, key: str = "ProductID", start: str
                           end: str = "EndDate") -> DataFrame:
     """Q10: intervals that overlap the next interval of the same key.
 
-    Compares each interval only with its successor (``lead``), never all pairs.
+    Each interval is compared only with its successor, never with all pairs.
+    The successor comes from a distributed global row number over
+    (key, start, end): row r meets row r + 1 through an equi-join on a unique
+    number, so no task ever holds all intervals of one key (a per-key window
+    would, for a key with a large share of the history).
     """
-    w = Window.partitionBy(key).orderBy(F.col(start), F.col(end).asc_nulls_last())
-    nxt = F.lead(start).over(w)
-    return (history.select(key, start, end, nxt.alias("NextStart"))
-            .where(F.col("NextStart").isNotNull() & (F.col(end).isNull() | (F.col("NextStart") <= F.col(end)))))
+    from saleslens.operators.windows import global_row_number
+    base = history.select(key, start, end)
+    ranked = global_row_number(base, [F.col(key), F.col(start), F.col(end).asc_nulls_last()], "__r")
+    nxt = ranked.select(F.col(key).alias("__k2"), (F.col("__r") - 1).alias("__r"), F.col(start).alias("NextStart"))
+    j = ranked.join(nxt, (ranked["__r"] == nxt["__r"]) & (F.col(key) == F.col("__k2")))
+    return (j.select(key, start, end, "NextStart")
+             .where(F.col(end).isNull() | (F.col("NextStart") <= F.col(end))))
 
 
 def emptiness(frames: list[tuple[str, DataFrame]]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslens.functions.money import MONEY, line_total
+from saleslens.sources.files import split_if_coarse
 
 # Fixed values of the fixture model.
 AS_OF = dt.date(2001, 8, 1)          # latest order date at every scale
@@ -54,6 +55,22 @@ ACTION_IMPORT_COLUMNS = ["Subcategory", "Country", "CurrentRevenues", "CurrentGo
                          "PercCurrentGoal", "DeltaCurrentGoal", "PriorityType"]
 
 
+# The declared schemas of the source tables (no footer inference at read time).
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def _brand_number(c: str = "p_brand"):
     return F.replace(F.col(c), F.lit("Brand#"), F.lit("")).cast("int")
 
@@ -65,12 +82,23 @@ def _dec(v: str, t: str):
 class SalesTables:
     """Lazy DataFrames of the sales model over one data directory."""
 
+    # Tables whose size grows with the data; their scans are spread when too coarse.
+    GROWING = ("lineitem", "orders", "customer", "part", "events")
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One DataFrame per source table (schema read once), split when its scan is too coarse."""
+        if name not in self._raw:
+            reader = self.spark.read
+            if name in SOURCE_SCHEMAS:
+                reader = reader.schema(SOURCE_SCHEMAS[name])
+            df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._raw[name] = split_if_coarse(df) if name in self.GROWING else df
+        return self._raw[name]
 
     # ---- reference data -------------------------------------------------
     @cached_property
