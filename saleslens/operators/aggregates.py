@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 
 def _decimal_lit(p: str) -> Column:
@@ -12,28 +13,47 @@ def _decimal_lit(p: str) -> Column:
     return F.lit(p).cast(f"decimal({max(len(p.replace('.', '').lstrip('-')), scale + 1)},{scale})")
 
 
+def _value_type(df: DataFrame, col: str) -> str:
+    t = df.schema[col].dataType
+    if isinstance(t, T.DecimalType):
+        return f"decimal(38,{t.scale})"
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "decimal(20,0)"
+    return "double"
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], col: str, ps: dict[str, str],
                       mean: str | None = None) -> DataFrame:
     """Linear-interpolation percentiles (the NumPy default) computed exactly.
 
     ``ps`` maps an output name to a percentile fraction given as decimal text
-    ("0.1", "0.9"). The position ``(n-1)·p`` and the interpolation are evaluated in
-    decimal arithmetic, so floor/ceil of the result never suffer from binary
-    rounding (Spark's ``percentile`` and other engines interpolate in double).
+    ("0.1", "0.9"). The position ``(n-1)·p`` and, for integer and decimal
+    values, the interpolation are evaluated in decimal arithmetic, so floor/ceil
+    of the result never suffer from binary rounding (Spark's ``percentile`` and
+    other engines interpolate in double).
 
     Plan: values are first reduced to a (key, value, count) histogram with
-    map-side partial aggregation; its size is bounded by the number of distinct
-    values per key (small for quantities and counts), so a key holding a large
-    share of the rows never brings those rows together. A window over the
-    histogram gives each value's rank range; one more aggregate picks the two
-    neighbouring values. ``mean`` adds the exact mean (sum of value x count / n).
+    map-side partial aggregation, so a key holding a large share of the rows
+    never brings those rows together. With grouping keys, a window per key
+    over the histogram gives each value's rank range (its size is the number
+    of distinct values of that key: small for quantities, counts and day gaps).
+    Without keys, the histogram of the whole column is ranked with the
+    distributed running sum instead of a single-partition window. One more
+    aggregate picks the two neighbouring values. ``mean`` adds the exact mean.
     """
+    vt = _value_type(df, col)
     hist = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")) \
              .agg(F.count(F.lit(1)).alias("__c"))
-    wk = Window.partitionBy(*keys)
-    wo = wk.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = hist.select(*keys, "__v", "__c", (F.sum("__c").over(wo) - F.col("__c")).alias("__start"),
-                    F.sum("__c").over(wk).alias("__n"))
+    if keys:
+        wk = Window.partitionBy(*keys)
+        wo = wk.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        h = hist.select(*keys, "__v", "__c", (F.sum("__c").over(wo) - F.col("__c")).alias("__start"),
+                        F.sum("__c").over(wk).alias("__n"))
+    else:
+        from saleslens.operators.windows import global_running_sum
+        n = hist.select(F.sum("__c")).scalar()
+        run = global_running_sum(hist, [F.col("__v")], "__c", "__cum")
+        h = run.select("__v", "__c", (F.col("__cum") - F.col("__c")).alias("__start"), n.alias("__n"))
     aggs = []
     for name, p in ps.items():
         pos = (F.col("__n") - 1).cast("decimal(20,0)") * _decimal_lit(p)
@@ -43,11 +63,14 @@ def exact_percentiles(df: DataFrame, keys: list[str], col: str, ps: dict[str, st
                  F.max(F.when((F.col("__start") <= hi) & (hi < end), F.col("__v"))).alias(f"__hi_{name}"),
                  F.max(pos - lo).alias(f"__f_{name}")]
     if mean:
-        aggs.append((F.sum(F.col("__v") * F.col("__c")) / F.sum("__c")).alias(mean))
+        aggs.append((F.sum(F.col("__v") * F.col("__c")).cast("double") / F.sum("__c")).alias(mean))
     picked = h.groupBy(*keys).agg(*aggs)
     outs = []
     for name in ps:
-        vlo = F.col(f"__lo_{name}").cast("decimal(20,0)")
-        vhi = F.col(f"__hi_{name}").cast("decimal(20,0)")
-        outs.append((vlo + F.col(f"__f_{name}") * (vhi - vlo)).alias(name))
+        vlo = F.col(f"__lo_{name}").cast(vt)
+        vhi = F.col(f"__hi_{name}").cast(vt)
+        frac = F.col(f"__f_{name}")
+        if vt == "double":
+            frac = frac.cast("double")
+        outs.append((vlo + frac * (vhi - vlo)).alias(name))
     return picked.select(*keys, *([mean] if mean else []), *outs)

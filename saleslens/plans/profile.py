@@ -128,16 +128,21 @@ def collect_samples(lines: DataFrame, key: str = "ProductID") -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, sample std, min, quartiles, max of numeric columns (one row per column)."""
+    """Count, mean, sample std, min, quartiles, max of numeric columns (one row per column).
+
+    Quartiles are exact (linear interpolation) and distributed: a value
+    histogram ranked with a distributed running count, never one task holding
+    every distinct value.
+    """
     out = None
     for c in cols:
         x = F.col(c).cast("double")
-        qs = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        row = df.agg(F.count(x).alias("Count"), _r(F.avg(x)).alias("Mean"), _r(F.stddev_samp(x)).alias("Std"),
-                     F.min(x).alias("Min"), qs.alias("q"), F.max(x).alias("Max")) \
-                .select(F.lit(c).alias("Measure"), "Count", "Mean", "Std", "Min",
-                        _r(F.col("q")[0]).alias("P25"), _r(F.col("q")[1]).alias("P50"),
-                        _r(F.col("q")[2]).alias("P75"), "Max")
+        m = df.agg(F.count(x).alias("Count"), _r(F.avg(x)).alias("Mean"), _r(F.stddev_samp(x)).alias("Std"),
+                   F.min(x).alias("Min"), F.max(x).alias("Max"))
+        q = exact_percentiles(df.select(c), [], c, {"P25": "0.25", "P50": "0.5", "P75": "0.75"})
+        qrow = q.select(F.struct(*[_r(F.col(k).cast("double")).alias(k) for k in ("P25", "P50", "P75")])).scalar()
+        row = m.select(F.lit(c).alias("Measure"), "Count", "Mean", "Std", "Min", qrow["P25"].alias("P25"),
+                       qrow["P50"].alias("P50"), qrow["P75"].alias("P75"), "Max")
         out = row if out is None else out.unionByName(row)
     return out
 
