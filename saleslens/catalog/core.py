@@ -28,7 +28,7 @@ SINCE = dt.date(2001, 1, 1)   # "recent" window for unsold / never-bought questi
 
 
 def T(spark, sf_dir) -> SalesTables:
-    return SalesTables(spark, sf_dir)
+    return SalesTables.of(spark, sf_dir)
 
 
 # ---------------------------------------------------------------------------

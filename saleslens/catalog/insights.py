@@ -16,7 +16,7 @@ DAY_BY_DAY_START = "2001-06-01"
 
 
 def T(spark, sf_dir) -> SalesTables:
-    return SalesTables(spark, sf_dir)
+    return SalesTables.of(spark, sf_dir)
 
 
 def _dim_p(t: SalesTables):

@@ -21,7 +21,7 @@ def sales_fact(t: SalesTables):
 
 @register("fact_sales_margin", with_ctes(f"SELECT {FACT_SELECT} FROM fact", "fact"))
 def q_fact_sales_margin(spark, sf_dir):
-    return sales_fact(SalesTables(spark, sf_dir))
+    return sales_fact(SalesTables.of(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -143,14 +143,14 @@ def snapshot_table(spark, t: SalesTables):
 @register("doc_current_vs_goal", with_ctes("SELECT * FROM vs_goal_snap", "vs_goal_snap"))
 def q_doc_current_vs_goal(spark, sf_dir):
     """D3: goal formula for every (Country, Subcategory) at the snapshot date."""
-    return mon.current_vs_goal(current_pairs(SalesTables(spark, sf_dir), SNAPSHOT_DATE), SNAPSHOT_DATE)
+    return mon.current_vs_goal(current_pairs(SalesTables.of(spark, sf_dir), SNAPSHOT_DATE), SNAPSHOT_DATE)
 
 
 @register("doc_prioritisation", with_ctes(
     "SELECT Country, Subcategory, CurrentRevenue, CurrentGoal, PercCurrentGoal, DeltaCurrentGoal, PriorityType "
     "FROM prioritised_snap", "prioritised_snap"))
 def q_doc_prioritisation(spark, sf_dir):
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     vs = mon.current_vs_goal(current_pairs(t, SNAPSHOT_DATE), SNAPSHOT_DATE)
     return mon.prioritise(vs).select("Country", "Subcategory", "CurrentRevenue", "CurrentGoal",
                                      "PercCurrentGoal", "DeltaCurrentGoal", "PriorityType")
@@ -159,19 +159,19 @@ def q_doc_prioritisation(spark, sf_dir):
 @register("src_csv_positional", with_ctes("SELECT * FROM action_import", "action_import"))
 def q_src_csv_positional(spark, sf_dir):
     """S1 (+S6): the commercial-action CSV read back by position, all text."""
-    return import_via_csv(spark, SalesTables(spark, sf_dir))
+    return import_via_csv(spark, SalesTables.of(spark, sf_dir))
 
 
 @register("snapshot_create", with_ctes("SELECT * FROM snapshot", "snapshot"))
 def q_snapshot_create(spark, sf_dir):
     """Import, clean, stamp, replace the snapshot, return it."""
-    return snapshot_table(spark, SalesTables(spark, sf_dir))
+    return snapshot_table(spark, SalesTables.of(spark, sf_dir))
 
 
 @register("action_monitoring", with_ctes("SELECT * FROM monitoring", "monitoring"))
 def q_action_monitoring(spark, sf_dir):
     """Frozen snapshot vs current-year revenue and goal to date (flagship)."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     return mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF), AS_OF)
 
 
@@ -183,7 +183,7 @@ def q_action_monitoring(spark, sf_dir):
     "NULLIF(0.5 * abs(CAST(DeltaCurrentSnapshotGoal AS DOUBLE)), 0.0) AS Achievement FROM monitoring", "monitoring"))
 def q_doc_recovery_kpis(spark, sf_dir):
     """Recovery KPIs on top of the monitoring view."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     m = mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF), AS_OF)
     return mon.recovery_kpis(m, 0.5)
 
@@ -205,7 +205,7 @@ def _shift_sql(col: str, src: str = "header_all") -> str:
     f"{_d(SHIFT_TO)} AS modified_date FROM header_all", "header_all"))
 def q_timeline_shift_orders(spark, sf_dir):
     """Orders moved so the latest lands on SHIFT_TO."""
-    return model.shift_orders(SalesTables(spark, sf_dir).header_all, SHIFT_TO)
+    return model.shift_orders(SalesTables.of(spark, sf_dir).header_all, SHIFT_TO)
 
 
 @register("timeline_shift_costs", with_ctes(
@@ -213,7 +213,7 @@ def q_timeline_shift_orders(spark, sf_dir):
     f"{_d(SHIFT_TO)} AS modified_date FROM cost_history_raw", "cost_history_raw", "header_all"))
 def q_timeline_shift_costs(spark, sf_dir):
     """Cost intervals moved with the orders' anchor."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     return model.shift_history(t.cost_history_raw, t.header_all, SHIFT_TO)
 
 
@@ -222,33 +222,33 @@ def q_timeline_shift_costs(spark, sf_dir):
     f"{_d(SHIFT_TO)} AS modified_date FROM price_history_raw", "price_history_raw", "header_all"))
 def q_timeline_shift_prices(spark, sf_dir):
     """List-price intervals moved with the orders' anchor."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     return model.shift_history(t.price_history_raw, t.header_all, SHIFT_TO)
 
 
 @register("open_latest_cost", with_ctes("SELECT * FROM cost_history", "cost_history"))
 def q_open_latest_cost(spark, sf_dir):
     """The latest cost interval per product is open-ended."""
-    return model.open_latest(SalesTables(spark, sf_dir).cost_history_raw)
+    return model.open_latest(SalesTables.of(spark, sf_dir).cost_history_raw)
 
 
 @register("open_latest_price", with_ctes("SELECT * FROM price_history", "price_history"))
 def q_open_latest_price(spark, sf_dir):
     """The latest list-price interval per product is open-ended."""
-    return model.open_latest(SalesTables(spark, sf_dir).price_history_raw)
+    return model.open_latest(SalesTables.of(spark, sf_dir).price_history_raw)
 
 
 @register("dim_customer", with_ctes("SELECT * FROM dim_customer", "dim_customer"))
 def q_dim_customer(spark, sf_dir):
     """Customer dimension (store + individual)."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     return model.dim_customer(t.customer_src, t.store, t.person)
 
 
 @register("dim_product", with_ctes("SELECT * FROM dim_product", "dim_product"))
 def q_dim_product(spark, sf_dir):
     """Product hierarchy dimension."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     return model.dim_product(t.product, t.product_subcategory, t.product_category)
 
 
@@ -264,13 +264,13 @@ oc.add("calendar_orders",
     "MonthStart FROM calendar_orders", "calendar_orders"))
 def q_dim_calendar(spark, sf_dir):
     """Date dimension over the whole years of the order history."""
-    return model.calendar_for_orders(SalesTables(spark, sf_dir).header_all)
+    return model.calendar_for_orders(SalesTables.of(spark, sf_dir).header_all)
 
 
 @register("dim_territory", with_ctes("SELECT TerritoryID, Name, GroupName FROM territory", "territory"))
 def q_dim_territory(spark, sf_dir):
     """Territory dimension."""
-    return model.dim_territory(SalesTables(spark, sf_dir).territory)
+    return model.dim_territory(SalesTables.of(spark, sf_dir).territory)
 
 
 # ---------------------------------------------------------------------------
@@ -310,7 +310,7 @@ def staged_store(spark, t: SalesTables) -> daily.TableStore:
 
 
 def _load(spark, sf_dir):
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     store = staged_store(spark, t)
     res = daily.daily_load(store, fresh_dir(spark, "daily-load"))
     return store, res
@@ -319,7 +319,7 @@ def _load(spark, sf_dir):
 @register("daily_build_headers", with_ctes("SELECT * FROM built_headers", "built_headers"))
 def q_daily_build_headers(spark, sf_dir):
     """Pending staged orders rebuilt with their subtotal."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     return daily.build_headers(t.orders_temp, t.daily_details_temp)
 
 
@@ -329,7 +329,7 @@ def q_daily_build_headers(spark, sf_dir):
     "SalesOrderID", "daily_details_temp"))
 def q_agg_order_subtotal(spark, sf_dir):
     """G1: discounted value summed per staged order."""
-    return daily.subtotals(SalesTables(spark, sf_dir).daily_details_temp)
+    return daily.subtotals(SalesTables.of(spark, sf_dir).daily_details_temp)
 
 
 @register("daily_load", with_ctes("SELECT * FROM detail_after_load", "detail_after_load"))
@@ -373,7 +373,7 @@ def q_sink_overwrite(spark, sf_dir):
     f"{_d(AS_OF)}", "orders_temp"))
 def q_daily_gate(spark, sf_dir):
     """Load only when there are pending staged orders for today."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     store = staged_store(spark, t)
     return daily.daily_gate(store, AS_OF, fresh_dir(spark, "daily-gate"))
 
@@ -392,7 +392,7 @@ def q_daily_reset(spark, sf_dir):
     "SELECT 'orders_temp', count(*), count(*), 0 FROM orders_temp", "header_hist", "detail_hist", "orders_temp"))
 def q_daily_roundtrip(spark, sf_dir):
     """Load then reset leaves every table as it was (differences counted with exceptAll)."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     store = staged_store(spark, t)
     original = {"header": t.header_hist.select(*daily.HEADER_COLS),
                 "detail": t.detail_hist.select(*daily.DETAIL_COLS), "orders_temp": t.orders_temp}
@@ -414,7 +414,7 @@ def q_daily_roundtrip(spark, sf_dir):
     f"modified_date, {_d(AS_OF)} AS LoadDate FROM header_all", "header_all"))
 def q_copy_with_casts(spark, sf_dir):
     """S3: full copy with casts and a load-date stamp, written and read back."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     out = files.copy_with_casts(t.header_all, {"SalesOrderID": "bigint", "OrderDate": "date",
                                                "SubTotal": "decimal(19,4)"}, AS_OF)
     path = files.write_table(out, fresh_dir(spark, "copy"))
@@ -459,7 +459,7 @@ oc.add("offer_lookup_batch", offer_lookup_sql("daily_details_temp"))
     "ON o.SpecialOfferID = k.SpecialOfferID", "daily_details_temp", "offer_lookup_batch", "special_offer"))
 def q_assign_offers(spark, sf_dir):
     """Every staged line gets the offer of its quantity tier."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     lines = t.daily_details_temp.select("SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID")
     return profile.assign_offers(lines, special_offers(t))
 
@@ -518,5 +518,5 @@ oc.add("cur_price", "SELECT ListPrice FROM price_history WHERE EndDate IS NULL A
     ") u", "dly", "gq", "oq_lines", "oq_qty", "per_product", "cur_price"))
 def q_history_profile(spark, sf_dir):
     """The full demand profile as (Metric, Value)."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     return profile.history_profile(profile_lines(t), t.price_history)

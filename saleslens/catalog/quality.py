@@ -14,7 +14,7 @@ from saleslens.sources.fixtures import SalesTables
 
 
 def T(spark, sf_dir) -> SalesTables:
-    return SalesTables(spark, sf_dir)
+    return SalesTables.of(spark, sf_dir)
 
 
 @register("dq_unique_key", with_ctes(

@@ -13,7 +13,7 @@ from saleslens.streaming import daily as sd
 @register("stream_daily_load", with_ctes("SELECT * FROM detail_after_load", "detail_after_load"))
 def q_stream_daily_load(spark, sf_dir):
     """Staging files streamed into the history; a replay with a fresh checkpoint adds nothing."""
-    t = SalesTables(spark, sf_dir)
+    t = SalesTables.of(spark, sf_dir)
     store = staged_store(spark, t)
     staging = fresh_dir(spark, "staging")
     sd.stage_batch(t.orders_temp, t.daily_details_temp, staging)

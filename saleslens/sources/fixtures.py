@@ -90,6 +90,16 @@ class SalesTables:
         self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
 
+    _shared: dict[tuple[int, str], "SalesTables"] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "SalesTables":
+        """The model for this session and directory, built once (its frames are lazy and immutable)."""
+        key = (id(spark), sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
+
     def raw(self, name: str) -> DataFrame:
         """One DataFrame per source table (schema read once), split when its scan is too coarse."""
         if name not in self._raw:
