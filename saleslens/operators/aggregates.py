@@ -38,13 +38,15 @@ def exact_percentiles(df: DataFrame, keys: list[str], col: str, ps: dict[str, st
     over the histogram gives each value's rank range (its size is the number
     of distinct values of that key: small for quantities, counts and day gaps).
     Without keys, the histogram of the whole column is ranked with the
-    distributed running sum instead of a single-partition window. One more
+    distributed running sum instead of a single-partition window, unless the
+    column's type bounds it (tinyint / smallint: at most 65,536 rows). One more
     aggregate picks the two neighbouring values. ``mean`` adds the exact mean.
     """
     vt = _value_type(df, col)
     hist = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")) \
              .agg(F.count(F.lit(1)).alias("__c"))
-    if keys:
+    small_domain = isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType))   # <= 65,536 distinct values
+    if keys or small_domain:
         wk = Window.partitionBy(*keys)
         wo = wk.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         h = hist.select(*keys, "__v", "__c", (F.sum("__c").over(wo) - F.col("__c")).alias("__start"),

@@ -55,7 +55,8 @@ def customer_rfm(header: DataFrame, detail: DataFrame, customer: DataFrame, as_o
         F.coalesce(F.sum("v"), F.lit(0)).cast(SUM_MONEY).alias("Value"))
     kind = customer.select("CustomerID", F.when(F.col("StoreID").isNotNull(), F.lit("Store"))
                                           .otherwise(F.lit("Individual")).alias("CustomerType"))
-    per = per.join(kind, "CustomerID")
+    # one row per customer, written once to the checkpoint folder: the three rankings below read it
+    per = per.join(kind, "CustomerID").checkpoint(eager=True)
     cid = F.col("CustomerID")
     per = global_ntile(per, [F.col("RecencyDays").desc(), cid], 5, "R")
     per = global_ntile(per, [F.col("Frequency").asc(), cid], 5, "F")
