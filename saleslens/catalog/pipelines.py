@@ -519,4 +519,7 @@ oc.add("cur_price", "SELECT ListPrice FROM price_history WHERE EndDate IS NULL A
 def q_history_profile(spark, sf_dir):
     """The full demand profile as (Metric, Value)."""
     t = SalesTables.of(spark, sf_dir)
-    return profile.history_profile(profile_lines(t), t.price_history)
+    # ~10 statistics read the same lines: write them once to the checkpoint folder (reliable,
+    # lineage cut) instead of re-deriving scan + joins in every branch.
+    lines = profile_lines(t).checkpoint(eager=True)
+    return profile.history_profile(lines, t.price_history)

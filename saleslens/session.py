@@ -22,8 +22,14 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    # Static broadcast off: size estimates from compressed Parquet footers are unreliable
+    # (a 600k-row line table estimated at ~6 MB is ~130 MB as a hash relation). Only AQE's
+    # measured shuffle sizes, or explicit hints on bounded tables, lead to a broadcast.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # A sort-merge join whose every post-shuffle partition is small runs as a shuffled
+    # hash join (no sort); the bound is per partition, so it holds at any scale.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256MB",
