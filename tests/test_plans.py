@@ -54,3 +54,22 @@ def test_interval_join_uses_equi_key_with_residual_range(spark, qs):
     p = plan(qs["join_scd2_cost"](spark, SF_SMALL))
     assert "BroadcastNestedLoopJoin" not in p
     assert "Join condition: ((OrderDate" in p
+
+
+def test_bucketed_lines_and_headers_join_without_shuffle(spark, work):
+    import uuid
+    from saleslens.plans import fact as fact_plan
+    from saleslens.sources import files
+    from saleslens.sources.fixtures import SalesTables
+    t = SalesTables.of(spark, SF_SMALL)
+    tag = uuid.uuid4().hex[:8]
+    d = files.write_bucketed(t.detail_all.select(*fact_plan.DETAIL_COLS), f"lines_{tag}", "SalesOrderID", 8,
+                             work("bucketed-lines"))
+    h = files.write_bucketed(t.header_hist, f"headers_{tag}", "SalesOrderID", 8, work("bucketed-headers"))
+    j = fact_plan.lines_with_header(d, h)
+    p = plan(j)
+    assert "Exchange" not in p                       # neither side is shuffled
+    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+    assert j.count() == t.detail_hist.count()
+    f = fact_plan.fact_sales_margin(d, h, t.cost_history)
+    assert f.count() == fact_plan.fact_sales_margin(t.detail_all, t.header_hist, t.cost_history).count()
