@@ -382,7 +382,7 @@ def q_daily_gate(spark, sf_dir):
 def q_daily_reset(spark, sf_dir):
     """After load + reset, the detail history is back to what it was."""
     store, res = _load(spark, sf_dir)
-    daily.daily_reset(store, res.helper)
+    daily.daily_reset(store, res)
     return store.read("detail")
 
 
@@ -397,7 +397,7 @@ def q_daily_roundtrip(spark, sf_dir):
     original = {"header": t.header_hist.select(*daily.HEADER_COLS),
                 "detail": t.detail_hist.select(*daily.DETAIL_COLS), "orders_temp": t.orders_temp}
     res = daily.daily_load(store, fresh_dir(spark, "daily-load"))
-    daily.daily_reset(store, res.helper)
+    daily.daily_reset(store, res)
     out = None
     for n, a in original.items():
         b = store.read(n)

@@ -1,8 +1,9 @@
 """Daily batch load.
 
-Tables live as Parquet directories in a ``TableStore``. The load appends new
-files to the history tables; flag updates and the test reset write a new version
-directory and switch to it, so a table is never overwritten while it is read.
+Tables live in a ``TableStore`` as lists of Parquet segment directories. The
+load appends its rows as new segments (the history is never rewritten); flag
+updates write a new staging version and switch to it, so a table is never
+overwritten while it is read; the test reset drops the load's segments.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleslens.functions.dates import as_date
 from saleslens.functions.money import MONEY, line_total
@@ -29,32 +31,46 @@ class DuplicateLoadError(RuntimeError):
 
 @dataclass
 class TableStore:
-    """Named Parquet tables under one root; each name points at its current version directory."""
+    """Named Parquet tables under one root, each a list of segment directories.
+
+    An append writes only the new rows, as a new segment; nothing existing is
+    rewritten. A replace writes one new segment from a frame that may read the
+    old ones, then switches to it. Removing a load's rows is dropping the
+    segments that load added: no history rewrite, however large the history.
+    """
 
     spark: SparkSession
     root: str
-    current: dict[str, str] = field(default_factory=dict)
+    current: dict[str, list[str]] = field(default_factory=dict)
+    schemas: dict[str, T.StructType] = field(default_factory=dict)
 
-    def path(self, name: str) -> str:
-        return self.current[name]
+    def segments(self, name: str) -> list[str]:
+        return list(self.current[name])
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.current[name])
+        return self.spark.read.schema(self.schemas[name]).parquet(*self.current[name])
 
-    def new_version(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:10]}"
+    def _new_segment(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}/seg-{uuid.uuid4().hex[:10]}"
 
     def create(self, name: str, df: DataFrame) -> str:
-        p = files.write_table(df, self.new_version(name))
-        self.current[name] = p
+        p = files.write_table(df, self._new_segment(name))
+        self.current[name] = [p]
+        self.schemas[name] = df.schema
         return p
 
     def replace(self, name: str, df: DataFrame) -> str:
-        """Write a new version from ``df`` (which may read the old one), then switch."""
-        return self.create(name, df)
+        """Write a new single-segment version from ``df`` (which may read the old one), then switch."""
+        return self.create(name, df.select(*[F.col(f.name).cast(f.dataType) for f in self.schemas[name]]))
 
     def append(self, name: str, df: DataFrame) -> str:
-        return files.append(df, self.current[name])
+        cols = [F.col(f.name).cast(f.dataType) for f in self.schemas[name]]
+        p = files.write_table(df.select(*cols), self._new_segment(name))
+        self.current[name] = self.current[name] + [p]
+        return p
+
+    def drop_segments(self, name: str, paths: list[str]) -> None:
+        self.current[name] = [x for x in self.current[name] if x not in set(paths)]
 
 
 def subtotals(details_temp: DataFrame) -> DataFrame:
@@ -108,6 +124,7 @@ def mark(orders_temp: DataFrame, ids: DataFrame, processed: bool) -> DataFrame:
 class LoadResult:
     helper: str                 # written rebuilt headers (the load's key list)
     audit: DataFrame
+    segments: dict[str, str] = field(default_factory=dict)   # table -> segment this load appended
 
 
 def daily_load(store: TableStore, work_dir: str) -> LoadResult:
@@ -129,14 +146,14 @@ def daily_load(store: TableStore, work_dir: str) -> LoadResult:
     if headers.join(hist_h.select("SalesOrderID"), "SalesOrderID", "left_semi").limit(1).count() > 0:
         raise DuplicateLoadError("staged orders are already in the history; reset before reloading")
 
-    store.append("header", headers.select(*[c for c in HEADER_COLS if c != "modified_date"],
-                                          F.lit(None).cast("date").alias("modified_date")))
-    store.append("detail", loaded_details(store.read("daily_details_temp"), headers))
+    seg_h = store.append("header", headers.select(*[c for c in HEADER_COLS if c != "modified_date"],
+                                                  F.lit(None).cast("date").alias("modified_date")))
+    seg_d = store.append("detail", loaded_details(store.read("daily_details_temp"), headers))
     store.replace("orders_temp", mark(store.read("orders_temp"), headers, True))
 
     after = audit_counts([("header", "after", store.read("header")), ("detail", "after", store.read("detail"))])
     before_df = spark.createDataFrame([tuple(r) for r in before_counts], "TableName string, Stage string, Rows long")
-    return LoadResult(helper_path, before_df.unionByName(after))
+    return LoadResult(helper_path, before_df.unionByName(after), {"header": seg_h, "detail": seg_d})
 
 
 def daily_gate(store: TableStore, as_of, work_dir: str) -> DataFrame:
@@ -152,11 +169,16 @@ def daily_gate(store: TableStore, as_of, work_dir: str) -> DataFrame:
         .select(as_date(as_of).alias("AsOf"), "PendingRows", "Action")
 
 
-def daily_reset(store: TableStore, helper_path: str) -> None:
-    """Remove the loaded orders (details first, then headers), un-flag them in staging."""
-    keys = store.spark.read.parquet(helper_path).select("SalesOrderID")
-    store.replace("detail", store.read("detail").join(keys, "SalesOrderID", "left_anti"))
-    store.replace("header", store.read("header").join(keys, "SalesOrderID", "left_anti"))
+def daily_reset(store: TableStore, load: LoadResult) -> None:
+    """Remove the loaded orders (details first, then headers) and un-flag them in staging.
+
+    The duplicate guard ensured the history held none of the loaded order keys,
+    so the load's own segments hold exactly the rows to delete: dropping them is
+    the DELETE ... JOIN of the reference without rewriting the history.
+    """
+    keys = store.spark.read.parquet(load.helper).select("SalesOrderID")
+    store.drop_segments("detail", [load.segments["detail"]])
+    store.drop_segments("header", [load.segments["header"]])
     store.replace("orders_temp", mark(store.read("orders_temp"), keys, False))
 
 

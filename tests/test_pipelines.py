@@ -40,7 +40,7 @@ def test_roundtrip_restores_tables(spark, work):
     t = SalesTables(spark, SF_SMALL)
     store = staged_store(spark, t)
     res = daily.daily_load(store, work("load"))
-    daily.daily_reset(store, res.helper)
+    daily.daily_reset(store, res)
     assert daily.table_differences(t.header_hist.select(*daily.HEADER_COLS), store.read("header")).count() == 0
     assert daily.table_differences(t.detail_hist.select(*daily.DETAIL_COLS), store.read("detail")).count() == 0
     assert daily.table_differences(t.orders_temp, store.read("orders_temp")).count() == 0
