@@ -21,6 +21,7 @@ def sales_fact(t: SalesTables):
 
 @register("fact_sales_margin", with_ctes(f"SELECT {FACT_SELECT} FROM fact", "fact"))
 def q_fact_sales_margin(spark, sf_dir):
+    """The margin fact: one row per history line with a cost valid on its order date."""
     return sales_fact(SalesTables.of(spark, sf_dir))
 
 
@@ -150,6 +151,7 @@ def q_doc_current_vs_goal(spark, sf_dir):
     "SELECT Country, Subcategory, CurrentRevenue, CurrentGoal, PercCurrentGoal, DeltaCurrentGoal, PriorityType "
     "FROM prioritised_snap", "prioritised_snap"))
 def q_doc_prioritisation(spark, sf_dir):
+    """Pairs behind goal at the snapshot date, ranked High / Medium / Low by gap tercile."""
     t = SalesTables.of(spark, sf_dir)
     vs = mon.current_vs_goal(current_pairs(t, SNAPSHOT_DATE), SNAPSHOT_DATE)
     return mon.prioritise(vs).select("Country", "Subcategory", "CurrentRevenue", "CurrentGoal",
