@@ -24,6 +24,27 @@ def register(key: str):
     return deco
 
 
+@register("op3_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the packed sequences of 2048 ids."""
+    from saleslens.llm.packing import pack
+    from saleslens.llm.tokens import tokenizer_path
+    placed, _ = pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, length=2048)
+    return placed.select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens",
+                         "sequence_id", "offset")
+
+
+@register("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written and read back."""
+    from saleslens.llm.tokenfile import read_tokens, write_tokens
+    from saleslens.llm.tokens import tokenizer_path
+    from saleslens.session import fresh_dir
+    folder = fresh_dir(spark, "tokens")
+    manifest = write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, folder=folder)
+    return read_tokens(manifest, folder).drop("ids")
+
+
 @register("op7_simhash_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and components of all documents: 4-word shingles, 4 bits."""
@@ -38,6 +59,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_digests(table(spark, sf_dir, "documents"))
 
 
+@register("op9_hmm_scores")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hidden Markov and unigram scores of all documents."""
+    from saleslens.llm.hmm import score_texts
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
