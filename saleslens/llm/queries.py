@@ -45,6 +45,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(manifest, folder).drop("ids")
 
 
+@register("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from the labels of two folds of three."""
+    from saleslens.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op7_simhash_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and components of all documents: 4-word shingles, 4 bits."""
