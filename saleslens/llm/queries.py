@@ -24,6 +24,20 @@ def register(key: str):
     return deco
 
 
+@register("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    from saleslens.llm.html_extract import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@register("op2_embedding_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    from saleslens.llm.embeddings import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 @register("op3_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences of 2048 ids."""
@@ -45,6 +59,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(manifest, folder).drop("ids")
 
 
+@register("op5_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items that contaminate them."""
+    from saleslens.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learnt from the labels of two folds of three."""
@@ -73,6 +94,58 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+@register("op10_warc")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, written and read back."""
+    from saleslens.llm.warc import read_archives, write_archives
+    from saleslens.session import fresh_dir
+    folder = fresh_dir(spark, "warc")
+    found = read_archives(write_archives(table(spark, sf_dir, "pages"), folder), folder)
+    return found.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op10_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN last > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last > page_id THEN last END AS refers_to
+FROM p LEFT JOIN m USING (payload_digest)
+"""
+ORACLES["op2_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT a AS node, b AS seen FROM l UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),
+c AS (SELECT node, min(seen) AS least FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON a = vec_id LEFT JOIN c ON node = vec_id
+"""
+
+
+ORACLES["op5_decontamination"] = r"""
+WITH i AS (SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM benchmark),
+d AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+si AS (SELECT item_id, len(w) AS m, q, list_slice(w, q + 1, q + 5) AS s FROM i, unnest(range(greatest(len(w) - 4, 1))) u(q) WHERE len(w) > 0),
+sd AS (SELECT doc_id, len(w) AS n, p, list_slice(w, p + 1, p + 5) AS s FROM d, unnest(range(greatest(len(w) - 4, 1))) u(p) WHERE len(w) > 0),
+win AS (SELECT DISTINCT doc_id, item_id, m, n, greatest(0, least(p - q, n - m)) AS start FROM sd JOIN si USING (s)),
+ws AS (SELECT win.doc_id, item_id, start, s, count(*) AS c FROM win JOIN sd ON sd.doc_id = win.doc_id AND p >= start AND (p + 5 <= start + m OR p = 0 AND win.n < 5 OR m < 5 AND FALSE)
+       GROUP BY ALL),
+ic AS (SELECT item_id, s, count(*) AS c FROM si GROUP BY ALL),
+tw AS (SELECT doc_id, item_id, start, sum(c) AS total FROM ws GROUP BY ALL),
+ti AS (SELECT item_id, sum(c) AS total FROM ic GROUP BY ALL),
+sh AS (SELECT doc_id, item_id, start, sum(least(ws.c, ic.c)) AS common FROM ws JOIN ic USING (item_id, s) GROUP BY ALL)
+SELECT doc_id, item_id, max(common::DOUBLE / (tw.total + ti.total - common)::DOUBLE) AS similarity
+FROM sh JOIN tw USING (doc_id, item_id, start) JOIN ti USING (item_id)
+WHERE common::DOUBLE / (tw.total + ti.total - common)::DOUBLE >= 0.8 GROUP BY doc_id, item_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

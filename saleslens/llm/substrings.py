@@ -338,7 +338,8 @@ def word_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs with repeated words taken out of text; all other columns are unchanged.
+    """The rows of docs with repeated words taken out of text; n_chars, if there is one, follows the text, and all other
+    columns are unchanged.
 
     A text that loses words becomes its kept words joined by one space (the empty text if none is kept);
     any other text, null included, stays as it is. No row goes.
@@ -357,4 +358,6 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     k1, k2 = key_of("text")
     return (docs.withColumn("__sd_a", k1).withColumn("__sd_b", k2)
             .join(new, (F.col("__sd_a") == F.col("__sd_k1")) & (F.col("__sd_b") == F.col("__sd_k2")), "left")
-            .withColumn("text", F.coalesce("__sd_text", "text")).select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .withColumn("text", F.coalesce("__sd_text", "text"))
+            .withColumns({"n_chars": F.when(F.col("__sd_text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType)}
+                         if "n_chars" in docs.columns else {}).select(*[F.col(f"`{c}`") for c in docs.columns]))
