@@ -153,8 +153,9 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def repeated(rows: DataFrame, *key: str) -> DataFrame:
-    """The rows whose key (long or int columns) some other row also has."""
-    names, schema = rows.columns, rows.schema
+    """Of the rows whose key (long or int columns) some other row also has, the other columns."""
+    names = [c for c in rows.columns if c not in key]
+    all_names = rows.columns
 
     def arrays(t: pa.Table) -> list[np.ndarray]:
         return [t.column(k).to_numpy() for k in key]
@@ -179,13 +180,16 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
             alone = first & np.concatenate([~same, [True]])
             kind = np.where(alone, 0, 1).astype(np.int8)
             t = t.take(pa.array(at))
-            spread = np.where(alone, cols[0][at], np.arange(len(at)) * 7919 + int(cols[0][0]) % 1000003)
-            out = t.append_column("kind", pa.array(kind)).append_column("deal", pa.array(spread.astype(np.int64)))
-            yield from out.to_batches()
-            mark = np.flatnonzero(first & ~alone)
-            if len(mark):
-                m = t.take(pa.array(mark)).append_column("kind", pa.array(np.full(len(mark), 2, np.int8)))
-                yield from m.append_column("deal", pa.array(cols[0][at][mark].astype(np.int64))).to_batches()
+            mark = t.take(pa.array(np.flatnonzero(first & ~alone)))
+            # Rows that are known to be repeated need their key no more.
+            for c in key:
+                v = t.column(c).to_numpy().copy()
+                v[~alone] = 0
+                i = t.schema.get_field_index(c)
+                t = t.set_column(i, t.schema.field(i), pa.array(v))
+            yield from t.append_column("kind", pa.array(kind)).to_batches()
+            if mark.num_rows:
+                yield from mark.append_column("kind", pa.array(np.full(mark.num_rows, 2, np.int8))).to_batches()
 
     def check(batches):
         """Rows sorted by key: of the last key, at most one row waits for the next batch."""
@@ -217,15 +221,18 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
             if not seen and kind[-1] == 0:
                 wait = t.slice(t.num_rows - 1).select(names)
 
-    thinned = rows.mapInArrow(thin, schema.simpleString()[7:-1].replace(":", " ") + ", kind tinyint, deal long")
-    return (thinned.repartition("deal").sortWithinPartitions(*key)
-            .mapInArrow(check, schema))
+    def types(cols):
+        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in cols)
+    thinned = rows.mapInArrow(thin, types(all_names) + ", kind tinyint")
+    deal = F.when(F.col("kind") == 1, F.xxhash64(*names)).otherwise(F.col(key[0]))
+    return thinned.repartition(deal).sortWithinPartitions(*key).mapInArrow(check, types(names))
 
 
 # ------------------------------------------------------------------ the operator
 
 def _anchors(texts: DataFrame, window: int) -> DataFrame:
-    """(h, to_right, to_left, has_right, has_left, k1, k2, a): one row for each anchor of a document."""
+    """(h, to_right, to_left, sides, k1, a): one row for each anchor of a document. k1 alone names the text here: if two texts
+    share it, each gets the other's candidates too, and the last level sorts them out."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, ws in in_groups(batches):
             v = Levels(ws, window)
@@ -234,9 +241,8 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
             a, right, left, to, fro = v.halves()
             d = v.doc[a]
             yield pd.DataFrame({"h": v.h_quarter[a].view(np.int64), "to_right": to.view(np.int64), "to_left": fro.view(np.int64),
-                                "sides": (right + 2 * left).astype(np.int8), "k1": pdf["k1"].to_numpy()[d],
-                                "k2": pdf["k2"].to_numpy()[d], "a": (a - v.begins[d]).astype(np.int32)})
-    return texts.mapInPandas(run, "h long, to_right long, to_left long, sides tinyint, k1 long, k2 long, a int")
+                                "sides": (right + 2 * left).astype(np.int8), "k1": pdf["k1"].to_numpy()[d], "a": (a - v.begins[d]).astype(np.int32)})
+    return texts.mapInPandas(run, "h long, to_right long, to_left long, sides tinyint, k1 long, a int")
 
 
 def _last_level(cand: DataFrame, window: int) -> DataFrame:
@@ -271,18 +277,20 @@ def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
     copies = keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("doc_id").alias("chosen"))
     copies = written(copies.where("copies > 1"), "copies")
 
-    first = repeated(_anchors(keyed.select("k1", "k2", "text"), window), "h")
-    sides = first.select("k1", "k2", "a", F.explode(F.array(
+    first = repeated(_anchors(keyed.select("k1", "text"), window), "h")
+    sides = first.select("k1", "a", F.explode(F.array(
         F.when(F.col("sides").bitwiseAND(1) > 0, F.struct(F.lit(0).alias("side"), F.col("to_right").alias("h"))),
         F.when(F.col("sides").bitwiseAND(2) > 0, F.struct(F.lit(1).alias("side"), F.col("to_left").alias("h"))))).alias("x")) \
-        .where("x is not null").select(F.xxhash64("x.side", "x.h").alias("h"), "k1", "k2",
+        .where("x is not null").select(F.xxhash64("x.side", "x.h").alias("h"), "k1",
                                        (F.col("a") * 2 + F.col("x.side")).alias("mark"))
-    second = repeated(sides, "h").groupBy("k1", "k2").agg(F.collect_set("mark").alias("marks"))
+    second = repeated(sides, "h").groupBy("k1").agg(F.collect_set("mark").alias("marks"))
     # Of equal texts one goes on: its windows are repeated for certain, and stand for the others.
-    alive = second.join(copies, ["k1", "k2"], "left")
-    cand = (keyed.join(alive, ["k1", "k2"])
-            .where(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("chosen")))
-            .select("k1", "k2", "text", "marks", F.col("copies").isNotNull().alias("whole")))
+    same = copies.groupBy("k1").agg(F.collect_list(F.struct("k2", "chosen")).alias("same"))
+    alive = second.join(same, "k1", "left")
+    copied = F.filter(F.coalesce("same", F.array().cast("array<struct<k2: bigint, chosen: bigint>>")), lambda c: c["k2"] == F.col("k2"))
+    cand = (keyed.join(alive, "k1").withColumn("of", copied)
+            .where((F.size("of") == 0) | F.exists("of", lambda c: c["chosen"].eqNullSafe(F.col("doc_id"))))
+            .select("k1", "k2", "text", "marks", (F.size("of") > 0).alias("whole")))
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = TaskContext.get().partitionId() << 36
