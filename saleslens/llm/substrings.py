@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, prepare, words, written
+from saleslens.llm.common import clean, prepare, release, words, written
 
 U = np.uint64
 WINDOW = 35
@@ -119,9 +119,9 @@ class Levels:
 
 
 def key_of(col):
-    """128 bits of a text, as two longs."""
-    return [F.xxhash64(col).alias("k1"), F.conv(F.substring(F.md5(F.col(col).cast("binary")), 1, 15), 16, 10)
-            .cast("long").alias("k2")]
+    """124 bits of a text, as two longs; never null, for in pandas a null would turn the others into floats."""
+    low = F.conv(F.substring(F.md5(F.col(col).cast("binary")), 1, 15), 16, 10).cast("long")
+    return [F.xxhash64(col).alias("k1"), F.coalesce(low, F.lit(0)).alias("k2")]
 
 
 def in_groups(batches: Iterator[pd.DataFrame], col: str = "text") -> Iterator[tuple[pd.DataFrame, list[list[bytes]]]]:
@@ -299,6 +299,7 @@ def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
             n += b.num_rows
             yield pa.RecordBatch.from_arrays([ids, *b.columns], ["id", *b.schema.names])
     cand = written(cand.mapInArrow(numbered, "id long, k1 long, k2 long, text string, marks array<int>, whole boolean"), "texts")
+    release(docs.sparkSession)             # the two first levels' shuffles
     covered = repeated(_last_level(cand, window), "h", "g").groupBy("id").agg(F.collect_list("s").alias("starts"))
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
