@@ -8,13 +8,16 @@ two white-space characters in a row, or one at an end, are given to the library
 
 from __future__ import annotations
 
+import os
 import re
 
+import numpy as np
 from tokenizers import Tokenizer
 
 #: Parts whose ids a worker keeps: a bound on memory (about 200 bytes each), not on what is encoded.
 REMEMBERED = 800_000
 _WHOLE = re.compile(r"\s\s|^\s|\s\Z")
+MARK = "~"
 _PUNCTUATION = ".,;:!?%*#$&|"
 _encoders: dict[str, "Encoder"] = {}
 
@@ -34,15 +37,42 @@ class Encoder:
     """encode(text): the ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True    # their strings in a text are ordinary text
         self.after_space: dict[str, bytes] = {}
         self.at_start: dict[str, bytes] = {}
+        # How the ids of many parts in one text are told apart: by the ids that begin with the space before a
+        # part, or else by a mark between parts, if the library gives it one id of its own.
+        vocabulary = self.library.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.leads[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.by_space = bool(self.leads.any())
+        mark = self.library.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 and not self.by_space else None
+
+    def many(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts without spaces, each as after a space: encoded by hundreds in one text."""
+        plain = [p for p in parts if p and MARK not in p]
+        found: dict[str, bytes] = {}
+        if self.by_space or self.mark is not None:
+            for lo in range(0, len(plain), 500):
+                some = plain[lo:lo + 500]
+                text = "".join(f" {p}" for p in some) if self.by_space else f" {MARK} ".join(some)
+                ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                if self.by_space:
+                    cuts = np.flatnonzero(self.leads[ids])
+                    each = np.split(ids, cuts[1:]) if len(cuts) and cuts[0] == 0 else []
+                else:
+                    cuts = np.flatnonzero(ids == self.mark)
+                    each = [x[1:] if i else x for i, x in enumerate(np.split(ids, cuts))]
+                if len(each) == len(some):
+                    found.update(zip(some, (x.tobytes() for x in each)))
+        rest = [p for p in parts if p not in found]
+        found.update(zip(rest, self.whole([f" {p}" for p in rest])))
+        return [found[p] for p in parts]
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, parts: list[str], known: dict[str, bytes], space: str) -> dict[str, bytes]:
@@ -53,7 +83,7 @@ class Encoder:
             split[w] = (core, w[len(core):]) if core != w and core.isalpha() else (w, "")
         need = [c for c in dict.fromkeys(c for c, _ in split.values()) if c not in known]
         tails = [t for t in dict.fromkeys(t for _, t in split.values()) if t and t not in self.at_start]
-        new = dict(zip(need, self.whole([space + c for c in need])))
+        new = dict(zip(need, self.many(need) if space else self.whole(need)))
         new_tails = dict(zip(tails, self.whole(tails)))
         if len(self.at_start) < REMEMBERED:
             self.at_start.update(new_tails)

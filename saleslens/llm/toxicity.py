@@ -122,6 +122,10 @@ class Model:
     bias: float
     calibration: np.ndarray      # of (1, highest, mean of the TOP highest)
 
+    def __getstate__(self):
+        """Without the tables, which each worker builds for itself: they are many times as large as the weights."""
+        return {k: v for k, v in self.__dict__.items() if k != "_weights"}
+
     def raw(self, words: list[str]) -> np.ndarray:
         """The machine's value of each word; a long word's is that of its highest part."""
         if not hasattr(self, "_weights"):
