@@ -47,7 +47,7 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.leads[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self.by_space = bool(self.leads.any())
+        self.by_space = int(self.leads[self.library.encode(" a b", add_special_tokens=False).ids].sum()) == 2
         mark = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 and not self.by_space else None
 
