@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from saleslens.llm.common import clean, fold_column, prepare, written
 
 #: Labelled documents of each class that the fit reads.
-SAMPLE = 3000
+SAMPLE = 2000
 #: Words of clean documents that train the machine, besides those it gets wrong.
 NEGATIVES, HARD = 8000, 2000
 LANDMARKS = 160          # of each class
@@ -195,9 +195,9 @@ def _train(positive: list[str], negative: list[str], mark_pos: list[str], mark_n
     marks = list(dict.fromkeys([*mark_pos, *mark_neg]))
     r, code, val = subsequences(marks)
     codes, column = np.unique(code, return_inverse=True)
-    phi = np.zeros((len(codes), len(marks)))
+    phi = np.zeros((len(codes), len(marks)), np.float32)
     np.add.at(phi, (column, r), val)
-    root, vec = np.linalg.eigh(phi.T @ phi)
+    root, vec = np.linalg.eigh((phi.T @ phi).astype(np.float64))
     keep = root > 1e-6
     to = vec[:, keep] / np.sqrt(root[keep])             # kernel values with the landmarks -> Nystrom features
     both = [*positive, *negative]
@@ -263,10 +263,11 @@ def fit(labelled: DataFrame, rounds: int = 3) -> Model | None:
     # Tables of the bounded sample.
     table = counted(lambda x: (x,)).orderBy("w").toPandas()
     w, t, c = table["w"].to_numpy(object), table["t"].to_numpy(float), table["c"].to_numpy(float)
-    some = counted(runs).where("t > 1").toPandas()
+    some = counted(runs).where(f"t > 1 and c * {totals[1]} < t * {totals[0]}").toPandas()
     tells = dict(zip(some["w"], odds(some["t"].to_numpy(float), some["c"].to_numpy(float))))
     in_clean = set(w[c > 0])
     value = {x: max(tells.get(g, -np.inf) for g in runs(x)) for x in w if x not in in_clean}
+    del some, tells, in_clean
     share_value = spark.sparkContext.broadcast(value)
 
     def witnesses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
