@@ -84,8 +84,8 @@ CTES: dict[str, str] = {
                           "d.UnitPrice, d.UnitPriceDiscount, CAST(d.UnitPrice * d.OrderQty AS DECIMAL(19,4)) AS "
                           "LineTotal, t.modified_date FROM detail_all d JOIN orders_temp t ON "
                           "d.SalesOrderID = t.SalesOrderID",
-    "action_import_fixed": "SELECT * FROM (VALUES ('Brand#1','NATION_1','€ 185,333.00','€ 438,601.84','-57.74%',"
-                           "'-€ 253,268.84','High'), ('Brand#2','NATION_2','€ 1,000.50','€ 900.00','11.17%',"
+    "action_import_fixed": "SELECT * FROM (VALUES ('Brand#1','NATION_1','€ 120,450.00','€ 300,900.50','-59.97%',"
+                           "'-€ 180,450.50','High'), ('Brand#2','NATION_2','€ 1,000.50','€ 900.00','11.17%',"
                            "'€ 100.50','Low'), ('Brand#3','NATION_3','n/a','€ 10.00','','-€ 10.00','Medium'), "
                            "('Brand#4','NOWHERE','€ 50.00','€ 75.00','-33.33%','-€ 25.00',CAST(NULL AS VARCHAR)), "
                            "('Brand#5','NATION_5','\"€ 70.005\"','€ 80.00','\"1,234.5%\"','-€ 10.00','High')) "
@@ -110,10 +110,9 @@ CTES: dict[str, str] = {
                  "(c.EndDate IS NULL OR h.OrderDate <= c.EndDate)",
     "fact": "SELECT *, CAST(CAST(ProductMargin * 100 AS DECIMAL(10,2)) AS DOUBLE) / NULLIF(CAST(LineTotal AS "
             "DOUBLE), 0) AS ProductMarginPct FROM fact_base",
-    "profile_lines": "SELECT h.OrderDate, d.SalesOrderID, d.OrderQty, d.ProductID FROM header_hist h JOIN "
-                     "detail_hist d ON h.SalesOrderID = d.SalesOrderID WHERE h.OrderDate IS NOT NULL AND "
-                     "h.OrderDate >= DATE '2000-01-01' AND EXISTS (SELECT 1 FROM cost_history_raw pch "
-                     "WHERE pch.ProductID = d.ProductID)",
+    "profile_lines": "SELECT OrderDate, SalesOrderID, OrderQty, ProductID FROM detail_hist JOIN header_hist USING "
+                     "(SalesOrderID) SEMI JOIN (SELECT DISTINCT ProductID FROM cost_history_raw) costed USING "
+                     "(ProductID) WHERE OrderDate >= DATE '2000-01-01'",
 }
 
 _NAME_RE = re.compile(r"\b([a-z_][a-z0-9_]*)\b")

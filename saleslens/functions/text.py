@@ -25,13 +25,13 @@ def _to_decimal(cleaned: Column, dtype: str) -> Column:
 
 
 def parse_currency(text, dtype: str = "decimal(18,2)") -> Column:
-    """'-€ 253,268.84' -> -253268.84; anything unparsable -> NULL."""
+    """'-€ 180,450.50' -> -180450.50; anything unparsable -> NULL."""
     c = F.col(text) if isinstance(text, str) else text
     return _to_decimal(_strip(c, CURRENCY_STRIP), dtype)
 
 
 def parse_percent(text, dtype: str = "decimal(18,4)") -> Column:
-    """'-57.74%' -> -57.74. Thousands separators are not stripped, so '1,234.5%' -> NULL."""
+    """'-59.97%' -> -59.97. Thousands separators are not stripped, so '1,234.5%' -> NULL."""
     c = F.col(text) if isinstance(text, str) else text
     return _to_decimal(_strip(c, PERCENT_STRIP), dtype)
 
@@ -51,7 +51,7 @@ def format_currency(amount) -> Column:
 
 
 def format_percent(ratio) -> Column:
-    """Report-export text of a ratio: -0.5774 -> '-57.74%'."""
+    """Report-export text of a ratio: -0.5997 -> '-59.97%'."""
     r = F.col(ratio) if isinstance(ratio, str) else ratio
     p = (r * F.lit(100)).cast("decimal(18,2)")
     return F.concat(F.when(p < 0, F.lit("-")).otherwise(F.lit("")), F.format_number(F.abs(p), 2), F.lit("%"))

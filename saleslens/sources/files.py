@@ -31,18 +31,6 @@ def scan(spark: SparkSession, path: str, columns: list[str] | None = None, where
     return df.select(*columns) if columns else df
 
 
-def split_if_coarse(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has task slots.
-
-    Parquet splits by row group; a large single-row-group file would otherwise
-    run everything before the first shuffle in one task. On big inputs the scan
-    already has many splits and this is a no-op (the split count comes from file
-    planning; no job runs).
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def copy_with_casts(df: DataFrame, casts: dict[str, str], load_date=None,
                     stamp_col: str = "LoadDate") -> DataFrame:
     """S3: the copy's projection: each column cast to its target type, plus a load-date stamp."""

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslens.functions.money import MONEY, line_total
-from saleslens.sources.files import split_if_coarse
 
 # Fixed values of the fixture model.
 AS_OF = dt.date(2001, 8, 1)          # latest order date at every scale
@@ -45,7 +44,7 @@ CATEGORIES = [(0, "CAT_0"), (1, "CAT_1"), (2, "CAT_2"), (3, "CAT_3")]
 
 # Rows of a commercial-action report export, with the dirty text it can carry.
 ACTION_IMPORT_ROWS = [
-    ("Brand#1", "NATION_1", "€ 185,333.00", "€ 438,601.84", "-57.74%", "-€ 253,268.84", "High"),
+    ("Brand#1", "NATION_1", "€ 120,450.00", "€ 300,900.50", "-59.97%", "-€ 180,450.50", "High"),
     ("Brand#2", "NATION_2", "€ 1,000.50", "€ 900.00", "11.17%", "€ 100.50", "Low"),
     ("Brand#3", "NATION_3", "n/a", "€ 10.00", "", "-€ 10.00", "Medium"),
     ("Brand#4", "NOWHERE", "€ 50.00", "€ 75.00", "-33.33%", "-€ 25.00", None),
@@ -107,7 +106,7 @@ class SalesTables:
             if name in SOURCE_SCHEMAS:
                 reader = reader.schema(SOURCE_SCHEMAS[name])
             df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
-            self._raw[name] = split_if_coarse(df) if name in self.GROWING else df
+            self._raw[name] = df
         return self._raw[name]
 
     # ---- reference data -------------------------------------------------
