@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import zipfile
@@ -58,13 +57,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished jobs now: it does so when the driver's JVM finds their plans
-    unreachable, which without memory pressure can be long after."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 bytes, unchanged; null has none."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
