@@ -11,7 +11,7 @@ words the machine itself finds there, against words of clean documents, in which
 worst errors. A document is scored by its three highest words, calibrated on labelled documents that the
 machine wasn't trained on.
 
-The fit takes a bounded sample (``SAMPLE`` labelled documents of either class, chosen by a hash of their id).
+The fit takes a bounded sample (``SAMPLE`` labelled documents of each class, chosen by a hash of their id).
 Every document is scored over its whole text.
 """
 
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from saleslens.llm.common import clean, fold_column, prepare, written
 
-#: Labelled documents of each class that the fit reads.
-SAMPLE = 2000
+#: Labelled documents that the fit reads, by label: clean words are told from toxic ones by clean documents, so more of those.
+SAMPLE = {0: 3500, 1: 1400}
 #: Words of clean documents that train the machine, besides those it gets wrong.
 NEGATIVES, HARD = 8000, 2000
 LANDMARKS = 160          # of each class
@@ -195,9 +195,9 @@ def _train(positive: list[str], negative: list[str], mark_pos: list[str], mark_n
     marks = list(dict.fromkeys([*mark_pos, *mark_neg]))
     r, code, val = subsequences(marks)
     codes, column = np.unique(code, return_inverse=True)
-    phi = np.zeros((len(codes), len(marks)), np.float32)
+    phi = np.zeros((len(codes), len(marks)))
     np.add.at(phi, (column, r), val)
-    root, vec = np.linalg.eigh((phi.T @ phi).astype(np.float64))
+    root, vec = np.linalg.eigh(phi.T @ phi)
     keep = root > 1e-6
     to = vec[:, keep] / np.sqrt(root[keep])             # kernel values with the landmarks -> Nystrom features
     both = [*positive, *negative]
@@ -226,13 +226,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1) -> DataFrame:
-    """(text, toxic, part): at most SAMPLE distinct labelled documents of each class whose fold isn't the held-out one.
+    """(text, toxic, part): at most SAMPLE[label] distinct labelled documents of each class whose fold isn't the held-out one.
     part 0 trains the machine, part 1 calibrates."""
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
             .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold_column(F.col("doc_id"), mod) != held)))
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
-    some = [rows.where(F.col("toxic") == k).groupBy("doc_id").agg(F.first("toxic").alias("toxic")).orderBy(order, "doc_id").limit(SAMPLE) for k in (0, 1)]
-    chosen = some[0].unionByName(some[1])              # at most 2 * SAMPLE rows of two numbers
+    some = [rows.where(F.col("toxic") == k).groupBy("doc_id").agg(F.first("toxic").alias("toxic")).orderBy(order, "doc_id").limit(SAMPLE[k]) for k in (0, 1)]
+    chosen = some[0].unionByName(some[1])              # at most 4,900 rows of two numbers
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where("text is not null").join(F.broadcast(chosen), "doc_id")
     return written(texts.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
