@@ -24,7 +24,7 @@ from saleslens.session import fresh_dir
 from saleslens.sources import files
 from saleslens.sources.fixtures import SalesTables
 
-SINCE = dt.date(2001, 1, 1)   # "recent" window for unsold / never-bought questions
+NEW_ID = 1000000000   # ids from here on: listed products and registered customers without any order
 
 
 def T(spark, sf_dir) -> SalesTables:
@@ -246,10 +246,10 @@ def q_join_dims_inner(spark, sf_dir):
     "snapshot", "rev_pairs_asof"))
 def q_join_snapshot_left(spark, sf_dir):
     """Every snapshot pair kept, current figures where they exist."""
-    from saleslens.catalog.pipelines import current_pairs, snapshot_table
+    from saleslens.catalog.pipelines import current_pairs, loaded_fact, snapshot_table
     t = T(spark, sf_dir)
     s = snapshot_table(spark, t).select("Country", "Subcategory", "PriorityType")
-    return s.join(current_pairs(t, AS_OF), ["Country", "Subcategory"], "left")
+    return s.join(current_pairs(t, AS_OF, loaded_fact(spark, t)), ["Country", "Subcategory"], "left")
 
 
 @register("semi_exists", with_ctes(
@@ -271,33 +271,49 @@ def q_semi_distinct_subquery(spark, sf_dir):
     return oj.semi(t.product.select("ProductID"), t.cost_history.select("ProductID"), "ProductID")
 
 
-oc.add("recent_lines", "SELECT d.ProductID, h.CustomerID FROM detail_hist d JOIN header_hist h ON d.SalesOrderID "
-                       "= h.SalesOrderID WHERE h.OrderDate >= DATE '2001-01-01'")
+oc.add("listed_products", "SELECT ProductID FROM cost_history UNION ALL SELECT p_partkey + 1000000000 FROM part "
+                          "WHERE p_partkey % 50 = 0")
+oc.add("registered_customers", "SELECT CustomerID FROM customer_src UNION ALL SELECT c_custkey + 1000000000 FROM "
+                               "customer WHERE c_custkey % 50 = 0")
 
 
-def _recent_lines(t: SalesTables):
-    h = t.header_hist.where(F.col("OrderDate") >= F.lit(SINCE)).select("SalesOrderID", "CustomerID")
-    return t.detail_all.select("SalesOrderID", "ProductID").join(h, "SalesOrderID")
+def _listed_products(t: SalesTables):
+    new = t.raw("part").where(F.col("p_partkey") % 50 == 0).select((F.col("p_partkey") + NEW_ID).alias("ProductID"))
+    return t.cost_history.select("ProductID").unionByName(new)
+
+
+def _registered_customers(t: SalesTables):
+    k = F.col("c_custkey")
+    new = t.raw("customer").where(k % 50 == 0).select((k + NEW_ID).alias("CustomerID"))
+    return t.customer_src.select("CustomerID").unionByName(new)
+
+
+def _orders(t: SalesTables, since=None):
+    """All history headers, or those since a day."""
+    return t.header_hist if since is None else t.header_hist.where(F.col("OrderDate") >= F.lit(since))
+
+
+def _sold(t: SalesTables, since=None):
+    return (t.detail_all.select("SalesOrderID", "ProductID")
+            .join(_orders(t, since).select("SalesOrderID"), "SalesOrderID").select("ProductID"))
 
 
 @register("anti_unsold_products", with_ctes(
-    "SELECT DISTINCT c.ProductID FROM cost_history c WHERE NOT EXISTS (SELECT 1 FROM recent_lines r WHERE "
-    "r.ProductID = c.ProductID)", "cost_history", "recent_lines"))
+    "SELECT DISTINCT c.ProductID FROM listed_products c WHERE NOT EXISTS (SELECT 1 FROM detail_hist r WHERE "
+    "r.ProductID = c.ProductID)", "listed_products", "detail_hist"))
 def q_anti_unsold_products(spark, sf_dir):
-    """Products with a cost and no sale since SINCE."""
+    """Listed products never sold in the history."""
     t = T(spark, sf_dir)
-    return oj.semi(t.cost_history.select("ProductID").distinct(), _recent_lines(t).select("ProductID"),
-                   "ProductID", anti=True)
+    return oj.semi(_listed_products(t).distinct(), _sold(t), "ProductID", anti=True)
 
 
 @register("anti_new_customers", with_ctes(
-    "SELECT c.CustomerID FROM customer_src c WHERE NOT EXISTS (SELECT 1 FROM header_hist h WHERE "
-    "h.CustomerID = c.CustomerID AND h.OrderDate >= DATE '2001-01-01')", "customer_src", "header_hist"))
+    "SELECT c.CustomerID FROM registered_customers c WHERE NOT EXISTS (SELECT 1 FROM header_hist h WHERE "
+    "h.CustomerID = c.CustomerID)", "registered_customers", "header_hist"))
 def q_anti_new_customers(spark, sf_dir):
-    """Customers who have not ordered since SINCE."""
+    """Registered customers who never ordered in the history."""
     t = T(spark, sf_dir)
-    recent = t.header_hist.where(F.col("OrderDate") >= F.lit(SINCE)).select("CustomerID")
-    return oj.semi(t.customer_src.select("CustomerID"), recent, "CustomerID", anti=True)
+    return oj.semi(_registered_customers(t), _orders(t).select("CustomerID"), "CustomerID", anti=True)
 
 
 oc.add("offer_lookup_hist", offer_lookup_sql("detail_hist"))
@@ -574,11 +590,12 @@ def q_union_all_customers(spark, sf_dir):
 
 
 @register("set_difference", with_ctes(
-    "SELECT ProductID FROM cost_history EXCEPT SELECT ProductID FROM recent_lines", "cost_history", "recent_lines"))
+    "SELECT ProductID FROM listed_products EXCEPT SELECT ProductID FROM detail_hist", "listed_products",
+    "detail_hist"))
 def q_set_difference(spark, sf_dir):
-    """Costed product ids minus recently sold ids (set semantics, = SQL EXCEPT)."""
+    """Listed product ids minus ids sold in the history (set semantics, = SQL EXCEPT)."""
     t = T(spark, sf_dir)
-    return os_.difference(t.cost_history.select("ProductID"), _recent_lines(t).select("ProductID"))
+    return os_.difference(_listed_products(t), _sold(t))
 
 
 @register("generate_calendar", with_ctes("SELECT Date FROM calendar_orders", "calendar_orders"))

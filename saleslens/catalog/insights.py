@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from saleslens.catalog import register
 from saleslens.catalog import oracle_ctes as oc
 from saleslens.catalog.oracle_ctes import with_ctes
-from saleslens.catalog.pipelines import AS_OF, HISTORY_END, _d, _goal_sql, sales_fact, xpct_sql  # noqa: F401
+from saleslens.catalog.pipelines import (AS_OF, HISTORY_END, SNAPSHOT_DATE, _d, _goal_sql, loaded_fact,  # noqa: F401
+                                         sales_fact, xpct_sql)
 from saleslens.plans import insights as ins
 from saleslens.plans import model
 from saleslens.sources.fixtures import SalesTables
 
-DAY_BY_DAY_START = "2001-06-01"
+DAY_BY_DAY_START = SNAPSHOT_DATE.isoformat()
 
 
 def T(spark, sf_dir) -> SalesTables:
@@ -132,23 +133,23 @@ def q_doc_purchase_sequence(spark, sf_dir):
 
 
 oc.add("dbd_prev",
-       f"SELECT CAST(sum(LineTotal) AS DOUBLE) AS p FROM fact WHERE OrderDate >= make_date(year({_d(HISTORY_END)}) - 1, "
-       f"1, 1) AND OrderDate < make_date(year({_d(HISTORY_END)}), 1, 1)")
+       f"SELECT CAST(sum(LineTotal) AS DOUBLE) AS p FROM fact_loaded WHERE OrderDate >= make_date(year({_d(AS_OF)}) - 1, "
+       f"1, 1) AND OrderDate < make_date(year({_d(AS_OF)}), 1, 1)")
 oc.add("dbd_base",
        "SELECT d.Date, CAST(coalesce(r.rev, 0) AS DECIMAL(38,4)) AS Revenue FROM (SELECT CAST(unnest(generate_series("
-       f"DATE '{DAY_BY_DAY_START}', {_d(HISTORY_END)}, INTERVAL 1 DAY)) AS DATE) AS Date) d LEFT JOIN (SELECT "
-       f"OrderDate AS Date, sum(LineTotal) AS rev FROM fact WHERE OrderDate >= DATE '{DAY_BY_DAY_START}' AND "
-       f"OrderDate <= {_d(HISTORY_END)} GROUP BY OrderDate) r ON r.Date = d.Date")
+       f"DATE '{DAY_BY_DAY_START}', {_d(AS_OF)}, INTERVAL 1 DAY)) AS DATE) AS Date) d LEFT JOIN (SELECT "
+       f"OrderDate AS Date, sum(LineTotal) AS rev FROM fact_loaded WHERE OrderDate >= DATE '{DAY_BY_DAY_START}' AND "
+       f"OrderDate <= {_d(AS_OF)} GROUP BY OrderDate) r ON r.Date = d.Date")
 
 
 @register("doc_day_by_day", with_ctes(
     "SELECT Date, Revenue, CumRevenue, DayIndex, CumGoal, CAST(CumRevenue AS DOUBLE) - CumGoal AS Gap FROM (SELECT "
     "Date, Revenue, CAST(sum(Revenue) OVER (ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "
     "DECIMAL(38,4)) AS CumRevenue, row_number() OVER (ORDER BY Date) AS DayIndex, (SELECT p FROM dbd_prev) / "
-    f"NULLIF(datediff('day', make_date(year({_d(HISTORY_END)}) - 1, 1, 1), make_date(year({_d(HISTORY_END)}), 1, 1)), "
+    f"NULLIF(datediff('day', make_date(year({_d(AS_OF)}) - 1, 1, 1), make_date(year({_d(AS_OF)}), 1, 1)), "
     "0) * 1.3012 * row_number() OVER (ORDER BY Date) AS CumGoal FROM dbd_base) s", "dbd_prev", "dbd_base"))
 def q_doc_day_by_day(spark, sf_dir):
-    """Calendar-filled daily revenue, cumulative revenue vs cumulative daily goal."""
-    f = sales_fact(T(spark, sf_dir))
-    out = ins.day_by_day(f, DAY_BY_DAY_START, HISTORY_END, HISTORY_END)
+    """Calendar-filled daily revenue since the snapshot, cumulative revenue vs cumulative daily goal."""
+    f = loaded_fact(spark, T(spark, sf_dir))
+    out = ins.day_by_day(f, DAY_BY_DAY_START, AS_OF, AS_OF)
     return out.withColumn("DayIndex", F.col("DayIndex").cast("bigint"))

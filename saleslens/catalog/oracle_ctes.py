@@ -107,7 +107,7 @@ CTES: dict[str, str] = {
                  "CAST(d.LineTotal - CAST(c.StandardCost * d.OrderQty AS DECIMAL(19,4)) AS DECIMAL(19,4)) AS "
                  "ProductMargin FROM detail_hist d JOIN header_hist h ON d.SalesOrderID = h.SalesOrderID "
                  "JOIN cost_history c ON d.ProductID = c.ProductID AND h.OrderDate >= c.StartDate AND "
-                 "(c.EndDate IS NULL OR h.OrderDate <= c.EndDate)",
+                 "h.OrderDate <= coalesce(c.EndDate, DATE '9999-12-31')",
     "fact": "SELECT *, CAST(CAST(ProductMargin * 100 AS DECIMAL(10,2)) AS DOUBLE) / NULLIF(CAST(LineTotal AS "
             "DOUBLE), 0) AS ProductMarginPct FROM fact_base",
     "profile_lines": "SELECT OrderDate, SalesOrderID, OrderQty, ProductID FROM detail_hist JOIN header_hist USING "

@@ -37,20 +37,21 @@ from saleslens.sources import files  # noqa: E402
 from saleslens.sources.fixtures import ACTION_IMPORT_COLUMNS, AS_OF, HISTORY_END  # noqa: E402
 
 SNAPSHOT_DATE = HISTORY_END   # the action was opened on the last history day
+LOAD_BATCH = f"load-{AS_OF}"      # the staged batch, loaded after the snapshot
 
 
 def _d(x: dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
 
 
-def _rev_pairs_sql(as_of: dt.date) -> str:
+def _rev_pairs_sql(as_of: dt.date, fact: str = "fact") -> str:
     a = _d(as_of)
     return ("SELECT t.Name AS Country, p.Subcategory, "
             f"CAST(SUM(CASE WHEN f.OrderDate >= make_date(year({a}), 1, 1) AND f.OrderDate < {a} + 1 "
             "THEN f.LineTotal ELSE 0 END) AS DECIMAL(38,4)) AS CurrentRevenue, "
             f"CAST(SUM(CASE WHEN f.OrderDate >= make_date(year({a}) - 1, 1, 1) AND f.OrderDate < "
             f"make_date(year({a}), 1, 1) THEN f.LineTotal ELSE 0 END) AS DECIMAL(38,4)) AS PreviousYearRevenue "
-            "FROM fact f JOIN dim_product p ON f.ProductID = p.ProductID "
+            f"FROM {fact} f JOIN dim_product p ON f.ProductID = p.ProductID "
             "JOIN territory t ON f.TerritoryID = t.TerritoryID GROUP BY t.Name, p.Subcategory")
 
 
@@ -70,7 +71,32 @@ def _pct_text(x: str) -> str:
     return f"(CASE WHEN {v} < 0 THEN '-' ELSE '' END || format('{{:,.2f}}', abs({v})) || '%')"
 
 
-oc.add("rev_pairs_asof", _rev_pairs_sql(AS_OF))
+from saleslens.plans import daily  # noqa: E402
+
+oc.add("built_headers",
+       "SELECT p.SalesOrderID, p.OrderDate, p.DueDate, p.ShipDate, p.OnlineOrderFlag, p.CustomerID, "
+       "p.SalesPersonID, p.TerritoryID, s.SubTotal FROM (SELECT SalesOrderID, CAST(SUM(CAST(CAST(UnitPrice * "
+       "OrderQty AS DECIMAL(19,4)) * CAST(1 - UnitPriceDiscount AS DECIMAL(10,4)) AS DECIMAL(19,4))) AS "
+       "DECIMAL(19,4)) AS SubTotal FROM daily_details_temp GROUP BY SalesOrderID) s JOIN orders_temp p ON "
+       "s.SalesOrderID = p.SalesOrderID WHERE NOT p.processed")
+oc.add("loaded_details",
+       "SELECT d.SalesOrderID, d.SalesOrderDetailID, d.OrderQty, d.ProductID, d.UnitPrice, d.UnitPriceDiscount, "
+       "CAST(CAST(d.UnitPrice * d.OrderQty AS DECIMAL(19,4)) * CAST(1 - d.UnitPriceDiscount AS DECIMAL(10,4)) AS "
+       "DECIMAL(19,4)) AS LineTotal, d.SpecialOfferID FROM daily_details_temp d WHERE d.SalesOrderID IN "
+       "(SELECT SalesOrderID FROM built_headers)")
+DETAIL_SQL_COLS = ", ".join(daily.DETAIL_COLS)
+HEADER_SQL_COLS = ", ".join(daily.HEADER_COLS)
+oc.add("detail_after_load",
+       f"SELECT {DETAIL_SQL_COLS} FROM detail_hist UNION ALL SELECT {DETAIL_SQL_COLS} FROM loaded_details")
+oc.add("header_after_load",
+       f"SELECT {HEADER_SQL_COLS} FROM header_hist UNION ALL SELECT SalesOrderID, OrderDate, DueDate, ShipDate, "
+       "OnlineOrderFlag, CustomerID, SalesPersonID, TerritoryID, SubTotal, CAST(NULL AS DATE) AS modified_date "
+       "FROM built_headers")
+oc.add("fact_loaded",
+       "SELECT d.ProductID, d.LineTotal, h.OrderDate, h.TerritoryID FROM detail_after_load d JOIN header_after_load h "
+       "ON d.SalesOrderID = h.SalesOrderID JOIN cost_history c ON d.ProductID = c.ProductID AND h.OrderDate >= "
+       "c.StartDate AND h.OrderDate <= coalesce(c.EndDate, DATE '9999-12-31')")
+oc.add("rev_pairs_asof", _rev_pairs_sql(AS_OF, "fact_loaded"))
 oc.add("rev_pairs_snap", _rev_pairs_sql(SNAPSHOT_DATE))
 oc.add("vs_goal_snap",
        "SELECT Country, Subcategory, CurrentRevenue, PreviousYearRevenue, CurrentGoal, "
@@ -117,9 +143,16 @@ oc.add("monitoring",
        "rev_pairs_asof c ON c.Country = s.Country AND c.Subcategory = s.Subcategory")
 
 
-def current_pairs(t: SalesTables, as_of):
+def loaded_fact(spark, t: SalesTables):
+    """The fact over the history and the staged batch, after the daily load."""
+    store = staged_store(spark, t)
+    daily.daily_load(store, LOAD_BATCH)
+    return fact_plan.fact_sales_margin(store.read("detail"), store.read("header"), t.cost_history)
+
+
+def current_pairs(t: SalesTables, as_of, fact=None):
     dim_p = model.dim_product(t.product, t.product_subcategory, t.product_category)
-    return mon.revenue_by_pair(sales_fact(t), dim_p, t.territory, as_of)
+    return mon.revenue_by_pair(sales_fact(t) if fact is None else fact, dim_p, t.territory, as_of)
 
 
 def export_at_snapshot(t: SalesTables):
@@ -174,7 +207,7 @@ def q_snapshot_create(spark, sf_dir):
 def q_action_monitoring(spark, sf_dir):
     """Frozen snapshot vs current-year revenue and goal to date (flagship)."""
     t = SalesTables.of(spark, sf_dir)
-    return mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF), AS_OF)
+    return mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF, loaded_fact(spark, t)), AS_OF)
 
 
 @register("doc_recovery_kpis", with_ctes(
@@ -186,7 +219,7 @@ def q_action_monitoring(spark, sf_dir):
 def q_doc_recovery_kpis(spark, sf_dir):
     """Recovery KPIs on top of the monitoring view."""
     t = SalesTables.of(spark, sf_dir)
-    m = mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF), AS_OF)
+    m = mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF, loaded_fact(spark, t)), AS_OF)
     return mon.recovery_kpis(m, 0.5)
 
 
@@ -278,44 +311,16 @@ def q_dim_territory(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Daily batch
 # ---------------------------------------------------------------------------
-from saleslens.plans import daily  # noqa: E402
-
-oc.add("built_headers",
-       "SELECT p.SalesOrderID, p.OrderDate, p.DueDate, p.ShipDate, p.OnlineOrderFlag, p.CustomerID, "
-       "p.SalesPersonID, p.TerritoryID, s.SubTotal FROM (SELECT SalesOrderID, CAST(SUM(CAST(CAST(UnitPrice * "
-       "OrderQty AS DECIMAL(19,4)) * CAST(1 - UnitPriceDiscount AS DECIMAL(10,4)) AS DECIMAL(19,4))) AS "
-       "DECIMAL(19,4)) AS SubTotal FROM daily_details_temp GROUP BY SalesOrderID) s JOIN orders_temp p ON "
-       "s.SalesOrderID = p.SalesOrderID WHERE NOT p.processed")
-oc.add("loaded_details",
-       "SELECT d.SalesOrderID, d.SalesOrderDetailID, d.OrderQty, d.ProductID, d.UnitPrice, d.UnitPriceDiscount, "
-       "CAST(CAST(d.UnitPrice * d.OrderQty AS DECIMAL(19,4)) * CAST(1 - d.UnitPriceDiscount AS DECIMAL(10,4)) AS "
-       "DECIMAL(19,4)) AS LineTotal, d.SpecialOfferID FROM daily_details_temp d WHERE d.SalesOrderID IN "
-       "(SELECT SalesOrderID FROM built_headers)")
-DETAIL_SQL_COLS = ", ".join(daily.DETAIL_COLS)
-HEADER_SQL_COLS = ", ".join(daily.HEADER_COLS)
-oc.add("detail_after_load",
-       f"SELECT {DETAIL_SQL_COLS} FROM detail_hist UNION ALL SELECT {DETAIL_SQL_COLS} FROM loaded_details")
-oc.add("header_after_load",
-       f"SELECT {HEADER_SQL_COLS} FROM header_hist UNION ALL SELECT SalesOrderID, OrderDate, DueDate, ShipDate, "
-       "OnlineOrderFlag, CustomerID, SalesPersonID, TerritoryID, SubTotal, CAST(NULL AS DATE) AS modified_date "
-       "FROM built_headers")
-
-
-def staged_store(spark, t: SalesTables) -> daily.TableStore:
-    """S3: copy history and staging into a fresh table store (the project schema)."""
-    store = daily.TableStore(spark, fresh_dir(spark, "store"))
-    store.create("header", t.header_hist.select(*daily.HEADER_COLS))
-    store.create("detail", t.detail_hist.select(*daily.DETAIL_COLS))
-    store.create("orders_temp", t.orders_temp)
-    store.create("daily_details_temp", t.daily_details_temp)
-    return store
+def staged_store(spark, t: SalesTables, root: str | None = None) -> daily.TableStore:
+    """History and staging as read-only base frames of a table store; nothing is copied."""
+    return daily.TableStore(spark, root or fresh_dir(spark, "store"), {
+        "header": t.header_hist.select(*daily.HEADER_COLS), "detail": t.detail_hist.select(*daily.DETAIL_COLS),
+        "orders_temp": t.orders_temp, "daily_details_temp": t.daily_details_temp})
 
 
 def _load(spark, sf_dir):
-    t = SalesTables.of(spark, sf_dir)
-    store = staged_store(spark, t)
-    res = daily.daily_load(store, fresh_dir(spark, "daily-load"))
-    return store, res
+    store = staged_store(spark, SalesTables.of(spark, sf_dir))
+    return store, daily.daily_load(store, LOAD_BATCH)
 
 
 @register("daily_build_headers", with_ctes("SELECT * FROM built_headers", "built_headers"))
@@ -355,8 +360,8 @@ def q_sink_append(spark, sf_dir):
     "SELECT 'detail', 'after', count(*) FROM detail_after_load", "header_after_load", "detail_after_load"))
 def q_agg_row_counts(spark, sf_dir):
     """Row counts before and after the load (audit rows instead of printed messages)."""
-    _, res = _load(spark, sf_dir)
-    return res.audit
+    _, audit = _load(spark, sf_dir)
+    return audit
 
 
 @register("sink_overwrite", with_ctes(
@@ -377,14 +382,14 @@ def q_daily_gate(spark, sf_dir):
     """Load only when there are pending staged orders for today."""
     t = SalesTables.of(spark, sf_dir)
     store = staged_store(spark, t)
-    return daily.daily_gate(store, AS_OF, fresh_dir(spark, "daily-gate"))
+    return daily.daily_gate(store, AS_OF, LOAD_BATCH)
 
 
 @register("daily_reset", with_ctes(f"SELECT {DETAIL_SQL_COLS} FROM detail_hist", "detail_hist"))
 def q_daily_reset(spark, sf_dir):
     """After load + reset, the detail history is back to what it was."""
-    store, res = _load(spark, sf_dir)
-    daily.daily_reset(store, res)
+    store, _ = _load(spark, sf_dir)
+    daily.daily_reset(store, LOAD_BATCH)
     return store.read("detail")
 
 
@@ -398,8 +403,8 @@ def q_daily_roundtrip(spark, sf_dir):
     store = staged_store(spark, t)
     original = {"header": t.header_hist.select(*daily.HEADER_COLS),
                 "detail": t.detail_hist.select(*daily.DETAIL_COLS), "orders_temp": t.orders_temp}
-    res = daily.daily_load(store, fresh_dir(spark, "daily-load"))
-    daily.daily_reset(store, res)
+    daily.daily_load(store, LOAD_BATCH)
+    daily.daily_reset(store, LOAD_BATCH)
     out = None
     for n, a in original.items():
         b = store.read(n)

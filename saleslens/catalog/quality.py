@@ -33,14 +33,19 @@ def q_dq_unique_key(spark, sf_dir):
 
 
 @register("dq_not_null", with_ctes(
-    "SELECT SalesOrderID, ColumnName FROM (SELECT SalesOrderID, unnest(list_filter([CASE WHEN OrderDate IS NULL "
-    "THEN 'OrderDate' END, CASE WHEN DueDate IS NULL THEN 'DueDate' END, CASE WHEN ShipDate IS NULL THEN "
+    "SELECT SalesOrderID, ColumnName FROM (SELECT SalesOrderID, unnest(list_filter([CASE WHEN SalesOrderID IS NULL "
+    "THEN 'SalesOrderID' END, CASE WHEN OrderDate IS NULL THEN 'OrderDate' END, CASE WHEN DueDate IS NULL THEN 'DueDate' END, CASE WHEN ShipDate IS NULL THEN "
     "'ShipDate' END, CASE WHEN CustomerID IS NULL THEN 'CustomerID' END], lambda x: x IS NOT NULL)) AS ColumnName "
-    "FROM orders_temp) s", "orders_temp"))
+    "FROM orders_temp) s UNION ALL SELECT SalesOrderID, 'SalesOrderID' FROM daily_details_temp WHERE SalesOrderID IS "
+    "NULL UNION ALL SELECT SalesOrderID, 'SalesOrderDetailID' FROM daily_details_temp WHERE SalesOrderDetailID IS "
+    "NULL", "orders_temp", "daily_details_temp"))
 def q_dq_not_null(spark, sf_dir):
-    """Q2: staged orders with a NULL required column."""
-    return q.null_columns(T(spark, sf_dir).orders_temp, "SalesOrderID",
-                          ["OrderDate", "DueDate", "ShipDate", "CustomerID"])
+    """Q2: staged orders and lines with a NULL id or required column."""
+    t = T(spark, sf_dir)
+    orders = q.null_columns(t.orders_temp, "SalesOrderID",
+                            ["SalesOrderID", "OrderDate", "DueDate", "ShipDate", "CustomerID"])
+    return orders.unionByName(q.null_columns(t.daily_details_temp, "SalesOrderID",
+                                             ["SalesOrderID", "SalesOrderDetailID"]))
 
 
 @register("dq_batch_unique", with_ctes(
@@ -125,9 +130,9 @@ def q_dq_cost_coverage(spark, sf_dir):
 
 
 @register("dq_interval_overlap", with_ctes(
-    "SELECT * FROM (SELECT ProductID, StartDate, EndDate, lead(StartDate) OVER (PARTITION BY ProductID ORDER BY "
-    "StartDate, EndDate ASC NULLS LAST) AS NextStart FROM cost_history) s WHERE NextStart IS NOT NULL AND "
-    "(EndDate IS NULL OR NextStart <= EndDate)", "cost_history"))
+    "SELECT * FROM (SELECT ProductID, StartDate, EndDate, max(coalesce(EndDate, DATE '9999-12-31')) OVER (PARTITION "
+    "BY ProductID ORDER BY StartDate, EndDate ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS "
+    "EarlierEnd FROM cost_history) s WHERE StartDate <= EarlierEnd", "cost_history"))
 def q_dq_interval_overlap(spark, sf_dir):
     """Q10: overlapping cost intervals (each would duplicate fact lines)."""
     return q.overlapping_intervals(T(spark, sf_dir).cost_history)
@@ -155,6 +160,10 @@ FK_SQL = [
     ("product.ProductSubcategoryID", "product", "ProductSubcategoryID", "product_subcategory",
      "ProductSubcategoryID"),
     ("cost_history.ProductID", "cost_history", "ProductID", "product", "ProductID"),
+    ("price_history.ProductID", "price_history", "ProductID", "product", "ProductID"),
+    ("product_subcategory.ProductCategoryID", "product_subcategory", "ProductCategoryID", "product_category",
+     "ProductCategoryID"),
+    ("sales_person.TerritoryID", "sales_person", "TerritoryID", "territory", "TerritoryID"),
 ]
 
 
@@ -166,7 +175,8 @@ def q_dq_foreign_keys(spark, sf_dir):
     t = T(spark, sf_dir)
     frames = {"detail_hist": t.detail_hist, "header_hist": t.header_hist, "product": t.product,
               "customer_src": t.customer_src, "territory": t.territory, "sales_person": t.sales_person,
-              "store": t.store, "product_subcategory": t.product_subcategory, "cost_history": t.cost_history}
+              "store": t.store, "product_subcategory": t.product_subcategory, "cost_history": t.cost_history,
+              "price_history": t.price_history, "product_category": t.product_category}
     out = None
     for n, ct, ck, pt, pk in FK_SQL:
         o = (q.missing_in(frames[ct].select(ck), frames[pt], ck, pk)

@@ -6,7 +6,7 @@ are distributed jobs. ``fail_on_violation`` turns any of them into a guard.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -78,21 +78,17 @@ def uncovered_by_intervals(lines: DataFrame, history: DataFrame, key: str, point
 
 def overlapping_intervals(history: DataFrame, key: str = "ProductID", start: str = "StartDate",
                           end: str = "EndDate") -> DataFrame:
-    """Q10: intervals that overlap the next interval of the same key.
+    """Q10: intervals that start on or before the latest end of the earlier intervals of their key.
 
-    Each interval is compared only with its successor, never with all pairs.
-    The successor comes from a distributed global row number over
-    (key, start, end): row r meets row r + 1 through an equi-join on a unique
-    number, so no task ever holds all intervals of one key (a per-key window
-    would, for a key with a large share of the history).
+    Earlier means a smaller (start, end); an open end counts as 9999-12-31. The running maximum also
+    finds an interval nested in one that is not its direct predecessor. The window streams over rows
+    sorted by key and start: a key with many intervals spills, it is not held as a list.
     """
-    from saleslens.operators.windows import global_row_number
-    base = history.select(key, start, end)
-    ranked = global_row_number(base, [F.col(key), F.col(start), F.col(end).asc_nulls_last()], "__r")
-    nxt = ranked.select(F.col(key).alias("__k2"), (F.col("__r") - 1).alias("__r"), F.col(start).alias("NextStart"))
-    j = ranked.join(nxt, (ranked["__r"] == nxt["__r"]) & (F.col(key) == F.col("__k2")))
-    return (j.select(key, start, end, "NextStart")
-             .where(F.col(end).isNull() | (F.col("NextStart") <= F.col(end))))
+    w = (Window.partitionBy(key).orderBy(F.col(start), F.col(end).asc_nulls_last())
+         .rowsBetween(Window.unboundedPreceding, -1))
+    ends = F.coalesce(F.col(end), F.lit("9999-12-31").cast("date"))
+    return (history.select(key, start, end).withColumn("EarlierEnd", F.max(ends).over(w))
+            .where(F.col(start) <= F.col("EarlierEnd")))
 
 
 def emptiness(frames: list[tuple[str, DataFrame]]) -> DataFrame:

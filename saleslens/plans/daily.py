@@ -1,19 +1,16 @@
 """Daily batch load.
 
-Tables live in a ``TableStore`` as lists of Parquet segment directories. The
-load appends its rows as new segments (the history is never rewritten); flag
-updates write a new staging version and switch to it, so a table is never
-overwritten while it is read; the test reset drops the load's segments.
+Tables live in a ``TableStore``. A load commits its headers, lines and staging flags together (the history
+is never rewritten or copied); the test reset drops the load's segments.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saleslens.functions.dates import as_date
 from saleslens.functions.money import MONEY, line_total
@@ -31,46 +28,72 @@ class DuplicateLoadError(RuntimeError):
 
 @dataclass
 class TableStore:
-    """Named Parquet tables under one root, each a list of segment directories.
+    """Named tables under one root: a read-only base frame and Parquet segments.
 
-    An append writes only the new rows, as a new segment; nothing existing is
-    rewritten. A replace writes one new segment from a frame that may read the
-    old ones, then switches to it. Removing a load's rows is dropping the
-    segments that load added: no history rewrite, however large the history.
+    Base frames are read where they lie; a load writes its own rows only. Which segments are live stands
+    in a manifest of a few rows, written as one file: ``commit`` writes the segments of all tables first
+    and the next manifest last, so they become visible together or not at all, and a rerun after a crash
+    writes the same paths again. A store opened on the same root sees the same tables. One writer at a time.
     """
 
     spark: SparkSession
     root: str
-    current: dict[str, list[str]] = field(default_factory=dict)
-    schemas: dict[str, T.StructType] = field(default_factory=dict)
-
-    def segments(self, name: str) -> list[str]:
-        return list(self.current[name])
+    bases: dict[str, DataFrame] = field(default_factory=dict)
+
+    MANIFEST = "name string, path string, batch string"
+
+    def __post_init__(self):
+        self.root = self.root.rstrip("/")
+
+    def _state(self) -> tuple[int, list]:
+        """The newest manifest's number and rows; before the first commit, the base frames."""
+        try:
+            m = self.spark.read.schema(self.MANIFEST + ", v int").parquet(f"{self.root}/_manifest")
+            rows = m.where(F.col("v") == m.select(F.max("v")).scalar()).collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = []
+        if rows:
+            return rows[0].v, [(r.name, r.path, r.batch) for r in rows]
+        return 0, [(n, None, None) for n in self.bases]
+
+    def has_batch(self, batch: str) -> bool:
+        return any(b == batch for _, _, b in self._state()[1])
+
+    def _frame(self, name: str, rows: list) -> DataFrame:
+        mine = [p for n, p, _ in rows if n == name]
+        paths = [p for p in mine if p is not None]
+        parts = ([self.bases[name]] if None in mine else []) + ([self.spark.read.parquet(*paths)] if paths else [])
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schemas[name]).parquet(*self.current[name])
-
-    def _new_segment(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}/seg-{uuid.uuid4().hex[:10]}"
-
-    def create(self, name: str, df: DataFrame) -> str:
-        p = files.write_table(df, self._new_segment(name))
-        self.current[name] = [p]
-        self.schemas[name] = df.schema
-        return p
-
-    def replace(self, name: str, df: DataFrame) -> str:
-        """Write a new single-segment version from ``df`` (which may read the old one), then switch."""
-        return self.create(name, df.select(*[F.col(f.name).cast(f.dataType) for f in self.schemas[name]]))
-
-    def append(self, name: str, df: DataFrame) -> str:
-        cols = [F.col(f.name).cast(f.dataType) for f in self.schemas[name]]
-        p = files.write_table(df.select(*cols), self._new_segment(name))
-        self.current[name] = self.current[name] + [p]
-        return p
-
-    def drop_segments(self, name: str, paths: list[str]) -> None:
-        self.current[name] = [x for x in self.current[name] if x not in set(paths)]
+        return self._frame(name, self._state()[1])
+
+    def segment(self, name: str, batch: str) -> DataFrame:
+        """The rows that one batch appended to a table."""
+        return self._frame(name, [r for r in self._state()[1] if r[2] == batch])
+
+    def commit(self, batch: str, append: dict[str, DataFrame] | None = None,
+               replace: dict[str, DataFrame] | None = None, drop: str | None = None) -> None:
+        """Append and replace tables and drop another batch's segments, all in one step.
+
+        A replacing frame may read the table it replaces: its rows go to a new segment.
+        """
+        version, live = self._state()
+        rows = [r for r in live if drop is None or r[2] != drop]
+        for name, df in (append or {}).items():
+            rows.append((name, self._write(name, df, live, version + 1, batch), batch))
+        for name, df in (replace or {}).items():
+            new = self._write(name, df, live, version + 1, batch)
+            rows = [r for r in rows if r[0] != name] + [(name, new, None)]
+        m = self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1)
+        files.overwrite(m, f"{self.root}/_manifest/v={version + 1}")
+
+    def _write(self, name: str, df: DataFrame, live: list, version: int, batch: str) -> str:
+        schema = self._frame(name, live).schema
+        return files.overwrite(df.select(*[F.col(f.name).cast(f.dataType) for f in schema]),
+                               f"{self.root}/{name}/{version}-{batch}")
 
 
 def subtotals(details_temp: DataFrame) -> DataFrame:
@@ -120,48 +143,54 @@ def mark(orders_temp: DataFrame, ids: DataFrame, processed: bool) -> DataFrame:
             .select(*orders_temp.columns))
 
 
-@dataclass
-class LoadResult:
-    helper: str                 # written rebuilt headers (the load's key list)
-    audit: DataFrame
-    segments: dict[str, str] = field(default_factory=dict)   # table -> segment this load appended
+def header_rows(headers: DataFrame) -> DataFrame:
+    """Rebuilt headers with the history's columns."""
+    return headers.select(*[c for c in HEADER_COLS if c != "modified_date"],
+                          F.lit(None).cast("date").alias("modified_date"))
 
 
-def daily_load(store: TableStore, work_dir: str) -> LoadResult:
-    """Guard -> append headers -> append details -> flag what loaded.
+def known_ids(history: DataFrame, batch: DataFrame) -> DataFrame:
+    """Order ids of the batch that the history holds already.
 
-    The rebuilt headers are written once (used by the guard, both appends and
-    the flag update) so the staging data is read once and the lineage is cut.
+    The batch's id range goes to the history's scan, which skips files and row groups outside it; the
+    batch is the small side of the semi join, so the history is not shuffled when the batch is measured small.
     """
-    spark = store.spark
-    hist_h, hist_d = store.read("header"), store.read("detail")
-    before = [("header", "before", hist_h), ("detail", "before", hist_d)]
-    before_counts = audit_counts(before).collect()   # a handful of scalars
+    ids = batch.select("SalesOrderID")
+    lo, hi = ids.agg(F.min("SalesOrderID"), F.max("SalesOrderID")).first()
+    near = history.select("SalesOrderID").where(F.col("SalesOrderID").between(F.lit(lo), F.lit(hi)))
+    return near.join(ids, "SalesOrderID", "left_semi").distinct()
+
+
+def daily_load(store: TableStore, batch: str) -> DataFrame:
+    """Guard, then headers, lines and staging flags in one commit; returns the audit rows.
 
-    helper_path = files.write_table(build_headers(store.read("orders_temp"), store.read("daily_details_temp")),
-                                    f"{work_dir.rstrip('/')}/orderheader_temp")
-    headers = spark.read.parquet(helper_path)
+    The rebuilt headers are written once (used by the guard, the lines and the flag update) so the staging
+    data is read once and the lineage is cut.
+    """
+    spark = store.spark
+    hist_h, hist_d, staged = store.read("header"), store.read("detail"), store.read("orders_temp")
+    lines = store.read("daily_details_temp")
+    if store.has_batch(batch):
+        raise DuplicateLoadError(f"batch {batch} is loaded already; reset before reloading")
+    helper = files.overwrite(build_headers(staged, lines), f"{store.root}/orderheader_temp/{batch}")
+    headers = spark.read.parquet(helper)
 
     # Q4 guard: any rebuilt order already in history stops the load.
-    if headers.join(hist_h.select("SalesOrderID"), "SalesOrderID", "left_semi").limit(1).count() > 0:
+    if not known_ids(hist_h, headers).isEmpty():
         raise DuplicateLoadError("staged orders are already in the history; reset before reloading")
 
-    seg_h = store.append("header", headers.select(*[c for c in HEADER_COLS if c != "modified_date"],
-                                                  F.lit(None).cast("date").alias("modified_date")))
-    seg_d = store.append("detail", loaded_details(store.read("daily_details_temp"), headers))
-    store.replace("orders_temp", mark(store.read("orders_temp"), headers, True))
-
-    after = audit_counts([("header", "after", store.read("header")), ("detail", "after", store.read("detail"))])
-    before_df = spark.createDataFrame([tuple(r) for r in before_counts], "TableName string, Stage string, Rows long")
-    return LoadResult(helper_path, before_df.unionByName(after), {"header": seg_h, "detail": seg_d})
+    store.commit(batch, append={"header": header_rows(headers), "detail": loaded_details(lines, headers)},
+                 replace={"orders_temp": mark(staged, headers, True)})
+    return audit_counts([("header", "before", hist_h), ("detail", "before", hist_d),
+                         ("header", "after", store.read("header")), ("detail", "after", store.read("detail"))])
 
 
-def daily_gate(store: TableStore, as_of, work_dir: str) -> DataFrame:
+def daily_gate(store: TableStore, as_of, batch: str) -> DataFrame:
     """Load only when today's pending staged orders exist; returns the decision row."""
     spark = store.spark
     n = pending_today(store.read("orders_temp"), as_of).count()
     if n > 0:
-        daily_load(store, work_dir)
+        daily_load(store, batch)
         action = "loaded"
     else:
         action = "no data for today"
@@ -169,17 +198,18 @@ def daily_gate(store: TableStore, as_of, work_dir: str) -> DataFrame:
         .select(as_date(as_of).alias("AsOf"), "PendingRows", "Action")
 
 
-def daily_reset(store: TableStore, load: LoadResult) -> None:
-    """Remove the loaded orders (details first, then headers) and un-flag them in staging.
+def daily_reset(store: TableStore, batch: str) -> bool:
+    """Remove a batch's orders and lines and un-flag its orders in staging, in one commit.
 
-    The duplicate guard ensured the history held none of the loaded order keys,
-    so the load's own segments hold exactly the rows to delete: dropping them is
-    the DELETE ... JOIN of the reference without rewriting the history.
+    Works from any session that opens the store. The duplicate guard ensured that the history held none of
+    the batch's order keys, so its segments hold exactly the rows to delete and no history is rewritten.
+    False if the store holds no such batch.
     """
-    keys = store.spark.read.parquet(load.helper).select("SalesOrderID")
-    store.drop_segments("detail", [load.segments["detail"]])
-    store.drop_segments("header", [load.segments["header"]])
-    store.replace("orders_temp", mark(store.read("orders_temp"), keys, False))
+    if not store.has_batch(batch):
+        return False
+    keys = store.segment("header", batch).select("SalesOrderID")
+    store.commit(f"{batch}-reset", replace={"orders_temp": mark(store.read("orders_temp"), keys, False)}, drop=batch)
+    return True
 
 
 def table_differences(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -81,26 +81,23 @@ def _dec(v: str, t: str):
 class SalesTables:
     """Lazy DataFrames of the sales model over one data directory."""
 
-    # Tables whose size grows with the data; their scans are spread when too coarse.
-    GROWING = ("lineitem", "orders", "customer", "part", "events")
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
 
-    _shared: dict[tuple[int, str], "SalesTables"] = {}
+    _shared: dict[tuple[str, str], "SalesTables"] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "SalesTables":
         """The model for this session and directory, built once (its frames are lazy and immutable)."""
-        key = (id(spark), sf_dir.rstrip("/"))
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         if key not in cls._shared:
             cls._shared[key] = cls(spark, sf_dir)
         return cls._shared[key]
 
     def raw(self, name: str) -> DataFrame:
-        """One DataFrame per source table (schema read once), split when its scan is too coarse."""
+        """One DataFrame per source table (schema read once)."""
         if name not in self._raw:
             reader = self.spark.read
             if name in SOURCE_SCHEMAS:

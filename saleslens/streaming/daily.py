@@ -1,11 +1,9 @@
 """Structured Streaming versions of the daily load (X1) and daily revenue.
 
-X1 is exactly-once twice over: the file source's checkpoint records which
-staging files were consumed, and every micro-batch anti-joins what it would
-append against the history, so replaying a batch (after a crash between the
-append and the checkpoint commit, or a re-run with a fresh checkpoint) adds
-nothing. Headers and details are guarded separately, so a batch interrupted
-between the two appends completes the missing half on replay.
+X1 is exactly-once: the file source's checkpoint records which staging files were consumed, a
+micro-batch commits its headers and lines with one manifest under a name made from the checkpoint and
+the epoch, and a batch that is committed already is passed over. A run with a fresh checkpoint reads the
+files again, but orders that the history holds are left out, so it adds nothing.
 """
 
 from __future__ import annotations
@@ -24,55 +22,48 @@ def stage_batch(orders_temp: DataFrame, details_temp: DataFrame, staging_root: s
     details_temp.write.mode("append").partitionBy("modified_date").parquet(f"{root}/details")
 
 
-def _load_micro_batch(store: daily.TableStore, staging_root: str, work_root: str):
+def _load_micro_batch(store: daily.TableStore, staging_root: str, work_root: str, run_id: str):
     spark = store.spark
     root = staging_root.rstrip("/")
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        orders = batch.persist()
-        try:
-            days = [r[0] for r in orders.select(F.col("modified_date").cast("date")).distinct().collect()]
-            if not days:
-                return
-            details = spark.read.parquet(f"{root}/details").where(F.col("modified_date").isin(days))
-            headers = daily.build_headers(orders, details)
-            new_h = headers.join(store.read("header").select("SalesOrderID"), "SalesOrderID", "left_anti")
-            loaded = daily.loaded_details(details, headers)
-            new_d = loaded.join(store.read("detail").select("SalesOrderID").distinct(), "SalesOrderID", "left_anti")
-            # Materialise this epoch's rows first (overwrite per epoch: a replay rewrites, never duplicates),
-            # then append from there, so no job reads and appends the same directory.
-            ep = f"{work_root.rstrip('/')}/epoch={epoch_id}"
-            files.overwrite(new_h.select(*[c for c in daily.HEADER_COLS if c != "modified_date"],
-                                         F.lit(None).cast("date").alias("modified_date")), f"{ep}/header")
-            files.overwrite(new_d, f"{ep}/detail")
-            store.append("header", spark.read.parquet(f"{ep}/header"))
-            store.append("detail", spark.read.parquet(f"{ep}/detail"))
-        finally:
-            orders.unpersist()
+        name = f"{run_id}-{epoch_id}"
+        if store.has_batch(name):           # committed before the crash; the checkpoint did not know yet
+            return
+        days = [r[0] for r in batch.select(F.col("modified_date").cast("date")).distinct().collect()]
+        if not days:
+            return
+        details = spark.read.parquet(f"{root}/details").where(F.col("modified_date").isin(days))
+        path = f"{work_root.rstrip('/')}/headers-{epoch_id}"
+        files.overwrite(daily.build_headers(batch, details), path)
+        headers = spark.read.parquet(path)
+        new = headers.join(daily.known_ids(store.read("header"), headers), "SalesOrderID", "left_anti")
+        store.commit(name, append={"header": daily.header_rows(new), "detail": daily.loaded_details(details, new)})
 
     return run
 
 
 def stream_daily_load(spark: SparkSession, store: daily.TableStore, staging_root: str, checkpoint: str,
-                      work_root: str) -> None:
-    """Consume new staging files once (availableNow) into the history tables."""
+                      work_root: str, max_files: int = 1000) -> None:
+    """Consume new staging files once (availableNow) into the history tables.
+
+    ``max_files`` bounds the files of one micro-batch; more files make more micro-batches.
+    """
     root = staging_root.rstrip("/")
     schema = spark.read.parquet(f"{root}/orders").schema
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{root}/orders")
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{root}/orders")
            .where(~F.col("processed")))
-    q = (src.writeStream.foreachBatch(_load_micro_batch(store, staging_root, work_root))
+    run_id = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+    q = (src.writeStream.foreachBatch(_load_micro_batch(store, staging_root, work_root, run_id))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def daily_revenue_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Purchases summed per 1-day tumbling window, with a watermark bounding the state."""
-    # Event time must be a session-zone TIMESTAMP for the watermark; results are
-    # returned as wall-clock TIMESTAMP_NTZ like the input.
+def daily_revenue(events: DataFrame) -> DataFrame:
+    """Purchases summed per 1-day tumbling window."""
+    # Windows are cut in the session zone; results are wall-clock TIMESTAMP_NTZ like the input.
     return (events.where(F.col("event_type") == "purchase")
-            .withColumn("ts", F.col("ts").cast("timestamp"))
-            .withWatermark("ts", watermark)
-            .groupBy(F.window("ts", "1 day"))
+            .groupBy(F.window(F.col("ts").cast("timestamp"), "1 day"))
             .agg(F.sum("value").alias("Revenue"), F.count(F.lit(1)).alias("Purchases"))
             .select(F.col("window.start").cast("timestamp_ntz").alias("WindowStart"),
                     F.col("window.end").cast("timestamp_ntz").alias("WindowEnd"),
@@ -80,23 +71,19 @@ def daily_revenue_stream(events: DataFrame, watermark: str = "1 day") -> DataFra
 
 
 def run_daily_revenue(spark: SparkSession, source_dir: str, file_glob: str, sink: str, checkpoint: str) -> DataFrame:
-    """Run X2 to completion and return the latest value of every window.
+    """Run X2 over the new files and return every window's total.
 
-    Update mode emits a window whenever it changes; each epoch is written to its
-    own directory (a replay overwrites it), and the reader keeps the newest
-    epoch per window -- no unbounded state is kept in the sink query.
+    Each micro-batch writes its own partial sums to its epoch's directory (a replay overwrites it) and
+    the reader adds them up. No state is kept and no watermark decides, so late rows count however late.
     """
     schema = spark.read.option("pathGlobFilter", file_glob).parquet(source_dir).schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")   # "epoch" comes back as a partition column
+        daily_revenue(batch).write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
 
-    q = (daily_revenue_stream(events).writeStream.outputMode("update").foreachBatch(write)
+    q = (events.writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    out = spark.read.parquet(sink)
-    latest = F.max_by(F.struct("Revenue", "Purchases"), "epoch")
-    return (out.groupBy("WindowStart", "WindowEnd").agg(latest.alias("v"))
-               .select("WindowStart", "WindowEnd", F.round("v.Revenue", 6).alias("Revenue"),
-                       F.col("v.Purchases").alias("Purchases")))
+    return (spark.read.parquet(sink).groupBy("WindowStart", "WindowEnd")
+            .agg(F.round(F.sum("Revenue"), 6).alias("Revenue"), F.sum("Purchases").alias("Purchases")))

@@ -36,10 +36,17 @@ def test_overlap_duplicates_and_is_reported(spark):
                         right_cols=["StandardCost"])
     assert sorted(r.StandardCost for r in out.where("LineID = 5").collect()) == [3.0, 5.0]
     ov = q.overlapping_intervals(_costs(spark, overlap=True)).collect()
-    assert [(r.ProductID, r.StartDate) for r in ov] == [(20, D(2000, 1, 1))]
+    assert [(r.ProductID, r.StartDate) for r in ov] == [(20, D(2000, 2, 1))]
     assert q.overlapping_intervals(_costs(spark)).count() == 0
 
 
+def test_overlap_with_an_interval_that_is_not_the_direct_predecessor(spark):
+    rows = [(1, D(2000, 1, 1), D(2000, 12, 31)), (1, D(2000, 2, 1), D(2000, 2, 2)), (1, D(2000, 6, 1), D(2000, 6, 30)),
+            (1, D(2001, 1, 1), None), (1, D(2030, 1, 1), D(2030, 1, 2)), (2, D(2000, 3, 1), D(2000, 3, 2))]
+    ov = q.overlapping_intervals(spark.createDataFrame(rows, "ProductID long, StartDate date, EndDate date")).collect()
+    assert sorted(r.StartDate for r in ov) == [D(2000, 2, 1), D(2000, 6, 1), D(2030, 1, 1)]
+
+
 OFFERS = "SpecialOfferID int, MinQty int, MaxQty int, UnitPriceDiscount decimal(10,4)"
 
 

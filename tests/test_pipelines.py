@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from saleslens.catalog.pipelines import current_pairs, staged_store
+from saleslens.catalog.pipelines import current_pairs, loaded_fact, staged_store
 from saleslens.plans import daily, model
 from saleslens.plans import monitoring as mon
 from saleslens.sources.fixtures import SalesTables
@@ -16,12 +16,13 @@ from conftest import SF_SMALL
 def test_same_batch_twice_raises_and_adds_nothing(spark, work):
     t = SalesTables(spark, SF_SMALL)
     store = staged_store(spark, t)
-    daily.daily_load(store, work("load1"))
+    daily.daily_load(store, "load1")
     n_h, n_d = store.read("header").count(), store.read("detail").count()
     # a second batch of the very same orders (un-flagged again) must be refused
-    store.replace("orders_temp", store.read("orders_temp").withColumn("processed", F.lit(False)))
-    with pytest.raises(daily.DuplicateLoadError):
-        daily.daily_load(store, work("load2"))
+    store.commit("unflag", replace={"orders_temp": store.read("orders_temp").withColumn("processed", F.lit(False))})
+    for batch in ("load1", "load2"):
+        with pytest.raises(daily.DuplicateLoadError):
+            daily.daily_load(store, batch)
     assert (store.read("header").count(), store.read("detail").count()) == (n_h, n_d)
 
 
@@ -30,7 +31,7 @@ def test_orders_without_details_stay_unprocessed(spark, work):
     store = staged_store(spark, t)
     before = {r.SalesOrderID: r.processed for r in store.read("orders_temp").collect()}
     with_lines = {r.SalesOrderID for r in store.read("daily_details_temp").select("SalesOrderID").distinct().collect()}
-    daily.daily_load(store, work("load"))
+    daily.daily_load(store, "load")
     after = {r.SalesOrderID: r.processed for r in store.read("orders_temp").collect()}
     for oid, was in before.items():
         assert after[oid] == (was or oid in with_lines)
@@ -39,13 +40,45 @@ def test_orders_without_details_stay_unprocessed(spark, work):
 def test_roundtrip_restores_tables(spark, work):
     t = SalesTables(spark, SF_SMALL)
     store = staged_store(spark, t)
-    res = daily.daily_load(store, work("load"))
-    daily.daily_reset(store, res)
+    daily.daily_load(store, "load")
+    store = staged_store(spark, t, store.root)      # as another session would open it
+    assert daily.daily_reset(store, "load") and not daily.daily_reset(store, "load")
     assert daily.table_differences(t.header_hist.select(*daily.HEADER_COLS), store.read("header")).count() == 0
     assert daily.table_differences(t.detail_hist.select(*daily.DETAIL_COLS), store.read("detail")).count() == 0
     assert daily.table_differences(t.orders_temp, store.read("orders_temp")).count() == 0
 
 
+def test_load_that_fails_half_way_leaves_nothing_and_can_run_again(spark, work, monkeypatch):
+    t = SalesTables(spark, SF_SMALL)
+    whole = staged_store(spark, t)
+    daily.daily_load(whole, "load")
+    store = staged_store(spark, t)
+    n_h = store.read("header").count()
+    write = daily.TableStore._write
+
+    def fail(self, name, *args):
+        if name == "detail":
+            raise OSError("lost")
+        return write(self, name, *args)
+    with monkeypatch.context() as m:
+        m.setattr(daily.TableStore, "_write", fail)
+        with pytest.raises(OSError):
+            daily.daily_load(store, "load")
+    store = staged_store(spark, t, store.root)
+    assert store.read("header").count() == n_h and not store.has_batch("load")
+    daily.daily_load(store, "load")
+    for name in ("header", "detail", "orders_temp"):
+        assert daily.table_differences(whole.read(name), store.read(name)).count() == 0
+
+
+def test_monitoring_sees_orders_loaded_after_the_snapshot(spark):
+    t = SalesTables(spark, SF_SMALL)
+    as_of = dt.date(2001, 8, 1)
+    before = current_pairs(t, as_of).agg(F.sum("CurrentRevenue")).first()[0]
+    after = current_pairs(t, as_of, loaded_fact(spark, t)).agg(F.sum("CurrentRevenue")).first()[0]
+    assert after > before
+
+
 def test_monitoring_zero_vs_null(spark):
     t = SalesTables(spark, SF_SMALL)
     as_of = dt.date(2001, 8, 1)
