@@ -1,14 +1,16 @@
-"""Helpers that the operators share: reading, words, work tables, key hashes."""
+"""Helpers that the operators share: reading, words, work tables, key hashes, worker memory."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,36 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_held: dict[str, dict] = {}
+
+
+def release() -> None:
+    """Lets go this Python worker's caches and gives freed memory back to the system. Workers live on between
+    stages, and what they or their allocators keep counts against the executor while other stages run."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def worker_cache(name: str) -> dict:
+    """This worker's cache of one operator; taking it up lets go those of others."""
+    if name not in _held:
+        release()
+        _held[name] = {}
+    return _held[name]
+
+
+def tidy(fn: Callable) -> Callable:
+    """fn over batches, with the worker's memory given back before and after."""
+    def run(batches):
+        release()
+        yield from fn(batches)
+        release()
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

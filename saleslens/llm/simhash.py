@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, lower_words, prepare, written
+from saleslens.llm.common import clean, lower_words, prepare, tidy, written
 from saleslens.llm.components import components
 
 BITS = 64
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             fp = np.array([fingerprint(t, shingle) for t in clean(pdf["text"])], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp})
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInPandas(run, "doc_id long, fp long")
+        .mapInPandas(tidy(run), "doc_id long, fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -162,7 +162,7 @@ def near_links(fps: DataFrame, radius: int) -> DataFrame:
         if held is not None and len(held) and (out := done(held.reset_index(drop=True))) is not None:
             yield out
     order = ["task", "t", "key", "p", "q"]
-    return dealt.repartition("task").sortWithinPartitions(*order).mapInPandas(compare, "a long, b long").distinct()
+    return dealt.repartition("task").sortWithinPartitions(*order).mapInPandas(tidy(compare), "a long, b long").distinct()
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:

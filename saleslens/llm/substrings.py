@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, prepare, words, written
+from saleslens.llm.common import clean, prepare, tidy, words, written
 
 U = np.uint64
 WINDOW = 35
@@ -223,9 +223,9 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
 
     def types(cols):
         return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in cols)
-    thinned = rows.mapInArrow(thin, types(all_names) + ", kind tinyint")
+    thinned = rows.mapInArrow(tidy(thin), types(all_names) + ", kind tinyint")
     deal = F.when(F.col("kind") == 1, F.xxhash64(*names)).otherwise(F.col(key[0]))
-    return thinned.repartition(deal).sortWithinPartitions(*key).mapInArrow(check, types(names))
+    return thinned.repartition(deal).sortWithinPartitions(*key).mapInArrow(tidy(check), types(names))
 
 
 # ------------------------------------------------------------------ the operator
@@ -242,7 +242,7 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
             d = v.doc[a]
             yield pd.DataFrame({"h": v.h_quarter[a].view(np.int64), "to_right": to.view(np.int64), "to_left": fro.view(np.int64),
                                 "sides": (right + 2 * left).astype(np.int8), "k1": pdf["k1"].to_numpy()[d], "a": (a - v.begins[d]).astype(np.int32)})
-    return texts.mapInPandas(run, "h long, to_right long, to_left long, sides tinyint, k1 long, a int")
+    return texts.mapInPandas(tidy(run), "h long, to_right long, to_left long, sides tinyint, k1 long, a int")
 
 
 def _last_level(cand: DataFrame, window: int) -> DataFrame:
@@ -261,7 +261,7 @@ def _last_level(cand: DataFrame, window: int) -> DataFrame:
                 d = v.doc[s]
                 yield pd.DataFrame({"h": whole.view(np.int64), "g": other, "id": pdf["id"].to_numpy()[d],
                                     "s": (s - v.begins[d]).astype(np.int32)})
-    return cand.mapInPandas(run, "h long, g int, id long, s int")
+    return cand.mapInPandas(tidy(run), "h long, g int, id long, s int")
 
 
 def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -314,7 +314,7 @@ def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
                 out.append((len(ws) - len(left), joined([ws[i] for i in left])))
             yield pd.DataFrame({"k1": pdf["k1"], "k2": pdf["k2"], "n_removed": [x[0] for x in out], "kept_text": [x[1] for x in out]})
     changed = (cand.where("not whole").join(covered, "id").select("k1", "k2", "text", "starts")
-               .mapInPandas(keep, "k1 long, k2 long, n_removed long, kept_text string"))
+               .mapInPandas(tidy(keep), "k1 long, k2 long, n_removed long, kept_text string"))
     # A repeated row (same doc_id, same text) is a copy, so a key has one changed row at most.
     return copies, written(changed, "changed")
 
@@ -337,7 +337,7 @@ def word_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "k1": pdf["k1"], "k2": pdf["k2"], "n_words": [len(x) for x in ws],
                                 "own": [hashlib.sha256(b" ".join(x)).hexdigest() for x in ws]})
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .select("doc_id", "text", *key_of("text")).mapInPandas(own, "doc_id long, k1 long, k2 long, n_words long, own string"))
+            .select("doc_id", "text", *key_of("text")).mapInPandas(tidy(own), "doc_id long, k1 long, k2 long, n_words long, own string"))
     gone = F.col("copies").isNotNull() & (F.col("n_words") >= window)
     return (rows.join(copies.select("k1", "k2", "copies"), ["k1", "k2"], "left")
             .join(changed.select("k1", "k2", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("sha")), ["k1", "k2"], "left")
@@ -360,7 +360,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Which of the copied texts are long enough is asked of one copy each.
     gone = (docs.select("doc_id", F.col("text").cast("string").alias("text")).select("doc_id", "text", *key_of("text"))
             .join(copies, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("chosen"))).select("k1", "k2", "text")
-            .mapInPandas(empty, "k1 long, k2 long").distinct().select("k1", "k2", F.lit("").alias("kept_text")))
+            .mapInPandas(tidy(empty), "k1 long, k2 long").distinct().select("k1", "k2", F.lit("").alias("kept_text")))
     new = changed.select("k1", "k2", "kept_text").unionByName(gone) \
         .select(F.col("k1").alias("__sd_k1"), F.col("k2").alias("__sd_k2"), F.col("kept_text").alias("__sd_text"))
     k1, k2 = key_of("text")

@@ -14,12 +14,13 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
+from saleslens.llm.common import worker_cache
+
 #: Parts whose ids a worker keeps: a bound on memory (about 200 bytes each), not on what is encoded.
 REMEMBERED = 800_000
 _WHOLE = re.compile(r"\s\s|^\s|\s\Z")
 MARK = "~"
 _PUNCTUATION = ".,;:!?%*#$&|"
-_encoders: dict[str, "Encoder"] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,9 +29,10 @@ def tokenizer_path(name: str) -> str:
 
 
 def encoder(path: str) -> "Encoder":
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    held = worker_cache("tokens")
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 class Encoder:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, fold_column, prepare, written
+from saleslens.llm.common import clean, fold_column, prepare, worker_cache, written
 
 #: Labelled documents that the fit reads, by label: clean words are told from toxic ones by clean documents, so more of those.
 SAMPLE = {0: 3500, 1: 1400}
@@ -146,12 +146,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.calibration, -50, 50)))
 
 
-_known: dict[int, dict[str, float]] = {}
-
-
 def highest(texts: list[str | None], model: Model, key: int) -> np.ndarray:
     """The TOP highest word values of each text (of distinct words), in falling order; the bias stands for missing words."""
-    known = _known.setdefault(key, {})
+    known = worker_cache("toxicity").setdefault(key, {})
     each = [units(t) for t in texts]
     new = list(set().union(*each) - known.keys()) if each else []
     fresh = dict(zip(new, model.raw(new).tolist()))
@@ -305,7 +302,7 @@ def fit(labelled: DataFrame, rounds: int = 3) -> Model | None:
     def tops(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             h = highest(clean(pdf["text"]), share_model.value, 0)
-            _known.pop(0, None)
+            worker_cache("toxicity").pop(0, None)
             yield pd.DataFrame({"a": h[:, 0], "b": h.mean(axis=1), "y": pdf["toxic"].to_numpy()})
     kept = labelled.where("part = 1")
     if kept.groupBy("toxic").count().count() < 2:
