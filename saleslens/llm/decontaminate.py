@@ -4,8 +4,11 @@ A document is contaminated by an item if some window of it, as many words long a
 shingle similarity of ``SIMILARITY`` or more with the item: shingles of five lower-case words, weighted by how
 often they occur, sum of the smaller over sum of the larger weights.
 
-Windows are laid where a document shares a shingle with an item, in the position that puts the two on top of
-each other: a window that shares none has similarity zero. Each window's SimHash is compared with those of
+Windows start at each place where a document shares a shingle with an item of that size, or end with the document.
+These are enough for the highest similarity: a window that starts on a shingle of no item can move on to the next
+shared one, or to the document's end, and loses nothing shared. In whatever order the parts of a passage stand, the window
+that covers them is laid. Of these, windows with too few shared places to reach ``SIMILARITY`` are left out, which is
+exact, too. Each window's SimHash is compared with those of
 the items of its size by a multi-index: 64 bits are cut into ``RADIUS`` + 1 blocks, and two fingerprints that
 differ in at most RADIUS bits agree in a block. Pairs within the radius are then checked exactly. At a similarity of
 0.8 the two shingle vectors are 27 degrees apart, some 10 bits of 64; the radius is 20.
@@ -62,6 +65,16 @@ def similarity(a: str, b: str) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def window_starts(places: Column, n: Column, m: Column) -> Column:
+    """Starts of the windows of m words in a text of n that can reach SIMILARITY, from the sorted places of shared shingles."""
+    a, b = F.greatest(F.least(n, m) - (SHINGLE - 1), F.lit(1)), F.greatest(m - (SHINGLE - 1), F.lit(1))
+    least = F.greatest(F.ceil(SIMILARITY * (a + b) / (1 + SIMILARITY) - 1e-6).cast("int"), F.lit(1))
+    last = F.greatest(n - m, F.lit(0))
+    # The window has enough places if the least-th from its first lies in it, too.
+    inner = F.filter(places, lambda p, i: (p < last) & (F.get(places, i + least - 1) < p + a))
+    return F.when(F.get(places, F.size(places) - least) >= last, F.concat(inner, F.array(last))).otherwise(inner)
+
+
 def _small(df: DataFrame) -> DataFrame:
     """A written table, marked for broadcast if it has BROADCAST_ROWS rows at most."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
@@ -73,11 +86,12 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_array(F.col("text").cast("string")).alias("w"))
                     .where("size(w) > 0").withColumns({"m": F.size("w"), "hi": shingle_hashes("w")}).drop("w")
                     .withColumn("fi", simhash("hi")), "items")
-    seeds = _small(written(items.select("m", F.posexplode("hi").alias("q", "h")).distinct(), "seeds"))
+    seeds = _small(written(items.select("m", F.explode("hi").alias("h")).distinct(), "seeds"))
     keyed = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").select("text", *key_of("text"))
     with_words = keyed.select("k1", "k2", word_array(F.col("text")).alias("w")).where("size(w) > 0")
     at = with_words.select("k1", "k2", F.size("w").alias("n"), F.posexplode(shingle_hashes("w")).alias("p", "h"))
-    starts = (at.join(seeds, "h").select("k1", "k2", "m", F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("n") - F.col("m"))).alias("start")).distinct())
+    places = at.join(seeds, "h").groupBy("k1", "k2", "n", "m").agg(F.array_sort(F.collect_set("p")).alias("places"))
+    starts = places.select("k1", "k2", "m", F.explode(window_starts(F.col("places"), F.col("n"), F.col("m"))).alias("start"))
     starts = written(starts, "starts")
     texts = keyed.join(_small(written(starts.select("k1", "k2").distinct(), "keys")), ["k1", "k2"], "left_semi") \
         .dropDuplicates(["k1", "k2"]).select("k1", "k2", word_array(F.col("text")).alias("w"))

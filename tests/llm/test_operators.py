@@ -234,6 +234,27 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df, empty(spark, "item_id long, text string")).count() == 0
 
 
+def test_decontamination_lays_every_window(spark):
+    """Passages whose parts stand in another order, against a comparison of all windows."""
+    item = [f"b{i}" for i in range(55)]
+    rows = [(k, [f"d{k}x{i}" for i in range(before)] + item[moved:] + item[:moved] + [f"e{k}x{i}" for i in range(after)])
+            for k, (moved, before, after) in enumerate([(20, 100, 100), (27, 100, 100), (27, 0, 60), (20, 60, 0), (20, 0, 0)])]
+    # Half of the item only, and a document shorter than it.
+    rows += [(8, [*item[:30], *(f"z{i}" for i in range(100))]), (9, item[2:])]
+
+    def shingles(w):
+        return Counter(tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1)))
+
+    def similarity(a, b):
+        common = sum((a & b).values())
+        return common / (a.total() + b.total() - common)
+    best = {k: max(similarity(shingles(w[s:s + 55]), shingles(item)) for s in range(max(len(w) - 54, 1))) for k, w in rows}
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: round(r.similarity, 6) for r in decontaminate.contaminated(df, bench).collect()}
+    assert got == {k: round(v, 6) for k, v in best.items() if v >= 0.8} and {0, 1, 2, 3, 4, 9} == set(got)
+
+
 def test_forward_is_exact_and_counts_sum():
     k, s = 3, hmm.SYMBOLS
     rng = np.random.default_rng(0)
