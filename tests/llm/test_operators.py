@@ -200,6 +200,19 @@ def test_html_repeated_runs(spark):
     assert html_extract.extract(empty(spark, "page_id long, url string, html string")).count() == 0
 
 
+def test_html_copies_and_quotes_keep_their_text(spark):
+    boiler = "subscribe to our weekly letter and never miss a single story again"
+    own = ["one page that stands under several urls of its host and is no boilerplate", *(f"{w} has text" for w in ("alpha", "beta", "gamma"))]
+    quote = "a paragraph of more than eight words that a second page quotes whole"
+    rows = [(i, f"http://copies.example/{i}", f"<p>{own[0]}</p>") for i in range(4)]
+    rows += [(10 + i, f"http://h.example/{i}", f"<div><p>{boiler}</p><p>{t}</p></div>") for i, t in enumerate(own)]
+    rows += [(20 + i, f"http://h.example/q{i}", f"<p>{quote}</p><p>{i}</p>") for i in range(2)]
+    rows += [(30, "http://h.example/again", rows[4][2])]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {i: own[0] for i in range(4)} | {10 + i: t for i, t in enumerate(own)} | {20: f"{quote}\n0", 21: f"{quote}\n1", 30: own[0]}
+    assert got == want
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((200, 16))
