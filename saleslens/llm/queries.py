@@ -100,7 +100,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from saleslens.llm.warc import read_archives, write_archives
     from saleslens.session import fresh_dir
     folder = fresh_dir(spark, "warc")
-    found = read_archives(write_archives(table(spark, sf_dir, "pages"), folder), folder)
+    found = read_archives(write_archives(table(spark, sf_dir, "pages"), folder), folder, whole=True)
     return found.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

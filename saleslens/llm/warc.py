@@ -27,8 +27,8 @@ from saleslens.session import fresh_dir
 
 #: Payloads below this many bytes are always stored.
 LEAST = 1000
-#: Bytes of one record at most; a longer one is taken for damage.
-LONGEST = 1 << 30
+#: Bytes of one block at most; a longer one is taken for damage. A value of Spark's is below 2 GiB, so all that is written fits.
+LONGEST = (1 << 31) + (1 << 20)
 CHUNK = 1 << 20
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -99,18 +99,25 @@ class _Window:
         self.buf += part
         return bool(part)
 
+    def reach(self, size: int) -> bool:
+        """Reads on to so many bytes, or the end; whether there are more than before."""
+        before = len(self.buf)
+        while len(self.buf) < size and self.more():
+            pass
+        return len(self.buf) > before
+
     def upto(self, at: int) -> None:
         del self.buf[:at - self.start]
         self.start = at
 
 
 def _parse(data: bytes | bytearray, at: int) -> tuple[Record | None, int, str]:
-    """A record at the start of data, how many bytes it takes, and why not; a length of -1: more bytes are needed."""
+    """A record at the start of data, how many bytes it takes, and why not; a length below 0: so many bytes are needed."""
     if not VERSION.match(data):
-        return None, (-1 if len(data) < 10 and b"WARC/1.1\r\n".startswith(bytes(data[:7])) else 0), "no version line"
-    end = data.find(b"\r\n\r\n", 0, 1 << 16)
+        return None, (-10 if len(data) < 10 and b"WARC/1.1\r\n".startswith(bytes(data[:7])) else 0), "no version line"
+    end = data.find(b"\r\n\r\n")
     if end < 0:
-        return None, -1 if len(data) < 1 << 16 else 0, "header without an end"
+        return None, -2 * len(data), "header without an end"
     head = {}
     for line in bytes(data[:end]).split(b"\r\n")[1:]:
         k, colon, v = line.partition(b":")
@@ -122,7 +129,7 @@ def _parse(data: bytes | bytearray, at: int) -> tuple[Record | None, int, str]:
     if n > LONGEST:
         return None, 0, "too long"
     if len(data) < end + 4 + n + 4:
-        return None, -1, "cut short"
+        return None, -(end + 8 + n), "cut short"
     block = bytes(data[end + 4:end + 4 + n])
     if data[end + 4 + n:end + 8 + n] != b"\r\n\r\n":
         return None, 0, "no end mark after the block"
@@ -134,6 +141,14 @@ def _parse(data: bytes | bytearray, at: int) -> tuple[Record | None, int, str]:
     return r, end + 8 + n, ""
 
 
+def _next(w: _Window) -> tuple[Record | None, int, str]:
+    """The record at the window's start, read on as far as it needs."""
+    r, n, why = _parse(w.buf, w.start)
+    while r is None and n < 0 and w.reach(-n):
+        r, n, why = _parse(w.buf, w.start)
+    return r, n, why
+
+
 def _member(w: _Window) -> tuple[bytes | None, int, str]:
     """The gzip member at the window's start: its bytes, how long it is there, and why not."""
     d, out, used = zlib.decompressobj(31), [], 0
@@ -185,9 +200,7 @@ def read_warc(stream) -> Iterator[Record | Gap]:
                         w.upto(w.start + size)
                         continue
         else:
-            r, n, why = _parse(w.buf, w.start)
-            while r is None and n == -1 and len(w.buf) < LONGEST and w.more():
-                r, n, why = _parse(w.buf, w.start)
+            r, n, why = _next(w)
             if r is not None:
                 found, size = [r], n
         if found:
@@ -255,25 +268,28 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
                    .mapInPandas(run, "shard int, path string, n long"), "manifest")
 
 
-def read_archives(manifest: DataFrame, folder: str = "") -> DataFrame:
+def read_archives(manifest: DataFrame, folder: str = "", whole: bool = False) -> DataFrame:
     """(kind, page_id, url, payload_bytes, payload_digest, record_type, refers_to, path, at, to, reason) of each record (kind
-    'record') and each quarantined gap (kind 'gap')."""
+    'record') and each quarantined gap (kind 'gap'). whole: fails if an archive has other than the manifest's n records."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path in pdf["path"]:
+            for path, n in zip(pdf["path"], pdf["n"] if whole else [None] * len(pdf)):
                 store = fs.FileSystem.from_uri(folder)[0] if ":" in folder else fs.LocalFileSystem()
-                rows = []
+                rows, records = [], 0
                 with store.open_input_stream(path, compression=None) as f:
                     for x in read_warc(f):
                         if isinstance(x, Gap):
                             rows.append(("gap", None, None, None, None, None, None, path, x.at, x.to, x.reason))
                         else:
+                            records += 1
                             page, to = x.head.get("x-page-id"), x.head.get("x-refers-to-page-id")
                             rows.append(("record", page and int(page), x.head.get("warc-target-uri"), x.payload_bytes, x.payload_hex,
                                          x.head.get("warc-type"), to and int(to), path, x.at, None, None))
                         if len(rows) == 5000:
                             yield _frame(rows)
                             rows = []
+                if whole and records != n:
+                    raise ValueError(f"{path}: {records} records read, {n} written")
                 yield _frame(rows)
     return manifest.repartition(max(1, manifest.count())).mapInPandas(
         run, "kind string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "

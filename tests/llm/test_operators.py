@@ -181,6 +181,17 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(warc.write_archives(empty(spark, "page_id long, url string, html string"))).count() == 0
 
 
+def test_warc_long_headers(spark):
+    url = "http://h/" + " \n" * 50_000
+    recs = [warc.record(1, url, b"a" * 50, None), warc.record(2, "http://h/2", b"b" * 50, None)]
+    got = list(warc.read_warc(io.BytesIO(b"".join(recs))))
+    assert [x.head["x-page-id"] for x in got] == ["1", "2"] and len(got[0].head["warc-target-uri"]) == 9 + 300_000
+    manifest = warc.write_archives(spark.createDataFrame([(1, url, "x"), (2, "u", "y")], "page_id long, url string, html string"))
+    assert sorted((r.kind, r.page_id) for r in warc.read_archives(manifest, whole=True).collect()) == [("record", 1), ("record", 2)]
+    with pytest.raises(Exception, match="records read"):
+        warc.read_archives(manifest.withColumn("n", F.col("n") + 1), whole=True).collect()
+
+
 def test_html_structure():
     page = ("<html><head><title>t</title></head><body><nav><a>Menu</a></nav><div class='cookie-notice'>Accept</div><article><h1>A &amp; B</h1>"
             "<p>One<br>two  <b>three</p><script>var a='</p>'</script><aside>side</aside><div class=\"share-buttons\">Share</div>"
