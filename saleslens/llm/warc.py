@@ -3,7 +3,9 @@
 A record is one gzip member. The reader checks each: the member's own checksum, the version line, the
 content length, the block digest and, for responses, the payload digest. After a failed check it searches
 for the next place where a valid member (or, in plain archives, a version line) starts, goes on from there,
-and logs the bytes between as a quarantined gap.
+and logs the bytes between as a quarantined gap. Members may hold several records, as in archives compressed as a
+whole: they are unpacked as a stream and searched for the next version line in the same way. What was
+unpacked before a member's error stays if it is valid; a member's only record needs the member's checksum, too.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from saleslens.session import fresh_dir
 LEAST = 1000
 #: Bytes of one block at most; a longer one is taken for damage. A value of Spark's is below 2 GiB, so all that is written fits.
 LONGEST = (1 << 31) + (1 << 20)
-CHUNK = 1 << 20
+#: Bytes read at a time, and packed bytes unpacked at a time.
+CHUNK, PIECE = 1 << 20, 1 << 14
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -149,28 +152,69 @@ def _next(w: _Window) -> tuple[Record | None, int, str]:
     return r, n, why
 
 
-def _member(w: _Window) -> tuple[bytes | None, int, str]:
-    """The gzip member at the window's start: its bytes, how long it is there, and why not."""
-    d, out, used = zlib.decompressobj(31), [], 0
-    total = 0
+class _Member:
+    """The gzip member at the start of a window as a stream of its unpacked bytes, up to its end or first error (``why``)."""
+
+    def __init__(self, w: _Window):
+        self.w, self.d, self.at, self.before, self.start, self.safe = w, zlib.decompressobj(31), w.start, w.start, w.start, w.start
+        self.why = self.lost = ""
+
+    @property
+    def end(self) -> int:
+        return self.at - len(self.d.unused_data)
+
+    def read(self, _size: int) -> bytes:
+        while not self.d.eof and not self.why:
+            i = self.at - self.w.start
+            if i == len(self.w.buf) and not self.w.more():
+                self.why = "member cut short"
+                break
+            part = bytes(self.w.buf[i:i + PIECE])
+            again = zlib.decompressobj(31) if self.at == self.start else self.d.copy()
+            self.before, self.at = self.at, self.at + len(part)
+            try:
+                got = self.d.decompress(part)
+            except zlib.error as e:
+                self.why, got = f"member: {e}", b"".join(_till_error(again, part))
+            if got:
+                return got
+        return b""
+
+    def records(self) -> Iterator[Record]:
+        """Valid records; ``lost`` says what failed first between them, ``safe`` up to where the raw bytes are surely the member's."""
+        v, some = _Window(self), False
+        while v.buf or v.more():
+            r, n, why = _next(v)
+            if r is not None:
+                v.upto(v.start + n)
+                r.at, safe = self.start, self.before
+                alone = not some and not (v.buf or v.more())
+                if alone and self.why:
+                    return
+                some, self.safe = True, safe
+                self.w.upto(max(safe, self.w.start))
+                yield r
+                continue
+            self.lost = self.lost or why
+            while (m := v.buf.find(b"WARC/1.", 1)) < 0:
+                v.upto(v.start + max(0, len(v.buf) - 8))
+                if not v.more():
+                    return
+            v.upto(v.start + m)
+
+
+def _till_error(d, part: bytes) -> Iterator[bytes]:
+    """What can be unpacked of part before its error."""
     try:
-        while not d.eof:
-            if used == len(w.buf) and not w.more():
-                return None, 0, "member cut short"
-            part = bytes(w.buf[used:used + CHUNK])
-            used += len(part)
-            got = d.decompress(part)
-            total += len(got)
-            if total > LONGEST:
-                return None, 0, "too long"
-            out.append(got)
-    except zlib.error as e:
-        return None, 0, f"member: {e}"
-    return b"".join(out), used - len(d.unused_data), ""
+        for i in range(len(part)):
+            yield d.decompress(part[i:i + 1])
+    except zlib.error:
+        return
 
 
 def read_warc(stream) -> Iterator[Record | Gap]:
-    """Valid records in order, and the gaps between them. Plain and compressed records may be mixed."""
+    """Valid records in order, and the gaps between them. Plain and compressed records may be mixed. A gap in a member of
+    several records has the member's place (after an error, its place from the last valid record on) and follows them."""
     w = _Window(stream)
     bad: tuple[int, str] | None = None
     while True:
@@ -179,42 +223,38 @@ def read_warc(stream) -> Iterator[Record | Gap]:
             continue
         if not w.buf:
             break
-        found: list[Record] = []
-        size, why = 0, "neither a member nor a version line"
+        skip = 1
         if w.buf.startswith(MEMBER):
-            data, size, why = _member(w)
-            if data is not None:
-                pos = 0
-                while pos < len(data):
-                    r, n, why = _parse(data[pos:] if pos else data, w.start)
-                    if r is None:
-                        break
-                    found.append(r)
-                    pos += n
-                if pos < len(data):
-                    # What a member holds besides valid records is lost with no place of its own.
-                    size = 0 if not found else size
-                    if found:
-                        yield from found
-                        yield Gap(w.start, w.start + size, why)
-                        w.upto(w.start + size)
-                        continue
+            m, some = _Member(w), False
+            for r in m.records():
+                if bad:
+                    yield Gap(bad[0], m.start, bad[1])
+                    bad = None
+                some = True
+                yield r
+            if not m.why:
+                if some and m.lost:
+                    yield Gap(m.start, m.end, m.lost)
+                elif not some:
+                    bad = bad or (m.start, m.lost or "no record")
+                w.upto(m.end)
+                continue
+            bad = bad or (m.safe, m.why)
+            skip = 0 if w.start > m.start else 1
         else:
             r, n, why = _next(w)
             if r is not None:
-                found, size = [r], n
-        if found:
-            if bad:
-                yield Gap(bad[0], w.start, bad[1])
-                bad = None
-            yield from found
-            w.upto(w.start + size)
-            continue
-        bad = bad or (w.start, why)
+                if bad:
+                    yield Gap(bad[0], w.start, bad[1])
+                    bad = None
+                yield r
+                w.upto(w.start + n)
+                continue
+            bad = bad or (w.start, why)
         while True:                      # the next place where a record may start
-            m = min((i for i in (w.buf.find(MEMBER, 1), w.buf.find(b"WARC/1.", 1)) if i > 0), default=-1)
-            if m > 0:
-                w.upto(w.start + m)
+            at = min((i for i in (w.buf.find(MEMBER, skip), w.buf.find(b"WARC/1.", skip)) if i >= 0), default=-1)
+            if at >= 0:
+                w.upto(w.start + at)
                 break
             w.upto(w.start + max(0, len(w.buf) - 8))
             if not w.more():

@@ -181,6 +181,34 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(warc.write_archives(empty(spark, "page_id long, url string, html string"))).count() == 0
 
 
+def test_warc_salvage_in_members():
+    rng = random.Random(5)
+    recs = [warc.record(i, f"http://h/{i}", rng.randbytes(40_000), None) for i in range(6)]
+    small = [warc.record(i, f"http://h/{i}", bytes([65 + i]) * 50, None) for i in range(6)]
+
+    def member(data):
+        z = zlib.compressobj(6, zlib.DEFLATED, 31)
+        return z.compress(data) + z.flush()
+
+    def read(data):
+        got = list(warc.read_warc(io.BytesIO(data)))
+        return [int(x.head["x-page-id"]) for x in got if isinstance(x, warc.Record)], [(g.at, g.to) for g in got if isinstance(g, warc.Gap)]
+    for r in (recs, small):
+        hurt = bytearray(r[1])
+        hurt[-8] ^= 1
+        one = member(r[0] + bytes(hurt) + r[2])
+        assert read(one) == ([0, 2], [(0, len(one))])
+        assert read(b"junk" + one + member(r[3])) == ([0, 2, 3], [(0, 4), (4, 4 + len(one))])
+        whole = bytearray(member(b"".join(r[:3])))
+        whole[-6] ^= 1                                     # the member's checksum
+        ids, gaps = read(bytes(whole) + member(r[3]))
+        assert ids == [0, 1, 2, 3] and len(gaps) == 1 and gaps[0][1] == len(whole)
+    broken = member(b"".join(recs))
+    cut = len(broken) * 7 // 12                            # in the fourth record
+    ids, gaps = read(broken[:cut] + member(recs[5]))
+    assert ids == [0, 1, 2, 5] and len(gaps) == 1 and gaps[0][1] == cut
+
+
 def test_warc_long_headers(spark):
     url = "http://h/" + " \n" * 50_000
     recs = [warc.record(1, url, b"a" * 50, None), warc.record(2, "http://h/2", b"b" * 50, None)]
