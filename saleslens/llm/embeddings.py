@@ -8,8 +8,9 @@ at c reaches with probability ``RECALL`` (closer pairs reach it more surely). Pa
 by their cosine in double precision.
 
 So that a pair meets in one task only where it can collide at all, the first lines are sorted and cut at their
-medians: a vector is stored in one cell and asked for in every cell that its window (three deviations wide)
-reaches. More vectors mean more cuts. Cells of more than ``BLOCK`` vectors are dealt in blocks. In a task the
+medians: a vector is stored in one cell and asked for in every cell that its window reaches. More vectors mean more
+cuts and wider windows: what the count leaves of 1 - ``RECALL`` is the chance that any of the cuts parts a pair at c,
+so a pair is found with RECALL at every size. Cells of more than ``BLOCK`` vectors are dealt in blocks. In a task the
 windows are slices of the sorted projections, and collisions are counted for 64 vectors at a time, as bit
 planes. A task sends back how many links each vector has and a forest of them, not the links themselves.
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -31,23 +33,33 @@ from saleslens.llm.simhash import forest
 PROJECTIONS, RECALL, SEED = 32, 0.999, 17
 #: Vectors of a cell that one task compares queries with.
 BLOCK = 4096
-#: Half-width of the cells' windows, in deviations of a pair at the least cosine.
-REACH = 3.0
 
 
 def lines(dim: int) -> np.ndarray:
     return np.random.default_rng(SEED + dim).standard_normal((dim, PROJECTIONS))
 
 
+def reached(width: float, count: int) -> float:
+    """The chance that a pair at the least cosine has so many collisions; width in deviations."""
+    p = math.erf(width / math.sqrt(2))
+    return sum(math.comb(PROJECTIONS, k) * p ** k * (1 - p) ** (PROJECTIONS - k) for k in range(count, PROJECTIONS + 1))
+
+
+def cut_count(n: int) -> int:
+    """Median cuts for n vectors."""
+    return max(0, min(PROJECTIONS, math.ceil(math.log2(max(1, n / BLOCK)))))
+
+
+def reach_of(cuts: int) -> float:
+    """Half-width of the cells' windows, in deviations of a pair at the least cosine: all cuts together lose what the count leaves
+    of 1 - RECALL, at most."""
+    lost = (reached(1.0, least_count(1.0)) - RECALL) / max(1, cuts)
+    return NormalDist().inv_cdf(1 - lost / 2)
+
+
 def least_count(width: float) -> int:
     """The largest count that a pair at the least cosine reaches with probability RECALL; width in deviations."""
-    p = math.erf(width / math.sqrt(2))
-    tail = 0.0
-    for k in range(PROJECTIONS, -1, -1):
-        tail += math.comb(PROJECTIONS, k) * p ** k * (1 - p) ** (PROJECTIONS - k)
-        if tail >= RECALL:
-            return k
-    return 0
+    return next((k for k in range(PROJECTIONS, -1, -1) if reached(width, k) >= RECALL), 0)
 
 
 def _unit(values) -> np.ndarray | None:
@@ -103,7 +115,7 @@ def links(classes: DataFrame, dim: int, n: int, cosine: float) -> tuple[DataFram
     spark = classes.sparkSession
     d = math.sqrt(2 - 2 * cosine)
     least = least_count(1.0)
-    cuts = max(0, min(PROJECTIONS, math.ceil(math.log2(max(1, n / BLOCK)))))
+    cuts = cut_count(n)
     share = spark.sparkContext.broadcast(lines(dim))
 
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,7 +125,7 @@ def links(classes: DataFrame, dim: int, n: int, cosine: float) -> tuple[DataFram
                 yield pdf.assign(p=list((x @ share.value)[:, :max(1, cuts)]))
     placed = written(classes.mapInPandas(project, "vec_id long, n long, unit binary, p array<double>"), "projections")
     medians = placed.agg(*[F.percentile_approx(F.col("p")[j], 0.5, 1000).alias(f"m{j}") for j in range(max(1, cuts))]).first()
-    reach = REACH * d
+    reach = reach_of(cuts) * d
     home, visited = F.lit(0).cast("long"), F.array(F.lit(0).cast("long"))
     for j in range(cuts):
         m, p = medians[j], F.col("p")[j]

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import itertools
+import math
 import random
 import zlib
 from collections import Counter
@@ -270,6 +271,13 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(empty(spark, "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("n", [100, 8_192, 1 << 20, 4 << 20, 64 << 20, 1 << 40])
+def test_embedding_recall_at_every_size(n):
+    cuts = embeddings.cut_count(n)
+    parted = cuts * math.erfc(embeddings.reach_of(cuts) / math.sqrt(2))
+    assert parted + 1 - embeddings.reached(1.0, embeddings.least_count(1.0)) <= 1 - embeddings.RECALL + 1e-12
+
+
 def test_decontamination(spark):
     words = [f"b{i}" for i in range(30)]
     item = " ".join(words)
