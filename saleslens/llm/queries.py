@@ -104,6 +104,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op11_line_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that ten documents or more share, in all documents."""
+    from saleslens.llm.lines import line_digests
+    return line_digests(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
 ORACLES["op10_warc"] = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
@@ -146,6 +153,20 @@ WHERE common::DOUBLE / (tw.total + ti.total - common)::DOUBLE >= 0.8 GROUP BY do
 """
 
 
+ORACLES["op11_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, text, pos, lines[pos] AS line,
+             translate(trim(lines[pos], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS pos FROM d) s),
+g AS (SELECT key FROM (SELECT DISTINCT key, doc_id, text FROM l WHERE key <> '') s GROUP BY key HAVING count(*) >= 10),
+k AS (SELECT l.*, g.key IS NOT NULL AS gone FROM l LEFT JOIN g ON l.key = g.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM k GROUP BY doc_id, text
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
