@@ -111,6 +111,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
+@register("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the forms that they are spelling variants of."""
+    from saleslens.llm.variants import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents"), least=7, every=31, min_count=2, ratio=10)
+
+
 ORACLES["op10_warc"] = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
