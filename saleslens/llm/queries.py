@@ -118,6 +118,13 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), least=7, every=31, min_count=2, ratio=10)
 
 
+@register("op13_collocations")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language of all documents."""
+    from saleslens.llm.phrases import collocations
+    return collocations(table(spark, sf_dir, "documents"), longest=5, least=100, top=2000, within=100)
+
+
 ORACLES["op10_warc"] = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
@@ -174,6 +181,25 @@ FROM k GROUP BY doc_id, text
 """
 
 
+ORACLES["op13_collocations"] = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM t),
+n AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, list_slice(w, i, i + k - 1) AS ws FROM p, unnest(range(1, len(w) + 1)) a(i), range(1, 6) b(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, ws, count(*)::HUGEINT AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+e AS (SELECT lang, ws[1:len(ws) - 1] AS ws, f FROM f WHERE len(ws) > 2 UNION ALL SELECT lang, ws[2:], f FROM f WHERE len(ws) > 2),
+c AS (SELECT f.lang, f.ws, f.f AS a FROM f LEFT JOIN (SELECT lang, ws, max(f) AS b FROM e GROUP BY ALL) m USING (lang, ws)
+      WHERE len(f.ws) > 1 AND (b IS NULL OR 100 * b < 100 * f.f)),
+k AS (SELECT c.lang, c.ws, a, k, x.f AS l, y.f AS r, n, (1000 * a * n) // (x.f * y.f) AS score
+      FROM c JOIN n ON n.lang = c.lang, range(1, 5) j(k), f x, f y
+      WHERE k < len(c.ws) AND x.lang = c.lang AND y.lang = c.lang AND x.ws = c.ws[1:k] AND y.ws = c.ws[k + 1:]),
+s AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, n, l, r, score FROM k QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s) z WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -81,7 +81,7 @@ def test_variants(spark, monkeypatch, every, min_count, ratio, block):
     assert sum(r[1] is not None for r in want) > 5 and any(r[1] and r[1] != r[2] for r in want) == (ratio == 2)
 
 
-@pytest.mark.parametrize("block,small,tile", [(4096, 48, 512), (20, 0, 7), (40, 5, 16)])
+@pytest.mark.parametrize("block,small,tile", [(4096, 48, 512), (20, 1, 7), (40, 5, 16)])
 def test_every_pair_is_found_once(spark, monkeypatch, block, small, tile):
     for name, value in (("BLOCK", block), ("SMALL", small), ("TILE", tile)):
         monkeypatch.setattr(variants, name, value)
