@@ -31,6 +31,8 @@ SEED = 42
 HELD, GATHER = 300_000, 1 << 21
 #: Bits of the bitmap of hashed phrases: 8 MB.
 BITS = 26
+#: Counts of a row when tasks' sums are added up.
+CHUNK = 1 << 12
 #: Phrases of a trie. Its arrays have some 60 bytes a phrase.
 SHARD = 1 << 18
 ENDS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
@@ -121,8 +123,9 @@ def encoded(docs: DataFrame, words: DataFrame, salt: int) -> DataFrame:
                                                                     xxhash.xxh64_intdigest(str(salt), SEED)))
                 ws = tokens(text)
                 cache = held.setdefault(lang, {b".": 0})
-                for w in set(ws) - cache.keys():
-                    cache[w] = xxhash.xxh64_intdigest(w, seed)
+                for w in set(ws):
+                    if w not in cache:
+                        cache[w] = xxhash.xxh64_intdigest(w, seed)
                 out.append(np.fromiter(map(cache.__getitem__, ws), np.uint64, len(ws)).view(np.int64))
                 if sum(map(len, held.values())) >= HELD:
                     held.clear()
@@ -144,27 +147,53 @@ def _arrays(batches, size: int) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def candidates(texts: DataFrame, known: list, length: int, least: int) -> DataFrame:
-    """(h, parent, last): phrases of ``length`` words whose hash is found ``least`` times, by the hash of what
-    comes before the last word, and that. ``known`` are the bitmaps of the shorter phrases, as broadcasts."""
+def _starts(x: np.ndarray, maps: list[Bitmap], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases of ``length`` words, by start, hash, hash of what comes before the last word, and that, whose
+    parts without the first and without the last word are in the bitmaps of their lengths."""
+    at = np.flatnonzero(x != 0)
+    h = x[at]
+    parent = last = at[:0]
+    for k in range(2, length + 1):
+        ok = maps[k - 2](h)
+        at, h = at[ok], h[ok]
+        go = np.flatnonzero(at[1:] == at[:-1] + 1)
+        at, parent = at[go], h[go]
+        last = x[at + k - 1]
+        h = mix(parent, last)
+    return at, h, parent, last
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h & 0xFFFFFFFF).astype(np.uint32)
+
+
+def possible(texts: DataFrame, known: list, length: int, longest: int) -> DataFrame:
+    """One pass over the texts' hashes; ``known`` are the bitmaps of the phrases of 1 to ``length`` words.
+
+    Rows with h: the phrases of ``length`` words that are in their bitmap, as (h, parent, last), for lengths
+    from 2 on. Rows without: (bucket, c), how often 32 bits of the hashes of phrases one word longer occur.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         maps = [Bitmap(b.value) for b in known]
         for x in _arrays(batches, GATHER):
-            at = np.flatnonzero(x != 0)
-            h = x[at]
-            for k in range(2, length + 1):
-                # The phrase of k words starts at ``at`` if those of k - 1 words start there and one word on.
-                ok = maps[k - 2](h)
-                at, h = at[ok], h[ok]
-                go = np.flatnonzero(at[1:] == at[:-1] + 1)
-                at, parent = at[go], h[go]
-                last = x[at + k - 1]
-                h = mix(parent, last)
-            if len(h):
-                u, i, c = np.unique(h, return_index=True, return_counts=True)
-                yield pd.DataFrame({"h": u, "parent": parent[i], "last": last[i], "c": c.astype(np.int64)})
-    parts = texts.mapInPandas(tidy(run), "h long, parent long, last long, c long")
-    return parts.groupBy("h", "parent", "last").agg(F.sum("c").alias("c")).where(F.col("c") >= least).drop("c")
+            if length > 1:
+                _, h, parent, last = _starts(x, maps, length)
+                ok = np.flatnonzero(maps[length - 1](h))
+                u, i = np.unique(h[ok], return_index=True)
+                i = ok[i]
+                yield pd.DataFrame({"bucket": pd.array([pd.NA] * len(u), "Int32"), "c": pd.array([pd.NA] * len(u), "Int32"),
+                                    "h": u, "parent": parent[i], "last": last[i]})
+            if length < longest:
+                u, c = np.unique(_bucket(_starts(x, maps, length + 1)[1]), return_counts=True)
+                none = pd.array([pd.NA] * len(u), "Int64")
+                yield pd.DataFrame({"bucket": u.view(np.int32), "c": c.astype(np.int32), "h": none, "parent": none, "last": none})
+    return texts.mapInPandas(tidy(run), "bucket int, c int, h long, parent long, last long")
+
+
+def frequent_buckets(counted: DataFrame, least: int) -> DataFrame:
+    """(h): the buckets, in the low bits of a long, that occur ``least`` times."""
+    return (counted.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("c").alias("c"))
+            .where(F.col("c") >= least).select(F.col("bucket").cast("long").alias("h")))
 
 
 class Trie:
@@ -261,10 +290,27 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, longest: int) -> DataFrame
             total = np.zeros(len(ids) + 1, np.int64)
             for x in _arrays(batches, GATHER):
                 trie.count(x, total)
-            met = np.flatnonzero(total[1:])
-            yield pd.DataFrame({"id": ids[met], "f": total[1:][met]})
+            chunks = range(0, len(ids), CHUNK)
+            yield pd.DataFrame({"chunk": np.array(chunks, np.int32) // CHUNK,
+                                "counts": [total[1 + i:1 + i + CHUNK].tobytes() for i in chunks]})
+
+        def add(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            """Rows come by chunk: one vector is held and added to, however many tasks there were."""
+            _, ids = shared.value
+            at, total = None, None
+            for chunk, counts in rows_of(batches, "chunk", "counts"):
+                more = np.frombuffer(counts, np.int64)
+                if chunk == at:
+                    total += more
+                    continue
+                if at is not None:
+                    yield pd.DataFrame({"id": ids[at * CHUNK:(at + 1) * CHUNK], "f": total})
+                at, total = chunk, more.copy()
+            if at is not None:
+                yield pd.DataFrame({"id": ids[at * CHUNK:(at + 1) * CHUNK], "f": total})
+        vectors = texts.mapInPandas(tidy(run), "chunk int, counts binary").repartition("chunk").sortWithinPartitions("chunk")
         # A shard's counts are written before the next trie is made.
-        part = written(texts.mapInPandas(tidy(run), "id long, f long").groupBy("id").agg(F.sum("f").alias("f")), "phrase-counts")
+        part = written(vectors.mapInPandas(tidy(add), "id long, f long"), "phrase-counts")
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], "id long, f long")
 
@@ -278,10 +324,14 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100) -> tup
     often = written(words.where(F.col("f") >= least), "frequent-words")
     texts = written(encoded(docs, often, salt), "word-hashes")
     one = often.select("lang", F.array("word").alias("words"), "f")
-    known, found, level = [], None, often.select("h", "lang", F.array("word").alias("words"), F.array("h").alias("path"))
+    known, found, level = [spark.sparkContext.broadcast(Bitmap.of(often, "h").bits)], None, often.select(
+        "h", "lang", F.array("word").alias("words"), F.array("h").alias("path"))
+    if longest > 1:
+        seen = possible(texts, known, 1, longest)
     for length in range(2, longest + 1):
-        known.append(spark.sparkContext.broadcast(Bitmap.of(level, "h").bits))
-        new = candidates(texts, known, length, least)
+        known.append(spark.sparkContext.broadcast(Bitmap.of(frequent_buckets(seen, least), "h").bits))
+        seen = written(possible(texts, known, length, longest), f"possible-{length}")
+        new = seen.where(F.col("h").isNotNull()).select("h", "parent", "last").distinct()
         before = level.select(F.col("h").alias("parent"), "lang", "words", "path")
         last = often.select(F.col("h").alias("last"), "word")
         level = written(new.join(before, "parent").join(last, "last").select(
