@@ -11,7 +11,8 @@ from saleslens.catalog import register
 from saleslens.catalog import oracle_ctes as oc
 from saleslens.catalog.oracle_ctes import with_ctes
 from saleslens.catalog.pipelines import (AS_OF, SHIFT_TO, _d, ceil1_sql, export_at_snapshot, floor1_sql,
-                                         offer_lookup_sql, profile_lines, sales_fact, special_offers, xpct_sql)
+                                         current_pairs, loaded_fact, offer_lookup_sql, profile_lines, sales_fact,
+                                         special_offers, xpct_sql)
 from saleslens.functions import dates as fd
 from saleslens.functions import money as fm
 from saleslens.functions import text as ft
@@ -19,7 +20,6 @@ from saleslens.operators import joins as oj
 from saleslens.operators import sets as os_
 from saleslens.plans import fact as fact_plan
 from saleslens.plans import model, profile
-from saleslens.plans.monitoring import revenue_by_pair
 from saleslens.session import fresh_dir
 from saleslens.sources import files
 from saleslens.sources.fixtures import SalesTables
@@ -407,10 +407,9 @@ def q_agg_conditional_sum(spark, sf_dir):
 
 @register("agg_country_subcategory", with_ctes("SELECT * FROM rev_pairs_asof", "rev_pairs_asof"))
 def q_agg_country_subcategory(spark, sf_dir):
-    """The two-key revenue aggregate over fact x product x territory."""
+    """The two-key revenue aggregate over fact x product x territory, after the daily load."""
     t = T(spark, sf_dir)
-    dim_p = model.dim_product(t.product, t.product_subcategory, t.product_category)
-    return revenue_by_pair(sales_fact(t), dim_p, t.territory, AS_OF)
+    return current_pairs(t, AS_OF, loaded_fact(spark, t))
 
 
 @register("agg_having_duplicates", with_ctes(

@@ -44,19 +44,28 @@ class TableStore:
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
+        self._seen = 0
+
+    def version(self) -> int:
+        """The number of the newest manifest; 0 before the first commit."""
+        return self._state()[0]
 
     def _state(self) -> tuple[int, list]:
-        """The newest manifest's number and rows; before the first commit, the base frames."""
+        """The newest manifest's number and rows, and base frames that no manifest names yet.
+
+        Manifests older than the newest that this store has seen are not read.
+        """
         try:
-            m = self.spark.read.schema(self.MANIFEST + ", v int").parquet(f"{self.root}/_manifest")
+            m = (self.spark.read.schema(self.MANIFEST + ", v int").parquet(f"{self.root}/_manifest")
+                 .where(F.col("v") >= self._seen))
             rows = m.where(F.col("v") == m.select(F.max("v")).scalar()).collect()
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             rows = []
-        if rows:
-            return rows[0].v, [(r.name, r.path, r.batch) for r in rows]
-        return 0, [(n, None, None) for n in self.bases]
+        live = [(r.name, r.path, r.batch) for r in rows]
+        self._seen = rows[0].v if rows else 0
+        return self._seen, live + [(n, None, None) for n in self.bases if n not in {name for name, _, _ in live}]
 
     def has_batch(self, batch: str) -> bool:
         return any(b == batch for _, _, b in self._state()[1])

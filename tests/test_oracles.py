@@ -38,8 +38,8 @@ def duck():
 
 
 def _keys():
-    import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    from saleslens import catalog
+    return sorted(catalog.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test data missing")
