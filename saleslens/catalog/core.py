@@ -197,6 +197,26 @@ def q_join_scd2_cost(spark, sf_dir):
     return oj.interval_join(lines, c, "ProductID", "OrderDate", right_cols=["CostStart", "StandardCost"])
 
 
+from saleslens.catalog import ORACLES as _ORACLES  # noqa: E402
+
+
+@register("join_scd2_cost_by_month", _ORACLES["join_scd2_cost"])
+def q_join_scd2_cost_by_month(spark, sf_dir):
+    """J2 with the lines of hot products dealt by month: the rows of join_scd2_cost."""
+    t = T(spark, sf_dir)
+    lines = fact_plan.lines_with_header(t.detail_all.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
+                                        t.header_hist, ["OrderDate"])
+    c = t.cost_history.withColumn("CostStart", F.col("StartDate"))
+    return fact_plan.costed_lines(lines, t.detail_all, t.header_hist, c, ["CostStart", "StandardCost"], by_month=True)
+
+
+@register("fact_sales_margin_by_month", _ORACLES["fact_sales_margin"])
+def q_fact_sales_margin_by_month(spark, sf_dir):
+    """W10 with the lines of hot products dealt by month: the rows of fact_sales_margin."""
+    t = T(spark, sf_dir)
+    return fact_plan.fact_sales_margin(t.detail_all, t.header_hist, t.cost_history, by_month=True)
+
+
 @register("join_scd2_list_price", with_ctes(
     "SELECT d.SalesOrderID, d.SalesOrderDetailID, d.ProductID, h.OrderDate, p.ListPrice FROM detail_hist d "
     "JOIN header_hist h ON d.SalesOrderID = h.SalesOrderID JOIN price_history p ON d.ProductID = p.ProductID AND "
@@ -509,12 +529,20 @@ def q_agg_price_moments(spark, sf_dir):
 
 
 @register("agg_collect_samples", with_ctes(
-    "SELECT ProductID, string_agg(OrderQty || ':' || n, ',' ORDER BY OrderQty) AS QtySamples FROM (SELECT "
-    "ProductID, OrderQty, count(*) AS n FROM profile_lines GROUP BY ProductID, OrderQty) s GROUP BY ProductID",
-    "profile_lines"))
+    "SELECT 'product' AS Kind, CAST(ProductID AS BIGINT) AS Key, string_agg(OrderQty || ':' || n, ',' ORDER BY OrderQty) "
+    "AS QtySamples FROM (SELECT ProductID, OrderQty, count(*) AS n FROM profile_lines GROUP BY ProductID, OrderQty) s "
+    "GROUP BY ProductID UNION ALL "
+    "SELECT 'tier', CAST(o.SpecialOfferID AS BIGINT), coalesce(string_agg(q.OrderQty || ':' || q.n, ',' ORDER BY q.OrderQty), '') "
+    "FROM special_offer o LEFT JOIN (SELECT OrderQty, count(*) AS n FROM profile_lines GROUP BY OrderQty) q ON "
+    "q.OrderQty >= greatest(1, o.MinQty) AND (o.MaxQty IS NULL OR q.OrderQty <= greatest(greatest(1, o.MinQty), o.MaxQty)) "
+    "WHERE o.UnitPriceDiscount > 0 GROUP BY o.SpecialOfferID", "profile_lines", "special_offer"))
 def q_agg_collect_samples(spark, sf_dir):
-    """Each product's quantity sample (as sorted value:count pairs)."""
-    return profile.collect_samples(profile_lines(T(spark, sf_dir)))
+    """The quantity sample of each product and of each discounted tier (as sorted value:count pairs)."""
+    t = T(spark, sf_dir)
+    cells = profile.quantity_cells(profile_lines(t)).checkpoint()
+    return (profile.collect_samples(cells, "ProductID").select(F.lit("product").alias("Kind"), F.col("ProductID").cast("long").alias("Key"), "QtySamples")
+            .unionByName(profile.tier_samples(cells, special_offers(t))
+                         .select(F.lit("tier").alias("Kind"), F.col("SpecialOfferID").cast("long").alias("Key"), "QtySamples")))
 
 
 def _describe_sql(col: str) -> str:

@@ -110,7 +110,7 @@ CTES: dict[str, str] = {
                  "h.OrderDate <= coalesce(c.EndDate, DATE '9999-12-31')",
     "fact": "SELECT *, CAST(CAST(ProductMargin * 100 AS DECIMAL(10,2)) AS DOUBLE) / NULLIF(CAST(LineTotal AS "
             "DOUBLE), 0) AS ProductMarginPct FROM fact_base",
-    "profile_lines": "SELECT OrderDate, SalesOrderID, OrderQty, ProductID FROM detail_hist JOIN header_hist USING "
+    "profile_lines": "SELECT OrderDate, SalesOrderID, OrderQty, ProductID, UnitPrice, UnitPriceDiscount FROM detail_hist JOIN header_hist USING "
                      "(SalesOrderID) SEMI JOIN (SELECT DISTINCT ProductID FROM cost_history_raw) costed USING "
                      "(ProductID) WHERE OrderDate >= DATE '2000-01-01'",
 }

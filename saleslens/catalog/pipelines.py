@@ -500,8 +500,36 @@ oc.add("per_product", "SELECT ProductID, avg(OrderQty) AS m, stddev_samp(OrderQt
 oc.add("cur_price", "SELECT ListPrice FROM price_history WHERE EndDate IS NULL AND ListPrice > 0")
 
 
+def _describe_rows_sql(col: str) -> str:
+    x = f"CAST({col} AS DOUBLE)"
+    stats = {"count": f"CAST(count({x}) AS DOUBLE)", "mean": f"round(avg({x}), 6)", "std": f"round(stddev_samp({x}), 6)",
+             "min": f"min({x})", "p25": f"round(quantile_cont({x}, 0.25), 6)", "p50": f"round(quantile_cont({x}, 0.5), 6)",
+             "p75": f"round(quantile_cont({x}, 0.75), 6)", "max": f"max({x})"}
+    return " UNION ALL ".join(f"SELECT 'describe_{col}_{k}' AS Metric, {v} AS Value FROM profile_lines" for k, v in stats.items())
+
+
+def _share_rows_sql(name: str, col: str, src: str) -> str:
+    return (f"SELECT '{name}_share' AS Metric, CAST({col} AS VARCHAR) AS Key, round(CAST(count(*) AS DOUBLE) / (SELECT count({col}) "
+            f"FROM {src}), 9) AS Value FROM {src} WHERE {col} IS NOT NULL GROUP BY {col}")
+
+
+oc.add("profile_keyed",
+       "SELECT 'daily_qty' AS Metric, CAST(OrderDate AS VARCHAR) AS Key, CAST(DailyQty AS DOUBLE) AS Value FROM dly UNION ALL "
+       "SELECT 'daily_orders', CAST(OrderDate AS VARCHAR), CAST(DailyOrders AS DOUBLE) FROM dly UNION ALL "
+       "SELECT 'product_mean_qty', CAST(ProductID AS VARCHAR), round(m, 6) FROM per_product_list UNION ALL "
+       f"SELECT 'product_p10', CAST(ProductID AS VARCHAR), CAST({floor1_sql(xpct_sql('v', 'n', '0.1'))} AS DOUBLE) FROM per_product_list UNION ALL "
+       f"SELECT 'product_p90', CAST(ProductID AS VARCHAR), CAST({ceil1_sql(xpct_sql('v', 'n', '0.9'))} AS DOUBLE) FROM per_product_list UNION ALL "
+       + " UNION ALL ".join([_share_rows_sql("product", "ProductID", "profile_lines"),
+                             _share_rows_sql("customer", "CustomerID", "header_hist"),
+                             _share_rows_sql("salesperson", "SalesPersonID", "header_hist")]))
+oc.add("per_product_list", "SELECT ProductID, avg(OrderQty) AS m, list_sort(list(OrderQty)) AS v, count(*) AS n FROM profile_lines "
+                           "GROUP BY ProductID")
+oc.add("profile_described", " UNION ALL ".join(map(_describe_rows_sql, ("OrderQty", "UnitPrice", "UnitPriceDiscount"))))
+
+
 @register("history_profile", with_ctes(
-    "SELECT Metric, Value FROM (SELECT 'mean_daily_qty' AS Metric, round(avg(DailyQty), 6) AS Value FROM dly "
+    "SELECT * FROM profile_keyed UNION ALL SELECT Metric, NULL, Value FROM profile_described UNION ALL "
+    "SELECT Metric, NULL, Value FROM (SELECT 'mean_daily_qty' AS Metric, round(avg(DailyQty), 6) AS Value FROM dly "
     "UNION ALL SELECT 'std_daily_qty', round(stddev_pop(DailyQty), 6) FROM dly "
     "UNION ALL SELECT 'mean_daily_orders', round(avg(DailyOrders), 6) FROM dly "
     "UNION ALL SELECT 'std_daily_orders', round(stddev_pop(DailyOrders), 6) FROM dly "
@@ -522,11 +550,10 @@ oc.add("cur_price", "SELECT ListPrice FROM price_history WHERE EndDate IS NULL A
     "UNION ALL SELECT 'product_std_avg', round(avg(greatest(1.0, coalesce(s, 1.0))), 6) FROM per_product "
     "UNION ALL SELECT 'price_mean', coalesce(round(avg(CAST(ListPrice AS DOUBLE)), 6), 100.0) FROM cur_price "
     "UNION ALL SELECT 'price_std', coalesce(round(stddev_pop(CAST(ListPrice AS DOUBLE)), 6), 50.0) FROM cur_price"
-    ") u", "dly", "gq", "oq_lines", "oq_qty", "per_product", "cur_price"))
+    ") u", "dly", "gq", "oq_lines", "oq_qty", "per_product", "cur_price", "profile_keyed", "profile_described"))
 def q_history_profile(spark, sf_dir):
-    """The full demand profile as (Metric, Value)."""
+    """The full demand profile as (Metric, Key, Value)."""
     t = SalesTables.of(spark, sf_dir)
-    # ~10 statistics read the same lines: write them once to the checkpoint folder (reliable,
-    # lineage cut) instead of re-deriving scan + joins in every branch.
-    lines = profile_lines(t).checkpoint(eager=True)
-    return profile.history_profile(lines, t.price_history)
+    # The lines are read once, into histograms in the checkpoint folder; all statistics come from those.
+    hist = profile.profile_histogram(profile_lines(t)).checkpoint(eager=True)
+    return profile.history_profile(hist, t.header_hist, t.price_history)

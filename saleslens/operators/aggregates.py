@@ -23,7 +23,7 @@ def _value_type(df: DataFrame, col: str) -> str:
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], col: str, ps: dict[str, str],
-                      mean: str | None = None) -> DataFrame:
+                      mean: str | None = None, weight: str | None = None) -> DataFrame:
     """Linear-interpolation percentiles (the NumPy default) computed exactly.
 
     ``ps`` maps an output name to a percentile fraction given as decimal text
@@ -40,11 +40,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], col: str, ps: dict[str, st
     Without keys, the histogram of the whole column is ranked with the
     distributed running sum instead of a single-partition window, unless the
     column's type bounds it (tinyint / smallint: at most 65,536 rows). One more
-    aggregate picks the two neighbouring values. ``mean`` adds the exact mean.
+    aggregate picks the two neighbouring values. ``mean`` adds the exact mean. With ``weight`` a row stands
+    for that many rows, so df may be a histogram already.
     """
     vt = _value_type(df, col)
     hist = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")) \
-             .agg(F.count(F.lit(1)).alias("__c"))
+             .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__c"))
     small_domain = isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType))   # <= 65,536 distinct values
     if keys or small_domain:
         wk = Window.partitionBy(*keys)

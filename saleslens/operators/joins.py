@@ -32,6 +32,47 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, point: str,
     return left.join(r, cond, how).drop("__k", "__s", "__e")
 
 
+#: A key with at least this part of all rows is hot; there are at most so many of them.
+HOT = 4096
+NO_BUCKET = "0001-01-01"
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """(key) of the keys that hold at least 1 / HOT of the rows of df: at most HOT keys at any input."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("__n") * HOT >= total).select(key)
+
+
+def bucketed_interval_join(left: DataFrame, right: DataFrame, key: str, point: str, hot: DataFrame, since: Column,
+                           until: Column, start: str = "StartDate", end: str = "EndDate",
+                           right_cols: list[str] | None = None, unit: str = "MONTH") -> DataFrame:
+    """``interval_join`` (inner) whose hot keys are dealt by time as well, so that no key is one task.
+
+    A row of a hot key meets only intervals of its own ``unit`` (DAY, WEEK, MONTH, QUARTER, YEAR): both sides are joined
+    on (key, bucket), then on the exact bounds. Intervals of hot keys stand once in each bucket that they
+    touch between ``since`` and ``until``, which must enclose all points; other keys have one bucket, so
+    nothing else grows. A point has one bucket, so no row is found twice. ``hot`` (key) is broadcast; it has
+    at most HOT rows (``hot_keys``).
+    """
+    def floor(c: Column) -> Column:
+        return F.date_trunc(unit, c).cast("date")
+    none = F.lit(NO_BUCKET).cast("date")
+    flags = F.broadcast(hot.select(F.col(key).alias("__hot")).distinct())
+    p = F.col(point)
+    rows = left.join(flags, F.col(key) == F.col("__hot"), "left").withColumn(
+        "__b", F.when(F.col("__hot").isNotNull(), floor(p)).otherwise(none)).drop("__hot")
+    r = right.select(F.col(key).alias("__k"), F.col(start).alias("__s"), F.col(end).alias("__e"),
+                     *[F.col(c) for c in (right_cols or [])])
+    lo, hi = F.greatest(F.col("__s"), since), F.least(F.coalesce(F.col("__e"), until), until)
+    step = F.expr(f"INTERVAL 1 {unit}" if unit != "QUARTER" else "INTERVAL 3 MONTH")
+    buckets = F.when(F.col("__hot").isNull(), F.array(none)).when(lo <= hi, F.sequence(floor(lo), floor(hi), step))
+    intervals = r.join(flags, F.col("__k") == F.col("__hot"), "left").withColumn("__rb", F.explode(buckets)).drop("__hot")
+    cond = ((F.col(key) == F.col("__k")) & (F.col("__b") == F.col("__rb")) & (p >= F.col("__s"))
+            & (F.col("__e").isNull() | (p <= F.col("__e"))))
+    return rows.join(intervals, cond).drop("__k", "__s", "__e", "__b", "__rb")
+
+
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast hint for a frame whose size is fixed by a small domain (not by data volume)."""
     return F.broadcast(df)

@@ -25,8 +25,9 @@ def profile_lines(header: DataFrame, detail: DataFrame, cost_history: DataFrame,
     h = header.where(F.col("OrderDate").isNotNull() & (F.col("OrderDate") >= as_date(start))) \
               .select("SalesOrderID", "OrderDate")
     d = detail.join(cost_history.select("ProductID"), "ProductID", "left_semi") \
-              .select("SalesOrderID", "OrderQty", "ProductID")
-    return h.join(d, "SalesOrderID").select("OrderDate", "SalesOrderID", "OrderQty", "ProductID")
+              .select("SalesOrderID", "OrderQty", "ProductID", "UnitPrice", "UnitPriceDiscount")
+    return h.join(d, "SalesOrderID").select("OrderDate", "SalesOrderID", "OrderQty", "ProductID", "UnitPrice",
+                                            "UnitPriceDiscount")
 
 
 def daily_totals(lines: DataFrame) -> DataFrame:
@@ -114,17 +115,53 @@ def price_moments(price_history: DataFrame) -> DataFrame:
                    F.coalesce(_r(F.stddev_pop("p")), F.lit(50.0)).alias("price_std"))
 
 
-def collect_samples(lines: DataFrame, key: str = "ProductID") -> DataFrame:
-    """The quantity sample of each key, as sorted 'qty:count' pairs.
+def quantity_cells(lines: DataFrame) -> DataFrame:
+    """(ProductID, OrderQty, n): the lines as a histogram, at most one row a product and smallint quantity."""
+    return lines.groupBy("ProductID", "OrderQty").agg(F.count(F.lit(1)).alias("n"))
 
-    Lossless for the multiset but bounded by the number of distinct
-    quantities, so a key with a huge number of lines never builds a huge list.
+
+def collect_samples(cells: DataFrame, key: str) -> DataFrame:
+    """The quantity sample of each key, as sorted 'qty:count' pairs, from a histogram (key, OrderQty, n).
+
+    Lossless for the multiset but bounded by the number of distinct quantities, so a key with a huge number
+    of lines never builds a huge list. A key without quantities (a null one) has an empty sample.
     """
-    pairs = lines.groupBy(key, "OrderQty").agg(F.count(F.lit(1)).alias("n"))
-    sorted_pairs = F.array_sort(F.collect_list(F.struct("OrderQty", "n")))
+    pairs = cells.groupBy(key, "OrderQty").agg(F.sum("n").alias("n"))
+    found = F.array_sort(F.collect_list(F.when(F.col("OrderQty").isNotNull(), F.struct("OrderQty", "n"))))
     return pairs.groupBy(key).agg(
-        F.array_join(F.transform(sorted_pairs, lambda x: F.concat(x.OrderQty.cast("string"), F.lit(":"),
-                                                                  x.n.cast("string"))), ",").alias("QtySamples"))
+        F.array_join(F.transform(found, lambda x: F.concat(x.OrderQty.cast("string"), F.lit(":"),
+                                                           x.n.cast("string"))), ",").alias("QtySamples"))
+
+
+def discount_tiers(offers: DataFrame) -> DataFrame:
+    """(SpecialOfferID, TierMin, TierMax) of the discounted offers, MinQty floored at 1; a null TierMax is open."""
+    lo = F.greatest(F.lit(1), F.col("MinQty"))
+    return offers.where(F.col("UnitPriceDiscount") > 0).select(
+        "SpecialOfferID", lo.alias("TierMin"),
+        F.when(F.col("MaxQty").isNotNull(), F.greatest(lo, F.col("MaxQty"))).alias("TierMax"))
+
+
+def tier_samples(cells: DataFrame, offers: DataFrame) -> DataFrame:
+    """G17 by tier: (SpecialOfferID, QtySamples), empty tiers kept.
+
+    The tiers' edges cut the quantity axis into segments (two a tier at most). A tier is a run of segments, a
+    quantity lies in one of them, so tiers of any overlap meet the quantities in an equi-join on the segment,
+    and the lines are not read again.
+    """
+    tiers = discount_tiers(offers)
+    edges = F.array_sort(F.collect_set("e"))
+    cut = (tiers.select(F.explode(F.array(F.col("TierMin"), F.col("TierMax") + 1)).alias("e")).where("e is not null")
+           .select(edges.alias("edges")).scalar())
+
+    def segment(q):
+        return F.size(F.filter("__edges", lambda e: e <= q))
+    known = F.coalesce(cut, F.array().cast("array<int>")).alias("__edges")
+    of_tier = tiers.select("SpecialOfferID", "TierMin", "TierMax", known).select("SpecialOfferID", F.explode(F.sequence(
+        segment(F.col("TierMin")), F.when(F.col("TierMax").isNull(), F.size("__edges")).otherwise(segment(F.col("TierMax")))))
+        .alias("segment"))
+    axis = (cells.groupBy("OrderQty").agg(F.sum("n").alias("n")).select("OrderQty", "n", known)
+            .select("OrderQty", "n", segment(F.col("OrderQty")).alias("segment")))
+    return collect_samples(of_tier.join(axis, "segment", "left"), "SpecialOfferID")
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -147,13 +184,98 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     return out
 
 
-def history_profile(lines: DataFrame, price_history: DataFrame) -> DataFrame:
-    """The demand profile as (Metric, Value) rows."""
-    return (daily_moments(lines)
-            .unionByName(_long(global_quantiles(lines)))
-            .unionByName(_long(order_size_profile(lines)))
-            .unionByName(_long(product_spread(lines)))
-            .unionByName(_long(price_moments(price_history))))
+def profile_histogram(lines: DataFrame) -> DataFrame:
+    """All that W18 asks of the lines, in one pass: four groupings of one scan and one shuffle.
+
+    ``part`` cells: lines by (ProductID, OrderDate, OrderQty); orders: by (SalesOrderID, OrderDate); price and
+    discount: by value. n counts lines, qty sums their quantity.
+    """
+    cols = ["ProductID", "OrderDate", "OrderQty", "SalesOrderID", "UnitPrice", "UnitPriceDiscount"]
+    sets = {"cells": cols[:3], "orders": ["SalesOrderID", "OrderDate"], "price": ["UnitPrice"], "discount": ["UnitPriceDiscount"]}
+    part = None
+    for name, kept in sets.items():
+        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in kept)    # a set bit: not grouped by
+        part = (F if part is None else part).when(F.grouping_id() == gid, name)
+    return (lines.groupingSets([[F.col(c) for c in kept] for kept in sets.values()], *[F.col(c) for c in cols])
+            .agg(part.alias("part"), F.count(F.lit(1)).alias("n"), F.sum("OrderQty").alias("qty")))
+
+
+def _weighted(x: str, n: str = "n") -> dict:
+    """Count, mean, population and sample deviation of column x with n rows a row; sums of integers are exact."""
+    v, w = F.col(x).cast("decimal(20,4)") if x in ("UnitPrice", "UnitPriceDiscount") else F.col(x).cast("decimal(20,0)"), F.col(n)
+    count = F.sum(w).cast("double")
+    s1, s2 = F.sum((v * w).cast("double")), F.sum((v.cast("double") * v.cast("double")) * w)
+    spread = F.greatest(s2 - s1 * s1 / count, F.lit(0.0))
+    return {"count": count, "mean": s1 / count, "std_pop": F.sqrt(spread / count),
+            "std_samp": F.sqrt(F.try_divide(spread, count - 1))}
+
+
+def _keyed(df: DataFrame, key: str, values: dict[str, str]) -> DataFrame:
+    """(Metric, Key, Value): a row of df for each of the named columns."""
+    rows = df.select(F.col(key).cast("string").alias("Key"), *[F.col(c).cast("double").alias(m) for m, c in values.items()])
+    return rows.unpivot(["Key"], list(values), "Metric", "Value").select("Metric", "Key", "Value")
+
+
+def _describe_weighted(hist: DataFrame, col: str) -> DataFrame:
+    """G18 of one column from its histogram (col, n), as (Metric, Value)."""
+    m = _weighted(col)
+    a = hist.where(F.col(col).isNotNull()).agg(
+        m["count"].alias("count"), _r(m["mean"]).alias("mean"), _r(m["std_samp"]).alias("std"),
+        F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
+    q = exact_percentiles(hist, [], col, {"p25": "0.25", "p50": "0.5", "p75": "0.75"}, weight="n")
+    q = q.select(*[_r(F.col(c).cast("double")).alias(c) for c in q.columns])
+    both = _long(a).unionByName(_long(q))
+    return both.select(F.concat(F.lit(f"describe_{col}_"), "Metric").alias("Metric"), "Value")
+
+
+def history_profile(hist: DataFrame, header: DataFrame, price_history: DataFrame) -> DataFrame:
+    """The demand profile as (Metric, Key, Value) rows; Key is null for statistics of all lines.
+
+    ``hist`` is a written ``profile_histogram``: G9 (by date), G10, G11 (shares by product; by customer and
+    salesperson from ``header``), G12 (by product), G13, G14, G15 and G18 come from it, not from the lines.
+    """
+    def part(name: str, *cols: str) -> DataFrame:
+        return hist.where(F.col("part") == name).groupBy(*cols).agg(F.sum("n").alias("n"), F.sum("qty").alias("qty"))
+    orders = part("orders", "SalesOrderID", "OrderDate")
+    daily = orders.groupBy("OrderDate").agg(F.sum("qty").alias("DailyQty"), F.count(F.lit(1)).alias("DailyOrders"))
+    by_qty = part("cells", "OrderQty")
+    cells = part("cells", "ProductID", "OrderQty")
+    tenths = {"p10": "0.1", "p90": "0.9"}
+
+    d = daily.agg(_r(F.avg("DailyQty")).alias("mean_daily_qty"), _r(F.stddev_pop("DailyQty")).alias("std_daily_qty"),
+                  _r(F.avg("DailyOrders")).alias("mean_daily_orders"), _r(F.stddev_pop("DailyOrders")).alias("std_daily_orders"))
+    m = _weighted("OrderQty")
+    line = by_qty.agg(_r(m["mean"]).alias("mean_line_qty"), _r(m["std_pop"]).alias("std_line_qty"))
+    g = exact_percentiles(by_qty, [], "OrderQty", tenths, mean="m", weight="n").select(
+        F.greatest(F.lit(1.0), _r(F.col("m"))).alias("MeanQty"), _floor1(F.col("p10")).alias("P10"),
+        F.greatest(F.lit(1), F.ceil("p90").cast("bigint")).alias("P90"))
+    whole = [_long(d), _long(line), _long(g)]
+    for col, name in (("n", "lines"), ("qty", "qty")):
+        s = exact_percentiles(orders, [], col, tenths, mean="m")
+        p10 = _floor1(F.col("p10"))
+        whole.append(_long(s.select(_r(F.col("m")).alias(f"{name}_mean"), p10.alias(f"{name}_p10"),
+                                    F.greatest(p10, F.ceil("p90").cast("bigint")).alias(f"{name}_p90"))))
+    per = cells.groupBy("ProductID").agg(m["mean"].alias("m"), m["std_samp"].alias("s"))
+    whole.append(_long(per.agg(_r(F.avg(F.greatest(F.lit(1.0), F.col("m")))).alias("product_mean_avg"),
+                               _r(F.avg(F.greatest(F.lit(1.0), F.coalesce("s", F.lit(1.0))))).alias("product_std_avg"))))
+    whole.append(_long(price_moments(price_history)))
+    whole.append(_describe_weighted(by_qty, "OrderQty"))
+    whole.append(_describe_weighted(part("price", "UnitPrice"), "UnitPrice"))
+    whole.append(_describe_weighted(part("discount", "UnitPriceDiscount"), "UnitPriceDiscount"))
+    out = _keyed(daily, "OrderDate", {"daily_qty": "DailyQty", "daily_orders": "DailyOrders"})
+    for frame in whole:
+        out = out.unionByName(frame.select("Metric", F.lit(None).cast("string").alias("Key"), "Value"))
+    q = exact_percentiles(cells, ["ProductID"], "OrderQty", tenths, mean="m", weight="n")
+    q = q.select("ProductID", _r(F.col("m")).alias("m"), _floor1(F.col("p10")).alias("p10"),
+                 F.greatest(F.lit(1), F.ceil("p90").cast("bigint")).alias("p90"))
+    out = out.unionByName(_keyed(q, "ProductID", {"product_mean_qty": "m", "product_p10": "p10", "product_p90": "p90"}))
+    total = by_qty.select(F.sum("n")).scalar()
+    shares = cells.groupBy("ProductID").agg((F.sum("n").cast("double") / total.cast("double")).alias("Share"))
+    out = out.unionByName(_keyed(shares.select("ProductID", _r(F.col("Share"), 9).alias("x")), "ProductID", {"product_share": "x"}))
+    for col, name in (("CustomerID", "customer"), ("SalesPersonID", "salesperson")):
+        f = relative_frequency(header, col, name)
+        out = out.unionByName(_keyed(f.select("Value", _r(F.col("Share"), 9).alias("x")), "Value", {f"{name}_share": "x"}))
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -205,10 +327,7 @@ def tier_profile(lines: DataFrame, offers: DataFrame) -> DataFrame:
     Lines are first reduced to (quantity, count); empty tiers are kept.
     """
     counts = lines.groupBy(F.col("OrderQty").alias("q")).agg(F.count(F.lit(1)).alias("n"))
-    lo = F.greatest(F.lit(1), F.col("MinQty"))
-    tiers = offers.where(F.col("UnitPriceDiscount") > 0).select(
-        "SpecialOfferID", lo.alias("TierMin"),
-        F.when(F.col("MaxQty").isNotNull(), F.greatest(lo, F.col("MaxQty"))).alias("TierMax"))
+    tiers = discount_tiers(offers)
     cond = (F.col("q") >= F.col("TierMin")) & (F.col("TierMax").isNull() | (F.col("q") <= F.col("TierMax")))
     return (F.broadcast(tiers).join(counts, cond, "left")
             .groupBy("SpecialOfferID", "TierMin", "TierMax")

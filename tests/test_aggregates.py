@@ -2,6 +2,7 @@
 import random
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -68,3 +69,37 @@ def test_global_order_operators_match_single_window(spark):
     nt = {r.id: r.nt for r in global_ntile(df, order, 5, "nt").collect()}
     rs = {r.id: r.running for r in global_running_sum(df, order, "v").collect()}
     assert all(want[i] == (rn[i], nt[i], rs[i]) for i in want)
+
+
+def test_tier_samples_come_from_the_histogram(spark):
+    from saleslens.plans import profile
+    cells = spark.createDataFrame([(1, 1, 2), (1, 5, 1), (2, 5, 3), (2, 9, 1), (3, 30, 4)], "ProductID long, OrderQty short, n long")
+    offers = spark.createDataFrame(
+        [(1, 0, None, 0.0), (2, 0, 4, .1), (3, 5, 9, .1), (4, 4, None, .2), (5, 10, 29, .1), (6, 9, 9, .1), (7, 12, 3, .1)],
+        "SpecialOfferID int, MinQty int, MaxQty int, UnitPriceDiscount double")
+    got = {r.SpecialOfferID: r.QtySamples for r in profile.tier_samples(cells, offers).collect()}
+    assert got == {2: "1:2", 3: "5:4,9:1", 4: "5:4,9:1,30:4", 5: "", 6: "9:1", 7: ""}
+    none = profile.tier_samples(cells, offers.where("UnitPriceDiscount = 0"))
+    assert none.count() == 0
+    empty = profile.tier_samples(cells.limit(0), offers).collect()
+    assert {r.QtySamples for r in empty} == {""} and len(empty) == 6
+    samples = {r.ProductID: r.QtySamples for r in profile.collect_samples(cells, "ProductID").collect()}
+    assert samples == {1: "1:2,5:1", 2: "5:3,9:1", 3: "30:4"}
+
+
+def test_profile_reads_the_lines_once(spark):
+    from saleslens.plans import profile
+    lines = spark.sql(
+        "SELECT * FROM VALUES (DATE '2000-01-03', 1L, 2S, 10L, 5.0BD, 0.0BD), (DATE '2000-01-03', 1L, 4S, 11L, 5.0BD, 0.1BD), "
+        "(DATE '2000-01-04', 2L, 2S, 10L, 7.0BD, 0.0BD) t(OrderDate, SalesOrderID, OrderQty, ProductID, UnitPrice, UnitPriceDiscount)")
+    hist = profile.profile_histogram(lines)
+    plan = hist._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and plan.count("Expand") == 1
+    assert {(r.part, r.n, r.qty) for r in hist.where("part = 'orders'").collect()} == {("orders", 2, 6), ("orders", 1, 2)}
+    header = spark.createDataFrame([(1, None), (1, 5), (2, 5)], "CustomerID long, SalesPersonID long")
+    prices = spark.sql("SELECT DATE '2000-01-01' AS StartDate, CAST(NULL AS DATE) AS EndDate, 3.0BD AS ListPrice")
+    got = {(r.Metric, r.Key): r.Value for r in profile.history_profile(hist.checkpoint(), header, prices).collect()}
+    assert got["daily_qty", "2000-01-03"] == 6 and got["daily_orders", "2000-01-04"] == 1
+    assert got["product_share", "10"] == pytest.approx(2 / 3, abs=1e-9) and got["salesperson_share", "5"] == 1
+    assert got["describe_UnitPrice_p50", None] == 5 and got["describe_OrderQty_std", None] == pytest.approx(1.154701)
+    assert got["product_p90", "11"] == 4 and got["lines_p90", None] == 2 and got["price_std", None] == 0

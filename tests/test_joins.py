@@ -72,3 +72,60 @@ def test_tier_profile_keeps_empty_tiers(spark):
     got = {r.SpecialOfferID: (r.TierMin, r.HistoryLines, r.HasHistory)
            for r in profile.tier_profile(lines, offers).collect()}
     assert got == {2: (1, 2, True), 6: (61, 0, False)}
+
+
+def _skewed(spark):
+    """Lines of 60 months, half of them of product 1, and three intervals a product, one of them open."""
+    from pyspark.sql import functions as F
+    lines = spark.range(24_000).select(
+        F.col("id").alias("LineID"), F.when(F.col("id") % 2 == 0, 1).otherwise(2 + F.col("id") % 97).cast("long").alias("ProductID"),
+        F.date_add(F.lit(D(2000, 1, 1)), (F.xxhash64("id") % 913 + 913).cast("int")).alias("OrderDate"))
+    edges = [(D(1990, 1, 1), D(2001, 6, 30)), (D(2001, 6, 1), D(2002, 3, 31)), (D(2002, 5, 1), None), (D(2090, 1, 1), None)]
+    costs = spark.createDataFrame([(p, s, e, float(i)) for p in range(1, 100) if p != 7 for i, (s, e) in enumerate(edges)],
+                                  "ProductID long, StartDate date, EndDate date, StandardCost double")
+    return lines, costs
+
+
+def _bucketed(lines, costs, unit="MONTH", hot=None):
+    from pyspark.sql import functions as F
+    from saleslens.operators.joins import bucketed_interval_join, hot_keys
+    span = [lines.select(f("OrderDate")).scalar() for f in (F.min, F.max)]
+    return bucketed_interval_join(lines, costs, "ProductID", "OrderDate", hot or hot_keys(lines, "ProductID"), *span,
+                                  right_cols=["StandardCost"], unit=unit)
+
+
+def test_bucketed_join_has_the_rows_of_the_interval_join(spark):
+    lines, costs = _skewed(spark)
+    lines = lines.unionByName(spark.createDataFrame([(-1, None, D(2000, 1, 1)), (-2, 1, None), (-3, 1, D(1980, 1, 1))], lines.schema))
+    want = interval_join(lines, costs, "ProductID", "OrderDate", right_cols=["StandardCost"])
+    for unit in ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR"):
+        got = _bucketed(lines, costs, unit)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+    nothing = _bucketed(lines, costs, hot=lines.select("ProductID").limit(0))
+    assert nothing.count() == want.count()
+
+
+def test_hot_product_is_spread_over_tasks(spark, monkeypatch):
+    from statistics import median
+
+    from pyspark.sql import functions as F
+
+    from saleslens.operators import joins
+    lines, costs = _skewed(spark)
+    monkeypatch.setattr(joins, "HOT", 4)                       # only product 1 holds a fourth
+    names = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in zip(names, ("false", "8", "-1")):
+            spark.conf.set(n, v)
+
+        def sizes(df):
+            return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        plain = sizes(interval_join(lines, costs, "ProductID", "OrderDate", right_cols=["StandardCost"]))
+        dealt = sizes(_bucketed(lines, costs))
+        assert [r[0] for r in joins.hot_keys(lines, "ProductID").collect()] == [1]
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    assert max(plain) > 3 * median(plain) and max(dealt) < 3 * median(dealt)
