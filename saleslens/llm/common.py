@@ -55,9 +55,14 @@ def release() -> None:
     stages, and what they or their allocators keep counts against the executor while other stages run."""
     _held.clear()
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    trim()
+
+
+def trim() -> None:
+    """Gives freed memory of this process back to the system."""
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give is not None:
+        give(0)
 
 
 def worker_cache(name: str) -> dict:
@@ -89,6 +94,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores before them as it takes to differ from all columns of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 bytes, unchanged; null has none."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -25,8 +25,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, fold_column, prepare, worker_cache, written
+from saleslens.llm.common import clean, fold_column, prepare, trim, worker_cache, written
 
+#: Word parts whose subsequences are held at once.
+RAW = 2_000
 #: Labelled documents that the fit reads, by label: clean words are told from toxic ones by clean documents, so more of those.
 SAMPLE = {0: 3500, 1: 1400}
 #: Words of clean documents that train the machine, besides those it gets wrong.
@@ -133,8 +135,8 @@ class Model:
         out = np.full(len(words), -np.inf)
         pieces = [(i, p) for i, w in enumerate(words) for p in parts(w)]
         pieces.sort(key=lambda x: len(x[1]))
-        for lo in range(0, len(pieces), 10_000):
-            some = pieces[lo:lo + 10_000]
+        for lo in range(0, len(pieces), RAW):
+            some = pieces[lo:lo + RAW]
             r, code, val = subsequences([p for _, p in some])
             f = self.bias + np.bincount(r, val * self._weights[code], len(some))
             np.maximum.at(out, [i for i, _ in some], f)
@@ -199,8 +201,8 @@ def _train(positive: list[str], negative: list[str], mark_pos: list[str], mark_n
     to = vec[:, keep] / np.sqrt(root[keep])             # kernel values with the landmarks -> Nystrom features
     both = [*positive, *negative]
     k = np.zeros((len(both), len(marks)))
-    for lo in range(0, len(both), 500):                 # rows of the kernel matrix, some at a time
-        r, code, val = subsequences(both[lo:lo + 500])
+    for lo in range(0, len(both), 100):                 # rows of the kernel matrix, some at a time
+        r, code, val = subsequences(both[lo:lo + 100])
         at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
         hit = np.flatnonzero(codes[at] == code)
         hit = hit[np.argsort(r[hit], kind="stable")]
@@ -292,8 +294,10 @@ def fit(labelled: DataFrame, rounds: int = 3) -> Model | None:
         marks_neg = [*hard[:LANDMARKS // 2], *w[common[:LANDMARKS // 2]]]
         own = set(positive)
         codes, weights, bias = _train(positive, [x for x in dict.fromkeys([*base, *hard]) if x not in own], marks, marks_neg)
+        trim()                                          # the kernel matrix goes before the next arrays come
         model = Model(codes, weights, bias, np.array([0.0, 1.0, 0.0]))
         f = model.raw(list(w))
+        trim()
         hard = list(w[negative][np.argsort(-f[negative], kind="stable")[:HARD]])
         if step < rounds - 1:                           # what the machine finds in toxic documents, and no clean one has
             positive = sorted(w[(f > 0) & (c == 0) & (t > 0)]) or positive
