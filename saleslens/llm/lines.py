@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import prepare, written
+from saleslens.llm.common import free_names, prepare, written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = " \t\n\x0b\x0c\r"
@@ -76,21 +76,9 @@ def _dense(keep: Column) -> Column:
     return F.flatten(F.transform(keep, with_gap))
 
 
-def _free(df: DataFrame, *names: str) -> list[str]:
-    """The names with as many underscores before them as it takes to differ from all columns of df."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for n in names:
-        while n.lower() in taken:
-            n = "_" + n
-        taken.add(n.lower())
-        out.append(n)
-    return out
-
-
 def _joined(docs: DataFrame, min_docs: int, min_chars: int) -> tuple[DataFrame, Column, str]:
     """docs with the bitmap of each row, the column of kept text, and the column of dropped lines."""
-    d, t, dropped, dense, own = _free(docs, "d", "t", "n_dropped", "dense", "text_hash")
+    d, t, dropped, dense, own = free_names(docs, "d", "t", "n_dropped", "dense", "text_hash")
     found = keep_bitmaps(docs, min_docs, min_chars)
     maps = found.select(F.col("d").alias(d), F.col("t").alias(t), F.col("n_dropped").alias(dropped),
                         _dense(F.col("keep")).alias(dense))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, lower_words, prepare, tidy, written
+from saleslens.llm.common import clean, free_names, lower_words, prepare, tidy, written
 from saleslens.llm.components import components
 
 BITS = 64
@@ -67,14 +67,19 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def _text_hash():
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp): one row per input row, fp as a signed long. Null and empty texts get 0."""
+    """(doc_id, text_hash, fp): one row per input row, fp as a signed long. Null and empty texts get 0."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fp = np.array([fingerprint(t, shingle) for t in clean(pdf["text"])], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp})
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInPandas(tidy(run), "doc_id long, fp long")
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_hash": pdf["text_hash"], "fp": fp})
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       _text_hash().alias("text_hash")) \
+        .mapInPandas(tidy(run), "doc_id long, text_hash long, fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -165,6 +170,17 @@ def near_links(fps: DataFrame, radius: int) -> DataFrame:
     return dealt.repartition("task").sortWithinPartitions(*order).mapInPandas(tidy(compare), "a long, b long").distinct()
 
 
+def _placed(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """fingerprints() of docs, written, and (fp, root, least_id) of the distinct ones: least_id is the fingerprint's
+    smallest doc_id, root the smallest fingerprint of its component."""
+    prepare(docs.sparkSession)
+    fp = written(fingerprints(docs, shingle), "fingerprints")
+    nodes = fp.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    linked = components(near_links(nodes.select("fp"), radius))
+    return fp, nodes.join(linked, nodes.fp == linked.node, "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id, kept) for each row of docs (doc_id, text; more columns are ignored).
 
@@ -173,13 +189,8 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFra
     get one row each; of rows with a null doc_id, component_id is that of the fingerprint's documents, and
     null if there are only such rows; kept is false for them. An empty table gives no rows.
     """
-    prepare(docs.sparkSession)
-    fp = written(fingerprints(docs, shingle), "fingerprints")
-    nodes = fp.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    linked = components(near_links(nodes.select("fp"), radius))
+    fp, placed = _placed(docs, shingle, radius)
     # The component's smallest doc_id: roots are fingerprints, so take the minimum over their documents.
-    placed = nodes.join(linked, nodes.fp == linked.node, "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_fp = placed.join(smallest, "root").select("fp", "component_id")
     return fp.join(of_fp, "fp").select(
@@ -190,20 +201,17 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFra
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """The rows of docs, with all their columns, of which the operator keeps one a component.
 
-    Of rows that share the kept doc_id (repeated rows) one stays, and one of a group whose rows all have a
-    null doc_id. Texts without words have fingerprint zero and so are one group, too.
+    That is the row with the smallest doc_id (null ids last), of rows that share it the one with the smallest
+    text hash. Rows that share a doc_id but whose texts are of two components keep one row each. Texts without
+    words have fingerprint zero and so are one group, too. An empty table gives no rows.
     """
-    groups = simhash_dedup(docs, shingle, radius).select("doc_id", "component_id", "fingerprint")
-    chosen = written(groups.where("component_id is null or doc_id = component_id")
-                     .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone"))
-                     .agg(F.min("doc_id").alias("__id")), "kept").select("component_id", "alone", "__id")
-    # A doc_id is kept once: repeated rows of it are numbered, which touches only the kept ids.
-    by_id = docs.join(chosen.where("__id is not null").select("__id"), F.col("doc_id") == F.col("__id"), "left_semi")
-    some = by_id.dropDuplicates(["doc_id"])
-    if chosen.where("__id is null").isEmpty():
-        return some
-    nameless = docs.where("doc_id is null").mapInPandas(
-        lambda batches: (p.assign(__fp=[f"{fingerprint(t, shingle):016x}" for t in clean(p["text"])]) for p in batches),
-        ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", __fp string")
-    left = nameless.join(chosen.where("__id is null").select(F.col("alone").alias("__fp")), "__fp", "left_semi")
-    return some.unionByName(left.dropDuplicates(["__fp"]).drop("__fp"))
+    fp, placed = _placed(docs, shingle, radius)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first")
+    own, name, text_hash = free_names(docs, "text_hash", "name", "chosen_hash")
+    # Each component's fingerprints are reduced first, so a large one is one row a task and fingerprint.
+    least = fp.groupBy("fp").agg(first)
+    chosen = written(least.join(placed, "fp").groupBy("root").agg(F.min("first").alias("first"))
+                     .select(F.col("first.doc_id").alias(name), F.col("first.text_hash").alias(text_hash)), "kept")
+    keyed = docs.withColumn(own, _text_hash())
+    some = keyed.join(chosen, keyed["doc_id"].cast("long").eqNullSafe(F.col(name)) & (F.col(own) == F.col(text_hash)), "left_semi")
+    return some.dropDuplicates(["doc_id", own]).select(*docs.columns)
