@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from saleslens.catalog import register
+from saleslens.catalog import oracle_ctes as oc
 from saleslens.catalog.oracle_ctes import with_ctes
 from saleslens.catalog.pipelines import sales_fact  # noqa: F401  (keeps the model queries registered first)
 from saleslens.operators import quality as q
@@ -60,17 +61,53 @@ def q_dq_batch_unique(spark, sf_dir):
                                 ("daily_details_temp", t.daily_details_temp, "SalesOrderDetailID")])
 
 
+# Batches with faults of every kind that the checks look for, taken from the rows of the tables themselves.
+FAULTY_PRODUCT = 1_000_000_000      # added to a product id, so that no product has it
+oc.add("orders_faulty",
+       "SELECT SalesOrderID, OrderDate FROM orders_temp UNION ALL "
+       "SELECT SalesOrderID, OrderDate FROM header_hist WHERE SalesOrderID % 200 = 0")
+oc.add("lines_faulty",
+       "SELECT SalesOrderID, SalesOrderDetailID, CASE WHEN SalesOrderDetailID % 5 = 0 THEN ProductID + "
+       f"{FAULTY_PRODUCT} ELSE ProductID END AS ProductID FROM daily_details_temp UNION ALL "
+       "SELECT SalesOrderID, SalesOrderDetailID, ProductID FROM detail_hist WHERE SalesOrderID % 200 = 0")
+oc.add("header_faulty",
+       "SELECT SalesOrderID, OnlineOrderFlag, CASE WHEN SalesOrderID % 100 = 0 THEN CustomerID % 10 ELSE SalesPersonID END "
+       "AS SalesPersonID, CASE WHEN SalesOrderID % 300 = 0 THEN -CustomerID ELSE CustomerID END AS CustomerID FROM header_all")
+
+
+def orders_faulty(t: SalesTables):
+    """The staged orders and, staged once more, every 200th of the history."""
+    again = t.header_hist.where(F.col("SalesOrderID") % 200 == 0)
+    return t.orders_temp.select("SalesOrderID", "OrderDate").unionByName(again.select("SalesOrderID", "OrderDate"))
+
+
+def lines_faulty(t: SalesTables):
+    """The staged lines, every 5th of a product that there isn't, and the lines of the orders staged once more."""
+    product = F.when(F.col("SalesOrderDetailID") % 5 == 0, F.col("ProductID") + FAULTY_PRODUCT).otherwise(F.col("ProductID"))
+    cols = ["SalesOrderID", "SalesOrderDetailID", "ProductID"]
+    return (t.daily_details_temp.withColumn("ProductID", product).select(*cols)
+            .unionByName(t.detail_hist.where(F.col("SalesOrderID") % 200 == 0).select(*cols)))
+
+
+def header_faulty(t: SalesTables):
+    """All orders; every 100th has a salesperson, online or not, every 300th a customer that there isn't."""
+    return t.header_all.select(
+        "SalesOrderID", "OnlineOrderFlag",
+        F.when(F.col("SalesOrderID") % 100 == 0, F.col("CustomerID") % 10).otherwise(F.col("SalesPersonID")).alias("SalesPersonID"),
+        F.when(F.col("SalesOrderID") % 300 == 0, -F.col("CustomerID")).otherwise(F.col("CustomerID")).alias("CustomerID"))
+
+
 @register("dq_no_overlap_history", with_ctes(
-    "SELECT 'orders_temp' AS TableName, SalesOrderID AS KeyValue FROM orders_temp WHERE SalesOrderID IN (SELECT "
+    "SELECT 'orders_temp' AS TableName, SalesOrderID AS KeyValue FROM orders_faulty WHERE SalesOrderID IN (SELECT "
     "SalesOrderID FROM header_hist) UNION ALL SELECT 'daily_details_temp', SalesOrderDetailID FROM "
-    "daily_details_temp WHERE SalesOrderDetailID IN (SELECT SalesOrderDetailID FROM detail_hist)",
-    "orders_temp", "header_hist", "daily_details_temp", "detail_hist"))
+    "lines_faulty WHERE SalesOrderDetailID IN (SELECT SalesOrderDetailID FROM detail_hist)",
+    "orders_faulty", "header_hist", "lines_faulty", "detail_hist"))
 def q_dq_no_overlap_history(spark, sf_dir):
-    """Q4: staged ids that already exist in the history."""
+    """Q4: ids of the faulty batch that already exist in the history."""
     t = T(spark, sf_dir)
-    a = q.keys_present(t.orders_temp, t.header_hist, "SalesOrderID") \
+    a = q.keys_present(orders_faulty(t), t.header_hist, "SalesOrderID") \
         .select(F.lit("orders_temp").alias("TableName"), F.col("SalesOrderID").alias("KeyValue"))
-    b = q.keys_present(t.daily_details_temp, t.detail_hist, "SalesOrderDetailID") \
+    b = q.keys_present(lines_faulty(t), t.detail_hist, "SalesOrderDetailID") \
         .select(F.lit("daily_details_temp").alias("TableName"), F.col("SalesOrderDetailID").alias("KeyValue"))
     return a.unionByName(b)
 
@@ -95,25 +132,24 @@ def q_dq_ids_after_max(spark, sf_dir):
 
 
 @register("dq_products_allowed", with_ctes(
-    "SELECT SalesOrderID, SalesOrderDetailID, ProductID FROM daily_details_temp d WHERE NOT EXISTS (SELECT 1 FROM "
-    "cost_history c WHERE c.ProductID = d.ProductID)", "daily_details_temp", "cost_history"))
+    "SELECT SalesOrderID, SalesOrderDetailID, ProductID FROM lines_faulty d WHERE NOT EXISTS (SELECT 1 FROM "
+    "cost_history c WHERE c.ProductID = d.ProductID)", "lines_faulty", "cost_history"))
 def q_dq_products_allowed(spark, sf_dir):
-    """Q7: staged lines whose product has no cost history."""
+    """Q7: lines of the faulty batch whose product has no cost history."""
     t = T(spark, sf_dir)
-    return q.missing_in(t.daily_details_temp, t.cost_history, "ProductID", "ProductID") \
+    return q.missing_in(lines_faulty(t), t.cost_history, "ProductID", "ProductID") \
         .select("SalesOrderID", "SalesOrderDetailID", "ProductID")
 
 
 @register("dq_price_positive", with_ctes(
-    "SELECT DISTINCT d.ProductID, p.ListPrice FROM daily_details_temp d LEFT JOIN (SELECT ProductID, ListPrice FROM "
-    "price_history WHERE EndDate IS NULL) p ON p.ProductID = d.ProductID WHERE p.ListPrice IS NULL OR "
-    "p.ListPrice <= 0", "daily_details_temp", "price_history"))
+    "SELECT DISTINCT d.ProductID, p.ListPrice FROM lines_faulty d LEFT JOIN (SELECT ProductID, CASE WHEN ProductID % 7 = 0 "
+    "THEN -ListPrice ELSE ListPrice END AS ListPrice FROM price_history WHERE EndDate IS NULL) p ON p.ProductID = d.ProductID "
+    "WHERE p.ListPrice IS NULL OR p.ListPrice <= 0", "lines_faulty", "price_history"))
 def q_dq_price_positive(spark, sf_dir):
-    """Q8: staged products without a current, positive list price."""
+    """Q8: products of the faulty batch without a current, positive list price (every 7th product's is negated)."""
     t = T(spark, sf_dir)
-    cur = t.price_history.where(F.col("EndDate").isNull()).select("ProductID", "ListPrice")
-    return (t.daily_details_temp.select("ProductID").distinct().join(cur, "ProductID", "left")
-            .where(F.col("ListPrice").isNull() | (F.col("ListPrice") <= 0)))
+    price = F.when(F.col("ProductID") % 7 == 0, -F.col("ListPrice")).otherwise(F.col("ListPrice"))
+    return q.price_positive(lines_faulty(t), t.price_history.withColumn("ListPrice", price.cast("decimal(19,4)")))
 
 
 @register("dq_cost_coverage", with_ctes(
@@ -139,19 +175,17 @@ def q_dq_interval_overlap(spark, sf_dir):
 
 
 @register("dq_online_no_salesperson", with_ctes(
-    "SELECT SalesOrderID, SalesPersonID FROM header_all WHERE OnlineOrderFlag AND SalesPersonID IS NOT NULL",
-    "header_all"))
+    "SELECT SalesOrderID, SalesPersonID FROM header_faulty WHERE OnlineOrderFlag AND SalesPersonID IS NOT NULL",
+    "header_faulty"))
 def q_dq_online_no_salesperson(spark, sf_dir):
     """Q11: online orders must not carry a salesperson."""
-    h = T(spark, sf_dir).header_all
-    return h.where(F.col("OnlineOrderFlag") & F.col("SalesPersonID").isNotNull()).select("SalesOrderID",
-                                                                                       "SalesPersonID")
+    return q.online_with_salesperson(header_faulty(T(spark, sf_dir)))
 
 
 FK_SQL = [
-    ("detail.ProductID", "detail_hist", "ProductID", "product", "ProductID"),
+    ("detail.ProductID", "lines_faulty", "ProductID", "product", "ProductID"),
     ("detail.SalesOrderID", "detail_hist", "SalesOrderID", "header_hist", "SalesOrderID"),
-    ("header.CustomerID", "header_hist", "CustomerID", "customer_src", "CustomerID"),
+    ("header.CustomerID", "header_faulty", "CustomerID", "customer_src", "CustomerID"),
     ("header.TerritoryID", "header_hist", "TerritoryID", "territory", "TerritoryID"),
     ("header.SalesPersonID", "header_hist", "SalesPersonID", "sales_person", "BusinessEntityID"),
     ("store.SalesPersonID", "store", "SalesPersonID", "sales_person", "BusinessEntityID"),
@@ -171,9 +205,9 @@ FK_SQL = [
     f"SELECT '{n}' AS FkName, CAST(c.{ck} AS BIGINT) AS KeyValue, count(*) AS n FROM {ct} c WHERE c.{ck} IS NOT NULL "
     f"AND NOT EXISTS (SELECT 1 FROM {pt} p WHERE p.{pk} = c.{ck}) GROUP BY c.{ck}" for n, ct, ck, pt, pk in FK_SQL)))
 def q_dq_foreign_keys(spark, sf_dir):
-    """Q12: orphan child keys per foreign key, with how many rows carry each."""
+    """Q12: orphan child keys per foreign key, with how many rows carry each (lines and orders of the faulty batch)."""
     t = T(spark, sf_dir)
-    frames = {"detail_hist": t.detail_hist, "header_hist": t.header_hist, "product": t.product,
+    frames = {"lines_faulty": lines_faulty(t), "header_faulty": header_faulty(t), "detail_hist": t.detail_hist, "header_hist": t.header_hist, "product": t.product,
               "customer_src": t.customer_src, "territory": t.territory, "sales_person": t.sales_person,
               "store": t.store, "product_subcategory": t.product_subcategory, "cost_history": t.cost_history,
               "price_history": t.price_history, "product_category": t.product_category}

@@ -99,3 +99,15 @@ def emptiness(frames: list[tuple[str, DataFrame]]) -> DataFrame:
                                                                               "IsEmpty")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def price_positive(lines: DataFrame, price_history: DataFrame) -> DataFrame:
+    """Q8: (ProductID, ListPrice) of the lines' products without a current list price above 0."""
+    cur = price_history.where(F.col("EndDate").isNull()).select("ProductID", "ListPrice")
+    return (lines.select("ProductID").distinct().join(cur, "ProductID", "left")
+            .where(F.col("ListPrice").isNull() | (F.col("ListPrice") <= 0)))
+
+
+def online_with_salesperson(header: DataFrame) -> DataFrame:
+    """Q11: (SalesOrderID, SalesPersonID) of online orders that have a salesperson."""
+    return header.where(F.col("OnlineOrderFlag") & F.col("SalesPersonID").isNotNull()).select("SalesOrderID", "SalesPersonID")
