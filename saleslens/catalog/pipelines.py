@@ -320,7 +320,8 @@ def staged_store(spark, t: SalesTables, root: str | None = None) -> daily.TableS
 
 def _load(spark, sf_dir):
     store = staged_store(spark, SalesTables.of(spark, sf_dir))
-    return store, daily.daily_load(store, LOAD_BATCH)
+    daily.daily_load(store, LOAD_BATCH)
+    return store
 
 
 @register("daily_build_headers", with_ctes("SELECT * FROM built_headers", "built_headers"))
@@ -342,14 +343,14 @@ def q_agg_order_subtotal(spark, sf_dir):
 @register("daily_load", with_ctes("SELECT * FROM detail_after_load", "detail_after_load"))
 def q_daily_load(spark, sf_dir):
     """The detail history after the guarded daily load."""
-    store, _ = _load(spark, sf_dir)
+    store = _load(spark, sf_dir)
     return store.read("detail")
 
 
 @register("sink_append", with_ctes("SELECT * FROM header_after_load", "header_after_load"))
 def q_sink_append(spark, sf_dir):
     """The header history after appending the day's rebuilt headers."""
-    store, _ = _load(spark, sf_dir)
+    store = _load(spark, sf_dir)
     return store.read("header")
 
 
@@ -360,8 +361,7 @@ def q_sink_append(spark, sf_dir):
     "SELECT 'detail', 'after', count(*) FROM detail_after_load", "header_after_load", "detail_after_load"))
 def q_agg_row_counts(spark, sf_dir):
     """Row counts before and after the load (audit rows instead of printed messages)."""
-    _, audit = _load(spark, sf_dir)
-    return audit
+    return daily.load_audit(_load(spark, sf_dir), LOAD_BATCH)
 
 
 @register("sink_overwrite", with_ctes(
@@ -370,7 +370,7 @@ def q_agg_row_counts(spark, sf_dir):
     "FROM orders_temp", "orders_temp", "built_headers"))
 def q_sink_overwrite(spark, sf_dir):
     """The staging table rewritten with loaded orders flagged processed."""
-    store, _ = _load(spark, sf_dir)
+    store = _load(spark, sf_dir)
     return store.read("orders_temp")
 
 
@@ -388,7 +388,7 @@ def q_daily_gate(spark, sf_dir):
 @register("daily_reset", with_ctes(f"SELECT {DETAIL_SQL_COLS} FROM detail_hist", "detail_hist"))
 def q_daily_reset(spark, sf_dir):
     """After load + reset, the detail history is back to what it was."""
-    store, _ = _load(spark, sf_dir)
+    store = _load(spark, sf_dir)
     daily.daily_reset(store, LOAD_BATCH)
     return store.read("detail")
 

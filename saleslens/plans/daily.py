@@ -45,6 +45,7 @@ class TableStore:
     def __post_init__(self):
         self.root = self.root.rstrip("/")
         self._seen = 0
+        self._rows: dict[str, int] = {}     # segments never change, so each is counted once
 
     def version(self) -> int:
         """The number of the newest manifest; 0 before the first commit."""
@@ -79,6 +80,18 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         return self._frame(name, self._state()[1])
 
+    def rows(self, name: str, batch: str | None = None) -> int:
+        """The table's rows, or those of one batch. A base frame is counted once a store, a segment once, from
+        its files' footers."""
+        total = 0
+        for n, path, b in self._state()[1]:
+            if n == name and batch in (None, b):
+                key = path or f"base {name}"
+                if key not in self._rows:
+                    self._rows[key] = (self.bases[name] if path is None else self.spark.read.parquet(path)).count()
+                total += self._rows[key]
+        return total
+
     def segment(self, name: str, batch: str) -> DataFrame:
         """The rows that one batch appended to a table."""
         return self._frame(name, [r for r in self._state()[1] if r[2] == batch])
@@ -134,14 +147,16 @@ def pending_today(orders_temp: DataFrame, as_of) -> DataFrame:
     return orders_temp.where(~F.col("processed") & (F.col("modified_date").cast("date") == as_date(as_of)))
 
 
-def audit_counts(frames: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """One (TableName, Stage, Rows) row per frame; counts run as Spark aggregates."""
-    out = None
-    for table, stage, df in frames:
-        row = df.agg(F.count(F.lit(1)).alias("Rows")).select(
-            F.lit(table).alias("TableName"), F.lit(stage).alias("Stage"), "Rows")
-        out = row if out is None else out.unionByName(row)
-    return out
+def load_audit(store: TableStore, batch: str) -> DataFrame:
+    """(TableName, Stage, Rows) before and after a batch's load, from the rows that the load wrote.
+
+    The history is counted once a store, not around each load; ``before`` is what stands now less the batch.
+    """
+    rows = []
+    for name in ("header", "detail"):
+        after = store.rows(name)
+        rows += [(name, "before", after - store.rows(name, batch)), (name, "after", after)]
+    return store.spark.createDataFrame(rows, "TableName string, Stage string, Rows long")
 
 
 def mark(orders_temp: DataFrame, ids: DataFrame, processed: bool) -> DataFrame:
@@ -170,14 +185,14 @@ def known_ids(history: DataFrame, batch: DataFrame) -> DataFrame:
     return near.join(ids, "SalesOrderID", "left_semi").distinct()
 
 
-def daily_load(store: TableStore, batch: str) -> DataFrame:
-    """Guard, then headers, lines and staging flags in one commit; returns the audit rows.
+def daily_load(store: TableStore, batch: str) -> None:
+    """Guard, then headers, lines and staging flags in one commit; ``load_audit`` has its audit rows.
 
     The rebuilt headers are written once (used by the guard, the lines and the flag update) so the staging
     data is read once and the lineage is cut.
     """
     spark = store.spark
-    hist_h, hist_d, staged = store.read("header"), store.read("detail"), store.read("orders_temp")
+    hist_h, staged = store.read("header"), store.read("orders_temp")
     lines = store.read("daily_details_temp")
     if store.has_batch(batch):
         raise DuplicateLoadError(f"batch {batch} is loaded already; reset before reloading")
@@ -190,8 +205,6 @@ def daily_load(store: TableStore, batch: str) -> DataFrame:
 
     store.commit(batch, append={"header": header_rows(headers), "detail": loaded_details(lines, headers)},
                  replace={"orders_temp": mark(staged, headers, True)})
-    return audit_counts([("header", "before", hist_h), ("detail", "before", hist_d),
-                         ("header", "after", store.read("header")), ("detail", "after", store.read("detail"))])
 
 
 def daily_gate(store: TableStore, as_of, batch: str) -> DataFrame:

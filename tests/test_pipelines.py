@@ -111,3 +111,19 @@ def test_timeline_shift_is_idempotent(spark):
     b = model.shift_orders(t.header_all, dt.date(2026, 1, 1))
     assert a.exceptAll(b).count() == 0
     assert a.agg(F.max("OrderDate")).first()[0] == dt.date(2026, 1, 1)
+
+
+def test_audit_counts_only_what_a_load_wrote(spark, work):
+    t = SalesTables(spark, SF_SMALL)
+    store = staged_store(spark, t)
+    n_h, n_d = t.header_hist.count(), t.detail_hist.count()
+    daily.daily_load(store, "one")
+    first = {(r.TableName, r.Stage): r.Rows for r in daily.load_audit(store, "one").collect()}
+    assert (first["header", "before"], first["detail", "before"]) == (n_h, n_d)
+    assert first["detail", "after"] == store.read("detail").count() > n_d
+    again = store.read("header").limit(3).withColumn("SalesOrderID", F.col("SalesOrderID") + 10**9)
+    store.commit("two", append={"header": again})
+    store.bases = {n: f.limit(0) for n, f in store.bases.items()}         # from here on a scan of the history would show
+    second = {(r.TableName, r.Stage): r.Rows for r in daily.load_audit(store, "two").collect()}
+    assert second["header", "before"] == first["header", "after"] == second["header", "after"] - 3
+    assert second["detail", "before"] == second["detail", "after"] == first["detail", "after"]
