@@ -56,7 +56,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from saleslens.session import fresh_dir
     folder = fresh_dir(spark, "tokens")
     manifest = write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, folder=folder)
-    return read_tokens(manifest, folder).drop("ids")
+    return read_tokens(manifest, folder, keep_ids=False).drop("ids")
 
 
 @register("op5_decontamination")

@@ -41,15 +41,17 @@ def _widths(top: np.ndarray) -> np.ndarray:
 
 def _bits(v: np.ndarray, width: int) -> np.ndarray:
     """Rows of values packed at width bits, most significant first: rows of BLOCK/8*width bytes."""
-    b = np.unpackbits(v.astype(">u4").view(np.uint8).reshape(len(v), BLOCK, 4), axis=2)[:, :, 32 - width:]
+    full = 16 if width <= 16 else 32
+    b = np.unpackbits(v.astype(f">u{full // 8}").view(np.uint8).reshape(len(v), BLOCK, full // 8), axis=2)[:, :, full - width:]
     return np.packbits(b.reshape(len(v), BLOCK * width), axis=1)
 
 
 def _unbits(raw: np.ndarray, width: int) -> np.ndarray:
-    b = np.zeros((len(raw), BLOCK, 32), np.uint8)
+    full = 16 if width <= 16 else 32
+    b = np.zeros((len(raw), BLOCK, full), np.uint8)
     if width:
-        b[:, :, 32 - width:] = np.unpackbits(raw, axis=1).reshape(len(raw), BLOCK, width)
-    return np.packbits(b, axis=2).view(">u4").reshape(len(raw), BLOCK).astype(np.uint32)
+        b[:, :, full - width:] = np.unpackbits(raw, axis=1).reshape(len(raw), BLOCK, width)
+    return np.packbits(b, axis=2).view(f">u{full // 8}").reshape(len(raw), BLOCK).astype(np.uint32)
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -60,15 +62,24 @@ def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     width = _widths(np.sort(v, axis=1)[:, int(np.ceil(PERCENTILE * BLOCK)) - 1])
     over = v >= (np.uint64(1) << width.astype(np.uint64))[:, None]
     count = over.sum(axis=1)
-    out: list[bytes | None] = [None] * len(v)
+    sizes = 6 + width * (BLOCK // 8) + 5 * count
+    begin = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint8)
+    head = np.empty((len(v), 6), np.uint8)
+    head[:, :4] = low.astype("<u4").view(np.uint8).reshape(-1, 4)
+    head[:, 4], head[:, 5] = width, count
+    out[begin[:, None] + np.arange(6)] = head
     packed = np.where(over, 0, v)
-    for w in np.unique(width):
+    for w in np.unique(width[width > 0]):
         at = np.flatnonzero(width == w)
-        for i, raw in zip(at, _bits(packed[at], int(w))):
-            places = np.flatnonzero(over[i])
-            out[i] = (struct.pack("<IBB", low[i], w, count[i]) + raw.tobytes()
-                      + places.astype(np.uint8).tobytes() + v[i, places].astype("<u4").tobytes())
-    return b"".join(out), 6 + width * (BLOCK // 8) + 5 * count
+        out[(begin[at] + 6)[:, None] + np.arange(BLOCK // 8 * w)] = _bits(packed[at], int(w))
+    row, place = np.nonzero(over)
+    if len(row):
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        at = (begin + 6 + width * (BLOCK // 8))[row]
+        out[at + nth] = place
+        out[(at + count[row] + 4 * nth)[:, None] + np.arange(4)] = v[over].astype("<u4").view(np.uint8).reshape(-1, 4)
+    return out.tobytes(), sizes
 
 
 def decode_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
@@ -199,8 +210,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str |
                    .mapInPandas(run, "shard int, path string, n_docs long, n_tokens long"), "manifest")
 
 
-def read_tokens(manifest: DataFrame, folder: str | None = None) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of each document, from the shards of a manifest."""
+def read_tokens(manifest: DataFrame, folder: str | None = None, keep_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of each document, from the shards of a manifest; ids are null unless
+    they are to be kept."""
     uri = folder or ""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,14 +220,15 @@ def read_tokens(manifest: DataFrame, folder: str | None = None) -> DataFrame:
             for path, start in zip(pdf["path"], pdf["before"]):
                 store = fs.FileSystem.from_uri(uri)[0] if ":" in uri else fs.LocalFileSystem()
                 with store.open_input_file(path) as f:
-                    out = []
+                    out, held = [], 0
                     for doc, ids in read_shard(f):
                         raw = ids.astype("<u4").tobytes()
-                        out.append((doc, start, len(ids), zlib.crc32(raw), raw))
+                        out.append((doc, start, len(ids), zlib.crc32(raw), raw if keep_ids else None))
                         start += len(ids)
-                        if len(out) == 2000:
+                        held += len(ids) * keep_ids
+                        if len(out) == 2000 or held > AT_ONCE * BLOCK:
                             yield _frame(out)
-                            out = []
+                            out, held = [], 0
                     yield _frame(out)
     # One row a shard: the sums before them are over the manifest, not over documents.
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -2,8 +2,10 @@
 
 Both vocabularies split a text before a space that stands between two other characters, and encode each
 part on its own. So the ids of a text are those of its space-separated parts, and each worker remembers
-the ids of parts it has met (``REMEMBERED`` at most; further parts are encoded each time). Texts with
-two white-space characters in a row, or one at an end, are given to the library whole.
+the ids of parts it has met (``REMEMBERED`` at most; further parts are encoded each time). A single line
+break is either another space to the vocabulary or a piece of its own; which, is asked of the library.
+Texts with two white-space characters in a row, or one at an end, and texts that hold the string of one of
+the vocabulary's added tokens are given to the library whole. The library's settings are left as they are.
 """
 
 from __future__ import annotations
@@ -41,7 +43,10 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True    # their strings in a text are ordinary text
+        added = list(self.library.get_added_tokens_decoder().values())
+        # Added tokens are looked for in the text itself; if one is matched after normalisation, all texts go whole.
+        self.added = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
+        self.all_whole = any(t.normalized for t in added)
         self.after_space: dict[str, bytes] = {}
         self.at_start: dict[str, bytes] = {}
         # How the ids of many parts in one text are told apart: by the ids that begin with the space before a
@@ -52,6 +57,9 @@ class Encoder:
         self.by_space = int(self.leads[self.library.encode(" a b", add_special_tokens=False).ids].sum()) == 2
         mark = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 and not self.by_space else None
+        lines, spaces, self.line, apart = self.whole(["a.\nb", "a. b", "\n", "a."])
+        self.line_is_space = lines == spaces
+        self.line_is_piece = not self.line_is_space and lines == apart + self.line + self.whole(["b"])[0]
 
     def many(self, parts: list[str]) -> list[bytes]:
         """Ids of parts without spaces, each as after a space: encoded by hundreds in one text."""
@@ -63,13 +71,16 @@ class Encoder:
                 text = "".join(f" {p}" for p in some) if self.by_space else f" {MARK} ".join(some)
                 ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
                 if self.by_space:
-                    cuts = np.flatnonzero(self.leads[ids])
-                    each = np.split(ids, cuts[1:]) if len(cuts) and cuts[0] == 0 else []
+                    begin = np.flatnonzero(self.leads[ids])
+                    end = np.append(begin[1:], len(ids))
+                    whole = len(begin) == len(some) and begin[0] == 0
                 else:
                     cuts = np.flatnonzero(ids == self.mark)
-                    each = [x[1:] if i else x for i, x in enumerate(np.split(ids, cuts))]
-                if len(each) == len(some):
-                    found.update(zip(some, (x.tobytes() for x in each)))
+                    begin, end = np.append(0, cuts + 1), np.append(cuts, len(ids))
+                    whole = len(begin) == len(some)
+                if whole:
+                    raw = ids.tobytes()
+                    found.update(zip(some, [raw[a:b] for a, b in zip((begin * 4).tolist(), (end * 4).tolist())]))
         rest = [p for p in parts if p not in found]
         found.update(zip(rest, self.whole([f" {p}" for p in rest])))
         return [found[p] for p in parts]
@@ -78,11 +89,12 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, parts: list[str], known: dict[str, bytes], space: str) -> dict[str, bytes]:
-        """Ids of parts that aren't known: letters followed by punctuation are two independent parts."""
+        """Ids of parts that aren't known: A-Z and a-z followed by punctuation are two independent parts (other
+        letters can change by normalisation into what is no letter)."""
         split = {}
         for w in parts:
             core = w.rstrip(_PUNCTUATION)
-            split[w] = (core, w[len(core):]) if core != w and core.isalpha() else (w, "")
+            split[w] = (core, w[len(core):]) if core != w and core.isascii() and core.isalpha() else (w, "")
         need = [c for c in dict.fromkeys(c for c, _ in split.values()) if c not in known]
         tails = [t for t in dict.fromkeys(t for _, t in split.values()) if t and t not in self.at_start]
         new = dict(zip(need, self.many(need) if space else self.whole(need)))
@@ -98,18 +110,44 @@ class Encoder:
             known.update(out)
         return out
 
+    def _parts(self, text: str) -> list[str] | None:
+        """The parts of a text, the first as at the start and the others as after a space; a part that begins with a
+        line break stands after one instead. None: the text has to be encoded whole."""
+        if self.all_whole or self.added.search(text):
+            return None
+        plain = text.split()
+        even = text.replace("\n", " ") if self.line_is_space else text
+        plain = text.split()
+        if len(" ".join(plain)) == len(text) and even.count(" ") == len(plain) - 1:
+            return plain                           # single spaces alone
+        if _WHOLE.search(text):
+            return None
+        return (even.replace("\n", " \n") if self.line_is_piece else even).split(" ")
+
+    def _missing(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts that aren't known after a space or a line break."""
+        if not self.line_is_piece:
+            return self._learn(parts, self.after_space, " ")
+        more = self._learn([w for w in parts if w[:1] != "\n"], self.after_space, " ")
+        lines = [w for w in parts if w[:1] == "\n"]
+        begun = self._learn([w[1:] for w in lines if w[1:] not in self.at_start], self.at_start, "")
+        after = {w: self.line + (begun[w[1:]] if w[1:] in begun else self.at_start[w[1:]]) for w in lines}
+        if len(self.after_space) < REMEMBERED:
+            self.after_space.update(after)
+        return more | after
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none."""
         out: list[bytes] = [b""] * len(texts)
-        long_way = [i for i, t in enumerate(texts) if t and _WHOLE.search(t)]
+        cut = {i: self._parts(t) for i, t in enumerate(texts) if t}
+        long_way = [i for i, p in cut.items() if p is None]
         for i, ids in zip(long_way, self.whole([texts[i] for i in long_way])):
             out[i] = ids
-        skip = set(long_way)
-        parts = {i: t.split(" ") for i, t in enumerate(texts) if t and i not in skip}
-        known, get = self.after_space, self.after_space.get
+        parts = {i: p for i, p in cut.items() if p is not None}
+        get = self.after_space.get
         found = {i: list(map(get, p[1:])) for i, p in parts.items()}
         missing = {w for i, f in found.items() if None in f for w, ids in zip(parts[i][1:], f) if ids is None}
-        more = self._learn(list(missing), known, " ") if missing else {}
+        more = self._missing(list(missing)) if missing else {}
         first = {p[0] for p in parts.values() if p[0] not in self.at_start}
         starts = self._learn(list(first), self.at_start, "") if first else {}
         for i, f in found.items():

@@ -100,7 +100,6 @@ def test_packing_and_token_files(spark, docs):
     path = tokens.tokenizer_path("byte_bpe_50k.json")
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(path)
-    lib.encode_special_tokens = True
     want = Counter((d, np.array(lib.encode(t or "", add_special_tokens=False).ids + [1], "<u4").tobytes()) for d, t, _ in rows)
     placed, cut = packing.pack(df, path, 1, 2048)
     r = placed.toPandas().sort_values(["sequence_id", "offset"])
@@ -127,12 +126,28 @@ def test_word_by_word_ids_are_the_librarys(text, name):
     path = tokens.tokenizer_path(name)
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(path)
-    lib.encode_special_tokens = True
     for t in (text, f"word {text}", f"{text} word, again {text}."):
         want = np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
         assert tokens.encoder(path).encode([t, None]) == [want, b""]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_random_texts_are_the_librarys(name):
+    path = tokens.tokenizer_path(name)
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(path)
+    rng = random.Random(5)
+    bits = ["İ", "İ", "i̇", "é", "e\u0301", "ß", "ſ", "Ω", "K", "a", "B", "the", "Word", "don't", "'s", "'ll", ".", ",", "!?", "*", "~", "|", "<|", "|>", "#",
+            "1", "23", "ª", "ⅷ", "中文", "한글", "\u200d", "\u0300", "👍🏽", "\u00a0", "\t", "\x1c", "\x85", "\r", "<|endoftext|>", "<|startoftext|>"]
+    texts = []
+    for _ in range(20_000):
+        words = ["".join(rng.choices(bits, k=rng.randint(1, 4))) for _ in range(rng.randint(1, 9))]
+        texts.append("".join(w + rng.choice([" ", " ", " ", "\n", "\n", "  "] if rng.random() < .9 else ["\n\n", " \n", ""]) for w in words).strip(" \n") or "x")
+    want = [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
+    got = tokens.Encoder(path).encode(texts)
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
 def test_packing_patterns_place_everything():
     counts = {n: RNG.randint(1, 50) for n in RNG.sample(range(1, 2049), 300)}
     patterns = packing.shortest_pack_first(counts, 2048)
