@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, prepare, tidy, words, written
+from saleslens.llm.common import clean, free_names, prepare, tidy, words, written
 
 U = np.uint64
 WINDOW = 35
@@ -115,7 +115,7 @@ class Levels:
     def wholes(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         whole = doubled(self.words, self.window)[starts]
         other = mix(doubled(self.words, self.half)[starts], self.words[starts + self.window - 1], 5)
-        return whole, (other >> U(33)).astype(np.int32)
+        return whole, (other >> U(33)).astype(np.int64)
 
 
 def key_of(col):
@@ -152,13 +152,15 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def repeated(rows: DataFrame, *key: str) -> DataFrame:
-    """Of the rows whose key (long or int columns) some other row also has, the other columns."""
-    names = [c for c in rows.columns if c not in key]
+def repeated(rows: DataFrame, key: str, half: str | None = None) -> DataFrame:
+    """Of the rows whose key (a long column) some other row also has, the other columns. The upper 32 bits of the long
+    column ``half``, if there is one, belong to the key, too; its lower bits come back. That saves a column of the shuffle."""
+    names = [c for c in rows.columns if c != key]
     all_names = rows.columns
+    low = (1 << 32) - 1
 
     def arrays(t: pa.Table) -> list[np.ndarray]:
-        return [t.column(k).to_numpy() for k in key]
+        return [t.column(key).to_numpy()] + ([t.column(half).to_numpy() >> 32] if half else [])
 
     def order(cols: list[np.ndarray]) -> np.ndarray:
         return np.lexsort(cols[::-1])
@@ -182,9 +184,9 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
             t = t.take(pa.array(at))
             mark = t.take(pa.array(np.flatnonzero(first & ~alone)))
             # Rows that are known to be repeated need their key no more.
-            for c in key:
+            for c, kept in [(key, 0)] + ([(half, low)] if half else []):
                 v = t.column(c).to_numpy().copy()
-                v[~alone] = 0
+                v[~alone] &= kept
                 i = t.schema.get_field_index(c)
                 t = t.set_column(i, t.schema.field(i), pa.array(v))
             yield from t.append_column("kind", pa.array(kind)).to_batches()
@@ -224,15 +226,17 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
     def types(cols):
         return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in cols)
     thinned = rows.mapInArrow(tidy(thin), types(all_names) + ", kind tinyint")
-    deal = F.when(F.col("kind") == 1, F.xxhash64(*names)).otherwise(F.col(key[0]))
-    return thinned.repartition(deal).sortWithinPartitions(*key).mapInArrow(tidy(check), types(names))
+    deal = F.when(F.col("kind") == 1, F.xxhash64(*names)).otherwise(F.col(key))
+    found = thinned.repartition(deal).sortWithinPartitions(key, *([half] if half else [])).mapInArrow(tidy(check), types(names))
+    return found.withColumn(half, F.col(half).bitwiseAND(F.lit(low))) if half else found
 
 
 # ------------------------------------------------------------------ the operator
 
 def _anchors(texts: DataFrame, window: int) -> DataFrame:
-    """(h, to_right, to_left, sides, k1, a): one row for each anchor of a document. k1 alone names the text here: if two texts
-    share it, each gets the other's candidates too, and the last level sorts them out."""
+    """(h, to_right, to_left, k1, place): one row for each anchor of a document; place is four times its word's place, and 1 for
+    windows to the right, 2 for those to the left. k1 alone names the text here: if two texts share it, each gets the other's
+    candidates too, and the last level sorts them out."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, ws in in_groups(batches):
             v = Levels(ws, window)
@@ -241,12 +245,13 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
             a, right, left, to, fro = v.halves()
             d = v.doc[a]
             yield pd.DataFrame({"h": v.h_quarter[a].view(np.int64), "to_right": to.view(np.int64), "to_left": fro.view(np.int64),
-                                "sides": (right + 2 * left).astype(np.int8), "k1": pdf["k1"].to_numpy()[d], "a": (a - v.begins[d]).astype(np.int32)})
-    return texts.mapInPandas(tidy(run), "h long, to_right long, to_left long, sides tinyint, k1 long, a int")
+                                "k1": pdf["k1"].to_numpy()[d], "place": 4 * (a - v.begins[d]) + right + 2 * left})
+    return texts.mapInPandas(tidy(run), "h long, to_right long, to_left long, k1 long, place long")
 
 
 def _last_level(cand: DataFrame, window: int) -> DataFrame:
-    """(h, g, id, s): every window of a surviving anchor, by its whole hash."""
+    """(h, at, id): every window of a surviving anchor, by its whole hash: h and the upper half of at, whose lower half is
+    the window's start."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, ws in in_groups(batches):
             v = Levels(ws, window)
@@ -259,9 +264,8 @@ def _last_level(cand: DataFrame, window: int) -> DataFrame:
             if len(s):
                 whole, other = v.wholes(s)
                 d = v.doc[s]
-                yield pd.DataFrame({"h": whole.view(np.int64), "g": other, "id": pdf["id"].to_numpy()[d],
-                                    "s": (s - v.begins[d]).astype(np.int32)})
-    return cand.mapInPandas(tidy(run), "h long, g int, id long, s int")
+                yield pd.DataFrame({"h": whole.view(np.int64), "at": (other << 32) + s - v.begins[d], "id": pdf["id"].to_numpy()[d]})
+    return cand.mapInPandas(tidy(run), "h long, at long, id long")
 
 
 def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -278,9 +282,9 @@ def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
     copies = written(copies.where("copies > 1"), "copies")
 
     first = repeated(_anchors(keyed.select("k1", "text"), window), "h")
-    sides = first.select("k1", "a", F.explode(F.array(
-        F.when(F.col("sides").bitwiseAND(1) > 0, F.struct(F.lit(0).alias("side"), F.col("to_right").alias("h"))),
-        F.when(F.col("sides").bitwiseAND(2) > 0, F.struct(F.lit(1).alias("side"), F.col("to_left").alias("h"))))).alias("x")) \
+    sides = first.select("k1", F.shiftright("place", 2).cast("int").alias("a"), F.explode(F.array(
+        F.when(F.col("place").bitwiseAND(1) > 0, F.struct(F.lit(0).alias("side"), F.col("to_right").alias("h"))),
+        F.when(F.col("place").bitwiseAND(2) > 0, F.struct(F.lit(1).alias("side"), F.col("to_left").alias("h"))))).alias("x")) \
         .where("x is not null").select(F.xxhash64("x.side", "x.h").alias("h"), "k1",
                                        (F.col("a") * 2 + F.col("x.side")).alias("mark"))
     second = repeated(sides, "h").groupBy("k1").agg(F.collect_set("mark").alias("marks"))
@@ -293,13 +297,13 @@ def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
             .select("k1", "k2", "text", "marks", (F.size("of") > 0).alias("whole")))
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = TaskContext.get().partitionId() << 36
+        n, part = 0, TaskContext.get().partitionId()
         for b in batches:
-            ids = pa.array(np.arange(n, n + b.num_rows))
+            ids = pa.array((np.arange(n, n + b.num_rows) << 22) + part)      # row, partition: ids of few bytes
             n += b.num_rows
             yield pa.RecordBatch.from_arrays([ids, *b.columns], ["id", *b.schema.names])
     cand = written(cand.mapInArrow(numbered, "id long, k1 long, k2 long, text string, marks array<int>, whole boolean"), "texts")
-    covered = repeated(_last_level(cand, window), "h", "g").groupBy("id").agg(F.collect_list("s").alias("starts"))
+    covered = repeated(_last_level(cand, window), "h", "at").groupBy("id").agg(F.collect_list("at").alias("starts"))
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -353,6 +357,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     any other text, null included, stays as it is. No row goes.
     """
     copies, changed = changes(docs, window)
+    a, b, n1, n2, kept = free_names(docs, "a", "b", "n1", "n2", "kept")
 
     def empty(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -362,10 +367,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             .join(copies, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("chosen"))).select("k1", "k2", "text")
             .mapInPandas(tidy(empty), "k1 long, k2 long").distinct().select("k1", "k2", F.lit("").alias("kept_text")))
     new = changed.select("k1", "k2", "kept_text").unionByName(gone) \
-        .select(F.col("k1").alias("__sd_k1"), F.col("k2").alias("__sd_k2"), F.col("kept_text").alias("__sd_text"))
+        .select(F.col("k1").alias(n1), F.col("k2").alias(n2), F.col("kept_text").alias(kept))
     k1, k2 = key_of("text")
-    return (docs.withColumn("__sd_a", k1).withColumn("__sd_b", k2)
-            .join(new, (F.col("__sd_a") == F.col("__sd_k1")) & (F.col("__sd_b") == F.col("__sd_k2")), "left")
-            .withColumn("text", F.coalesce("__sd_text", "text"))
-            .withColumns({"n_chars": F.when(F.col("__sd_text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType)}
+    return (docs.withColumn(a, k1).withColumn(b, k2)
+            .join(new, (F.col(a) == F.col(n1)) & (F.col(b) == F.col(n2)), "left")
+            .withColumn("text", F.coalesce(kept, "text"))
+            .withColumns({"n_chars": F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType)}
                          if "n_chars" in docs.columns else {}).select(*[F.col(f"`{c}`") for c in docs.columns]))
