@@ -154,7 +154,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def repeated(rows: DataFrame, key: str, half: str | None = None) -> DataFrame:
     """Of the rows whose key (a long column) some other row also has, the other columns. The upper 32 bits of the long
-    column ``half``, if there is one, belong to the key, too; its lower bits come back. That saves a column of the shuffle."""
+    column ``half``, if there is one, belong to the key, too; its lower bits come back as an int. That saves a column of the shuffle."""
     names = [c for c in rows.columns if c != key]
     all_names = rows.columns
     low = (1 << 32) - 1
@@ -228,7 +228,7 @@ def repeated(rows: DataFrame, key: str, half: str | None = None) -> DataFrame:
     thinned = rows.mapInArrow(tidy(thin), types(all_names) + ", kind tinyint")
     deal = F.when(F.col("kind") == 1, F.xxhash64(*names)).otherwise(F.col(key))
     found = thinned.repartition(deal).sortWithinPartitions(key, *([half] if half else [])).mapInArrow(tidy(check), types(names))
-    return found.withColumn(half, F.col(half).bitwiseAND(F.lit(low))) if half else found
+    return found.withColumn(half, F.col(half).bitwiseAND(F.lit(low)).cast("int")) if half else found
 
 
 # ------------------------------------------------------------------ the operator
@@ -339,14 +339,14 @@ def word_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for pdf in batches:
             ws = [words(t) for t in clean(pdf["text"])]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "k1": pdf["k1"], "k2": pdf["k2"], "n_words": [len(x) for x in ws],
-                                "own": [hashlib.sha256(b" ".join(x)).hexdigest() for x in ws]})
+                                "own": [hashlib.sha256(b" ".join(x)).digest() for x in ws]})
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .select("doc_id", "text", *key_of("text")).mapInPandas(tidy(own), "doc_id long, k1 long, k2 long, n_words long, own string"))
+            .select("doc_id", "text", *key_of("text")).mapInPandas(tidy(own), "doc_id long, k1 long, k2 long, n_words long, own binary"))
     gone = F.col("copies").isNotNull() & (F.col("n_words") >= window)
     return (rows.join(copies.select("k1", "k2", "copies"), ["k1", "k2"], "left")
-            .join(changed.select("k1", "k2", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("sha")), ["k1", "k2"], "left")
+            .join(changed.select("k1", "k2", "n_removed", F.unhex(F.sha2(F.col("kept_text").cast("binary"), 256)).alias("sha")), ["k1", "k2"], "left")
             .select("doc_id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-                    F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("sha", "own")).alias("kept_sha256")))
+                    F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.lower(F.hex(F.coalesce("sha", "own")))).alias("kept_sha256")))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
