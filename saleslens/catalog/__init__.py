@@ -26,7 +26,7 @@ def register(key: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from saleslens.catalog import (core, pipelines, quality, insights, streams)  # noqa: F401
+    from saleslens.catalog import (core, pipelines, quality, insights, streams, storage)  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
