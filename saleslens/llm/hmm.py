@@ -116,40 +116,71 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(known, symbol, mass, total, distinct, end["c"] if end else 0)
 
 
+class _Numbers(dict):
+    """Word to number: the known words, the end, then the other words as they come (``others``)."""
+
+    def __init__(self, v: Vocabulary):
+        super().__init__((w, i) for i, w in enumerate(v.counts))
+        self[END.encode()] = self.known = len(v.counts)
+        self.others: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = self.known + 1 + len(self.others)
+        self.others.append(word)
+        return n
+
+    def forget(self) -> None:
+        for w in self.others:
+            del self[w]
+        self.others = []
+
+
 def encoded(docs: DataFrame, v: Vocabulary, mod: int) -> DataFrame:
-    """One row for each row of docs: its symbols, what the known words add to the scores, and its other words."""
+    """One row for each row of docs: its symbols, what the known words add to the scores, and its other words.
+
+    A batch's words become numbers by one dictionary; all sums are over arrays that the numbers index.
+    """
     share = docs.sparkSession.sparkContext.broadcast(v)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = share.value
         n = TaskContext.get().partitionId() << 40
-        logs = {w: math.log10(c + 0.5) for w, c in v.counts.items()}
-        log_mass, log_end = np.log10(v.mass), math.log10(v.end + 0.5)
+        number, log_mass = _Numbers(v), np.log10(v.mass)
+        symbol = np.fromiter((v.symbol[w] if w in v.symbol else WORDS + word_class(w) for w in v.counts), np.int64, len(v.counts))
+        base = np.log10(np.fromiter(v.counts.values(), np.float64, len(v.counts)) + 0.5)
+        in_class = symbol >= WORDS
+        inside = np.append(np.where(in_class, base - log_mass[symbol], 0.0), 0.0)
+        base, symbol = np.append(base, math.log10(v.end + 0.5)), np.append(symbol, SYMBOLS - 1)
         for pdf in batches:
+            doc_ids = clean(pdf["doc_id"])
+            ids, lengths = [], []
+            for text in clean(pdf["text"]):
+                ws = lower_words(text)
+                ws.append(END.encode())
+                ids.append(np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)))
+                lengths.append(len(ws))
+            if not ids:
+                continue
+            flat, at = np.concatenate(ids), np.concatenate([[0], np.cumsum(lengths)])
+            classes = np.fromiter((WORDS + word_class(w) for w in number.others), np.int64, len(number.others))
+            symbols = np.concatenate([symbol, classes])[flat].astype("<u2" if SYMBOLS <= 65536 else "<u4")
+            base_sum = np.add.reduceat(np.concatenate([base, np.zeros(len(classes))])[flat], at[:-1])
+            inside_sum = np.add.reduceat(np.concatenate([inside, -log_mass[classes]])[flat], at[:-1])
+            other = flat > number.known
+            others = np.add.reduceat(other, at[:-1], dtype=np.int64)
             rows = []
-            for doc, text in zip(clean(pdf["doc_id"]), clean(pdf["text"])):
-                tally = Counter(ws := lower_words(text))
-                base = inside = known = 0.0
-                tail, place = [], {}
-                for w, k in tally.items():
-                    s = v.symbol.get(w)
-                    lg = logs.get(w)
-                    if s is None:
-                        s = WORDS + word_class(w)
-                        inside -= k * log_mass[s]
-                        if lg is not None:
-                            inside += k * lg
-                    place[w] = s
-                    if lg is None:
-                        tail.append({"w": w.decode("utf-8", "surrogatepass"), "tf": k})
-                    else:
-                        base += k * lg
-                        known += k
-                symbols = np.fromiter(map(place.__getitem__, ws), np.int32, len(ws))
-                symbols = np.append(symbols, SYMBOLS - 1).astype("<i4").astype("<u4")
-                rows.append((n, doc, fold(doc, mod) == 1, len(ws) + 1, base + log_end, inside,
-                             int(known) + (v.end > 0), symbols.astype("<u2" if SYMBOLS <= 65536 else "<u4").tobytes(), tail))
+            for i, doc in enumerate(doc_ids):
+                lo, hi = at[i], at[i + 1]
+                tail = []
+                if others[i]:
+                    which, tf = np.unique(flat[lo:hi][other[lo:hi]], return_counts=True)
+                    tail = [{"w": number.others[w].decode("utf-8", "surrogatepass"), "tf": k}
+                            for w, k in zip((which - number.known - 1).tolist(), tf.tolist())]
+                rows.append((n, doc, fold(doc, mod) == 1, lengths[i], base_sum[i], inside_sum[i],
+                             lengths[i] - 1 - int(others[i]) + (v.end > 0), symbols[lo:hi].tobytes(), tail))
                 n += 1
+            if len(number.others) > COUNTED:
+                number.forget()
             yield pd.DataFrame(rows, columns=["row_id", "doc_id", "held_out", "n_tokens", "base", "inside", "known",
                                               "symbols", "tail"]).astype({"doc_id": "Int64"})
     return docs.mapInPandas(run, "row_id long, doc_id long, held_out boolean, n_tokens long, base double, inside double, "
