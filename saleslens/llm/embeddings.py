@@ -10,9 +10,10 @@ by their cosine in double precision.
 So that a pair meets in one task only where it can collide at all, the first lines are sorted and cut at their
 medians: a vector is stored in one cell and asked for in every cell that its window reaches. More vectors mean more
 cuts and wider windows: what the count leaves of 1 - ``RECALL`` is the chance that any of the cuts parts a pair at c,
-so a pair is found with RECALL at every size. Cells of more than ``BLOCK`` vectors are dealt in blocks. In a task the
-windows are slices of the sorted projections, and collisions are counted for 64 vectors at a time, as bit
-planes. A task sends back how many links each vector has and a forest of them, not the links themselves.
+so a pair is found with RECALL at every size. Cells of more than ``BLOCK`` vectors are dealt in blocks. The line after the
+cuts orders a task's vectors: a query asks only those above it, as far as its window there reaches, so each pair is asked
+for once. In a task the windows are slices of the sorted projections, and collisions are counted for 64 vectors at a
+time, as bit planes. A task sends back how many links each vector has and a forest of them, not the links themselves.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def reached(width: float, count: int) -> float:
 
 def cut_count(n: int) -> int:
     """Median cuts for n vectors."""
-    return max(0, min(PROJECTIONS, math.ceil(math.log2(max(1, n / BLOCK)))))
+    return max(0, min(PROJECTIONS - 1, math.ceil(math.log2(max(1, n / BLOCK)))))
 
 
 def reach_of(cuts: int) -> float:
@@ -110,7 +111,7 @@ def _with_each(step):
 
 
 def links(classes: DataFrame, dim: int, n: int, cosine: float) -> tuple[DataFrame, DataFrame]:
-    """(counts, edges) between classes (vec_id, n, unit) of distinct unit vectors of one dimension: how many vectors each class is
+    """(counts, edges) between classes (class, n, unit) of distinct unit vectors of one dimension: how many vectors each class is
     linked with, and links that have the components of all of them."""
     spark = classes.sparkSession
     d = math.sqrt(2 - 2 * cosine)
@@ -122,10 +123,11 @@ def links(classes: DataFrame, dim: int, n: int, cosine: float) -> tuple[DataFram
         for pdf in batches:
             if len(pdf):
                 x = np.stack([np.frombuffer(b) for b in pdf["unit"]])
-                yield pdf.assign(p=list((x @ share.value)[:, :max(1, cuts)]))
-    placed = written(classes.mapInPandas(project, "vec_id long, n long, unit binary, p array<double>"), "projections")
-    medians = placed.agg(*[F.percentile_approx(F.col("p")[j], 0.5, 1000).alias(f"m{j}") for j in range(max(1, cuts))]).first()
-    reach = reach_of(cuts) * d
+                yield pdf.assign(p=list((x @ share.value)[:, :cuts + 1]))
+    placed = written(classes.mapInPandas(project, "class long, n long, unit binary, p array<double>"), "projections") \
+        .withColumn("side", F.col("p")[cuts])
+    medians = placed.agg(*[F.percentile_approx(F.col("p")[j], 0.5, 1000).alias(f"m{j}") for j in range(cuts)]).first() if cuts else []
+    reach = reach_of(cuts + 1) * d
     home, visited = F.lit(0).cast("long"), F.array(F.lit(0).cast("long"))
     for j in range(cuts):
         m, p = medians[j], F.col("p")[j]
@@ -134,28 +136,35 @@ def links(classes: DataFrame, dim: int, n: int, cosine: float) -> tuple[DataFram
         visited = F.flatten(F.transform(visited, _with_each(step)))
     stored = placed.withColumn("cell", home)
     blocks = stored.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    stored = stored.join(blocks, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), F.lit(0).alias("asks"), "vec_id", "n", "unit")
+    stored = stored.join(blocks, "cell").select("cell", F.pmod(F.xxhash64("class"), "blocks").cast("int").alias("block"), F.lit(0).alias("asks"), "class", "n", "unit", "side")
     # A query goes to each block of the cells it reaches, in parts of BLOCK queries as well.
-    asked = placed.select("vec_id", "n", "unit", F.explode(visited).alias("cell"))
+    asked = placed.select("class", "n", "unit", "side", F.explode(visited).alias("cell"))
     parts = asked.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     asked = (asked.join(blocks, "cell").join(parts, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("cell", "block", F.pmod(F.xxhash64("vec_id", F.lit(3)), "parts").cast("int").alias("part"), F.lit(1).alias("asks"), "vec_id", "n", "unit"))
+             .select("cell", "block", F.pmod(F.xxhash64("class", F.lit(3)), "parts").cast("int").alias("part"), F.lit(1).alias("asks"), "class", "n", "unit", "side"))
     stored = stored.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     both = asked.unionByName(stored.select(*asked.columns))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("side", kind="stable")
         q, s = pdf[pdf.asks == 1], pdf[pdf.asks == 0]
         if not len(q) or not len(s):
             return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
         xq, xs = (np.stack([np.frombuffer(b) for b in f["unit"]]) for f in (q, s))
         pq, ps = xq @ share.value, xs @ share.value
-        iq, is_ = q["vec_id"].to_numpy(), s["vec_id"].to_numpy()
+        iq, is_ = q["class"].to_numpy(), s["class"].to_numpy()
+        side_q, side_s = q["side"].to_numpy(), s["side"].to_numpy()
         nq, ns = q["n"].to_numpy(), s["n"].to_numpy()
         to_q, to_s, ea, eb = np.zeros(len(q), np.int64), np.zeros(len(s), np.int64), [], []
         for lo in range(0, len(q), 512):
-            i, j = _colliding(pq[lo:lo + 512], ps, d, least)
-            i = i + lo
-            ok = iq[i] < is_[j]                          # each pair is asked for once, by the smaller id
+            hi = min(lo + 512, len(q))
+            first, last = np.searchsorted(side_s, side_q[lo], "left"), np.searchsorted(side_s, side_q[hi - 1] + reach, "right")
+            if first == last:
+                continue
+            i, j = _colliding(pq[lo:hi], ps[first:last], d, least)
+            i, j = i + lo, j + first
+            # Each pair is asked for once, by the lower one (of equals by the smaller id).
+            ok = (side_q[i] < side_s[j]) | ((side_q[i] == side_s[j]) & (iq[i] < is_[j]))
             i, j = i[ok], j[ok]
             for at in range(0, len(i), 100_000):
                 a, b = i[at:at + 100_000], j[at:at + 100_000]
@@ -171,7 +180,7 @@ def links(classes: DataFrame, dim: int, n: int, cosine: float) -> tuple[DataFram
         return pd.DataFrame([(a, b, 0) for a, b in tree] + counts, columns=["a", "b", "n"]).astype("Int64")
     # applyInPandas: a group is one block of a cell with one part of its queries, 2 * BLOCK rows or so.
     found = written(both.groupBy("cell", "block", "part").applyInPandas(compare, "a long, b long, n long"), "links")
-    counts = found.where("b is null").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("links"))
+    counts = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("links"))
     return counts, found.where("b is not null").select("a", "b")
 
 
@@ -180,8 +189,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
 
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing, nor do vectors of
     different dimensions link. Equal vectors are one class: its members link with one another and share the class's links.
-    Rows that share a vec_id are separate vectors of one id. A null vec_id has component null and isn't kept; the
-    class still counts it. An empty table gives no rows.
+    Rows that share a vec_id are separate vectors of one id, each with its own links. A vector with a null vec_id has
+    links and counts as one, but has component null and isn't kept. An empty table gives no rows.
     """
     prepare(vectors.sparkSession)
 
@@ -191,19 +200,21 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "unit": [None if x is None else x.tobytes() for x in u], "dim": [0 if x is None else len(x) for x in u]})
     rows = written(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
                    .mapInPandas(units, "vec_id long, unit binary, dim int"), "units")
-    classes = written(rows.where("unit is not null and vec_id is not null").groupBy("dim", "unit")
-                      .agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")), "classes")
+    # Classes get numbers of their own: rows that share a vec_id can be in different ones. The table is written, so they stay.
+    classes = written(rows.where("unit is not null").groupBy("dim", "unit").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+                      .withColumn("class", F.monotonically_increasing_id()), "classes")
     counts = edges = None
     for dim, n in sorted((r["dim"], r["n"]) for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()):
-        c, e = links(classes.where(F.col("dim") == dim).select("vec_id", "n", "unit"), dim, n, cosine)
+        c, e = links(classes.where(F.col("dim") == dim).select("class", "n", "unit"), dim, n, cosine)
         counts, edges = (c, e) if counts is None else (counts.unionByName(c), edges.unionByName(e))
-    own = classes.select("dim", "unit", F.col("vec_id").alias("class_id"), "n")
     if counts is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    roots = components(edges)
-    own = (own.join(counts, own.class_id == counts.vec_id, "left").join(roots, own.class_id == roots.node, "left")
-           .select("dim", "unit", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "class_id").alias("root")))
+    rooted = components(edges).join(classes.select(F.col("class").alias("node"), "least"), "node")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    roots = rooted.join(smallest, "root").select(F.col("node").alias("class"), "component")
+    own = (classes.join(counts, "class", "left").join(roots, "class", "left")
+           .select("dim", "unit", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "least").alias("component")))
     return rows.join(own, ["dim", "unit"], "left").select(
-        "vec_id", F.when(F.col("vec_id").isNotNull() & F.col("n").isNotNull(), F.col("n") - 1 + F.col("links")).otherwise(0).cast("long").alias("n_links"),
-        F.when(F.col("vec_id").isNotNull(), F.coalesce("root", "vec_id")).alias("component_id")) \
+        "vec_id", F.when(F.col("n").isNotNull(), F.col("n") - 1 + F.col("links")).otherwise(0).cast("long").alias("n_links"),
+        F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id")).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

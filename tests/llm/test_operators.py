@@ -286,6 +286,36 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(empty(spark, "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_embeddings_of_rows_that_share_an_id(spark):
+    e1, e2 = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(1, e1), (1, e2), (2, [0.0, 1.0, 0.1, 0.0]), (None, e1), (3, [0.0, 0.0, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("class", F.lit("x")).withColumn("side", F.lit(1))
+    got = sorted(str((r.vec_id, r.n_links, r.component_id, r.kept)) for r in embeddings.near_duplicates(df).collect())
+    assert got == sorted(map(str, [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 1, None, False), (3, 0, 3, True)]))
+    rows = [(1, e1), (1, e2), (2, [0.0, 1.0, 0.1, 0.0])]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links) for r in got) == [(1, 0), (1, 1), (2, 1)]
+
+
+def test_embedding_recall_with_cuts(spark):
+    """Planted pairs between 0.9 and 0.93 among more vectors than one cell holds, against all cosines."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((8_000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    other = rng.standard_normal((2_000, 32))
+    other -= (other * x[:2_000]).sum(axis=1)[:, None] * x[:2_000]
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    c = rng.uniform(0.9001, 0.93, 2_000)[:, None]
+    x = np.vstack([x, c * x[:2_000] + np.sqrt(1 - c * c) * other])
+    assert embeddings.cut_count(len(x)) > 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    got = np.zeros(len(x), np.int64)
+    for r in embeddings.near_duplicates(df).collect():
+        got[r.vec_id] = r.n_links
+    assert want.sum() >= 4_000 and (got <= want).all() and got.sum() >= 0.99 * want.sum()
+
+
 @pytest.mark.parametrize("n", [100, 8_192, 1 << 20, 4 << 20, 64 << 20, 1 << 40])
 def test_embedding_recall_at_every_size(n):
     cuts = embeddings.cut_count(n)
