@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from saleslens.catalog import register
+from saleslens.catalog import ORACLES, register
 from saleslens.catalog import oracle_ctes as oc
 from saleslens.catalog.oracle_ctes import with_ctes
 from saleslens.catalog.pipelines import (AS_OF, HISTORY_END, SNAPSHOT_DATE, _d, _goal_sql, loaded_fact,  # noqa: F401
@@ -83,6 +83,11 @@ def q_doc_product_segments(spark, sf_dir):
     return ins.product_abc(sales_fact(T(spark, sf_dir)))
 
 
+@register("doc_product_classes", f"SELECT ProductID, Revenue, Class FROM ({ORACLES['doc_product_segments']}) abc")
+def q_doc_product_classes(spark, sf_dir):
+    """The ABC classes without the cumulative column, from the limits of the shares."""
+    return ins.product_classes(sales_fact(T(spark, sf_dir)))
+
 
 @register("doc_cohort_retention", with_ctes(
     "WITH act AS (SELECT DISTINCT CustomerID, CAST(date_trunc('month', OrderDate) AS DATE) AS m FROM header_hist), "

@@ -15,7 +15,8 @@ from pyspark.sql import Window
 from saleslens.functions.dates import GROWTH_FACTOR, as_date, days_in_prior_year, month_start, year_start
 from saleslens.functions.money import SUM_MONEY
 from saleslens.operators.aggregates import exact_percentiles
-from saleslens.operators.windows import global_ntile, global_row_number, global_running_sum
+from saleslens.operators.limits import Order, limits, reached, tiles
+from saleslens.operators.windows import global_row_number, global_running_sum
 
 # ABC thresholds on the cumulative revenue share (percent).
 ABC_A_PCT = 80
@@ -55,15 +56,19 @@ def customer_rfm(header: DataFrame, detail: DataFrame, customer: DataFrame, as_o
         F.coalesce(F.sum("v"), F.lit(0)).cast(SUM_MONEY).alias("Value"))
     kind = customer.select("CustomerID", F.when(F.col("StoreID").isNotNull(), F.lit("Store"))
                                           .otherwise(F.lit("Individual")).alias("CustomerType"))
-    # one row per customer, written once to the checkpoint folder: the three rankings below read it
+    # one row per customer, written once to the checkpoint folder: the passes for the quintiles' limits read it
     per = per.join(kind, "CustomerID").checkpoint(eager=True)
     cid = F.col("CustomerID")
-    per = global_ntile(per, [F.col("RecencyDays").desc(), cid], 5, "R")
-    per = global_ntile(per, [F.col("Frequency").asc(), cid], 5, "F")
-    per = global_ntile(per, [F.col("Value").asc(), cid], 5, "M")
+    per = tiles(per, {"R": (-F.col("RecencyDays"), cid), "F": (F.col("Frequency"), cid),
+                      "M": (_units(F.col("Value")), cid)}, 5)
     return per.select("CustomerID", "CustomerType", "RecencyDays", "Frequency", "Value", "R", "F", "M")
 
 
+def _units(money):
+    """An amount with four decimals as a whole number."""
+    return (money * 10_000).cast("decimal(38,0)")
+
+
 def product_abc(fact: DataFrame) -> DataFrame:
     """ABC class by cumulative revenue share: A up to 80 %, B up to 95 %, C beyond."""
     per = fact.groupBy("ProductID").agg(F.sum("LineTotal").cast(SUM_MONEY).alias("Revenue"))
@@ -75,6 +80,18 @@ def product_abc(fact: DataFrame) -> DataFrame:
     return run.select("ProductID", "Revenue", cum.cast(SUM_MONEY).alias("CumRevenue"), cls.alias("Class"))
 
 
+def product_classes(fact: DataFrame) -> DataFrame:
+    """D7's classes alone: the products at which the cumulative share passes 80 and 95 % are found by value histograms, so
+    the products are not sorted. The total revenue must not be negative."""
+    per = fact.groupBy("ProductID").agg(F.sum("LineTotal").cast(SUM_MONEY).alias("Revenue")).checkpoint(eager=True)
+    total = per.agg(F.sum(_units(F.col("Revenue")))).first()[0] or 0
+    # In hundredths of the units, so that the shares of the total are whole.
+    order = Order(-_units(F.col("Revenue")), F.col("ProductID"), (total * ABC_A_PCT, total * ABC_B_PCT))
+    found = limits(per, [order], _units(F.col("Revenue")) * 100)[0]
+    cls = F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), reached(order, found) + 1)
+    return per.select("ProductID", "Revenue", cls.alias("Class"))
+
+
 def cohort_retention(header: DataFrame) -> DataFrame:
     """First-order-month cohorts; active customers and retention by month offset."""
     act = header.select("CustomerID", month_start("OrderDate").alias("m")).distinct()
