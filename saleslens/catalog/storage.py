@@ -1,4 +1,5 @@
-"""Registered variants of S1, S5 and D8: damaged rows, tables replaced by part, distinct counts from stored bitmaps."""
+"""Registered variants of S1, S5, D8 and G12 to G14: damaged rows, tables replaced by part, distinct counts and quantiles
+from stored parts."""
 
 from __future__ import annotations
 
@@ -8,8 +9,8 @@ from saleslens.catalog import ORACLES, register
 from saleslens.catalog import insights as _insights  # noqa: F401  (D8's oracle is used below)
 from saleslens.catalog import oracle_ctes as oc
 from saleslens.catalog.oracle_ctes import with_ctes
-from saleslens.catalog.pipelines import FACT_SELECT, loaded_fact, sales_fact
-from saleslens.operators import bitmaps
+from saleslens.catalog.pipelines import FACT_SELECT, loaded_fact, profile_lines, sales_fact
+from saleslens.operators import bitmaps, sketches
 from saleslens.session import fresh_dir
 from saleslens.sources import partitioned, quarantine
 from saleslens.sources.fixtures import SalesTables
@@ -64,3 +65,40 @@ def q_doc_cohort_retention_bitmaps(spark, sf_dir):
     path = partitioned.write_partitioned(first, fresh_dir(spark, "customer-bitmaps"), "OrderYear")
     partitioned.replace_parts(stored(header.where(F.year("OrderDate") == last)), path, "OrderYear")
     return bitmaps.cohorts(partitioned.read_partitioned(spark, path, first.schema).drop("OrderYear"))
+
+
+def _stored_days(spark, sf_dir, of_lines):
+    """The sketches of the history up to its last day, stored by day, with those of the last day added."""
+    lines = profile_lines(SalesTables.of(spark, sf_dir))
+    last = lines.select(F.max("OrderDate")).scalar()
+    history = of_lines(lines.where(F.col("OrderDate") < last))
+    path = partitioned.write_partitioned(history, fresh_dir(spark, "sketches"), "OrderDate")
+    partitioned.replace_parts(of_lines(lines.where(F.col("OrderDate") == last)), path, "OrderDate")
+    return partitioned.read_partitioned(spark, path, history.schema)
+
+
+# The least value whose rank is at least the share, in whole numbers. Products have fewer lines here than a sketch holds.
+_RANKED = ("SELECT ProductID, OrderQty, row_number() OVER (PARTITION BY ProductID ORDER BY OrderQty) AS i, "
+           "count(*) OVER (PARTITION BY ProductID) AS n FROM profile_lines WHERE OrderQty IS NOT NULL")
+
+
+@register("agg_product_quantiles_sketched", with_ctes(
+    "SELECT ProductID, count(*) AS Lines, CAST(sum(OrderQty) AS DOUBLE) / count(*) AS MeanQty, "
+    "CAST(greatest(1, min(CASE WHEN 10 * i >= n THEN OrderQty END)) AS BIGINT) AS P10, "
+    f"CAST(greatest(1, min(CASE WHEN 10 * i >= 9 * n THEN OrderQty END)) AS BIGINT) AS P90 FROM ({_RANKED}) r GROUP BY ProductID",
+    "profile_lines"))
+def q_agg_product_quantiles_sketched(spark, sf_dir):
+    """G12 from stored sketches of each day and product; the last day is added without reading earlier lines."""
+    return sketches.product_quantiles(_stored_days(spark, sf_dir, sketches.product_days))
+
+
+@register("agg_global_quantiles_sketched")
+def q_agg_global_quantiles_sketched(spark, sf_dir):
+    """G13 from the same sketches, merged over all products and days: approximate in rank."""
+    return sketches.global_quantiles(_stored_days(spark, sf_dir, sketches.product_days))
+
+
+@register("agg_order_size_profile_sketched")
+def q_agg_order_size_profile_sketched(spark, sf_dir):
+    """G14 from stored sketches of each day's orders: approximate in rank."""
+    return sketches.order_size_profile(_stored_days(spark, sf_dir, sketches.order_days))
