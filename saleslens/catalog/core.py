@@ -194,7 +194,8 @@ def q_join_scd2_cost(spark, sf_dir):
     lines = fact_plan.lines_with_header(t.detail_all.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
                                         t.header_hist, ["OrderDate"])
     c = t.cost_history.withColumn("CostStart", F.col("StartDate"))
-    return oj.interval_join(lines, c, "ProductID", "OrderDate", right_cols=["CostStart", "StandardCost"])
+    return oj.interval_join(lines, oj.small_side(c.select("ProductID", "StartDate", "EndDate", "CostStart", "StandardCost")), "ProductID",
+                            "OrderDate", right_cols=["CostStart", "StandardCost"])
 
 
 from saleslens.catalog import ORACLES as _ORACLES  # noqa: E402
@@ -227,7 +228,7 @@ def q_join_scd2_list_price(spark, sf_dir):
     t = T(spark, sf_dir)
     lines = fact_plan.lines_with_header(t.detail_all.select("SalesOrderID", "SalesOrderDetailID", "ProductID"),
                                         t.header_hist, ["OrderDate"])
-    return oj.interval_join(lines, t.price_history, "ProductID", "OrderDate", right_cols=["ListPrice"])
+    return oj.interval_join(lines, oj.small_side(t.price_history), "ProductID", "OrderDate", right_cols=["ListPrice"])
 
 
 @register("join_snowflake_left", with_ctes(
@@ -256,7 +257,7 @@ def q_join_dims_inner(spark, sf_dir):
     dim_p = model.dim_product(t.product, t.product_subcategory, t.product_category).select("ProductID",
                                                                                             "Subcategory")
     terr = t.territory.select("TerritoryID", F.col("Name").alias("Country"))
-    return (sales_fact(t).join(dim_p, "ProductID").join(terr, "TerritoryID")
+    return (sales_fact(t).join(oj.small_side(dim_p), "ProductID").join(oj.small_side(terr), "TerritoryID")
             .select("SalesOrderID", "SalesOrderDetailID", "Country", "Subcategory", "LineTotal"))
 
 
@@ -266,10 +267,9 @@ def q_join_dims_inner(spark, sf_dir):
     "snapshot", "rev_pairs_asof"))
 def q_join_snapshot_left(spark, sf_dir):
     """Every snapshot pair kept, current figures where they exist."""
-    from saleslens.catalog.pipelines import current_pairs, loaded_fact, snapshot_table
-    t = T(spark, sf_dir)
-    s = snapshot_table(spark, t).select("Country", "Subcategory", "PriorityType")
-    return s.join(current_pairs(t, AS_OF, loaded_fact(spark, t)), ["Country", "Subcategory"], "left")
+    from saleslens.catalog.pipelines import snapshot_and_current
+    s, current = snapshot_and_current(spark, T(spark, sf_dir))
+    return s.select("Country", "Subcategory", "PriorityType").join(current, ["Country", "Subcategory"], "left")
 
 
 @register("semi_exists", with_ctes(

@@ -155,25 +155,40 @@ def current_pairs(t: SalesTables, as_of, fact=None):
     return mon.revenue_by_pair(sales_fact(t) if fact is None else fact, dim_p, t.territory, as_of)
 
 
-def export_at_snapshot(t: SalesTables):
-    vs = mon.current_vs_goal(current_pairs(t, SNAPSHOT_DATE), SNAPSHOT_DATE)
+def export_at_snapshot(t: SalesTables, pairs=None):
+    vs = mon.current_vs_goal(current_pairs(t, SNAPSHOT_DATE) if pairs is None else pairs, SNAPSHOT_DATE)
     return mon.report_export(mon.prioritise(vs))
 
 
-def import_via_csv(spark, t: SalesTables):
+def import_via_csv(spark, t: SalesTables, pairs=None):
     """Report export (plus the dirty rows) written as CSV, then read back by position."""
     path = fresh_dir(spark, "action-import")
-    files.write_csv(export_at_snapshot(t).unionByName(t.action_import), path)
+    files.write_csv(export_at_snapshot(t, pairs).unionByName(t.action_import), path)
     return files.read_csv_positional(spark, path, ACTION_IMPORT_COLUMNS)
 
 
-def snapshot_table(spark, t: SalesTables):
+def snapshot_table(spark, t: SalesTables, pairs=None):
     """W16 + S5: the cleaned snapshot replaces the previous one; later steps read the written table."""
     path = fresh_dir(spark, "action-snapshot")
-    files.overwrite(mon.snapshot_from_import(import_via_csv(spark, t), SNAPSHOT_DATE), path)
+    files.overwrite(mon.snapshot_from_import(import_via_csv(spark, t, pairs), SNAPSHOT_DATE), path)
     return spark.read.parquet(path)
 
 
+def snapshot_and_current(spark, t: SalesTables):
+    """(snapshot, current pairs after the daily load as of AS_OF). The history's fact is summed once by product and territory
+    for both days; the load adds the sums of its own rows. The guard keeps a batch's orders apart from the history's,
+    so the fact of the loaded tables is that of the history and that of the batch."""
+    dim_p = model.dim_product(t.product, t.product_subcategory, t.product_category)
+    history = mon.revenue_by_key(sales_fact(t), {"_snap": SNAPSHOT_DATE, "_now": AS_OF}).checkpoint(eager=True)
+    snapshot = snapshot_table(spark, t, mon.pairs_of_keys(history, dim_p, t.territory, "_snap"))
+    store = staged_store(spark, t)
+    daily.daily_load(store, LOAD_BATCH)
+    batch = fact_plan.fact_sales_margin(store.segment("detail", LOAD_BATCH), store.segment("header", LOAD_BATCH), t.cost_history)
+    now = ["ProductID", "TerritoryID", "cur_now", "prev_now"]
+    keys = history.select(*now).unionByName(mon.revenue_by_key(batch, {"_now": AS_OF}).select(*now))
+    return snapshot, mon.pairs_of_keys(keys, dim_p, t.territory, "_now")
+
+
 @register("doc_current_vs_goal", with_ctes("SELECT * FROM vs_goal_snap", "vs_goal_snap"))
 def q_doc_current_vs_goal(spark, sf_dir):
     """D3: goal formula for every (Country, Subcategory) at the snapshot date."""
@@ -206,8 +221,7 @@ def q_snapshot_create(spark, sf_dir):
 @register("action_monitoring", with_ctes("SELECT * FROM monitoring", "monitoring"))
 def q_action_monitoring(spark, sf_dir):
     """Frozen snapshot vs current-year revenue and goal to date (flagship)."""
-    t = SalesTables.of(spark, sf_dir)
-    return mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF, loaded_fact(spark, t)), AS_OF)
+    return mon.action_monitoring(*snapshot_and_current(spark, SalesTables.of(spark, sf_dir)), AS_OF)
 
 
 @register("doc_recovery_kpis", with_ctes(
@@ -218,8 +232,7 @@ def q_action_monitoring(spark, sf_dir):
     "NULLIF(0.5 * abs(CAST(DeltaCurrentSnapshotGoal AS DOUBLE)), 0.0) AS Achievement FROM monitoring", "monitoring"))
 def q_doc_recovery_kpis(spark, sf_dir):
     """Recovery KPIs on top of the monitoring view."""
-    t = SalesTables.of(spark, sf_dir)
-    m = mon.action_monitoring(snapshot_table(spark, t), current_pairs(t, AS_OF, loaded_fact(spark, t)), AS_OF)
+    m = mon.action_monitoring(*snapshot_and_current(spark, SalesTables.of(spark, sf_dir)), AS_OF)
     return mon.recovery_kpis(m, 0.5)
 
 

@@ -1,8 +1,9 @@
 """Join operators the pipeline needs beyond a plain equi-join.
 
 Broadcast policy: a side is hinted for broadcast only when its row count is
-bounded by a fixed domain (offer tiers, categories, one-row scalars). Every
-other join is left to the planner; with AQE on, a side whose *measured*
+bounded by a fixed domain (offer tiers, categories, one-row scalars) or when
+its size was measured just before (``small_side``: the large side is then not
+shuffled at all). Every other join is left to the planner; with AQE on, a side whose *measured*
 shuffle output is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` is
 broadcast at runtime and anything larger stays a sort-merge join, whose skewed
 partitions AQE splits.
@@ -12,6 +13,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: What a side may take in an executor's memory as a hash relation, by the estimate of ``relation_bytes``.
+BROADCAST_BYTES = 64 << 20
+_TEXT = (T.StringType, T.BinaryType)
+
+
+def relation_bytes(df: DataFrame) -> int | None:
+    """An upper estimate of df as a hash relation: its rows are counted and its texts measured in one aggregate. None
+    if a column has another type whose size isn't known from its type (arrays, maps, structs)."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, _TEXT)]
+    if any(not isinstance(f.dataType, (*_TEXT, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
+           for f in df.schema):
+        return None
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)).alias(f"b{i}")
+                                                 for i, c in enumerate(texts)]).first()
+    # A row: its words (two a decimal) and null bits, a copy of the key, the map's slots.
+    words = sum(3 if isinstance(f.dataType, T.DecimalType) else 1 for f in df.schema)
+    return row["n"] * (64 + 8 * words) + 2 * sum(row[1:])
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """df, hinted for broadcast if its measured size is at most ``BROADCAST_BYTES``; otherwise as it is, for a shuffled join.
+
+    Runs one aggregate over df, so df should be a dimension, not the large side. Select the joined columns first.
+    """
+    size = relation_bytes(df)
+    return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, point: str,
@@ -22,6 +51,7 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, point: str,
     A NULL ``end`` means the interval is still open. The equality on ``key``
     lets Spark hash-partition (or broadcast) on it; the range is a residual
     condition evaluated inside the join, so no pair outside the key is formed.
+    Pass ``small_side`` of the intervals if they may be small: then ``left`` isn't shuffled.
     Overlapping intervals duplicate a left row and uncovered rows vanish
     (inner) -- exactly as in the reference; see dq_cost_coverage / dq_interval_overlap.
     """

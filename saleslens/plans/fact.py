@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslens.functions.money import margin, margin_pct
-from saleslens.operators.joins import bucketed_interval_join, hot_keys, interval_join
+from saleslens.operators.joins import bucketed_interval_join, hot_keys, interval_join, small_side
 
 HEADER_COLS = ["OrderDate", "DueDate", "ShipDate", "OnlineOrderFlag", "CustomerID",
                "SalesPersonID", "TerritoryID", "modified_date"]
@@ -27,7 +27,8 @@ def costed_lines(lines: DataFrame, detail: DataFrame, header: DataFrame, cost_hi
                  right_cols: list[str], by_month: bool) -> DataFrame:
     """J2 on lines that carry their OrderDate; ``by_month`` deals the lines of hot products by month as well."""
     if not by_month:
-        return interval_join(lines, cost_history, key="ProductID", point="OrderDate", right_cols=right_cols)
+        costs = small_side(cost_history.select("ProductID", "StartDate", "EndDate", *right_cols))
+        return interval_join(lines, costs, key="ProductID", point="OrderDate", right_cols=right_cols)
     span = header.select(F.struct(F.min("OrderDate").alias("since"), F.max("OrderDate").alias("until"))).scalar()
     return bucketed_interval_join(lines, cost_history, "ProductID", "OrderDate", hot_keys(detail, "ProductID"),
                                   span["since"], span["until"], right_cols=right_cols)
@@ -39,7 +40,7 @@ def fact_sales_margin(detail: DataFrame, header: DataFrame, cost_history: DataFr
     Plan: detail and header meet on SalesOrderID (sort-merge, or co-located when
     both are bucketed on it); the result meets the cost history on ProductID with
     the date range as residual. The cost history is one row per product and
-    interval, so AQE broadcasts it when its measured size allows, otherwise it is a
+    interval: it is measured, and broadcast if small, so that the lines aren't shuffled again; otherwise it is a
     second sort-merge join whose hot products AQE splits. ``by_month`` is for histories too large to be
     broadcast: products with many lines are joined month by month, for one more count of the lines by product.
     """

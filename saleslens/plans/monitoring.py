@@ -36,12 +36,25 @@ def revenue_by_pair(fact: DataFrame, dim_product: DataFrame, territory: DataFram
     aggregation, so only that small result meets the product and territory
     dimensions; the CASE-guarded sums keep groups with no current sales at 0.
     """
-    y0, y1, nxt = year_start(as_of), year_start(as_of, 1), day_after(as_of)
+    return pairs_of_keys(revenue_by_key(fact, {"": as_of}), dim_product, territory)
+
+
+def revenue_by_key(fact: DataFrame, days: dict) -> DataFrame:
+    """(ProductID, TerritoryID) with the current-year and prior-year revenue as of each named day, as ``cur<name>`` and
+    ``prev<name>``: one pass over the fact for all days. Tables of parts of the fact add up."""
     od, lt = F.col("OrderDate"), F.col("LineTotal")
     zero = F.lit(0).cast("decimal(19,4)")
-    per_key = (fact.groupBy("ProductID", "TerritoryID")
-                   .agg(F.sum(F.when((od >= y0) & (od < nxt), lt).otherwise(zero)).alias("cur"),
-                        F.sum(F.when((od >= y1) & (od < y0), lt).otherwise(zero)).alias("prev")))
+    sums = []
+    for name, as_of in days.items():
+        y0, y1, nxt = year_start(as_of), year_start(as_of, 1), day_after(as_of)
+        sums += [F.sum(F.when((od >= y0) & (od < nxt), lt).otherwise(zero)).alias(f"cur{name}"),
+                 F.sum(F.when((od >= y1) & (od < y0), lt).otherwise(zero)).alias(f"prev{name}")]
+    return fact.groupBy("ProductID", "TerritoryID").agg(*sums)
+
+
+def pairs_of_keys(per_key: DataFrame, dim_product: DataFrame, territory: DataFrame, name: str = "") -> DataFrame:
+    """(Country, Subcategory, CurrentRevenue, PreviousYearRevenue) from the sums of ``revenue_by_key`` for one day."""
+    per_key = per_key.select("ProductID", "TerritoryID", F.col(f"cur{name}").alias("cur"), F.col(f"prev{name}").alias("prev"))
     p = dim_product.select("ProductID", "Subcategory")
     t = territory.select("TerritoryID", F.col("Name").alias("Country"))
     return (per_key.join(p, "ProductID").join(t, "TerritoryID")

@@ -129,3 +129,20 @@ def test_hot_product_is_spread_over_tasks(spark, monkeypatch):
         for n, v in before.items():
             spark.conf.set(n, v)
     assert max(plain) > 3 * median(plain) and max(dealt) < 3 * median(dealt)
+
+
+def test_a_side_is_hinted_only_if_its_measured_size_is_small(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from saleslens.operators import joins
+    big = spark.range(1000).select(F.col("id"), F.lit("x").alias("t"))
+    dim = spark.createDataFrame([(i, "é" * 100, None) for i in range(50)], "id long, name string, note string")
+    assert joins.relation_bytes(dim) == 50 * (64 + 8 * 3) + 2 * 50 * 200
+    assert joins.relation_bytes(dim.limit(0)) == 0
+    assert joins.relation_bytes(dim.select(F.array("id").alias("a"))) is None
+
+    def plan(side):
+        return big.join(side, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(joins.small_side(dim))
+    assert "broadcast" not in plan(joins.small_side(dim.select("id", F.array("name").alias("a"))))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    assert "broadcast" not in plan(joins.small_side(dim))

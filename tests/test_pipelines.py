@@ -127,3 +127,11 @@ def test_audit_counts_only_what_a_load_wrote(spark, work):
     second = {(r.TableName, r.Stage): r.Rows for r in daily.load_audit(store, "two").collect()}
     assert second["header", "before"] == first["header", "after"] == second["header", "after"] - 3
     assert second["detail", "before"] == second["detail", "after"] == first["detail", "after"]
+
+
+def test_current_pairs_from_the_history_and_the_batch_are_those_of_the_loaded_tables(spark):
+    from saleslens.catalog.pipelines import AS_OF, snapshot_and_current, snapshot_table
+    t = SalesTables.of(spark, SF_SMALL)
+    snapshot, current = snapshot_and_current(spark, t)
+    assert sorted(map(str, current.collect())) == sorted(map(str, current_pairs(t, AS_OF, loaded_fact(spark, t)).collect()))
+    assert sorted(map(str, snapshot.collect())) == sorted(map(str, snapshot_table(spark, t).collect()))
