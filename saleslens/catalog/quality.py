@@ -207,15 +207,17 @@ FK_SQL = [
 def q_dq_foreign_keys(spark, sf_dir):
     """Q12: orphan child keys per foreign key, with how many rows carry each (lines and orders of the faulty batch)."""
     t = T(spark, sf_dir)
+    # The history's lines are those whose order is in the history: summed by order first, their orders are looked up once.
+    by_order = q.key_counts(t.detail_all, "SalesOrderID").join(t.header_hist.select("SalesOrderID"), "SalesOrderID", "left_semi")
     frames = {"lines_faulty": lines_faulty(t), "header_faulty": header_faulty(t), "detail_hist": t.detail_hist, "header_hist": t.header_hist, "product": t.product,
               "customer_src": t.customer_src, "territory": t.territory, "sales_person": t.sales_person,
               "store": t.store, "product_subcategory": t.product_subcategory, "cost_history": t.cost_history,
               "price_history": t.price_history, "product_category": t.product_category}
     out = None
     for n, ct, ck, pt, pk in FK_SQL:
-        o = (q.missing_in(frames[ct].select(ck), frames[pt], ck, pk)
-             .groupBy(F.col(ck).cast("bigint").alias("KeyValue")).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(n).alias("FkName"), "KeyValue", "n"))
+        counts = by_order if (ct, ck) == ("detail_hist", "SalesOrderID") else q.key_counts(frames[ct], ck)
+        o = (q.orphan_keys(counts, frames[pt], ck, pk)
+             .select(F.lit(n).alias("FkName"), F.col(ck).cast("bigint").alias("KeyValue"), "n"))
         out = o if out is None else out.unionByName(o)
     return out
 

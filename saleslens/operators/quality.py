@@ -67,6 +67,18 @@ def missing_in(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     return child.where(F.col(child_key).isNotNull()).join(p, F.col(child_key) == F.col("__pk"), "left_anti")
 
 
+def orphan_keys(counts: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """Q12: of a child's keys with their row counts (child_key, n; see key_counts) those without a parent. Rows are summed by key
+    before any shuffle, so the join sorts keys, not rows, and a key of very many rows is one row of each task."""
+    p = parent.select(F.col(parent_key).alias("__pk"))
+    return counts.join(p, F.col(child_key) == F.col("__pk"), "left_anti")
+
+
+def key_counts(child: DataFrame, key: str) -> DataFrame:
+    """(key, n): the non-NULL values of a column and their rows."""
+    return child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
 def uncovered_by_intervals(lines: DataFrame, history: DataFrame, key: str, point: str,
                            start: str = "StartDate", end: str = "EndDate") -> DataFrame:
     """Q9: lines with no interval of their key containing their date (what an inner as-of join drops)."""

@@ -1,6 +1,7 @@
 """Data-quality checks on rows that break them, and on clean ones."""
 import datetime as dt
 
+from conftest import SF_SMALL
 from saleslens.operators import quality as q
 
 
@@ -37,3 +38,21 @@ def test_registered_checks_find_faults(spark):
     from saleslens import catalog
     for key in ("dq_no_overlap_history", "dq_products_allowed", "dq_price_positive", "dq_online_no_salesperson", "dq_foreign_keys"):
         assert not catalog.queries()[key](spark, SF_SMALL).isEmpty(), key
+
+
+def test_orphan_keys_sums_rows_before_the_join(spark):
+    child = spark.createDataFrame([(k % 5 if k % 7 else None,) for k in range(700)], "k long")
+    parent = spark.createDataFrame([(0,), (1,), (1,), (None,)], "p long")
+    found = q.orphan_keys(q.key_counts(child, "k"), parent, "k", "p")
+    assert sorted(map(tuple, found.collect())) == [(k, 120) for k in (2, 3, 4)]
+    plan = q.orphan_keys(q.key_counts(spark.range(10).withColumnRenamed("id", "k"), "k"), parent, "k", "p")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Join") < plan.index("HashAggregate")          # the sum lies under the join
+
+
+def test_foreign_keys_sum_the_lines_of_an_order_before_they_are_shuffled(spark):
+    from saleslens.catalog import quality
+    plan = quality.q_dq_foreign_keys(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    # The scan of the lines' orders alone: above it, sums come before the exchange.
+    i = next(i for i, x in enumerate(lines) if "FileScan" in x and "l_orderkey" in x and "l_partkey" not in x)
+    assert "HashAggregate" in next(x for x in lines[:i][::-1] if "Exchange" in x or "HashAggregate" in x)
