@@ -71,6 +71,7 @@ def _pct_text(x: str) -> str:
     return f"(CASE WHEN {v} < 0 THEN '-' ELSE '' END || format('{{:,.2f}}', abs({v})) || '%')"
 
 
+from saleslens.operators.joins import small_side  # noqa: E402
 from saleslens.plans import daily  # noqa: E402
 
 oc.add("built_headers",
@@ -150,6 +151,13 @@ def loaded_fact(spark, t: SalesTables):
     return fact_plan.fact_sales_margin(store.read("detail"), store.read("header"), t.cost_history)
 
 
+def loaded_batch(spark, t: SalesTables):
+    """(store, fact of the staged batch's own rows) after the daily load."""
+    store = staged_store(spark, t)
+    daily.daily_load(store, LOAD_BATCH)
+    return store, fact_plan.fact_sales_margin(store.segment("detail", LOAD_BATCH), store.segment("header", LOAD_BATCH), t.cost_history)
+
+
 def current_pairs(t: SalesTables, as_of, fact=None):
     dim_p = model.dim_product(t.product, t.product_subcategory, t.product_category)
     return mon.revenue_by_pair(sales_fact(t) if fact is None else fact, dim_p, t.territory, as_of)
@@ -181,9 +189,7 @@ def snapshot_and_current(spark, t: SalesTables):
     dim_p = model.dim_product(t.product, t.product_subcategory, t.product_category)
     history = mon.revenue_by_key(sales_fact(t), {"_snap": SNAPSHOT_DATE, "_now": AS_OF}).checkpoint(eager=True)
     snapshot = snapshot_table(spark, t, mon.pairs_of_keys(history, dim_p, t.territory, "_snap"))
-    store = staged_store(spark, t)
-    daily.daily_load(store, LOAD_BATCH)
-    batch = fact_plan.fact_sales_margin(store.segment("detail", LOAD_BATCH), store.segment("header", LOAD_BATCH), t.cost_history)
+    _, batch = loaded_batch(spark, t)
     now = ["ProductID", "TerritoryID", "cur_now", "prev_now"]
     keys = history.select(*now).unionByName(mon.revenue_by_key(batch, {"_now": AS_OF}).select(*now))
     return snapshot, mon.pairs_of_keys(keys, dim_p, t.territory, "_now")
@@ -325,10 +331,17 @@ def q_dim_territory(spark, sf_dir):
 # Daily batch
 # ---------------------------------------------------------------------------
 def staged_store(spark, t: SalesTables, root: str | None = None) -> daily.TableStore:
-    """History and staging as read-only base frames of a table store; nothing is copied."""
+    """History and staging as read-only base frames of a table store. The history isn't copied; the staged orders and
+    their lines, which a load reads several times, are written once, and the lines are found without being shuffled
+    if the staged orders are measured small."""
+    def once(df, name):
+        path = files.overwrite(df, fresh_dir(spark, f"staged-{name}"))
+        return spark.read.schema(df.schema).parquet(path)
+    orders = once(t.orders_temp, "orders")
+    lines = once(t.lines_of(small_side(orders.select("SalesOrderID", "modified_date"))), "lines")
     return daily.TableStore(spark, root or fresh_dir(spark, "store"), {
         "header": t.header_hist.select(*daily.HEADER_COLS), "detail": t.detail_hist.select(*daily.DETAIL_COLS),
-        "orders_temp": t.orders_temp, "daily_details_temp": t.daily_details_temp})
+        "orders_temp": orders, "daily_details_temp": lines})
 
 
 def _load(spark, sf_dir):

@@ -9,7 +9,7 @@ from saleslens.catalog import ORACLES, register
 from saleslens.catalog import insights as _insights  # noqa: F401  (D8's oracle is used below)
 from saleslens.catalog import oracle_ctes as oc
 from saleslens.catalog.oracle_ctes import with_ctes
-from saleslens.catalog.pipelines import FACT_SELECT, loaded_fact, profile_lines, sales_fact
+from saleslens.catalog.pipelines import FACT_SELECT, loaded_batch, profile_lines, sales_fact
 from saleslens.operators import bitmaps, sketches
 from saleslens.session import fresh_dir
 from saleslens.sources import partitioned, quarantine
@@ -45,13 +45,16 @@ def q_src_csv_quarantine(spark, sf_dir):
 
 @register("sink_overwrite_partitions", with_ctes(f"SELECT {FACT_SELECT} FROM fact_after_load", "fact_after_load"))
 def q_sink_overwrite_partitions(spark, sf_dir):
-    """The fact stored by order year; after the daily load the years of the batch are written again, the others stay."""
+    """The fact stored by order year; after the daily load the years of the batch are written again, the others stay.
+    The guard keeps a batch's orders apart from the history's, so a year after the load is its stored rows and the batch's
+    fact: the history's lines are joined once."""
     t = SalesTables.of(spark, sf_dir)
     fact = partitioned.by_year(sales_fact(t))
-    path = partitioned.write_partitioned(fact, fresh_dir(spark, "fact-by-year"), "OrderYear")
-    years = t.orders_temp.select(F.year("OrderDate").alias("OrderYear")).distinct()
-    loaded = partitioned.by_year(loaded_fact(spark, t)).join(F.broadcast(years), "OrderYear", "left_semi")
-    partitioned.replace_parts(loaded.select(*fact.columns), path, "OrderYear")
+    path = partitioned.write_partitioned(fact, fresh_dir(spark, "fact-by-year"), "OrderYear", rebalance=False)
+    store, batch = loaded_batch(spark, t)
+    years = store.read("orders_temp").select(F.year("OrderDate").alias("OrderYear")).distinct()
+    loaded = partitioned.read_partitioned(spark, path, fact.schema).unionByName(partitioned.by_year(batch))
+    partitioned.replace_parts(loaded.join(F.broadcast(years), "OrderYear", "left_semi").select(*fact.columns), path, "OrderYear", rebalance=False)
     return partitioned.read_partitioned(spark, path, fact.schema).drop("OrderYear")
 
 

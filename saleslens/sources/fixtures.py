@@ -272,7 +272,10 @@ class SalesTables:
 
     @cached_property
     def daily_details_temp(self) -> DataFrame:
-        t = self.orders_temp.select("SalesOrderID", "modified_date")
+        return self.lines_of(self.orders_temp.select("SalesOrderID", "modified_date"))
+
+    def lines_of(self, t: DataFrame) -> DataFrame:
+        """The staged lines of the orders t (SalesOrderID, modified_date)."""
         d = self.detail_all
         return (d.join(t, "SalesOrderID")
                  .select("SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID", "SpecialOfferID",

@@ -11,20 +11,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, by: str) -> str:
+def _dealt(df: DataFrame, by: str, rebalance: bool) -> DataFrame:
+    return df.hint("rebalance", by) if rebalance else df
+
+
+def write_partitioned(df: DataFrame, path: str, by: str, rebalance: bool = True) -> str:
     """A new table at ``path`` with one folder for each value of ``by``. Rows are rebalanced by that column first: few files
-    a folder, and a value with very many rows is dealt to several tasks."""
-    df.hint("rebalance", by).write.mode("errorifexists").partitionBy(by).parquet(path)
+    a folder, and a value with very many rows is dealt to several tasks. Without ``rebalance`` no row is shuffled for it
+    and each task writes a file for each of its values: for few values and rows that a join has dealt already."""
+    _dealt(df, by, rebalance).write.mode("errorifexists").partitionBy(by).parquet(path)
     return path
 
 
-def replace_parts(df: DataFrame, path: str, by: str) -> str:
+def replace_parts(df: DataFrame, path: str, by: str, rebalance: bool = True) -> str:
     """S5 for a part: the folders of the values of ``by`` in df are replaced by its rows, all others stay as they are.
 
     A value that df has no row of keeps its folder. df may read the table itself: the old files go after the new ones
     are written.
     """
-    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    _dealt(df, by, rebalance).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     return path
 
 

@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from saleslens.operators import bitmaps
 from saleslens.plans import insights
 from saleslens.sources import files, partitioned, quarantine
@@ -124,3 +125,37 @@ def test_distinct_counts_merge(spark):
     got = {r.y: r.Distinct for r in bitmaps.distinct_counts(a.unionByName(b), ["y"]).collect()}
     want = {r.y: r.n for r in df.groupBy("y").agg(F.count_distinct("CustomerID").alias("n")).collect()}
     assert got == want
+
+
+def test_the_history_is_joined_once_and_a_year_is_replaced_from_its_stored_rows(spark, monkeypatch):
+    from saleslens.catalog import storage
+    from saleslens.catalog.pipelines import loaded_fact
+    from saleslens.plans import fact as fact_plan
+    from saleslens.sources.fixtures import SalesTables
+    t = SalesTables.of(spark, SF_SMALL)
+    want = sorted(map(str, loaded_fact(spark, t).collect()))
+    made, rows = fact_plan.fact_sales_margin, []
+
+    def counted(detail, *args, **kw):
+        rows.append(detail.count())
+        return made(detail, *args, **kw)
+    monkeypatch.setattr(fact_plan, "fact_sales_margin", counted)
+    found = storage.q_sink_overwrite_partitions(spark, SF_SMALL)
+    assert sorted(map(str, found.collect())) == want
+    assert len(rows) == 2 and 0 < rows[1] <= t.daily_details_temp.count() < rows[0]
+
+
+def test_rows_that_are_dealt_already_are_written_without_a_shuffle(spark, work):
+    df = spark.range(1000, numPartitions=3).selectExpr("id", "id % 2 as side")
+    path = partitioned.write_partitioned(df, work("dealt"), "side", rebalance=False)
+    assert {len(glob.glob(f"{local(path)}/side={k}/*.parquet")) for k in (0, 1)} == {3}
+    assert partitioned.read_partitioned(spark, path, df.schema).count() == 1000
+
+
+def test_staged_tables_are_read_not_computed_again(spark):
+    from saleslens.catalog.pipelines import staged_store
+    from saleslens.sources.fixtures import SalesTables
+    store = staged_store(spark, SalesTables.of(spark, SF_SMALL))
+    for name in ("orders_temp", "daily_details_temp"):
+        plan = store.read(name)._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "Join" not in plan and "Exchange" not in plan
