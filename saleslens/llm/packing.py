@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, prepare, written
+from saleslens.llm.common import clean, prepare, trim, written
 from saleslens.llm.tokens import encoder
 
 LENGTH = 2048
@@ -42,6 +42,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, keep_ids:
                     n += 1
             frame = pd.DataFrame(out, columns=["row_id", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
             yield frame.astype({"doc_id": "Int64"})
+        trim()                     # the worker lives on with what it remembers; the batches' memory goes back
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInPandas(run, PIECES)
 

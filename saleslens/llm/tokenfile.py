@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, prepare, written
+from saleslens.llm.common import clean, prepare, trim, written
 from saleslens.llm.tokens import encoder
 from saleslens.session import fresh_dir
 
@@ -203,6 +203,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str |
         if out is not None:
             out.close()
             stream.close()
+            trim()                 # the worker lives on with what it remembers; the batches' memory goes back
             yield pd.DataFrame({"shard": [shard], "path": [path], "n_docs": [n_docs], "n_tokens": [out.tokens]})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = ["doc_id", F.xxhash64("text")]

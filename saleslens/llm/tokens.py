@@ -11,7 +11,6 @@ the vocabulary's added tokens are given to the library whole. The library's sett
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,7 +19,8 @@ from saleslens.llm.common import worker_cache
 
 #: Parts whose ids a worker keeps: a bound on memory (about 200 bytes each), not on what is encoded.
 REMEMBERED = 800_000
-_WHOLE = re.compile(r"\s\s|^\s|\s\Z")
+#: Characters of texts that are cut into parts at once; a longer text is cut alone.
+AT_ONCE = 1_000_000
 MARK = "~"
 _PUNCTUATION = ".,;:!?%*#$&|"
 
@@ -45,7 +45,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         added = list(self.library.get_added_tokens_decoder().values())
         # Added tokens are looked for in the text itself; if one is matched after normalisation, all texts go whole.
-        self.added = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
+        self.added = [t.content for t in added]
         self.all_whole = any(t.normalized for t in added)
         self.after_space: dict[str, bytes] = {}
         self.at_start: dict[str, bytes] = {}
@@ -89,39 +89,36 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, parts: list[str], known: dict[str, bytes], space: str) -> dict[str, bytes]:
-        """Ids of parts that aren't known: A-Z and a-z followed by punctuation are two independent parts (other
-        letters can change by normalisation into what is no letter)."""
-        split = {}
+        """Ids of parts that aren't known, and of what stands before their punctuation: A-Z and a-z followed by punctuation
+        are two independent parts (other letters can change by normalisation into what is no letter)."""
+        need, split = [], []
         for w in parts:
             core = w.rstrip(_PUNCTUATION)
-            split[w] = (core, w[len(core):]) if core != w and core.isascii() and core.isalpha() else (w, "")
-        need = [c for c in dict.fromkeys(c for c, _ in split.values()) if c not in known]
-        tails = [t for t in dict.fromkeys(t for _, t in split.values()) if t and t not in self.at_start]
+            if len(core) != len(w) and core.isascii() and core.isalpha():
+                split.append((w, core, w[len(core):]))
+            else:
+                need.append(w)
+        asked = set(need)
+        need += {c for _, c, _ in split if c not in known and c not in asked}
+        tails = [t for t in {t for _, _, t in split} if t not in self.at_start]
         new = dict(zip(need, self.many(need) if space else self.whole(need)))
         new_tails = dict(zip(tails, self.whole(tails)))
         if len(self.at_start) < REMEMBERED:
             self.at_start.update(new_tails)
-        out = {}
-        for w, (c, t) in split.items():
-            ids = new[c] if c in new else known[c]
-            out[w] = ids + (new_tails[t] if t in new_tails else self.at_start[t]) if t else ids
-        if len(known) < REMEMBERED:
-            known.update(new)
-            known.update(out)
-        return out
+        new.update([(w, (new[c] if c in new else known[c]) + (new_tails[t] if t in new_tails else self.at_start[t])) for w, c, t in split])
+        return new
 
     def _parts(self, text: str) -> list[str] | None:
         """The parts of a text, the first as at the start and the others as after a space; a part that begins with a
         line break stands after one instead. None: the text has to be encoded whole."""
-        if self.all_whole or self.added.search(text):
+        if self.all_whole or any(t in text for t in self.added):
             return None
         plain = text.split()
+        if len(" ".join(plain)) != len(text):      # two white-space characters in a row, or one at an end
+            return None
         even = text.replace("\n", " ") if self.line_is_space else text
-        plain = text.split()
-        if len(" ".join(plain)) == len(text) and even.count(" ") == len(plain) - 1:
+        if even.count(" ") == len(plain) - 1:
             return plain                           # single spaces alone
-        if _WHOLE.search(text):
-            return None
         return (even.replace("\n", " \n") if self.line_is_piece else even).split(" ")
 
     def _missing(self, parts: list[str]) -> dict[str, bytes]:
@@ -131,29 +128,44 @@ class Encoder:
         more = self._learn([w for w in parts if w[:1] != "\n"], self.after_space, " ")
         lines = [w for w in parts if w[:1] == "\n"]
         begun = self._learn([w[1:] for w in lines if w[1:] not in self.at_start], self.at_start, "")
-        after = {w: self.line + (begun[w[1:]] if w[1:] in begun else self.at_start[w[1:]]) for w in lines}
-        if len(self.after_space) < REMEMBERED:
-            self.after_space.update(after)
-        return more | after
+        if len(self.at_start) < REMEMBERED:
+            self.at_start.update(begun)
+        more.update([(w, self.line + (begun[w[1:]] if w[1:] in begun else self.at_start[w[1:]])) for w in lines])
+        return more
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none."""
+        out: list[bytes] = []
+        some, size = [], 0
+        for t in texts:
+            some.append(t)
+            size += len(t or "")
+            if size >= AT_ONCE:
+                out += self._some(some)
+                some, size = [], 0
+        return out + self._some(some)
+
+    def _some(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         cut = {i: self._parts(t) for i, t in enumerate(texts) if t}
         long_way = [i for i, p in cut.items() if p is None]
         for i, ids in zip(long_way, self.whole([texts[i] for i in long_way])):
             out[i] = ids
         parts = {i: p for i, p in cut.items() if p is not None}
-        get = self.after_space.get
-        found = {i: list(map(get, p[1:])) for i, p in parts.items()}
-        missing = {w for i, f in found.items() if None in f for w, ids in zip(parts[i][1:], f) if ids is None}
+        heads = {i: p.pop(0) for i, p in parts.items()}
+        known = self.after_space
+        full = len(known) >= REMEMBERED
+        missing = set().union(*parts.values()).difference(known)
         more = self._missing(list(missing)) if missing else {}
-        first = {p[0] for p in parts.values() if p[0] not in self.at_start}
+        known.update(more)
+        first = {w for w in heads.values() if w not in self.at_start}
         starts = self._learn(list(first), self.at_start, "") if first else {}
-        for i, f in found.items():
-            p = parts[i]
-            if None in f:
-                f = [more[w] if ids is None else ids for w, ids in zip(p[1:], f)]
-            head = starts[p[0]] if p[0] in starts else self.at_start[p[0]]
-            out[i] = head + b"".join(f)
+        if len(self.at_start) < REMEMBERED:
+            self.at_start.update(starts)
+        for i, p in parts.items():
+            w = heads[i]
+            out[i] = (starts[w] if w in starts else self.at_start[w]) + b"".join(map(known.__getitem__, p))
+        if full:                                   # what isn't remembered stood among the known parts for these texts
+            for w in more:
+                del known[w]
         return out

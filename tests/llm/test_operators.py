@@ -414,3 +414,25 @@ def test_toxicity(spark):
     assert got[900].predicted == 1 and got[901].predicted == got[902].predicted == got[903].predicted == 0
     none = toxicity.toxicity(df, empty(spark, "doc_id long, toxic int"))
     assert {r.predicted for r in none.collect()} == {0}
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_texts_are_cut_by_slices_and_memory_of_parts_is_bounded(monkeypatch, name):
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
+    monkeypatch.setattr(tokens, "AT_ONCE", 300)
+    texts = [" ".join(f"{a}{i}{b}" for i in range(j, j + 12)) + "\nnext line" for j in range(40) for a, b in (("Wort", "!!"), ("é", ""), ("x", "\nY,"))]
+    texts += [None, "", " ", "a", "a  b", "a <|endoftext|> b", "word!!! Word", "x" * 900 + " y."]
+    e = tokens.Encoder(tokens.tokenizer_path(name))
+    sizes, slices, cut = [], [], e._some
+
+    def watched(some):
+        slices.append(len(some))
+        out = cut(some)
+        sizes.append(len(e.after_space))
+        return out
+    monkeypatch.setattr(e, "_some", watched)
+    want = [np.array(e.library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.encode(texts) == want and e.encode(texts) == want
+    assert max(slices) < len(texts) / 4                                # few texts are in parts at a time
+    full = next(n for n in sizes if n >= 60)
+    assert set(sizes[sizes.index(full):]) == {full}                    # full: later parts are let go
