@@ -226,18 +226,26 @@ def _time_major(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def forward(m: Hmm, flat: np.ndarray, at: np.ndarray, alive: np.ndarray, keep: bool):
     """Log likelihood of each sequence (in time-major order); if keep, also scaled alphas and scales."""
-    like = np.zeros(alive[0])
-    alphas = np.empty((len(flat), len(m.start))) if keep else None
-    scales = np.empty(len(flat)) if keep else None
+    k = len(m.start)
+    alphas = np.empty((len(flat), k)) if keep else None
+    scales, ones = np.empty(len(flat)), np.ones(k)
     a = None
     for t in range(len(alive)):
-        e = m.emit[flat[at[t]:at[t + 1]]]
-        a = e * m.start if t == 0 else (a[:alive[t]] @ m.move) * e
-        c = a.sum(axis=1)
-        a /= c[:, None]
-        like[:alive[t]] += np.log(c)
+        lo, hi = at[t], at[t + 1]
+        e = m.emit.take(flat[lo:hi], axis=0)
+        if t == 0:
+            e *= m.start
+        else:
+            e *= a[:hi - lo] @ m.move
+        c = e @ ones
+        e /= c[:, None]
+        a = e
+        scales[lo:hi] = c
         if keep:
-            alphas[at[t]:at[t + 1]], scales[at[t]:at[t + 1]] = a, c
+            alphas[lo:hi] = a
+    # A sequence's logs are added in the order of time, all sequences at once.
+    row = np.arange(len(flat)) - np.repeat(at[:-1], alive)
+    like = np.bincount(row, np.log(scales), alive[0])
     return like, alphas, scales
 
 
@@ -248,15 +256,18 @@ def expected(m: Hmm, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np
     k = len(m.start)
     gamma = np.empty_like(alphas)
     moves = np.zeros((k, k))
-    b = None
+    b, back = None, np.ascontiguousarray(m.move.T)
     for t in range(len(alive) - 1, -1, -1):
         lo, hi = at[t], at[t + 1]
-        beta = np.ones((alive[t], k))
+        b_now = m.emit.take(flat[lo:hi], axis=0)
+        b_now /= scales[lo:hi, None]
+        gamma[lo:hi] = alphas[lo:hi]
         if b is not None and len(b):
-            beta[:len(b)] = b @ m.move.T
+            beta = b @ back
             moves += alphas[lo:lo + len(b)].T @ b
-        gamma[lo:hi] = alphas[lo:hi] * beta
-        b = m.emit[flat[lo:hi]] * beta / scales[lo:hi, None]
+            gamma[lo:lo + len(b)] *= beta
+            b_now[:len(b)] *= beta
+        b = b_now
     emits = np.stack([np.bincount(flat, gamma[:, j], SYMBOLS) for j in range(k)], axis=1)
     return gamma[:alive[0]].sum(axis=0), moves * m.move, emits
 

@@ -436,3 +436,19 @@ def test_texts_are_cut_by_slices_and_memory_of_parts_is_bounded(monkeypatch, nam
     assert max(slices) < len(texts) / 4                                # few texts are in parts at a time
     full = next(n for n in sizes if n >= 60)
     assert set(sizes[sizes.index(full):]) == {full}                    # full: later parts are let go
+
+
+def test_forward_is_the_plain_recursion():
+    rng = np.random.default_rng(7)
+    m = hmm.Hmm(rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(hmm.SYMBOLS), 3).T.copy())
+    seqs = [rng.integers(0, hmm.SYMBOLS, n).astype("<u2") for n in (5, 1, 9, 5)]
+    order, flat, at, alive = hmm._time_major(seqs)
+    like, alphas, scales = hmm.forward(m, flat, at, alive, True)
+    assert np.array_equal(like, hmm.forward(m, flat, at, alive, False)[0]) and len(alphas) == len(scales) == 20
+    for row, i in enumerate(order):
+        a = m.start * m.emit[seqs[i][0]]
+        for x in seqs[i][1:]:
+            a = (a @ m.move) * m.emit[x]
+        assert like[row] == pytest.approx(np.log(a.sum()), rel=1e-12)
+    _, moves, emits = hmm.expected(m, seqs)
+    assert moves.sum() == pytest.approx(16) and emits.sum() == pytest.approx(20)
