@@ -26,10 +26,12 @@ SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
 #: Rows of a table that is broadcast, at most (a few longs a row); a larger one is joined by a shuffle.
 BROADCAST_ROWS = 300_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WHITE = "\t\n\v\f\r"
 
 
 def word_array(text: Column) -> Column:
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """The words between white space, A-Z in lower case: white space becomes spaces, at which a split needs no pattern."""
+    return F.array_remove(F.split(F.translate(text, UPPER + WHITE, LOWER + " " * len(WHITE)), " "), "")
 
 
 def shingle_hashes(words: str) -> Column:
@@ -39,6 +41,17 @@ def shingle_hashes(words: str) -> Column:
             .when(n > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<long>")))
 
 
+def placed_shingles(texts: DataFrame, *keys: str) -> DataFrame:
+    """(keys, n, p, h): the hashes of shingle_hashes("w") one a row with their places, n the words of the text.
+
+    The array of words is laid beside itself, moved by a word each time, so that a row has a shingle's words as columns
+    and is hashed by generated code. Words that a text's end lacks are null, which a hash leaves out."""
+    moved = F.arrays_zip(*[F.slice("w", i + 1, F.greatest(F.size("w"), F.lit(1))).alias(f"w{i}") for i in range(SHINGLE)])
+    rows = texts.select(*keys, F.size("w").alias("n"), F.posexplode(moved).alias("p", "s"))
+    return (rows.where(F.col("p") <= F.greatest(F.col("n") - SHINGLE, F.lit(0)))
+            .select(*keys, "n", "p", F.xxhash64(*[F.col("s").getField(f"w{i}") for i in range(SHINGLE)]).alias("h")))
+
+
 def _add_bit(b: int):
     return lambda acc, h: acc + F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1)).cast("int")
 
@@ -88,8 +101,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     .withColumn("fi", simhash("hi")), "items")
     seeds = _small(written(items.select("m", F.explode("hi").alias("h")).distinct(), "seeds"))
     keyed = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").select("text", *key_of("text"))
-    with_words = keyed.select("k1", "k2", word_array(F.col("text")).alias("w")).where("size(w) > 0")
-    at = with_words.select("k1", "k2", F.size("w").alias("n"), F.posexplode(shingle_hashes("w")).alias("p", "h"))
+    at = placed_shingles(keyed.select("k1", "k2", word_array(F.col("text")).alias("w")), "k1", "k2")
     places = at.join(seeds, "h").groupBy("k1", "k2", "n", "m").agg(F.array_sort(F.collect_set("p")).alias("places"))
     starts = places.select("k1", "k2", "m", F.explode(window_starts(F.col("places"), F.col("n"), F.col("m"))).alias("start"))
     starts = written(starts, "starts")

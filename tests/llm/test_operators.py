@@ -452,3 +452,16 @@ def test_forward_is_the_plain_recursion():
         assert like[row] == pytest.approx(np.log(a.sum()), rel=1e-12)
     _, moves, emits = hmm.expected(m, seqs)
     assert moves.sum() == pytest.approx(16) and emits.sum() == pytest.approx(20)
+
+
+def test_shingles_as_columns_are_those_of_the_array(spark):
+    """Places and hashes without a function called for each word, also of texts shorter than a shingle."""
+    texts = ["", " ", "a", "A b", "a b c d", "a b c d E", "a\tb\x0bc\x0cd\r\ne f  g ", "\u0130 \u00c4b \u00e4 x\u00a0y z w q", None, " ".join("ab" * 40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    split = F.filter(F.split(F.translate("text", decontaminate.UPPER, decontaminate.LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    assert df.where(~split.eqNullSafe(decontaminate.word_array(F.col("text")))).count() == 0
+    rows = df.select("k", decontaminate.word_array(F.col("text")).alias("w"))
+    got = decontaminate.placed_shingles(rows, "k")
+    want = rows.select("k", F.size("w").alias("n"), F.posexplode(decontaminate.shingle_hashes("w")).alias("p", "h"))
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 20
+    assert "lambda" not in got._jdf.queryExecution().executedPlan().toString().lower()
