@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, prepare, trim, written
+from saleslens.llm.common import clean, prepare, tidy, trim, written
 from saleslens.llm.tokens import encoder
 
 LENGTH = 2048
@@ -115,8 +115,9 @@ def place(cut: DataFrame, length: int) -> DataFrame:
                 row = rows[np.searchsorted(rows[:, 0], rank[at], "right") - 1]
                 sequence[at], offset[at] = row[:, 1] + rank[at] - row[:, 0], row[:, 2]
             yield pdf.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
+    # Tidy: pieces are cut and written by now, and what the workers remember of the encoder would stay while others' stages run.
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in light.schema.fields)
-    return ranked.mapInPandas(locate, f"{fields}, sequence_id long, offset long")
+    return ranked.mapInPandas(tidy(locate), f"{fields}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:

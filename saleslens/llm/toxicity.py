@@ -17,6 +17,7 @@ Every document is scored over its whole text.
 
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,10 +26,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.common import clean, fold_column, prepare, trim, worker_cache, written
+from saleslens.llm.common import clean, fold_column, prepare, tidy, trim, worker_cache, written
 
 #: Word parts whose subsequences are held at once.
 RAW = 2_000
+#: Words or runs that a task counts before it hands the counts on, so that a document's row for each isn't held.
+COUNTED = 100_000
 #: Labelled documents that the fit reads, by label: clean words are told from toxic ones by clean documents, so more of those.
 SAMPLE = {0: 3500, 1: 1400}
 #: Words of clean documents that train the machine, besides those it gets wrong.
@@ -38,6 +41,8 @@ LANDMARKS = 160          # of each class
 WITNESSES, LEAST = 4, 8.0
 DECAY = 0.85             # for each letter skipped
 LONGEST = 40             # letters; longer words are compared in overlapping parts
+#: Characters of texts whose words are held at once; a longer text is taken alone.
+AT_ONCE = 500_000
 #: Words whose scores a worker keeps.
 REMEMBERED = 500_000
 TOP = 3
@@ -151,6 +156,17 @@ class Model:
 def highest(texts: list[str | None], model: Model, key: int) -> np.ndarray:
     """The TOP highest word values of each text (of distinct words), in falling order; the bias stands for missing words."""
     known = worker_cache("toxicity").setdefault(key, {})
+    out, some, size = [np.zeros((0, TOP))], [], 0
+    for t in texts:                                     # the words of some texts at a time: those of a batch take many times its size
+        some.append(t)
+        size += len(t or "")
+        if size >= AT_ONCE:
+            out.append(_highest(some, model, known))
+            some, size = [], 0
+    return np.concatenate([*out, _highest(some, model, known)])
+
+
+def _highest(texts: list[str | None], model: Model, known: dict[str, float]) -> np.ndarray:
     each = [units(t) for t in texts]
     new = list(set().union(*each) - known.keys()) if each else []
     fresh = dict(zip(new, model.raw(new).tolist()))
@@ -246,12 +262,21 @@ def fit(labelled: DataFrame, rounds: int = 3) -> Model | None:
 
     def counted(kind):
         """Documents of each class that have a word, or a run of letters of one."""
+        def frame(counts: tuple[Counter, Counter]) -> pd.DataFrame:
+            w = list(counts[0].keys() | counts[1].keys())
+            return pd.DataFrame({"w": pd.Series(w, dtype=object), "t": [counts[1][x] for x in w], "c": [counts[0][x] for x in w]}).astype({"t": "int64", "c": "int64"})
+
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            counts = Counter(), Counter()
             for pdf in batches:
-                rows = [(x, y) for t, y in zip(pdf["text"], pdf["toxic"]) for x in set().union(*map(kind, own_words(t)))]
-                yield pd.DataFrame(rows, columns=["w", "toxic"])
-        return (trained.mapInPandas(run, "w string, toxic int").groupBy("w")
-                .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")))
+                for t, y in zip(pdf["text"], pdf["toxic"]):
+                    counts[y].update(set().union(*map(kind, own_words(t))))
+                    if len(counts[0]) + len(counts[1]) >= COUNTED:
+                        yield frame(counts)
+                        counts = Counter(), Counter()
+            yield frame(counts)
+        return (trained.mapInPandas(tidy(run), "w string, t long, c long").groupBy("w")
+                .agg(F.sum("t").alias("t"), F.sum("c").alias("c")))
     trained = labelled.where("part = 0")
     totals = {r["toxic"]: r["n"] for r in trained.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
@@ -278,7 +303,7 @@ def fit(labelled: DataFrame, rounds: int = 3) -> Model | None:
                 out += [x for v, x in best if v > LEAST and v > 0.5 * best[0][0]]
             yield pd.DataFrame({"w": out}, dtype=object)
     toxic = trained.where("toxic = 1")
-    positive = sorted(toxic.mapInPandas(witnesses, "w string").distinct().toPandas()["w"])
+    positive = sorted(toxic.mapInPandas(tidy(witnesses), "w string").distinct().toPandas()["w"])
     if not positive:
         return None
     negative = np.flatnonzero(c > 0)

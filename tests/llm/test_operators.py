@@ -465,3 +465,30 @@ def test_shingles_as_columns_are_those_of_the_array(spark):
     want = rows.select("k", F.size("w").alias("n"), F.posexplode(decontaminate.shingle_hashes("w")).alias("p", "h"))
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 20
     assert "lambda" not in got._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_toxicity_counts_are_handed_on_in_parts(spark, monkeypatch):
+    """The fit counts words and runs in the tasks, a bounded number at a time, with the same model."""
+    rng = random.Random(9)
+    common = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(200)]
+    rows = [(" ".join(rng.choices(common, k=30) + ["grottig" + rng.choice("erns")] * (i % 2)), i % 2, int(i % 10 > 7)) for i in range(120)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int, part int").cache()
+    models = []
+    for most in (toxicity.COUNTED, 40):
+        monkeypatch.setattr(toxicity, "COUNTED", most)
+        models.append(toxicity.fit(labelled))
+    assert np.array_equal(models[0].codes, models[1].codes) and np.array_equal(models[0].weights, models[1].weights)
+    assert models[0].raw(["grottiger"])[0] > 0 > models[0].raw(common[:5]).max()
+
+
+def test_texts_are_scored_some_at_a_time(monkeypatch):
+    """A batch's words are held for a slice of its texts, with the same values."""
+    codes = np.unique(toxicity.subsequences(["grottig", "alpha"])[1])
+    model = toxicity.Model(codes, np.linspace(-1, 1, len(codes)), -0.5, np.array([0.0, 1.0, 0.0]))
+    texts = ["grottig alpha beta", None, "", "g r o t t i g", "x" * 900, *(f"word{i} grotti{i}" for i in range(200))]
+    want = [toxicity.highest([t], model, 1)[0].tolist() for t in texts]
+    sizes, cut = [], toxicity._highest
+    monkeypatch.setattr(toxicity, "AT_ONCE", 300)
+    monkeypatch.setattr(toxicity, "_highest", lambda some, *a: sizes.append(sum(len(t or "") for t in some)) or cut(some, *a))
+    assert toxicity.highest(texts, model, 2).tolist() == want and toxicity.highest([], model, 2).shape == (0, toxicity.TOP)
+    assert len(sizes) > 10 and max(sizes) < 1300
