@@ -59,7 +59,8 @@ def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     v = ids.reshape(-1, BLOCK)
     low = v.min(axis=1)
     v = v - low[:, None]
-    width = _widths(np.sort(v, axis=1)[:, int(np.ceil(PERCENTILE * BLOCK)) - 1])
+    place = int(np.ceil(PERCENTILE * BLOCK)) - 1
+    width = _widths(np.partition(v, place, axis=1)[:, place])
     over = v >= (np.uint64(1) << width.astype(np.uint64))[:, None]
     count = over.sum(axis=1)
     sizes = 6 + width * (BLOCK // 8) + 5 * count

@@ -57,6 +57,10 @@ class Encoder:
         self.by_space = int(self.leads[self.library.encode(" a b", add_special_tokens=False).ids].sum()) == 2
         mark = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 and not self.by_space else None
+        # Where the vocabulary marks the ends of words, parts of one word each need no mark between them.
+        self.ends = np.zeros(len(self.leads), bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.by_end = not self.by_space and int(self.ends[self.library.encode("a b", add_special_tokens=False).ids].sum()) == 2
         lines, spaces, self.line, apart = self.whole(["a.\nb", "a. b", "\n", "a."])
         self.line_is_space = lines == spaces
         self.line_is_piece = not self.line_is_space and lines == apart + self.line + self.whole(["b"])[0]
@@ -65,6 +69,17 @@ class Encoder:
         """Ids of parts without spaces, each as after a space: encoded by hundreds in one text."""
         plain = [p for p in parts if p and MARK not in p]
         found: dict[str, bytes] = {}
+        if self.by_end:
+            # Every part has a word at least, so as many ends as parts are one of each.
+            words = [p for p in plain if p.isalpha()]
+            for lo in range(0, len(words), 1000):
+                some = words[lo:lo + 1000]
+                ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+                end = (np.flatnonzero(self.ends[ids]) + 1) * 4
+                if len(end) == len(some) and end[-1] == 4 * len(ids):
+                    raw, cuts = ids.tobytes(), [0, *end.tolist()]
+                    found.update(zip(some, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+            plain = [p for p in plain if p not in found]
         if self.by_space or self.mark is not None:
             for lo in range(0, len(plain), 500):
                 some = plain[lo:lo + 500]
@@ -93,6 +108,9 @@ class Encoder:
         are two independent parts (other letters can change by normalisation into what is no letter)."""
         need, split = [], []
         for w in parts:
+            if w.isalpha():
+                need.append(w)
+                continue
             core = w.rstrip(_PUNCTUATION)
             if len(core) != len(w) and core.isascii() and core.isalpha():
                 split.append((w, core, w[len(core):]))

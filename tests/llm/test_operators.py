@@ -481,6 +481,22 @@ def test_toxicity_counts_are_handed_on_in_parts(spark, monkeypatch):
     assert models[0].raw(["grottiger"])[0] > 0 > models[0].raw(common[:5]).max()
 
 
+def test_words_need_no_mark_between_them():
+    """Where the vocabulary marks the ends of words, parts of one word are told apart by these; others take the mark."""
+    e = tokens.Encoder(tokens.tokenizer_path("word_bpe_49k.json"))
+    parts = ["alpha", "Beta", "\u00dcber", "\u0130x", "\u01c5", "\u4e2d\u6587", "a1", "it's", "x-y", "~", "a\u0301b", "\u00bd", "zeta,"]
+    asked, library = [], e.library
+
+    class Library:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **kw)
+    e.library = Library()
+    assert e.many(parts[:3]) == [np.array(library.encode(f" {p}", add_special_tokens=False).ids, "<u4").tobytes() for p in parts[:3]]
+    assert asked[0] == "alpha Beta \u00dcber"
+    assert e.many(parts) == [np.array(library.encode(f" {p}", add_special_tokens=False).ids, "<u4").tobytes() for p in parts]
+
+
 def test_texts_are_scored_some_at_a_time(monkeypatch):
     """A batch's words are held for a slice of its texts, with the same values."""
     codes = np.unique(toxicity.subsequences(["grottig", "alpha"])[1])
