@@ -1,15 +1,23 @@
 """Main text of web pages: page structure, and a suffix array of each host for what structure leaves open.
 
 Each page is read into blocks. Blocks in menus, headers, footers, sidebars, notices, adverts, forms and
-comments are boilerplate by their tags, classes and roles. If the page marks its article, the article's
-other blocks are its main text, whole: sentences that articles of a host share are still theirs. If it
-doesn't, its blocks are decided by repetition: the token streams of all blocks outside articles are taken together
-by host, their suffixes sorted, and runs of ``RUN`` tokens or more that stand in more than two distinct pages, or in both
-pages of a host that has two, are boilerplate. Pages with the same text are copies and count as one page: a page is no
-boilerplate for being repeated. Blocks keep the runs that aren't covered.
+comments are boilerplate by their tags, classes and roles. What is left is decided by repetition: token streams are taken
+together by host, their suffixes sorted, and runs of ``RUN`` tokens or more that enough distinct pages have are boilerplate.
+
+- A page that marks no article: runs of the blocks outside articles that stand in more than two distinct pages, or in both
+  pages of a host that has two.
+- A marked article: runs that stand in more than half of the distinct articles of its host, and in PAGES at least. Sentences
+  that fewer articles share are theirs. An article of which more than ``COPIED`` would go is a near copy of others, no
+  boilerplate, and stays whole.
+
+Pages with the same text are copies and count as one page: a page is no boilerplate for being repeated. Blocks keep the
+runs that aren't covered.
 
 The sort is spread over tasks by the first RUN tokens, within which neighbours in the suffix array are compared; equal
-suffixes are put together before they are sent, so a run that all pages of a host share is one row a task.
+suffixes are put together before they are sent, so a run that all pages of a host share is one row a task. Of articles, whose
+suffixes would be many times the input, only those are sent that can be in so many articles: each host's pages are counted by
+some bits of a run's hash (a count of all runs that share the bits, so no less than that of each), and a run whose bits too
+few pages have can't be in enough articles.
 """
 
 from __future__ import annotations
@@ -17,7 +25,8 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +40,12 @@ from saleslens.llm.common import clean, prepare, written
 RUN, SUFFIX = 8, 12
 #: Distinct pages of a host that have a run of boilerplate, at least; of two pages, both.
 PAGES = 3
+#: Share of an article's words that repetition takes at most; one that would lose more is a near copy.
+COPIED = 0.9
+#: Hosts whose counts a task holds at once, and tokens whose hashes it does.
+HOSTS, TOKENS = 500, 300_000
+#: Entries of a table that is broadcast at most; a larger one is joined by host.
+SMALL = 100_000
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 # Fixed values of the HTML standard: elements without content, with raw content, and that start a new line.
@@ -166,6 +181,26 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def stream_of(blocks: list[str]) -> list[str]:
+    """The tokens of blocks, with a mark after each block."""
+    return [x for b in blocks for x in (*b.split(), "¶")]
+
+
+def uncovered(blocks: list[str], starts: Iterable[int]) -> list[str]:
+    """What is left of blocks without the runs that start at these places of their stream."""
+    size = sum(len(b.split()) + 1 for b in blocks)
+    edge = np.zeros(size + 1, np.int64)
+    for i in starts:
+        edge[i] += 1
+        edge[i + RUN] -= 1
+    gone, at, kept = np.cumsum(edge) > 0, 0, []
+    for b in blocks:
+        t = b.split()
+        kept.append(" ".join(x for x, g in zip(t, gone[at:at + len(t)]) if not g))
+        at += len(t) + 1
+    return [k for k in kept if k]
+
+
 def repeated_runs(streams: DataFrame) -> DataFrame:
     """(host, run): the first RUN tokens of suffixes that stand in PAGES or more distinct pages of a host, or in both of two.
     streams: host, tokens, one row for each distinct page."""
@@ -181,7 +216,12 @@ def repeated_runs(streams: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["host", "suffix", "run", "pages"])
     rows = (streams.mapInPandas(suffixes, "host string, suffix string, run string, pages long")
             .groupBy("host", "run", "suffix").agg(F.sum("pages").alias("pages")))
+    hosts = streams.groupBy("host").agg(F.count("*").alias("of"))
+    return (shared_runs(rows).join(hosts, "host").where(F.col("pages") >= F.least(F.lit(PAGES), F.col("of"))).select("host", "run"))
 
+
+def shared_runs(rows: DataFrame) -> DataFrame:
+    """(host, run, pages): runs that more than one page has. rows: host, run, suffix, and the pages whose first suffix of the run it is."""
     def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows in suffix order: the distinct pages of a run are those of its neighbouring suffixes together."""
         held = None                      # (host, run, pages)
@@ -197,10 +237,109 @@ def repeated_runs(streams: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["host", "run", "pages"])
         if held and held[2] > 1:
             yield pd.DataFrame([held], columns=["host", "run", "pages"])
-    shared = (rows.repartition("host", "run").sortWithinPartitions("host", "run", "suffix")
-              .mapInPandas(neighbours, "host string, run string, pages long"))
-    hosts = streams.groupBy("host").agg(F.count("*").alias("of"))
-    return (shared.join(hosts, "host").where(F.col("pages") >= F.least(F.lit(PAGES), F.col("of"))).select("host", "run"))
+    return (rows.repartition("host", "run").sortWithinPartitions("host", "run", "suffix")
+            .mapInPandas(neighbours, "host string, run string, pages long"))
+
+
+class _Hashes(dict):
+    """The crc32 of each token asked for; TOKENS are held."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= TOKENS:
+            self.clear()
+        self[token] = found = zlib.crc32(token.encode("utf-8", "surrogatepass"))
+        return found
+
+
+def run_bits(tokens: list[str], hashes: _Hashes, width: int) -> np.ndarray:
+    """For each run of tokens a number below width, a power of two: some bits of its hash."""
+    n = len(tokens) - RUN + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    one = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+    code = np.zeros(n, np.uint64)
+    for i in range(RUN):
+        code = (code + one[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
+    return ((code >> np.uint64(32)) & np.uint64(width - 1)).astype(np.int64)
+
+
+def by_host(rows: DataFrame, table: DataFrame, column: str, how: str) -> DataFrame:
+    """rows with column (an array) of a written table of hosts, which is broadcast if it is small."""
+    entries = table.agg(F.sum(F.size(column) + 1)).first()[0] or 0
+    return rows.join(F.broadcast(table) if entries <= SMALL else table, "host", how)
+
+
+def article_runs(articles: DataFrame) -> DataFrame:
+    """(host, runs): the runs that stand in more than half of a host's distinct articles, and in PAGES at least.
+    articles: host, main (blocks, a line each), copies included; a written table."""
+    # A copy adds to the counts of its host's runs, but not to its host's articles: no run is missed for it.
+    hosts = (articles.groupBy("host", F.xxhash64("main").alias("told")).agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("of"))
+             .where(F.col("of") >= PAGES).select("host", F.greatest(F.lit(PAGES), F.floor(F.col("of") / 2) + 1).cast("long").alias("least")))
+    # Wide enough that an article sets an eighth of the bits; that decides how much is sent, not what is found.
+    mean = articles.agg(F.avg(F.char_length("main"))).first()[0] or 0
+    width = 1 << min(20, max(10, int(np.ceil(np.log2(8 * mean / 5 + 1)))))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, held = _Hashes(), {}
+
+        def rows() -> pd.DataFrame:
+            return pd.DataFrame([(h, zlib.compress(n.tobytes(), 1)) for h, n in held.items()], columns=["host", "counts"])
+        for pdf in batches:
+            for h, main in zip(pdf["host"], pdf["main"]):
+                if h not in held:
+                    if len(held) >= max(1, HOSTS * 4096 // width):
+                        yield rows()
+                        held = {}
+                    held[h] = np.zeros(width, "<u4")
+                held[h][np.unique(run_bits(stream_of(main.split("\n")), hashes, width))] += 1
+        yield rows()
+
+    def enough(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows in order of hosts: the bits that enough articles have."""
+        held = None                      # [host, least, counts]
+        for pdf in batches:
+            out = []
+            for h, least, counts in zip(pdf["host"], pdf["least"], pdf["counts"]):
+                if not held or held[0] != h:
+                    out.append(held)
+                    held = [h, least, np.zeros(width, np.int64)]
+                held[2] += np.frombuffer(zlib.decompress(counts), "<u4")
+            yield bits(out)
+        yield bits([held])
+
+    def bits(done: list) -> pd.DataFrame:
+        rows = [(x[0], x[1], np.flatnonzero(x[2] >= x[1]).tolist()) for x in done if x]
+        return pd.DataFrame([r for r in rows if r[2]], columns=["host", "least", "bits"])
+    can = written(articles.select("host", "main").mapInPandas(counted, "host string, counts binary").join(hosts, "host")
+                  .repartition("host").sortWithinPartitions("host").mapInPandas(enough, "host string, least long, bits array<int>"), "bits")
+
+    def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _Hashes()
+        for pdf in batches:
+            rows = []
+            for h, least, told, main, some in zip(pdf["host"], pdf["least"], pdf["told"], pdf["main"], pdf["bits"]):
+                t, seen = stream_of(main.split("\n")), set()
+                at = np.flatnonzero(np.isin(run_bits(t, hashes, width), some))
+                for x in sorted({" ".join(t[i:i + SUFFIX]) for i in at}):      # in order: copies give the same rows
+                    run = " ".join(x.split(" ", RUN)[:RUN])
+                    rows.append((h, least, told, x, run, 0 if run in seen else 1))
+                    seen.add(run)
+            yield pd.DataFrame(rows, columns=["host", "least", "told", "suffix", "run", "pages"])
+    asked = by_host(articles.select("host", "main", F.xxhash64("main").alias("told")), can, "bits", "inner")
+    rows = (asked.mapInPandas(suffixes, "host string, least long, told long, suffix string, run string, pages long")
+            .groupBy("host", "run", "suffix", "told").agg(F.max("pages").alias("pages"))
+            .groupBy("host", "run", "suffix").agg(F.sum("pages").alias("pages")))
+    return written(shared_runs(rows).join(can.select("host", "least"), "host").where("pages >= least")
+                   .groupBy("host").agg(F.collect_list("run").alias("runs")), "article-runs")
+
+
+def without_runs(main: str, runs: set[str]) -> str:
+    """The article (blocks, a line each) without these runs, or whole if hardly anything of it would stay."""
+    blocks = main.split("\n")
+    t = stream_of(blocks)
+    kept = uncovered(blocks, (i for i in range(len(t) - RUN + 1) if " ".join(t[i:i + RUN]) in runs))
+    left, of = (sum(len(b.split()) for b in x) for x in (kept, blocks))
+    return main if left < (1 - COPIED) * of else "\n".join(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -219,13 +358,13 @@ def extract(pages: DataFrame) -> DataFrame:
             for page, url, source in zip(clean(pdf["page_id"]), clean(pdf["url"]), clean(pdf["html"])):
                 main, loose, other = read_page(source)
                 # The stream: tokens of the blocks that aren't an article's, a mark between blocks.
-                stream = [x for b in (*loose, *other) for x in (*b.split(), "¶")]
+                stream = stream_of([*loose, *other])
                 told = hashlib.sha1("\0".join(("\n".join(main), *stream)).encode("utf-8", "surrogatepass")).hexdigest() if main or stream else None
                 rows.append((n, page, url, host_of(url), "\n".join(main), loose, stream, told))
                 n += 1
             yield pd.DataFrame(rows, columns=["page", "page_id", "url", "host", "main", "loose", "tokens", "told"]).astype({"page_id": "Int64"})
     found = written(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-                    .mapInPandas(read, "page long, page_id long, url string, host string, main string, loose array<string>, tokens array<string>, told string"), "pages")
+                    .mapInPandas(read, "page long, page_id long, url string, host string, main string, loose array<string>, tokens array<string>, told string"), "pages", "zstd")
     # One page of each group of copies, those without text left out.
     distinct = found.where("told is not null").groupBy("host", "told").agg(F.min("page").alias("page")).select("page")
     runs = written(repeated_runs(found.join(distinct, "page", "left_semi").select("host", "tokens")), "runs")
@@ -235,30 +374,30 @@ def extract(pages: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for h, p, loose in zip(pdf["host"], pdf["page"], pdf["loose"]):
-                t = [x for b in loose for x in (*b.split(), "¶")]
+                t = stream_of(loose)
                 rows += [(h, p, i, " ".join(t[i:i + RUN])) for i in range(len(t) - RUN + 1)]
             yield pd.DataFrame(rows, columns=["host", "page", "i", "run"])
     covered = (found.where("size(loose) > 0").select("host", "page", "loose").mapInPandas(asked, "host string, page long, i int, run string")
                .join(runs, ["host", "run"], "left_semi").groupBy("page").agg(F.collect_list("i").alias("covered")))
 
-    def uncovered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = ["\n".join(uncovered(list(loose), starts if starts is not None else ())) for loose, starts in zip(pdf["loose"], pdf["covered"])]
+            yield pdf[["page_id", "url"]].assign(text=out)
+
+    # Articles lose the runs that more than half of their host's articles have.
+    def closed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            known: dict[str, set[str]] = {}
             out = []
-            for loose, starts in zip(pdf["loose"], pdf["covered"]):
-                size = sum(len(b.split()) + 1 for b in loose)
-                edge = np.zeros(size + 1, np.int64)
-                for i in (starts if starts is not None else ()):
-                    edge[i] += 1
-                    edge[i + RUN] -= 1
-                gone, at, kept = np.cumsum(edge) > 0, 0, []
-                for b in loose:
-                    t = b.split()
-                    kept.append(" ".join(x for x, g in zip(t, gone[at:at + len(t)]) if not g))
-                    at += len(t) + 1
-                out.append("\n".join(k for k in kept if k))
-            yield pdf[["page", "page_id", "url"]].assign(text=out)
-    cols = ["page", "page_id", "url"]
-    open_pages = (found.where("size(loose) > 0").select(*cols, "loose").join(covered, "page", "left")
-                  .mapInPandas(uncovered, "page long, page_id long, url string, text string"))
-    whole = found.where("size(loose) = 0").select(*cols, F.col("main").alias("text"))
+            for h, main, some in zip(pdf["host"], pdf["main"], pdf["runs"]):
+                if some is not None and h not in known:
+                    known[h] = set(some)
+                out.append(main if some is None else without_runs(main, known[h]))
+            yield pdf[["page_id", "url"]].assign(text=out)
+    gone = article_runs(found.where("main != ''").select("host", "main"))
+    open_pages = (found.where("size(loose) > 0").select("page", "page_id", "url", "loose").join(covered, "page", "left")
+                  .mapInPandas(opened, "page_id long, url string, text string"))
+    whole = (by_host(found.where("size(loose) = 0").select("page_id", "url", "host", "main"), gone, "runs", "left")
+             .mapInPandas(closed, "page_id long, url string, text string"))
     return whole.unionByName(open_pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

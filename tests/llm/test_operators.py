@@ -268,6 +268,41 @@ def test_html_copies_and_quotes_keep_their_text(spark):
     assert got == want
 
 
+def test_html_repeated_runs_of_articles(spark):
+    boiler = "subscribe to our weekly letter and never miss a single story again"
+    quote = "a sentence of more than eight words that only some articles of a host share"
+    body = [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(6)]
+    near = [" ".join(f"n{k}" if k != 30 * i else f"changed{i}" for k in range(200)) for i in range(4)]
+    rows = [(i, f"http://h.example/{i}", f"<nav>menu</nav><article><p>{t}</p><p>{boiler}</p>{f'<p>{quote}</p>' if i < 3 else ''}</article>") for i, t in enumerate(body)]
+    rows += [(10 + i, f"http://h.example/copy{i}", rows[0][2]) for i in range(9)]             # copies are no articles of their own
+    rows += [(20 + i, f"http://two.example/{i}", f"<main><p>{body[i]}</p><p>{boiler}</p></main>") for i in range(2)]
+    rows += [(30 + i, f"http://near.example/{i}", f"<article><p>{t}</p></article>") for i, t in enumerate(near)]
+    rows += [(40 + i, "http://within.example/", f"<article><p>{boiler} {t} {boiler}</p></article>") for i, t in enumerate(body[:3])]
+    rows += [(50, "http://empty.example/", "<article></article>"), (51, None, f"<article>{boiler}</article>")]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = {i: f"{t}\n{quote}" if i < 3 else t for i, t in enumerate(body)} | {10 + i: f"{body[0]}\n{quote}" for i in range(9)}
+    want |= {20 + i: f"{body[i]}\n{boiler}" for i in range(2)} | {30 + i: t for i, t in enumerate(near)}
+    want |= {40 + i: body[i] for i in range(3)} | {50: "", 51: boiler}
+    assert got == want
+
+
+def test_html_article_runs_are_those_of_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    pages = [(h, " ".join(rng.choices("abc", k=rng.randint(0, 60))) + "\n" + " ".join(rng.choices("ab", (9, 1), k=rng.randint(1, 60)))) for h in "xyz" for _ in range(rng.randint(3, 12))]
+    pages += pages[:4]
+    want = {}
+    for h in "xyz":
+        own = {m for x, m in pages if x == h}
+        count = Counter(r for m in own for t in [html_extract.stream_of(m.split("\n"))]
+                        for r in {" ".join(t[i:i + html_extract.RUN]) for i in range(len(t) - html_extract.RUN + 1)})
+        want[h] = {r for r, n in count.items() if n >= 3 and 2 * n > len(own)}
+    df = spark.createDataFrame(pages, "host string, main string").repartition(4)
+    for small in (html_extract.SMALL, 0):
+        monkeypatch.setattr(html_extract, "SMALL", small)
+        assert {r.host: set(r.runs) for r in html_extract.article_runs(df).collect()} == {h: r for h, r in want.items() if r}
+    assert any(want.values())
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((200, 16))
