@@ -10,6 +10,7 @@ the vocabulary's added tokens are given to the library whole. The library's sett
 
 from __future__ import annotations
 
+import gc
 import os
 
 import numpy as np
@@ -153,6 +154,16 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none."""
+        # Millions of words are held and none in a cycle: the search for cycles would walk over them again and again.
+        searched = gc.isenabled()
+        gc.disable()
+        try:
+            return self._all(texts)
+        finally:
+            if searched:
+                gc.enable()
+
+    def _all(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         some, size = [], 0
         for t in texts:

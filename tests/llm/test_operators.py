@@ -1,5 +1,6 @@
 """The dealt operators against brute force on small tables with nulls, ties, repeated rows and clashing columns."""
 
+import gc
 import hashlib
 import io
 import itertools
@@ -236,6 +237,17 @@ def test_warc_long_headers(spark):
         warc.read_archives(manifest.withColumn("n", F.col("n") + 1), whole=True).collect()
 
 
+def test_encoding_does_not_search_for_cycles():
+    encoder = tokens.Encoder(tokens.tokenizer_path("byte_bpe_50k.json"))
+    runs = []
+    gc.callbacks.append(lambda phase, info: runs.append(phase))
+    try:
+        encoder.encode([" ".join(f"{w}{i}," for w in VOCAB) for i in range(60)])
+    finally:
+        gc.callbacks.pop()
+    assert not runs and gc.isenabled()
+
+
 def test_html_structure():
     page = ("<html><head><title>t</title></head><body><nav><a>Menu</a></nav><div class='cookie-notice'>Accept</div><article><h1>A &amp; B</h1>"
             "<p>One<br>two  <b>three</p><script>var a='</p>'</script><aside>side</aside><div class=\"share-buttons\">Share</div>"
