@@ -49,6 +49,7 @@ TOP = 3
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_][^\w\s]{0,2}\s){2,}[^\W\d_][^\w\s]{0,2}(?!\S)")
 #: Lengths of the subsequences, and the letters that each may skip.
 SKIPS = {3: 2, 4: 2, 5: 1, 6: 1}
+_STEP = np.uint64(0x100000001B3 * 0x9E3779B1 % 2 ** 64)
 _OFFSETS = [(0, *rest) for p, skip in SKIPS.items() for rest in itertools.combinations(range(1, p + skip), p - 1)]
 
 
@@ -66,60 +67,96 @@ def letters(word: str) -> str:
     return word if word.isalnum() else "".join(c for c in word if c.isalnum())
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, code, value): the kernel's feature vectors, one entry for each place of a subsequence; entries of one code add up."""
+def _places(words: list[str]) -> Iterator[tuple[tuple[int, ...], np.ndarray, np.ndarray]]:
+    """(letters' offsets, places of each word, codes) of each form of subsequence: a row of codes for each word, of which
+    its places come first. Forms that begin alike share their beginning."""
     marked = [f"^{w}" for w in words]
     n = np.array([len(w) for w in marked], np.int64)
-    width = max(int(n.max(initial=1)), 8)
-    chars = np.zeros((len(marked), width + 8), np.uint64)
+    longest = int(n.max(initial=1))
+    chars = np.zeros((len(marked), longest), np.uint64)
     flat = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4")
     row = np.repeat(np.arange(len(marked)), n)
     chars[row, np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)] = flat
-    at_row, codes, values = [], [], []
+    chars += np.uint64(1)
+    begun: dict[tuple[int, ...], np.ndarray] = {}
     for off in _OFFSETS:
-        ok = np.arange(width)[None, :] + off[-1] < n[:, None]
-        r, c = np.nonzero(ok)
-        code = np.full(len(r), len(off), np.uint64)
-        for o in off:
-            code = code * np.uint64(0x100000001B3) * np.uint64(0x9E3779B1) + chars[r, c + o] + np.uint64(1)
-        at_row.append(r)
-        codes.append(code)
-        values.append(np.full(len(r), DECAY ** (off[-1] + 1 - len(off))))
+        wide = longest - off[-1]
+        if wide < 1:
+            continue
+        if (len(off),) not in begun:
+            begun = {(len(off),): np.full(chars.shape, len(off), np.uint64)}
+        for k in range(1, len(off) + 1):
+            key = (len(off), *off[:k])
+            if key not in begun:
+                before, o = begun[key[:-1]], off[k - 1]
+                code = before[:, :longest - o] * _STEP
+                code += chars[:, o:]
+                begun[key] = code
+        yield off, np.maximum(n - off[-1], 0), begun.pop((len(off), *off))
+
+
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, code, value): the kernel's feature vectors, one entry for each place of a subsequence; entries of one code add up."""
+    at_row, codes, values = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for off, n, code in _places(words):
+        at_row.append(np.repeat(np.arange(len(words)), n))
+        codes.append(code[np.arange(code.shape[1]) < n[:, None]])
+        values.append(np.full(len(codes[-1]), DECAY ** (off[-1] + 1 - len(off))))
     r, code, val = np.concatenate(at_row), np.concatenate(codes), np.concatenate(values)
     # A word's length, of sorts: any positive number by which a kernel's features are divided leaves it a kernel.
     norm = np.sqrt(np.bincount(r, val * val, len(words)))
     return r, code, val / norm[r]
 
 
+def _norms() -> np.ndarray:
+    """What subsequences() divides the values of a word by, by its number of letters up to LONGEST."""
+    out = np.ones(LONGEST + 1)
+    for n in range(LONGEST + 1):
+        v = [DECAY ** (off[-1] + 1 - len(off)) for off in _OFFSETS for _ in range(n + 1 - off[-1])]
+        if v:
+            out[n] = np.sqrt(np.bincount(np.zeros(len(v), np.int64), np.array(v) * np.array(v)))[0]
+    return out
+
+
 def parts(word: str) -> list[str]:
     w = letters(word)
     return [w] if len(w) <= LONGEST else [w[i:i + LONGEST] for i in range(0, len(w) - LONGEST // 2, LONGEST // 2)]
 
 
+_NORMS = _norms()
+
+
 class Weights:
     """Codes to weights: tables addressed by some bits of a code; a code whose place is taken goes to the next table."""
 
-    BITS = 20
-
     def __init__(self, codes: np.ndarray, weights: np.ndarray):
         self.tables = []
-        shift = 0
+        turn = _STEP
         while len(codes):
-            slot = ((codes >> np.uint64(shift)) & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
+            bits = min(20, max(8, int(16 * len(codes)).bit_length()))
+            shift = np.uint64(64 - bits)
+            slot = ((codes * turn) >> shift).astype(np.int64)
             _, first = np.unique(slot, return_index=True)
-            key, value = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS)
+            key, value = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits)
             key[slot[first]], value[slot[first]] = codes[first], weights[first]
-            self.tables.append((np.uint64(shift), key, value))
+            self.tables.append((turn, shift, key, value))
             rest = np.ones(len(codes), bool)
             rest[first] = False
-            codes, weights, shift = codes[rest], weights[rest], (shift + 11) % 44
-
-    def __getitem__(self, code: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(code))
-        for shift, key, value in self.tables:
-            slot = ((code >> shift) & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
-            out += np.where(key[slot] == code, value[slot], 0.0)
-        return out
+            codes, weights, turn = codes[rest], weights[rest], np.uint64(int(turn) * int(_STEP) % 2 ** 64)
+
+    def found(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of code that have a weight, their weights), places in ascending order."""
+        at, weight = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for turn, shift, key, value in self.tables:
+            slot = code * turn
+            slot >>= shift
+            slot = slot.view(np.int64)
+            hit = np.flatnonzero(key[slot] == code)
+            at.append(hit)
+            weight.append(value[slot[hit]])
+        at, weight = np.concatenate(at), np.concatenate(weight)
+        order = np.argsort(at, kind="stable")
+        return at[order], weight[order]
 
 
 @dataclass
@@ -142,8 +179,16 @@ class Model:
         pieces.sort(key=lambda x: len(x[1]))
         for lo in range(0, len(pieces), RAW):
             some = pieces[lo:lo + RAW]
-            r, code, val = subsequences([p for _, p in some])
-            f = self.bias + np.bincount(r, val * self._weights[code], len(some))
+            letters = np.array([len(p) for _, p in some])
+            at_row, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for off, n, code in _places([p for _, p in some]):
+                at, weight = self._weights.found(code.ravel())
+                r, c = np.divmod(at, code.shape[1])
+                ok = c < n[r]                           # what lies behind a word's places is none
+                r = r[ok]
+                at_row.append(r)
+                values.append(DECAY ** (off[-1] + 1 - len(off)) / _NORMS[letters[r]] * weight[ok])
+            f = self.bias + np.bincount(np.concatenate(at_row), np.concatenate(values), len(some))
             np.maximum.at(out, [i for i, _ in some], f)
         return out
 
@@ -354,6 +399,7 @@ def score(docs: DataFrame, model: Model | None, column: str = "score") -> DataFr
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        trim()                                          # what fits and other stages left in the worker
         for texts in batches:
             yield pd.Series(share.value.probability(highest(clean(texts), share.value, key)))
     return docs.withColumn(column, run(F.col("text").cast("string")))

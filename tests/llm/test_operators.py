@@ -237,6 +237,24 @@ def test_warc_long_headers(spark):
         warc.read_archives(manifest.withColumn("n", F.col("n") + 1), whole=True).collect()
 
 
+def test_toxicity_words_are_scored_by_small_tables_as_by_the_plain_sum():
+    words = sorted({"".join(RNG.choices("abcdeé", k=RNG.randint(0, 30))) for _ in range(600)} | {"x" * 100, "", "a"})
+    r, code, _ = toxicity.subsequences(words[:200])
+    codes = np.unique(code)
+    model = toxicity.Model(codes, np.linspace(-1, 1, len(codes)), -0.5, np.zeros(3))
+    weight = dict(zip(codes.tolist(), model.weights.tolist()))
+    want = []
+    for w in words:
+        plain = []
+        for p in toxicity.parts(w):
+            _, c, v = toxicity.subsequences([p])
+            plain.append(-0.5 + sum(weight.get(x, 0.0) * y for x, y in zip(c.tolist(), v.tolist())))
+        want.append(max(plain))
+    assert np.allclose(model.raw(words), want, rtol=0, atol=1e-9)
+    # A worker's tables are in proportion to the weights.
+    assert sum(x.nbytes for t in model._weights.tables for x in t if isinstance(x, np.ndarray) and x.ndim) <= 1024 * len(codes)
+
+
 def test_encoding_does_not_search_for_cycles():
     encoder = tokens.Encoder(tokens.tokenizer_path("byte_bpe_50k.json"))
     runs = []
