@@ -573,3 +573,19 @@ def test_texts_are_scored_some_at_a_time(monkeypatch):
     monkeypatch.setattr(toxicity, "_highest", lambda some, *a: sizes.append(sum(len(t or "") for t in some)) or cut(some, *a))
     assert toxicity.highest(texts, model, 2).tolist() == want and toxicity.highest([], model, 2).shape == (0, toxicity.TOP)
     assert len(sizes) > 10 and max(sizes) < 1300
+
+
+def test_plain_words_go_to_the_model_alone(monkeypatch):
+    e = tokens.Encoder(tokens.tokenizer_path("word_bpe_49k.json"))
+    library, seen = e.library, []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **how):
+            seen.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+    monkeypatch.setattr(e, "library", Watched())
+    texts = ["the Geungzuau Scheinheitzu\nÉtéàß ªº", "the geungzuau \u017ftone 12:30 it's"]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.encode(texts) == want
+    assert not any(w in t.lower() for t in seen for w in ("geungzuau", "scheinheitzu", "étéàß"))
+    assert any("12:30" in t for t in seen)
