@@ -19,7 +19,8 @@ documents share doesn't gather in one task.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -127,15 +128,16 @@ def key_of(col):
 def in_groups(batches: Iterator[pd.DataFrame], col: str = "text") -> Iterator[tuple[pd.DataFrame, list[list[bytes]]]]:
     """Parts of the batches with their words, of bounded size but for single long texts."""
     for pdf in batches:
-        texts = [words(t) for t in clean(pdf[col])]
-        lo = total = 0
-        for i, ws in enumerate(texts):
+        held, lo, total = [], 0, 0
+        for i, text in enumerate(clean(pdf[col])):
+            ws = words(text)
             if total and total + len(ws) > WORDS_AT_ONCE:
-                yield pdf.iloc[lo:i], texts[lo:i]
-                lo, total = i, 0
+                yield pdf.iloc[lo:i], held
+                held, lo, total = [], i, 0
+            held.append(ws)
             total += len(ws)
-        if lo < len(texts):
-            yield pdf.iloc[lo:], texts[lo:]
+        if held:
+            yield pdf.iloc[lo:], held
 
 
 # ------------------------------------------------------------------ rows whose key is not alone
@@ -152,11 +154,44 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def repeated(rows: DataFrame, key: str, half: str | None = None) -> DataFrame:
+@dataclass
+class Steps:
+    """Rows that ``fn`` makes of ``df``'s Arrow batches. What follows on them in the same task goes on in the same Python
+    worker: a second worker for each core would hold its own memory, and live on with it."""
+    df: DataFrame
+    fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+    types: dict[str, str]
+
+    def then(self, fn, types: dict[str, str]) -> Steps:
+        first = self.fn
+        return Steps(self.df, lambda batches: fn(first(batches)), types)
+
+    def frame(self) -> DataFrame:
+        return self.df.mapInArrow(tidy(self.fn), _ddl(self.types))
+
+
+def _ddl(types: dict[str, str]) -> str:
+    return ", ".join(f"{c} {t}" for c, t in types.items())
+
+
+def _schema(types: dict[str, str]) -> pa.Schema:
+    return pa.schema([(c, {"long": pa.int64(), "int": pa.int32()}[t]) for c, t in types.items()])
+
+
+def from_pandas(fn, types: dict[str, str]):
+    """A function of pandas batches as one of Arrow batches."""
+    schema = _schema(types)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pdf in fn(b.to_pandas() for b in batches):
+            yield pa.RecordBatch.from_pandas(pdf, schema=schema, preserve_index=False)
+    return run
+
+
+def repeated(rows: Steps, key: str, half: str | None = None) -> Steps:
     """Of the rows whose key (a long column) some other row also has, the other columns. The upper 32 bits of the long
     column ``half``, if there is one, belong to the key, too; its lower bits come back as an int. That saves a column of the shuffle."""
-    names = [c for c in rows.columns if c != key]
-    all_names = rows.columns
+    names = [c for c in rows.types if c != key]
     low = (1 << 32) - 1
 
     def arrays(t: pa.Table) -> list[np.ndarray]:
@@ -223,17 +258,22 @@ def repeated(rows: DataFrame, key: str, half: str | None = None) -> DataFrame:
             if not seen and kind[-1] == 0:
                 wait = t.slice(t.num_rows - 1).select(names)
 
-    def types(cols):
-        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in cols)
-    thinned = rows.mapInArrow(tidy(thin), types(all_names) + ", kind tinyint")
+    def lower(batches):
+        for b in batches:
+            i = b.schema.get_field_index(half)
+            b = b.set_column(i, half, pa.array((b.column(i).to_numpy() & low).astype(np.int32)))
+            yield b
+    thinned = rows.then(thin, rows.types | {"kind": "tinyint"}).frame()
     deal = F.when(F.col("kind") == 1, F.xxhash64(*names)).otherwise(F.col(key))
-    found = thinned.repartition(deal).sortWithinPartitions(key, *([half] if half else [])).mapInArrow(tidy(check), types(names))
-    return found.withColumn(half, F.col(half).bitwiseAND(F.lit(low)).cast("int")) if half else found
+    left = {c: rows.types[c] for c in names}
+    dealt = thinned.repartition(deal).sortWithinPartitions(key, *([half] if half else []))
+    found = Steps(dealt, check, left)
+    return found.then(lower, left | {half: "int"}) if half else found
 
 
 # ------------------------------------------------------------------ the operator
 
-def _anchors(texts: DataFrame, window: int) -> DataFrame:
+def _anchors(texts: DataFrame, window: int) -> Steps:
     """(h, to_right, to_left, k1, place): one row for each anchor of a document; place is four times its word's place, and 1 for
     windows to the right, 2 for those to the left. k1 alone names the text here: if two texts share it, each gets the other's
     candidates too, and the last level sorts them out."""
@@ -246,10 +286,23 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
             d = v.doc[a]
             yield pd.DataFrame({"h": v.h_quarter[a].view(np.int64), "to_right": to.view(np.int64), "to_left": fro.view(np.int64),
                                 "k1": pdf["k1"].to_numpy()[d], "place": 4 * (a - v.begins[d]) + right + 2 * left})
-    return texts.mapInPandas(tidy(run), "h long, to_right long, to_left long, k1 long, place long")
+    types = {"h": "long", "to_right": "long", "to_left": "long", "k1": "long", "place": "long"}
+    return Steps(texts, from_pandas(run, types), types)
+
+
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, k1, mark) of the half windows of surviving anchors, to the right and to the left; mark is twice the anchor's place,
+    and 1 more for those to the left."""
+    for b in batches:
+        place, k1 = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("place", "k1"))
+        for side, c in enumerate(("to_right", "to_left")):
+            at = np.flatnonzero(place >> side & 1)
+            h = b.column(b.schema.get_field_index(c)).to_numpy()[at].view(U)
+            cols = mix(h, np.full(len(h), side, U), 7).view(np.int64), k1[at], ((place[at] >> 2) * 2 + side).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "k1", "mark"])
 
 
-def _last_level(cand: DataFrame, window: int) -> DataFrame:
+def _last_level(cand: DataFrame, window: int) -> Steps:
     """(h, at, id): every window of a surviving anchor, by its whole hash: h and the upper half of at, whose lower half is
     the window's start."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,7 +318,8 @@ def _last_level(cand: DataFrame, window: int) -> DataFrame:
                 whole, other = v.wholes(s)
                 d = v.doc[s]
                 yield pd.DataFrame({"h": whole.view(np.int64), "at": (other << 32) + s - v.begins[d], "id": pdf["id"].to_numpy()[d]})
-    return cand.mapInPandas(tidy(run), "h long, at long, id long")
+    types = {"h": "long", "at": "long", "id": "long"}
+    return Steps(cand, from_pandas(run, types), types)
 
 
 def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -282,12 +336,8 @@ def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
     copies = written(copies.where("copies > 1"), "copies")
 
     first = repeated(_anchors(keyed.select("k1", "text"), window), "h")
-    sides = first.select("k1", F.shiftright("place", 2).cast("int").alias("a"), F.explode(F.array(
-        F.when(F.col("place").bitwiseAND(1) > 0, F.struct(F.lit(0).alias("side"), F.col("to_right").alias("h"))),
-        F.when(F.col("place").bitwiseAND(2) > 0, F.struct(F.lit(1).alias("side"), F.col("to_left").alias("h"))))).alias("x")) \
-        .where("x is not null").select(F.xxhash64("x.side", "x.h").alias("h"), "k1",
-                                       (F.col("a") * 2 + F.col("x.side")).alias("mark"))
-    second = repeated(sides, "h").groupBy("k1").agg(F.collect_set("mark").alias("marks"))
+    sides = first.then(_sides, {"h": "long", "k1": "long", "mark": "int"})
+    second = repeated(sides, "h").frame().groupBy("k1").agg(F.collect_set("mark").alias("marks"))
     # Of equal texts one goes on: its windows are repeated for certain, and stand for the others.
     same = copies.groupBy("k1").agg(F.collect_list(F.struct("k2", "chosen")).alias("same"))
     alive = second.join(same, "k1", "left")
@@ -303,7 +353,7 @@ def changes(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
             n += b.num_rows
             yield pa.RecordBatch.from_arrays([ids, *b.columns], ["id", *b.schema.names])
     cand = written(cand.mapInArrow(numbered, "id long, k1 long, k2 long, text string, marks array<int>, whole boolean"), "texts")
-    covered = repeated(_last_level(cand, window), "h", "at").groupBy("id").agg(F.collect_list("at").alias("starts"))
+    covered = repeated(_last_level(cand, window), "h", "at").frame().groupBy("id").agg(F.collect_list("at").alias("starts"))
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -589,3 +589,13 @@ def test_plain_words_go_to_the_model_alone(monkeypatch):
     assert e.encode(texts) == want
     assert not any(w in t.lower() for t in seen for w in ("geungzuau", "scheinheitzu", "étéàß"))
     assert any("12:30" in t for t in seen)
+
+
+def test_substring_levels_hold_one_python_worker_a_task(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20)) + " " + PASSAGE) for i in range(6)]
+    keyed = spark.createDataFrame(rows, "doc_id long, text string").select(F.xxhash64("text").alias("k1"), "text")
+    first = substrings.repeated(substrings._anchors(keyed, 35), "h")
+    second = substrings.repeated(first.then(substrings._sides, {"h": "long", "k1": "long", "mark": "int"}), "h").frame()
+    plan = second._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("MapInArrow") == 3 and "MapInPandas" not in plan      # one of each stage
+    assert second.count() > 0
