@@ -29,6 +29,9 @@ from saleslens.llm.common import prepare, rows_of, tidy, written
 SEED = 42
 #: Distinct words, or phrases' positions, that a task gathers before it sends their counts on.
 HELD, GATHER = 300_000, 1 << 21
+#: Positions whose hashes are worked on at once, and rows that a task sends on at once: arrays of all that a task
+#: gathers would take hundreds of MB in each Python worker, and as one Arrow batch as much outside the JVM's heap.
+SLICE, ROWS = 1 << 18, 1 << 17
 #: Bits of the bitmap of hashed phrases: 8 MB.
 BITS = 26
 #: Counts of a row when tasks' sums are added up.
@@ -175,18 +178,40 @@ def possible(texts: DataFrame, known: list, length: int, longest: int) -> DataFr
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         maps = [Bitmap(b.value) for b in known]
-        for x in _arrays(batches, GATHER):
+        found, buckets, n = [], [], 0
+
+        def out() -> Iterator[pd.DataFrame]:
+            if found:
+                h, parent, last = (np.concatenate(c) for c in zip(*found))
+                found.clear()
+                h, i = np.unique(h, return_index=True)
+                parent, last = parent[i], last[i]
+                for lo in range(0, len(h), ROWS):
+                    u = h[lo:lo + ROWS]
+                    yield pd.DataFrame({"bucket": pd.array([pd.NA] * len(u), "Int32"), "c": pd.array([pd.NA] * len(u), "Int32"),
+                                        "h": u, "parent": parent[lo:lo + ROWS], "last": last[lo:lo + ROWS]})
+            if buckets:
+                all_buckets = np.concatenate(buckets)
+                buckets.clear()
+                u, c = np.unique(all_buckets, return_counts=True)
+                u, c = u.view(np.int32), c.astype(np.int32)
+                for lo in range(0, len(u), ROWS):
+                    none = pd.array([pd.NA] * len(u[lo:lo + ROWS]), "Int64")
+                    yield pd.DataFrame({"bucket": u[lo:lo + ROWS], "c": c[lo:lo + ROWS], "h": none, "parent": none, "last": none})
+        for x in _arrays(batches, SLICE):
             if length > 1:
                 _, h, parent, last = _starts(x, maps, length)
                 ok = np.flatnonzero(maps[length - 1](h))
                 u, i = np.unique(h[ok], return_index=True)
-                i = ok[i]
-                yield pd.DataFrame({"bucket": pd.array([pd.NA] * len(u), "Int32"), "c": pd.array([pd.NA] * len(u), "Int32"),
-                                    "h": u, "parent": parent[i], "last": last[i]})
+                found.append((u, parent[ok[i]], last[ok[i]]))
+                del h, parent, last
             if length < longest:
-                u, c = np.unique(_bucket(_starts(x, maps, length + 1)[1]), return_counts=True)
-                none = pd.array([pd.NA] * len(u), "Int64")
-                yield pd.DataFrame({"bucket": u.view(np.int32), "c": c.astype(np.int32), "h": none, "parent": none, "last": none})
+                buckets.append(_bucket(_starts(x, maps, length + 1)[1]))
+            n += len(x)
+            if n >= GATHER:
+                yield from out()
+                n = 0
+        yield from out()
     return texts.mapInPandas(tidy(run), "bucket int, c int, h long, parent long, last long")
 
 
@@ -288,7 +313,7 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, longest: int) -> DataFrame
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             trie, ids = shared.value
             total = np.zeros(len(ids) + 1, np.int64)
-            for x in _arrays(batches, GATHER):
+            for x in _arrays(batches, SLICE):
                 trie.count(x, total)
             chunks = range(0, len(ids), CHUNK)
             yield pd.DataFrame({"chunk": np.array(chunks, np.int32) // CHUNK,

@@ -91,3 +91,26 @@ def test_trie_counts_all_positions():
     for part in np.array_split(np.append(x, 0), [0]):
         trie.count(part, total)
     assert total[1:].tolist() == [grams[g] for g in chosen]
+
+
+def test_few_positions_are_worked_on_at_once(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(1, 1 << 40, 1000) for _ in range(900)]
+    full = np.full((1 << phrases.BITS) // 8, 255, np.uint8)
+
+    class Known:
+        value = full
+
+    class Texts:
+        def mapInPandas(self, fn, schema):
+            return fn
+    sizes, starts = [], phrases._starts
+    monkeypatch.setattr(phrases, "_starts", lambda x, *a: (sizes.append(len(x)), starts(x, *a))[1])
+    batches = [phrases.pd.DataFrame({"ids": [t.tobytes() for t in texts[lo:lo + 100]]}) for lo in range(0, 900, 100)]
+    frames = list(phrases.possible(Texts(), [Known, Known], 2, 3)(iter(batches)))
+    assert max(sizes) < 300_000 and max(map(len, frames)) <= 1 << 17
+    got = phrases.pd.concat(frames)
+    assert got["c"].sum() == 900 * 998                                  # runs of three words
+    pairs = got.loc[got["h"].notna()]
+    want = np.concatenate([phrases.mix(t[:-1], t[1:]) for t in texts])
+    assert sorted(pairs["h"].astype("int64")) == sorted(set(want.tolist()))
